@@ -20,18 +20,27 @@ from pyspark.sql import functions as F
 WINDOW = 3
 
 
-def _window_hashes(lines: Column) -> Column:
-    """A hash for each run of WINDOW lines; null for a run with no line that holds a word."""
-    n = F.size(lines)
-    at = F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW)).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(lines, lambda x: F.when(F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) != "", F.xxhash64(x)))
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row.
+
+    A plain projection would be pulled into the lambdas that use the column and
+    then computed for each of their elements; a generator isn't.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _window_hashes(df: DataFrame, text: str) -> tuple[DataFrame, Column]:
+    """``df`` with line hashes, and a column of hashes for each run of WINDOW lines (null where no line holds a word)."""
+    df = _once(df, "_lines", F.split(F.col(text), "\n", -1))
+    solid = F.transform("_lines", lambda x: F.when(F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) != "", F.xxhash64(x)))
+    df = _once(df.where(F.size("_lines") >= WINDOW), "_hashes", solid).drop("_lines", text)
     blank = F.lit(0).cast("long")
 
     def one(i: Column) -> Column:
-        own = [F.element_at(hashes, i + k + 1) for k in range(WINDOW)]
+        own = [F.element_at("_hashes", i + k + 1) for k in range(WINDOW)]
         return F.when(F.coalesce(*own).isNotNull(), F.xxhash64(*(F.coalesce(x, blank) for x in own)))
 
-    return F.transform(at, one)
+    return df, F.transform(F.sequence(F.lit(0), F.size("_hashes") - WINDOW), one)
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -44,20 +53,21 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     key sorts first.
     """
     keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.col(text)))
-    spots = keyed.select(F.col(key).alias("_key"), "_th", F.posexplode(_window_hashes(F.split(F.col(text), "\n", -1))).alias("_pos", "_hash")).where(F.col("_hash").isNotNull())
+    hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text)
+    spots = hashed.select("_key", "_th", F.posexplode(runs).alias("_pos", "_hash")).where(F.col("_hash").isNotNull())
     place = F.struct("_key", "_th", "_pos")
     # Rows of one document are counted once: several equal rows alone repeat nothing.
     repeated = spots.groupBy("_hash").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
     later = spots.join(repeated.select(F.col("_hash").alias("_h"), "_first"), F.col("_hash") == F.col("_h")).where(place != F.col("_first"))
     marks = later.groupBy("_key", "_th").agg(F.collect_set("_pos").alias("_starts")).withColumnsRenamed({"_key": "_mk", "_th": "_mt"})
-    lines = F.split(F.col(text), "\n", -1)
-    covered = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (WINDOW - 1)))))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
     joined = keyed.join(marks, F.col(key).eqNullSafe(F.col("_mk")) & (F.col("_th") == F.col("_mt")), "left")
-    clean = F.when(F.col("_starts").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"))
-    others = [c for c in keyed.columns if c not in (text, "_th")]
+    joined = _once(joined, "_lines", F.split(F.col(text), "\n", -1))
+    covered = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (WINDOW - 1)))))
+    joined = _once(joined, "_covered", covered)
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_covered"))
+    clean = F.when(F.col("_starts").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at("_lines", i + 1)), "\n"))
     return joined.select(
-        *(clean.alias(text) if c == text else F.col(c) for c in docs.columns if c in (*others, text)),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(covered), F.lit(0)).cast("long").alias("n_removed"),
+        *(clean.alias(text) if c == text else F.col(c) for c in keyed.columns if c != "_th"),
+        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"),
     )
