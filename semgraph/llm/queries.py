@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_decode, bpe_encode
 from .linededup import line_dedup
+from .neardup import near_dups
+from .packing import pack
 from .quality import quality
 from .tables import table
 
@@ -20,6 +24,26 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
+    return bpe_decode(encoded, ranks).select(
+        "doc_id",
+        F.expr("cast(length(ids) / 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
