@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, toxicity
 from .bpe import bpe_decode, bpe_encode
 from .linededup import line_dedup
 from .neardup import near_dups
@@ -44,6 +45,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.held_out(4, 2)
+    dictionaries = langid.fit(docs.where(~held_out))
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), dictionaries).drop("text")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs.withColumn("held_out", toxicity.held_out(5, 0)), model).drop("text")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
