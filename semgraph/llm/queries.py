@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .bpe import bpe_decode, bpe_encode
+from .htmlcrf import extract
 from .linededup import line_dedup
 from .neardup import near_dups
 from .packing import pack
@@ -30,6 +31,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
