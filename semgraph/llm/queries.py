@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import langid, toxicity
 from .bpe import bpe_decode, bpe_encode
 from .htmlcrf import extract
+from .knn import top_k
 from .linededup import line_dedup
 from .neardup import near_dups
 from .packing import pack
@@ -50,6 +51,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.held_out(4, 2)
@@ -90,5 +95,20 @@ FROM d LEFT JOIN x ON d.doc_id = x.doc_id
 """
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op8_knn": OP8_SQL}
