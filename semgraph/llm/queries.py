@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import hmm, langid, toxicity
 from .bpe import bpe_decode, bpe_encode
 from .htmlcrf import extract
 from .knn import top_k
@@ -51,6 +51,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity.held_out(5, 1))
+
+
 def op8_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
