@@ -3,19 +3,23 @@
 1. One pass over the texts makes, for each document, its set size, a digest of
    its set, band keys of its MinHash signature, and one byte of each signature
    place.  Documents of one digest are one *class*, named by its smallest id.
-2. Classes that share a band key are candidates.  No bucket's pairs are listed:
-   first each class is compared with the smallest of its bucket alone, which
-   settles a large group of copies in as many comparisons as it has members.
-3. What then is still in different components within a bucket is compared in
-   blocks, signature against signature, inside the tasks; only pairs that pass
-   leave them.
-4. A comparison reads the signature in batches.  With a uniform prior, the
-   posterior of the similarity after m matches of n is Beta(m + 1, n - m + 1);
-   a pair is dropped once the posterior chance of reaching the threshold falls
-   below ``miss``.  Survivors are verified on their full sets.
-5. Components of verified links give the result.
-
-With 32 bands of 5 a pair at similarity 0.85 shares no band in 7e-9 of cases.
+2. Classes that share a band key are candidates.  No bucket's pairs are listed.
+   In each of a few rounds a class is compared with one leader of its bucket
+   alone (the smallest, then random ones), and only where the two are not yet
+   in one component; a large group of copies is settled by as many comparisons
+   as it has members.
+3. What is still in different components within a bucket is compared in blocks,
+   signature against signature, inside the tasks.  Each block gives a forest
+   that spans what may be linked, and the forests' components are *clusters*.
+4. Within a cluster, slot by slot, remaining pairs are verified on full sets in
+   memory; a block gives the links that join components, at most one a member.
+5. Components of all verified links give the result.
+
+A comparison reads the signature in batches.  With a uniform prior, the
+posterior of the similarity after m matches of n is Beta(m + 1, n - m + 1); a
+pair is dropped once the posterior chance of reaching the threshold falls below
+``miss``.  Every link is verified on the full sets.  With 32 bands of 5 a pair
+at similarity 0.85 shares no band in 7e-9 of cases.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
@@ -38,7 +42,7 @@ from .tables import drop_kept, kept
 
 @dataclass(frozen=True)
 class NearDup:
-    """shingle: words; a link needs 100 * intersection >= percent * union; block: members of a bucket compared in one group."""
+    """shingle: words; a link needs 100 * intersection >= percent * union; turns: rounds with one leader a bucket; block, block_shingles: most members and about the most set members compared in one slot."""
 
     shingle: int = 5
     percent: int = 85
@@ -46,7 +50,9 @@ class NearDup:
     rows: int = 5
     batch: int = 32
     miss: float = 1e-7
+    turns: int = 3
     block: int = 256
+    block_shingles: int = 1_000_000
     seed: int = 11
 
     @property
@@ -151,86 +157,145 @@ def _pass_signatures(pairs: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
-def _pass_blocks(members: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs of different labels within a bucket that pass the signatures.
-
-    members: (band, rep, label).  A bucket of over ``block`` members is cut into
-    slots, and each pair of slots is a group of its own, so that no task takes a
-    whole hot bucket and no pair is left out.
-    """
-    mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(F.col("band").alias("k"), F.ceil(F.col("n") / p.block).cast("int").alias("slots"))
-    slot = F.pmod(F.xxhash64("rep", F.lit(p.seed)), F.col("slots")).cast("int")
-    rows = members.join(mixed, F.col("band") == F.col("k")).withColumn("slot", slot)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-    rows = rows.select("band", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "rep", "label")
-    rows = rows.join(sigs.select("rep", "sig"), "rep").select("band", "i", "j", "slot", "rep", "label", "sig")
-    grouped = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
+def _streamed(found, keys: int):
+    """A mapInArrow function that gives ``found`` whole groups: rows come sorted by their first ``keys`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table) -> pa.RecordBatch:
-            band, i, j, slot, rep, label = (table.column(c).to_numpy() for c in range(6))
-            sig = matrix(table.column(6).combine_chunks(), p.places)
-            change = np.r_[True, (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-            group = np.cumsum(change)
-            a, b, reach = [], [], 1
-            while reach < len(group):
-                at = np.flatnonzero(group[reach:] == group[:-reach])
-                if not len(at):
-                    break
-                # Pairs of one slot are met in the group (slot, slot).
-                at = at[(label[at] != label[at + reach]) & ((slot[at] != slot[at + reach]) | (i[at] == j[at]))]
-                go = at[survivors(sig[at], sig[at + reach], p)] if len(at) else at
-                a.append(rep[go])
-                b.append(rep[go + reach])
-                reach += 1
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-        rest: pa.Table | None = None
+        rest: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            if not table.num_rows:
+            if not batch.num_rows:
                 continue
-            keys = [table.column(c).to_numpy() for c in range(3)]
-            last = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield found(table.slice(0, cut))
-            rest = table.slice(cut)
-        if rest is not None and rest.num_rows:
-            yield found(rest)
+            columns = [batch.column(c).to_numpy() for c in range(keys)]
+            ends = np.flatnonzero(np.any([c != c[-1] for c in columns], axis=0))
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            new = bool(rest) and any(rest[-1].column(c)[0].as_py() != columns[c][0] for c in range(keys))
+            if cut or new:
+                yield from found(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
+                rest = []
+            rest.append(batch.slice(cut))
+        if rest:
+            yield from found(pa.Table.from_batches(rest))
 
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+    return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(ids, "rep", "left_semi")
+def _close(table: pa.Table, p: NearDup) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of one group, of different labels, that pass the signatures.
+
+    Columns: three keys (the last two the slots that meet), slot, rep, label, sig.
+    Pairs of one slot are met where it meets itself.
+    """
+    band, i, j, slot, _, label = (table.column(c).to_numpy() for c in range(6))
+    sig = matrix(table.column(6).combine_chunks(), p.places)
+    group = np.cumsum(np.r_[True, (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    a, b, reach = [], [], 1
+    while reach < len(group):
+        at = np.flatnonzero(group[reach:] == group[:-reach])
+        if not len(at):
+            break
+        at = at[(label[at] != label[at + reach]) & ((slot[at] != slot[at + reach]) | (i[at] == j[at]))]
+        at = at[survivors(sig[at], sig[at + reach], p)] if len(at) else at
+        a.append(at)
+        b.append(at + reach)
+        reach += 1
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+
+
+class _Union(dict):
+    """Disjoint sets of numbers."""
+
+    def find(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self[x] = y
+        return x != y
+
+
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], type=pa.int64()), pa.array([max(x) for x in links], type=pa.int64())], names=["a", "b"])
+
+
+def _dealt(rows: DataFrame, slots: Column, p: NearDup) -> DataFrame:
+    """rows (grp, rep, ...) once for each pair of slots (i, j) of the group that they belong to."""
+    rows = rows.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("rep", F.lit(p.seed)), F.col("slots")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    return rows.withColumns({"i": F.least("slot", "other"), "j": F.greatest("slot", "other")})
+
+
+def _clusters(members: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame:
+    """(node, label): what classes of different components and one bucket may be linked to, by signatures alone."""
+    mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(F.col("band").alias("k"), "n")
+    rows = members.join(mixed, F.col("band") == F.col("k")).withColumnRenamed("band", "grp")
+    rows = _dealt(rows, F.ceil(F.col("n") / p.block).cast("int"), p).select("grp", "i", "j", "slot", "rep", "label")
+    rows = rows.join(sigs.select("rep", "sig"), "rep").select("grp", "i", "j", "slot", "rep", "label", "sig")
+
+    def forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        rep, seen = table.column(4).to_numpy(), _Union()
+        a, b = _close(table, p)
+        yield _pairs([(x, y) for x, y in zip(rep[a].tolist(), rep[b].tolist(), strict=True) if seen.join(x, y)])
+
+    edges = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_streamed(forest, 3), "a long, b long")
+    return components(edges)
+
+
+def _shared(ma: pa.Scalar, mb: pa.Scalar, p: NearDup) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    x, y = (np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in (ma, mb))
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small):
+        return False
+    place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[place] == small).sum())
+    return 100 * shared >= p.percent * (len(x) + len(y) - shared)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _verified_clusters(clusters: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
+    """Links, verified on full sets, that join different components within clusters."""
+    rows = clusters.select(F.col("node").alias("rep"), F.col("label").alias("grp")).join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")).join(sigs, "rep")
+    size = rows.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / p.block), F.ceil(F.sum("n_shingles") / p.block_shingles)).cast("int").alias("slots_")).withColumnRenamed("grp", "g")
+    rows = _dealt(rows.join(size, F.col("grp") == F.col("g")), F.col("slots_"), p).select("grp", "i", "j", "slot", "rep", "label", "sig")
+    rows = rows.join(sets, "rep").select("grp", "i", "j", "slot", "rep", "label", "sig", "members")
+
+    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        rep, label, members = table.column(4).to_numpy(), table.column(5).to_numpy(), table.column(7).combine_chunks()
+        seen, good = _Union(), []
+        for x, y in zip(*(z.tolist() for z in _close(table, p)), strict=True):
+            u, v = int(label[x]), int(label[y])
+            if seen.find(u) != seen.find(v) and _shared(members[x], members[y], p):
+                seen.join(u, v)
+                good.append((int(rep[x]), int(rep[y])))
+        yield _pairs(good)
+
+    return rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_streamed(links, 3), "a long, b long").distinct()
+
+
+def _sets(docs: DataFrame, ids: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
+    """(rep, members): the full set of each id, as sorted 64-bit hashes."""
+    # Texts are shuffled once at every size; a small side that happens to fit a broadcast would only make growth uneven.
+    texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(ids.hint("merge"), "rep", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = X.texts(batch.column(1))
             for lo, hi in X.steps(column):
                 found = [x.tobytes() for x in shingle_sets(column.slice(lo, hi - lo), p.shingle)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(found, type=pa.binary())], names=["rep", "members"])
 
-    held = texts.mapInArrow(sets, "rep long, members binary")
-    both = pairs.join(held.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(held.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b").select("a", "b", "ma", "mb")
+    return texts.mapInArrow(run, "rep long, members binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b").select("a", "b", "ma", "mb")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for ma, mb in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in (ma, mb))
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                place = np.minimum(np.searchsorted(large, small), max(len(large) - 1, 0))
-                shared = int((large[place] == small).sum()) if len(small) else 0
-                good.append(100 * shared >= p.percent * (len(x) + len(y) - shared) > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good, pa.bool_())), batch.column(1).filter(pa.array(good, pa.bool_()))], names=["a", "b"])
+            good = pa.array([_shared(x, y, p) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
     return both.mapInArrow(exact, "a long, b long").distinct()
 
@@ -248,20 +313,27 @@ def near_dups(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id", te
     classes = kept(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     named = sketches.join(classes, "digest").where("doc_id = rep")
     spots = named.select("rep", F.explode("bands").alias("band"))
-    shared = spots.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select(F.col("band").alias("k"), "lo")
-    members = kept(spots.join(shared, F.col("band") == F.col("k")).select("band", "rep", "lo").distinct(), "members")
+    shared = spots.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select(F.col("band").alias("k"))
+    members = kept(spots.join(shared, F.col("band") == F.col("k")).select("band", "rep").distinct(), "members")
     ids = members.select("rep").distinct()
-    sigs = kept(named.select("rep", "sig").join(ids, "rep", "left_semi").dropDuplicates(["rep"]), "sigs")
-
-    stars = members.where("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
-    passed = kept(_pass_signatures(stars, sigs, p), "passed")
-    first = kept(_verified(passed, docs, p, key, text), "links")
-    labels = kept(components(first), "labels")
-
-    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
-    rest = kept(_pass_blocks(labelled, sigs, p).join(passed, ["a", "b"], "left_anti"), "passed")
-    links = first.union(kept(_verified(rest, docs, p, key, text), "links"))
+    sigs = kept(named.select("rep", "n_shingles", "sig").join(ids.hint("merge"), "rep", "left_semi").dropDuplicates(["rep"]), "sigs")
+    sets = kept(_sets(docs, ids, p, key, text).dropDuplicates(["rep"]), "sets")
+
+    links = labels = None
+    for turn in range(p.turns):
+        now = members.withColumn("label", F.col("rep")) if labels is None else members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        order = F.col("rep") if not turn else F.xxhash64("rep", F.lit(turn))
+        leaders = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("rep", "label"), order).alias("leader")).where("lo <> hi").select(F.col("band").alias("k"), "leader")
+        pairs = now.join(leaders, F.col("band") == F.col("k")).where("label <> leader.label").select(F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
+        found = kept(_verified(_pass_signatures(pairs, sigs, p), sets, p), "links")
+        links = found if links is None else links.union(found)
+        labels = kept(components(links), "labels")
+
+    now = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    clusters = kept(_clusters(now, sigs, p), "clusters")
+    links = links.union(kept(_verified_clusters(clusters, labels, sigs, sets, p), "links"))
     whole = kept(components(links), "components").withColumnRenamed("node", "rep")
+    drop_kept(members, sigs, sets, clusters)
 
     named = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").join(whole, "rep", "left")
     component = F.when(F.col("digest").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "rep")).otherwise(F.col("doc_id"))
