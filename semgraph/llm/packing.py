@@ -10,6 +10,7 @@ tournament tree of the room left.  Groups are bounded and independent.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,24 +28,52 @@ from .wordids import WordIds
 WHOLE = 1 << 62
 
 
+#: What may follow a word as a piece of its own, and words it may follow: letters that no rule joins to it.
+_MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b not in b"'")
+_LETTERS = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> WordIds:
+    """Ids of words, A-Z lower-cased; a word of letters and the marks after it are encoded apart, each once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
 
-    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         flat: list[int] = []
         length: list[int] = []
-        for lo in range(0, len(words), 4096):
-            for one in tokenizer.encode_batch_fast([w.decode() for w in words[lo : lo + 4096]], add_special_tokens=False):
+        for lo in range(0, len(pieces), 4096):
+            for one in tokenizer.encode_batch_fast([w.decode() for w in pieces[lo : lo + 4096]], add_special_tokens=False):
                 ids = one.ids
                 flat += ids
                 length.append(len(ids))
         return np.array(flat, dtype=np.uint32), np.array(length, dtype=np.int64)
 
-    return WordIds(encode)
+    pieces = WordIds(encode, limit=600_000)
+
+    def split(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        pieces.rest()
+        parts: list[bytes] = []
+        counts: list[int] = []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if core and len(core) < len(word) and _LETTERS.fullmatch(core.decode()):
+                parts += (core, word[len(core) :])
+                counts.append(2)
+            else:
+                parts.append(word)
+                counts.append(1)
+        numbers = pieces.number(parts)
+        pieces.settle()
+        sizes = np.zeros(len(numbers) + 1, dtype=np.int64)
+        np.cumsum(pieces.length[numbers], out=sizes[1:])
+        ends = np.cumsum(np.array(counts))
+        return pieces.ids(numbers), sizes[ends] - sizes[ends - np.array(counts)]
+
+    return WordIds(split, limit=300_000)
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +116,7 @@ def _pieces(docs: DataFrame, key: str, text: str, path: str, end_id: int, capaci
         for batch in batches:
             column = X.texts(batch.column(1))
             for lo, hi in X.steps(column, 32 << 20):
-                numbers = [words.number(x.as_buffer().to_pybytes().split()) for x in column.slice(lo, hi - lo)]
+                numbers = [words.number(x.as_buffer().to_pybytes().lower().split()) for x in column.slice(lo, hi - lo)]
                 words.settle()
                 for first in range(0, len(numbers), 256):
                     out = [row for doc, x in zip(batch.column(0).slice(lo + first, 256).to_pylist(), numbers[first : first + 256], strict=False) for row in rows(doc, np.concatenate([words.ids(x), end]))]
@@ -103,8 +132,8 @@ def _pieces(docs: DataFrame, key: str, text: str, path: str, end_id: int, capaci
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, group: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
-    path: a tokenizer file whose tokenizer treats words between white space on
-    their own.  Every document ends with ``end_id``; a null or empty text is
+    path: a tokenizer file whose tokenizer lower-cases, and treats words between
+    white space, and letters and marks within them, on their own.  Every document ends with ``end_id``; a null or empty text is
     that id alone.  Each id lies in one piece, and a sequence's pieces follow
     each other without a gap.  Repeated rows are packed each by itself; a null
     id stays null; no documents give no pieces.
