@@ -1,5 +1,10 @@
 """All queries of the engine over the tables of a directory."""
 
+from __future__ import annotations
+
+from .plans import queries_catalog, queries_data, queries_graph, queries_sql  # noqa: F401  they register themselves
+from .registry import QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
