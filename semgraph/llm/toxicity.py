@@ -6,7 +6,7 @@ labelled text that names a group, the sentence is also read with the name
 swapped for each other one of its kind and with the name left out, and the
 squared change of the score is penalised.  As features are presences and the
 score is linear, those penalties sum to weighted squared differences of the
-terms' weights, so a neutral mention of a group moves the score little.
+terms' summed weights (word and beginnings), so a neutral mention of a group moves the score little.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textops as X
+from .tables import drop_kept, kept
 
 #: Lengths in bytes of the word beginnings that are features.
 PREFIXES = (4, 5, 6, 7, 8, 9, 10)
@@ -112,60 +113,76 @@ def known(column: pa.Array, model: ToxicityModel) -> tuple[np.ndarray, np.ndarra
     return _distinct(np.concatenate(rows), np.concatenate(places))
 
 
-def _hash_of(term: str) -> int:
-    return int(next(_features(pa.array([term], type=pa.large_string())))[1][0])
+def _keys_of(term: str) -> np.ndarray:
+    """The features that a text has from a term: the word and its beginnings."""
+    return np.concatenate([k for _, k in _features(pa.array([term], type=pa.large_string()))])
+
+
+def _screened(some: DataFrame, o: ToxicityFit, share: float) -> np.ndarray:
+    """The features whose share of toxic texts lies farthest from the whole's, in standard deviations, and those of identity terms."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, label = X.texts(batch.column(0)), batch.column(1).to_numpy() > 0
+            for lo, hi in X.steps(column):
+                row, keys = presences(column.slice(lo, hi - lo))
+                names, place = np.unique(keys, return_inverse=True)
+                n, t = np.bincount(place, minlength=len(names)), np.bincount(place, weights=label[lo:hi][row], minlength=len(names))
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n), pa.array(t.astype(np.int64))], names=["key", "n", "t"])
+
+    counts = some.mapInArrow(count, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where(F.col("n") >= o.min_rows)
+    apart = F.abs(F.col("t") - share * F.col("n")) / F.sqrt(share * (1 - share) * F.col("n"))
+    identity = np.concatenate([_keys_of(t) for terms in o.identity.values() for t in terms]).view(np.int64).tolist() if o.identity else []
+    best = counts.orderBy(apart.desc(), "key").limit(o.features).select("key").collect()
+    named = counts.where(F.col("key").isin(identity)).select("key").collect() if identity else []
+    return np.unique(np.array([r["key"] for r in [*best, *named]], dtype=np.int64).view(np.uint64))
 
 
 def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Fits on the rows of ``labelled`` (at most ``options.sample`` of them), collected as feature hashes."""
+    """Fits on the rows of ``labelled``, at most ``options.sample``; only the chosen features of each reach the driver."""
     o = options or ToxicityFit()
+    some = kept(labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("label")).limit(o.sample), "labelled")
+    total = some.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
+    if not total["n"] or total["t"] in (0, total["n"]):
+        drop_kept(some)
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.0 if not total["n"] else 4.0 if total["t"] else -4.0)
+    words = _screened(some, o, total["t"] / total["n"])
+    screen = ToxicityModel(words, np.ones(len(words)), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = X.texts(batch.column(0))
             for lo, hi in X.steps(column):
-                row, keys = presences(column.slice(lo, hi - lo))
-                parts = np.split(keys, np.searchsorted(row, np.arange(1, hi - lo)))
-                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in parts], type=pa.binary()), batch.column(1).slice(lo, hi - lo)], names=["keys", "label"])
-
-    got = labelled.where(F.col(label).isNotNull()).select(text, F.col(label).cast("int").alias("label")).limit(o.sample).mapInArrow(run, "keys binary, label int").toArrow()
-    pairs = sorted(zip(got.column("keys").to_pylist(), got.column("label").to_pylist(), strict=True))
-    y = np.array([float(b > 0) for _, b in pairs])
-    rows = [np.frombuffer(k, dtype=np.uint64) for k, _ in pairs]
-    none = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.0)
-    if not len(y) or y.min() == y.max():
-        return none if not len(y) else ToxicityModel(none.words, none.weights, 4.0 if y[0] else -4.0)
-    keys = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    names, count = np.unique(keys, return_counts=True)
-    names, count = names[count >= o.min_rows], count[count >= o.min_rows]
-    marked = keys[y[row] > 0]
-    place = np.searchsorted(names, marked)
-    place[place == len(names)] = 0
-    toxic = np.bincount(place[names[place] == marked], minlength=len(names)) if len(names) else count
-    # How far each share lies from what chance gives, in standard deviations.
-    share = y.mean()
-    apart = np.abs(toxic - share * count) / np.sqrt(share * (1 - share) * count)
-    identity = np.isin(names, np.array([_hash_of(t) for terms in o.identity.values() for t in terms], dtype=np.uint64))
-    words = np.sort(names[np.union1d(np.argsort(-apart, kind="stable")[: o.features], np.flatnonzero(identity)).astype(np.int64)])
-    place = np.searchsorted(words, keys)
-    place[place == len(words)] = 0
-    inside = words[place] == keys if len(words) else np.zeros(len(keys), dtype=bool)
-    row, place = row[inside], place[inside]
+                row, place = known(column.slice(lo, hi - lo), screen) if len(words) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                parts = np.split(place.astype(np.int32), np.searchsorted(row, np.arange(1, hi - lo)))
+                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in parts], type=pa.binary()), batch.column(1).slice(lo, hi - lo)], names=["places", "label"])
+
+    pairs = sorted((bytes(r["places"]), r["label"]) for r in some.mapInArrow(run, "places binary, label int").collect())
+    drop_kept(some)
+    y = np.array([float(b) for _, b in pairs])
+    rows = [np.frombuffer(k, dtype=np.int32) for k, _ in pairs]
+    row, place = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
 
     # Swaps: a text that holds term a is read with each b of a's kind, and without a.
     at = {int(w): i for i, w in enumerate(words)}
     texts_with = np.bincount(place, minlength=len(words))
+    has: list[np.ndarray] = []
     a, b, times = [], [], []
     for terms in o.identity.values():
-        index = [at.get(_hash_of(t), -1) for t in terms]
-        for i in index:
-            if i >= 0:
-                others = [j for j in index if j != i]
-                a += [i] * (len(others) + 1)
-                b += [*others, -1]
-                times += [texts_with[i] / len(y)] * (len(others) + 1)
+        own = []
+        for term in terms:
+            keys_ = _keys_of(term).tolist()
+            if keys_[0] in at:
+                row_ = np.zeros(len(words))
+                row_[[at[k] for k in keys_ if k in at]] = 1
+                own.append((len(has), texts_with[at[keys_[0]]] / len(y)))
+                has.append(row_)
+        for i, n in own:
+            a += [i] * len(own)
+            b += [j for j, _ in own if j != i] + [-1]
+            times += [n] * len(own)
     a, b, times = np.array(a, np.int64), np.array(b, np.int64), np.array(times)
+    term_rows = np.stack(has) if has else np.zeros((0, len(words)))
 
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w, bias = np.zeros(len(words)), float(np.log(y.mean() / (1 - y.mean())))
@@ -175,9 +192,10 @@ def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "te
         off = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
         grad = np.bincount(place, weights=off[row], minlength=len(words))
         if len(a):
-            apart = 2 * o.change * times * (w[a] - np.where(b >= 0, w[b], 0.0))
-            grad += np.bincount(a, weights=apart, minlength=len(words))
-            grad -= np.bincount(b[b >= 0], weights=apart[b >= 0], minlength=len(words))
+            sums = np.append(term_rows @ w, 0.0)  # the last stands for the term left out
+            apart = 2 * o.change * times * (sums[a] - sums[b])
+            pull = np.bincount(a, weights=apart, minlength=len(has)) - np.bincount(b[b >= 0], weights=apart[b >= 0], minlength=len(has))
+            grad += pull @ term_rows
         seen += grad**2
         step = o.rate / np.sqrt(seen)
         w -= step * grad
