@@ -50,7 +50,7 @@ class NearDup:
     rows: int = 5
     batch: int = 32
     miss: float = 1e-7
-    turns: int = 3
+    turns: int = 2
     block: int = 256
     block_shingles: int = 1_000_000
     seed: int = 11
