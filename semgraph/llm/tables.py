@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
