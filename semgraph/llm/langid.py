@@ -1,14 +1,15 @@
 """Language identification by compression.
 
 For each language a zstandard raw-content dictionary is made of a bounded
-sample of its training texts.  A text is cut into chunks that are compressed
-with every dictionary; the language whose dictionary gives the fewest bytes in
+sample of its training texts.  A text's letters are cut into chunks that are
+compressed with every dictionary; the language whose dictionary gives the fewest bytes in
 all is chosen, and the choice is rejected where the next one is nearly as small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -20,17 +21,23 @@ from pyspark.sql import types as T
 
 from . import textops as X
 
-_LETTER = regex.compile(r"\p{L}")
+_SENTENCE = regex.compile(r"[.!?\n]+")
+_REST = regex.compile(r"\P{L}+")
+
+
+def letters(text: str) -> str:
+    """The text in lower case with one space for everything between its letters."""
+    return _REST.sub(" ", text.lower()).strip()
 
 
 @dataclass(frozen=True)
 class LangFit:
     """texts, chars: of each language at most so many texts with so many characters each make its dictionary."""
 
-    texts: int = 200
+    texts: int = 400
     chars: int = 500
-    level: int = 3
-    chunk: int = 2048
+    level: int = 5
+    chunk: int = 4096
     margin: float = 0.01
 
 
@@ -42,10 +49,38 @@ def fit(docs: DataFrame, options: LangFit | None = None, text: str = "text", lan
     middle = F.expr(f"substring(text, 1 + cast(greatest(length(text) - {o.chars}, 0) / 2 as int), {o.chars})")
     # The hash goes first alone, so that whole texts are neither sorted nor sent.
     some = usable.select("lang", "h", middle.alias("text")).withColumn("n", F.row_number().over(first)).where(F.col("n") <= o.texts)
-    found: dict[str, list[str]] = {}
+    found: dict[str, list[bytes]] = {}
     for row in sorted(some.select("lang", "n", "text").collect()):
-        found.setdefault(row["lang"], []).append(row["text"])
-    return {name: "\n".join(parts).lower().encode() for name, parts in sorted(found.items())}
+        found.setdefault(row["lang"], []).extend(filter(None, (letters(x).encode() for x in _SENTENCE.split(row["text"]))))
+    # Passages that go from text to text would mark their copies in another language's texts.
+    often = Counter(x for parts in found.values() for x in parts)
+    found = {name: [x for x in parts if often[x] == 1] or parts for name, parts in found.items()}
+    return {name: b"\n".join(parts) for name, parts in sorted(agreeing(found, o).items())}
+
+
+def presses(dictionaries: dict[str, bytes], level: int) -> dict[str, Callable[[bytes], bytes]]:
+    """A compressor for each language."""
+    out = {}
+    for name, content in sorted(dictionaries.items()):
+        data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(level=level)
+        out[name] = zstandard.ZstdCompressor(dict_data=data, write_content_size=False).compress
+    return out
+
+
+def agreeing(found: dict[str, list[bytes]], o: LangFit) -> dict[str, list[bytes]]:
+    """The sample sentences that the other half of the sample takes for their language.
+
+    Those with a wrong label, or quoted from another language, would make their
+    copies look like that language.  A language of which nothing would be left
+    keeps all its sentences.
+    """
+    halves = [presses({name: b"\n".join(parts[h::2]) for name, parts in found.items() if parts[h::2]}, o.level) for h in (0, 1)]
+    out = {}
+    for name, parts in found.items():
+        good = [t for i, t in enumerate(parts) if name in (other := halves[1 - i % 2]) and min((len(f(t)), n != name) for n, f in other.items())[1] is False]
+        out[name] = good or parts
+    return out
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], options: LangFit | None = None, text: str = "text") -> DataFrame:
@@ -63,16 +98,12 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], options: LangFit |
     names = sorted(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = []
-        for name in names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=o.level)
-            press.append(zstandard.ZstdCompressor(dict_data=content, write_content_size=False).compress)
+        press = list(presses(dictionaries, o.level).values())
 
         def one(value: str) -> tuple[str, float, bool]:
-            if not names or not _LETTER.search(value):
+            data = letters(value).encode()
+            if not names or not data:
                 return "und", 0.0, True
-            data = value.lower().encode()
             chunks = [data[i : i + o.chunk] for i in range(0, len(data), o.chunk)]
             sizes = sorted((sum(len(f(c)) for c in chunks), name) for f, name in zip(press, names, strict=True))
             if len(sizes) == 1:
