@@ -41,7 +41,7 @@ REFERENCES = T.StructType(
 
 RUN_SUMMARY = (
     "run_id string, job_name string, contract_version string, catalog string, schemas array<string>, started_at timestamp, ended_at timestamp, status string, error string, "
-    "row_counts map<string,bigint>, neo_counts map<string,bigint>, embedding_model string, embedding_flags map<string,boolean>, embedding_attempts map<string,bigint>, "
+    "row_counts map<string,bigint>, graph_counts map<string,bigint>, embedding_model string, embedding_flags map<string,boolean>, embedding_attempts map<string,bigint>, "
     "embedding_successes map<string,bigint>, embedding_failure_rate map<string,double>, embedding_failure_rate_all double, embedding_ledger_hits map<string,bigint>, "
     "verify_ok boolean, violations array<string>"
 )
