@@ -52,7 +52,7 @@ def _word_ids(path: str) -> WordIds:
                 length.append(len(ids))
         return np.array(flat, dtype=np.uint32), np.array(length, dtype=np.int64)
 
-    pieces = WordIds(encode, limit=600_000)
+    pieces = WordIds(encode, limit=400_000)
 
     def split(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         pieces.rest()
@@ -73,7 +73,7 @@ def _word_ids(path: str) -> WordIds:
         ends = np.cumsum(np.array(counts))
         return pieces.ids(numbers), sizes[ends] - sizes[ends - np.array(counts)]
 
-    return WordIds(split, limit=300_000)
+    return WordIds(split, limit=200_000)
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
