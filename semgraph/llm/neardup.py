@@ -219,18 +219,31 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], type=pa.int64()), pa.array([max(x) for x in links], type=pa.int64())], names=["a", "b"])
 
 
-def _dealt(rows: DataFrame, slots: Column, p: NearDup) -> DataFrame:
-    """rows (grp, rep, ...) once for each pair of slots (i, j) of the group that they belong to."""
-    rows = rows.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("rep", F.lit(p.seed)), F.col("slots")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+def _dealt(rows: DataFrame, weight: Column, p: NearDup) -> DataFrame:
+    """rows (grp, rep, label, ...) of groups with several labels, once for each pair of slots (i, j) that they take part in.
+
+    The members of a group's largest label lie in slots of their own, below 0.
+    They meet the other members but not each other, so a large settled group
+    costs what its few strangers make necessary.
+    """
+    by_label = rows.groupBy("grp", "label").agg(F.count("*").alias("n"), F.sum(weight).alias("w"))
+    whole = by_label.groupBy("grp").agg(F.max(F.struct("n", "label", "w")).alias("m"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("labels")).where("labels > 1")
+
+    def slots(n: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(n / p.block), F.ceil(w / p.block_shingles)).cast("int")
+
+    sizes = whole.select(F.col("grp").alias("g"), F.col("m.label").alias("main"), slots(F.col("m.n"), F.col("m.w")).alias("a"), slots(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w")).alias("b"))
+    h = F.xxhash64("rep", F.lit(p.seed))
+    settled = F.col("label") == F.col("main")
+    rows = rows.join(sizes, F.col("grp") == F.col("g")).withColumn("slot", F.when(settled, -1 - F.pmod(h, F.col("a"))).otherwise(F.pmod(h, F.col("b"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("b") - 1)
+    rows = rows.withColumn("other", F.explode(F.when(settled, others).otherwise(F.concat(others, F.sequence(-F.col("a"), F.lit(-1))))))
     return rows.withColumns({"i": F.least("slot", "other"), "j": F.greatest("slot", "other")})
 
 
 def _clusters(members: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame:
     """(node, label): what classes of different components and one bucket may be linked to, by signatures alone."""
-    mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(F.col("band").alias("k"), "n")
-    rows = members.join(mixed, F.col("band") == F.col("k")).withColumnRenamed("band", "grp")
-    rows = _dealt(rows, F.ceil(F.col("n") / p.block).cast("int"), p).select("grp", "i", "j", "slot", "rep", "label")
+    rows = _dealt(members.withColumnRenamed("band", "grp"), F.lit(0), p).select("grp", "i", "j", "slot", "rep", "label")
     rows = rows.join(sigs.select("rep", "sig"), "rep").select("grp", "i", "j", "slot", "rep", "label", "sig")
 
     def forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -256,8 +269,7 @@ def _shared(ma: pa.Scalar, mb: pa.Scalar, p: NearDup) -> bool:
 def _verified_clusters(clusters: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
     """Links, verified on full sets, that join different components within clusters."""
     rows = clusters.select(F.col("node").alias("rep"), F.col("label").alias("grp")).join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")).join(sigs, "rep")
-    size = rows.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / p.block), F.ceil(F.sum("n_shingles") / p.block_shingles)).cast("int").alias("slots_")).withColumnRenamed("grp", "g")
-    rows = _dealt(rows.join(size, F.col("grp") == F.col("g")), F.col("slots_"), p).select("grp", "i", "j", "slot", "rep", "label", "sig")
+    rows = _dealt(rows, F.col("n_shingles"), p).select("grp", "i", "j", "slot", "rep", "label", "sig")
     rows = rows.join(sets, "rep").select("grp", "i", "j", "slot", "rep", "label", "sig", "members")
 
     def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
