@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from semgraph.llm import toxicity
 from semgraph.llm.linededup import line_dedup
-from semgraph.llm.neardup import near_dups
+from semgraph.llm.neardup import NearDup, near_dups
 from semgraph.llm.packing import pack
 from semgraph.llm.quality import quality
 from semgraph.llm.tables import kept, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: The stage takes pairs at a similarity of 0.80 or more as near copies; the operator alone takes 0.85.
+NEAR = NearDup(percent=80)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    verdicts = near_dups(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
+    verdicts = near_dups(docs.select("doc_id", "text"), NEAR).where("not kept").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(verdicts, "doc_id", "left_anti").select(*COLUMNS)
 
 

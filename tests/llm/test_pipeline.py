@@ -34,6 +34,20 @@ def test_stages_take_effect(spark):
     assert seen == ["toxicity", "quality", "line_dedup", "near_dedup", "packing"]
 
 
+def test_near_dedup_takes_copies_from_four_fifths(spark):
+    words = [f"w{i}" for i in range(104)]
+    changed = lambda *spots: " ".join("z" if i in spots else w for i, w in enumerate(words))
+    # Of 100 shingles each: 90 / 110 = 0.818 shared, and 85 / 115 = 0.739.
+    texts = [changed(), changed(20, 60), changed(20, 40, 60)]
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(100)}
+    first = shingles(texts[0])
+    assert [round(len(first & shingles(t)) / len(first | shingles(t)), 3) for t in texts] == [1.0, 0.818, 0.739]
+    for other, stays in ((1, False), (2, True)):
+        docs = spark.createDataFrame([(1, texts[0], "en", "s", 1), (2, texts[other], "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+        got = {r["doc_id"] for r in corpus_pipeline.drop_near_dups(spark, docs, SF).collect()}
+        assert got == ({1, 2} if stays else {1})
+
+
 def test_run_is_all_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
