@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import question_tokens
@@ -213,8 +213,6 @@ RANKS = f"""WITH r AS (SELECT q.vec_id AS question_id, i.vec_id AS id, row_numbe
 
 def _ranks(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
     q, items = _vectors(spark, sf_dir)
-    from pyspark.sql import Window
-
     asked = q.select("question_id").join(items.select("id", "label"))
     by_label = asked.withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy("label", "id"))).where(F.col("rank") <= k)
     return retrieve.cosine_topk(q, items, k), by_label
@@ -229,3 +227,70 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retriever_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector, label = _ranks(spark, sf_dir, 4)
     return retrieve.strategy_matrix({"vector": vector, "label": label}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "label": F.coalesce("label", F.lit(0))})
+
+
+# The whole job of the searches above, whose SQL binds them to the first few ids:
+# every vector whose id 100 divides asks all other vectors.
+
+ASKS = "q.vec_id % 100 = 0 AND i.vec_id <> q.vec_id"
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    return v.where(F.col("id") % 100 == 0).select(F.col("id").alias("question_id"), "vector", "label"), v
+
+
+def _others(spark: SparkSession, sf_dir: str, k: int, within: list[str] | None = None) -> DataFrame:
+    """The k nearest of all vectors but the asking one itself: those of the k + 1 nearest that are left, or the first k."""
+    q, items = _asked(spark, sf_dir)
+    near = retrieve.cosine_topk(q, items, k + 1, within).where(F.col("question_id") != F.col("id"))
+    best = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
+    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+@query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE {ASKS}) WHERE rank <= 5")
+def cosine_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _others(spark, sf_dir, 5)
+
+
+@query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE {ASKS} AND q.label = i.label) WHERE rank <= 3")
+def vector_prefilter_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _others(spark, sf_dir, 3, within=["label"])
+
+
+@query(f"SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score FROM embeddings q, embeddings i WHERE {ASKS}")
+def cosine_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, items = _asked(spark, sf_dir)
+    wanted = q.select("question_id").join(items.select("id"), F.col("question_id") != F.col("id"))
+    return retrieve.cosine_candidates(q, wanted, items)
+
+
+@query(f"""WITH s AS (SELECT q.vec_id AS question_id, 's' || i.label AS "schema", {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS rn, i.vec_id % 2 AS side FROM embeddings q, embeddings i WHERE {ASKS}),
+p AS (SELECT question_id, "schema", side, sum(score) AS s FROM s WHERE rn <= 12 GROUP BY ALL), n AS (SELECT question_id, "schema", s / sum(s) OVER (PARTITION BY question_id, side) AS s FROM p),
+t AS (SELECT question_id, "schema", sum(s) AS s FROM n GROUP BY ALL), h AS (SELECT question_id, "schema", round(s / sum(s) OVER (PARTITION BY question_id), 6) AS share FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY share DESC, "schema")::INTEGER AS rank FROM h) SELECT * FROM r WHERE rank = 1 OR (rank = 2 AND share >= 0.2)""")
+def select_schema_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = _others(spark, sf_dir, 12).join(_asked(spark, sf_dir)[1].select("id", "label"), "id")
+    named = top.select("question_id", "score", (F.col("id") % 2).alias("side"), F.concat(F.lit("c.s"), F.col("label").cast("string"), F.lit(".t"), F.col("id").cast("string")).alias("id"))
+    return retrieve.select_schemas(named.where("side = 0"), named.where("side = 1"))
+
+
+WHOLE_RANKS = f"""WITH r AS (SELECT q.vec_id AS question_id, i.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS a, row_number() OVER (PARTITION BY q.vec_id ORDER BY i.label, i.vec_id) AS b FROM embeddings q, embeddings i WHERE {ASKS})"""
+
+
+def _whole_ranks(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
+    q, items = _asked(spark, sf_dir)
+    asked = q.select("question_id").join(items.select("id", "label"), F.col("question_id") != F.col("id"))
+    by_label = asked.withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy("label", "id"))).where(F.col("rank") <= k)
+    return _others(spark, sf_dir, k), by_label
+
+
+@query(f"{WHOLE_RANKS}, u AS (SELECT question_id, id, a AS rank FROM r WHERE a <= 8 UNION ALL SELECT question_id, id, b FROM r WHERE b <= 8), f AS (SELECT question_id, id, round(sum(1.0e0 / (60 + rank)), 8) AS score FROM u GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM f QUALIFY rank <= 6")
+def hybrid_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.hybrid(*_whole_ranks(spark, sf_dir, 8), 6)
+
+
+@query(f"{WHOLE_RANKS}, v AS (SELECT id, min(a) AS a FROM r WHERE a <= 4 GROUP BY 1), l AS (SELECT id, min(b) AS b FROM r WHERE b <= 4 GROUP BY 1) SELECT id, coalesce(a, 0)::INTEGER AS vector, coalesce(b, 0)::INTEGER AS label, least(a, b)::INTEGER AS best_rank, (a IS NOT NULL)::BIGINT + (b IS NOT NULL)::BIGINT AS coverage FROM v FULL JOIN l USING (id)")
+def retriever_matrix_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector, label = _whole_ranks(spark, sf_dir, 4)
+    return retrieve.strategy_matrix({"vector": vector, "label": label}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "label": F.coalesce("label", F.lit(0))})

@@ -226,6 +226,17 @@ def test_cosine_of_itself(spark):
     assert all(r["id"] == r["question_id"] and r["score"] >= 0.99 for r in got)
 
 
+def test_vector_searches_ask_and_answer_over_all_ids(spark):
+    ids = {r["vec_id"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
+    asking = {i for i in ids if i % 100 == 0}
+    got = queries()["cosine_topk_whole"](spark, SF).collect()
+    assert {r["question_id"] for r in got} == asking and len(got) == 5 * len(asking)
+    pairs = {(r["question_id"], r["id"]) for r in queries()["cosine_candidates_whole"](spark, SF).collect()}
+    assert pairs == {(q, i) for q in asking for i in ids if q != i}
+    for name in ("vector_prefilter_topk_whole", "select_schema_whole", "hybrid_topk_whole"):
+        assert {r["question_id"] for r in queries()[name](spark, SF).select("question_id").collect()} == asking
+
+
 def test_settings_are_checked():
     for wrong in ({"fk_threshold": 2}, {"sample_limit": 0}, {"catalogs": ()}, {"fk_max_columns": -1}):
         with pytest.raises(ValueError):
