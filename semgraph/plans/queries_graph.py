@@ -230,7 +230,7 @@ def retriever_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The whole job of the searches above, whose SQL binds them to the first few ids:
-# every vector whose id 100 divides asks all other vectors.
+# every vector whose id 100 divides asks all other vectors, every benchmark passage all documents.
 
 ASKS = "q.vec_id % 100 = 0 AND i.vec_id <> q.vec_id"
 
@@ -294,3 +294,12 @@ def hybrid_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retriever_matrix_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector, label = _whole_ranks(spark, sf_dir, 4)
     return retrieve.strategy_matrix({"vector": vector, "label": label}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "label": F.coalesce("label", F.lit(0))})
+
+
+WHOLE_FULLTEXT = FULLTEXT.replace(" FROM benchmark WHERE item_id < 10)", " FROM benchmark)")
+
+
+@query(f"WITH {WHOLE_FULLTEXT} SELECT * FROM ftr WHERE rank <= 5")
+def fulltext_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
+    return retrieve.fulltext_topk(asked, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), 5)

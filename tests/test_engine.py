@@ -237,6 +237,12 @@ def test_vector_searches_ask_and_answer_over_all_ids(spark):
         assert {r["question_id"] for r in queries()[name](spark, SF).select("question_id").collect()} == asking
 
 
+def test_every_benchmark_passage_is_searched(spark):
+    passages = {r["item_id"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id").collect()}
+    assert len(passages) > 10
+    assert {r["question_id"] for r in queries()["fulltext_topk_whole"](spark, SF).select("question_id").collect()} == passages
+
+
 def test_settings_are_checked():
     for wrong in ({"fk_threshold": 2}, {"sample_limit": 0}, {"catalogs": ()}, {"fk_max_columns": -1}):
         with pytest.raises(ValueError):
