@@ -8,11 +8,15 @@
    distinct words of blocks are shuffled.
 3. The hidden states emit *symbols*: the most frequent words, and for all other
    words one of a fixed number of classes made from their first and last two
-   characters; a word follows from its class with its discounted share of the
-   class's training tokens, and an unknown word with what the discount leaves.
-   The states' table therefore has a fixed size, whatever the vocabulary's.
-4. Baum-Welch: every task sums expected counts over its training texts (cut
-   into segments for the sums), Spark adds them up by cell, the driver divides.
+   characters.  Baum-Welch goes over symbols: every task sums expected counts
+   over its training texts (cut into segments for the sums), Spark adds them up
+   by cell, the driver divides.
+4. With the last model every task sums the expected counts of its own words by
+   state, and Spark adds them up by word: a table of all training words.  It is
+   joined back to the blocks' words as the counts are, so in each state a word
+   follows from its class by what that state has learned of it, drawn towards
+   the class's unigram shares where it was seen seldom; an unknown word follows
+   with what the discount leaves.
 5. A scaled forward recursion over each whole text gives its exact likelihood.
 """
 
@@ -33,7 +37,7 @@ from .tables import drop_kept, kept
 
 @dataclass(frozen=True)
 class Hmm:
-    """states; top: words with a symbol of their own; classes: of the others; rounds of Baum-Welch; block: tokens numbered together."""
+    """states; top: words with a symbol of their own; classes: of the others; rounds of Baum-Welch; block: tokens numbered together; prior: tokens that a word's unigram share weighs against its own counts by state."""
 
     states: int = 8
     top: int = 4096
@@ -43,6 +47,7 @@ class Hmm:
     seeds: int = 192
     block: int = 3_000_000
     seed: int = 3
+    prior: float = 4.0
 
     @property
     def end(self) -> int:
@@ -142,6 +147,42 @@ def _seed_model(symbols: DataFrame, counts: np.ndarray, o: Hmm) -> tuple[np.ndar
     return emit / emit.sum(axis=0), move, even, even
 
 
+def _posteriors(obs: np.ndarray, live: np.ndarray, start: np.ndarray, table: np.ndarray, move: np.ndarray, moved: np.ndarray | None = None) -> np.ndarray:
+    """Chances of the states (step, row, state) of rows of symbols; expected moves to each state are added to ``moved``."""
+    n, steps = obs.shape
+    states = len(move)
+    ahead, scale = np.empty((steps, n, states)), np.empty((steps, n))
+    now = start * table[obs[:, 0]]
+    for t in range(steps):
+        if t:
+            now = (ahead[t - 1] @ move) * table[obs[:, t]]
+        scale[t] = np.maximum(now.sum(axis=1), 1e-300)
+        ahead[t] = now / scale[t][:, None]
+    behind = np.ones((n, states))
+    for t in range(steps - 1, -1, -1):
+        gamma = ahead[t] * behind
+        gamma *= (live[:, t] / np.maximum(gamma.sum(axis=1), 1e-300))[:, None]
+        ahead[t] = gamma
+        if t:
+            back = behind * table[obs[:, t]] / scale[t][:, None]
+            if moved is not None:
+                moved += (move * ((ahead[t - 1] * live[:, t, None]).T @ back)).T
+            behind = np.where(live[:, t, None] > 0, back @ move.T, 1.0)
+    return ahead
+
+
+def _segments(parts: list[np.ndarray], opens: list[bool], padding: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, live, opens) of at most 1024 segments of like length, padded."""
+    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+    for lo in range(0, len(order), 1024):
+        some = order[lo : lo + 1024]
+        size = np.array([len(parts[i]) for i in some])
+        rows = np.full((len(some), size[-1]), padding, dtype=np.int64)
+        live = (np.arange(size[-1]) < size[:, None]).astype(float)
+        rows[live > 0] = np.concatenate([parts[i] for i in some])
+        yield rows, live, np.array([opens[i] for i in some])
+
+
 def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
     """Expected counts over all training texts: a row for each symbol, then moves to each state, first states, and states of segments."""
     emit, move, first, later = model
@@ -152,23 +193,7 @@ def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
         table = np.vstack([emit, np.ones(o.states)])  # the last symbol stands for padding
 
         def learn(obs: np.ndarray, live: np.ndarray, start: np.ndarray, opens: np.ndarray) -> None:
-            n, steps = obs.shape
-            ahead, scale = np.empty((steps, n, o.states)), np.empty((steps, n))
-            now = start * table[obs[:, 0]]
-            for t in range(steps):
-                if t:
-                    now = (ahead[t - 1] @ move) * table[obs[:, t]]
-                scale[t] = np.maximum(now.sum(axis=1), 1e-300)
-                ahead[t] = now / scale[t][:, None]
-            behind = np.ones((n, o.states))
-            for t in range(steps - 1, -1, -1):
-                gamma = ahead[t] * behind
-                gamma *= (live[:, t] / np.maximum(gamma.sum(axis=1), 1e-300))[:, None]
-                ahead[t] = gamma
-                if t:
-                    back = behind * table[obs[:, t]] / scale[t][:, None]
-                    total[o.symbols : o.symbols + o.states] += (move * ((ahead[t - 1] * live[:, t, None]).T @ back)).T
-                    behind = np.where(live[:, t, None] > 0, back @ move.T, 1.0)
+            ahead = _posteriors(obs, live, start, table, move, total[o.symbols : o.symbols + o.states])
             flat, gammas = obs.T.ravel(), ahead.reshape(-1, o.states)
             for k in range(o.states):
                 total[: o.symbols, k] += np.bincount(flat, weights=gammas[:, k], minlength=o.symbols + 1)[: o.symbols]
@@ -182,14 +207,7 @@ def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
                 for lo in range(0, len(seq), o.segment):
                     parts.append(seq[lo : lo + o.segment])
                     opens.append(lo == 0)
-            order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-            for lo in range(0, len(order), 1024):
-                some = order[lo : lo + 1024]
-                size = np.array([len(parts[i]) for i in some])
-                obs = np.full((len(some), size[-1]), o.symbols, dtype=np.int64)
-                live = (np.arange(size[-1]) < size[:, None]).astype(float)
-                obs[live > 0] = np.concatenate([parts[i] for i in some])
-                begin = np.array([opens[i] for i in some])
+            for obs, live, begin in _segments(parts, opens, o.symbols):
                 learn(obs, live, np.where(begin[:, None], first, later), begin)
         i, k = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[i, k])], names=["i", "k", "v"])
@@ -209,6 +227,59 @@ def _maximise(sums: np.ndarray, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray,
     return emit / emit.sum(axis=0), move / move.sum(axis=1)[:, None], first / first.sum(), later / later.sum()
 
 
+def _rows(batch: pa.RecordBatch, place: dict[bytes, int]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(words, their counts, their symbols, training texts as numbers) of each block; ``place``: words with symbols of their own."""
+    for row in range(batch.num_rows):
+        words, counts, symbol = (batch.column(c)[row].values for c in ("words", "counts", "symbols"))
+        own = np.fromiter((place.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+        seq = np.frombuffer(batch.column("seq")[row].as_buffer(), dtype=np.int32)
+        texts = np.split(seq, np.cumsum(batch.column("sizes")[row].values.to_numpy())[:-1])
+        yield words, counts.to_numpy(), np.where(own >= 0, own, symbol.to_numpy()), [t for t, train in zip(texts, batch.column("trains")[row].as_py(), strict=True) if train]
+
+
+def _training_symbols(blocks: DataFrame, place: dict[bytes, int], o: Hmm) -> DataFrame:
+    """(symbols): each training text and its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ending = np.array([o.end], dtype=np.uint16).tobytes()
+        for batch in batches:
+            for _, _, symbol, texts in _rows(batch, place):
+                marks = symbol.astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([pa.array([marks[t].tobytes() + ending for t in texts], type=pa.binary())], names=["symbols"])
+
+    return blocks.mapInArrow(run, "symbols binary")
+
+
+def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hmm) -> DataFrame:
+    """(word, c, g0, g1, ...): of each training word, its count and expected counts by state; 0 by state for words with symbols of their own, whose counts the model holds."""
+    emit, move, first, later = model
+    states = [f"g{k}" for k in range(o.states)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.vstack([emit, np.ones(o.states)])
+        for batch in batches:
+            for words, counts, symbol, texts in _rows(batch, place):
+                n = len(words)  # its number stands for the end, the next one for padding
+                symbols, total = np.r_[symbol, o.end, o.symbols], np.zeros((n, o.states))
+                parts, opens = [], []
+                for text in texts:
+                    seq = np.r_[text, n]
+                    parts += [seq[lo : lo + o.segment] for lo in range(0, len(seq), o.segment)]
+                    opens += [lo == 0 for lo in range(0, len(seq), o.segment)]
+                for rows, live, begin in _segments(parts, opens, n + 1):
+                    gammas = _posteriors(symbols[rows], live, np.where(begin[:, None], first, later), table, move).reshape(-1, o.states)
+                    seen, at = np.unique(rows.T.ravel(), return_inverse=True)
+                    inner = seen < n
+                    for k in range(o.states):
+                        total[seen[inner], k] += np.bincount(at, weights=gammas[:, k], minlength=len(seen))[inner]
+                total[symbol < o.top] = 0
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64)), *(pa.array(total[at, k].astype(np.float32)) for k in range(o.states))], names=["word", "n", *states])
+
+    parts = blocks.mapInArrow(run, "word binary, n long, " + ", ".join(f"{g} float" for g in states))
+    return parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(g).cast("float").alias(g) for g in states))
+
+
 def log_likelihoods(sequences: list[np.ndarray], model: tuple) -> np.ndarray:
     """log10 of the probability of each whole sequence, by a scaled forward recursion; a sequence holds one symbol at least."""
     emit, move, first, _ = model
@@ -228,6 +299,18 @@ def log_likelihoods(sequences: list[np.ndarray], model: tuple) -> np.ndarray:
     return out
 
 
+def word_shares(c: np.ndarray, symbol: np.ndarray, by_state: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, cut: float, of_class: np.ndarray, whole_class: np.ndarray, o: Hmm) -> np.ndarray:
+    """Of words by count, symbol and expected counts by state: the chance in each state that the symbol is this word; the known words of a class and the unknown one add up to 1."""
+    mass = np.maximum(tokens[symbol], 1)
+    unknown = np.where(tokens[symbol] > 0, cut * kinds[symbol] / mass, 1.0)
+    usual = (c - cut) / np.maximum(tokens[symbol] - cut * kinds[symbol], 1e-9)
+    weight = (c / (c + o.prior))[:, None]
+    known = (weight * by_state + (1 - weight) * usual[:, None] * of_class[symbol]) / whole_class[symbol]
+    shares = np.where(c[:, None] > 0, (1 - unknown[:, None]) * known, unknown[:, None])
+    shares[symbol < o.top] = 1.0
+    return shares
+
+
 def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -262,48 +345,54 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
     whole, distinct = int(tokens.sum()), int(kinds.sum()) + (trains > 0)
     unit = np.log10(whole + 0.5 * (distinct + 1))
 
-    known = with_symbol(spots.select("block", "at", "word").join(counts, "word", "left")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inside double, symbols binary"
+    place = {w: i for i, w in enumerate(tops)}
+    marked = blocks.select("seq", "sizes", "trains", "words", "counts", F.transform("words", lambda w: _symbol(w, o)).alias("symbols"))
+    learn = kept(_training_symbols(marked, place, o), "symbols")
+    model = _seed_model(learn, tokens, o)
+    for _ in range(o.rounds if trains else 0):
+        model = _maximise(_expect(learn, model, o), tokens, o)
+    drop_kept(learn, counts)
+
+    states = [f"g{k}" for k in range(o.states)]
+    learned = kept(_word_states(marked, place, model, o), "words")
+    weight = F.col("c") / (F.col("c") + o.prior)
+    found = with_symbol(learned).where(F.col("symbol") >= o.top).groupBy("symbol").agg(*(F.sum(g).alias(g) for g in states), *(F.sum(weight * F.col(g)).alias(f"w{g}") for g in states), F.sum((1 - weight) * (F.col("c") - cut)).alias("rest")).collect()
+    # Of each class: expected counts by state, and what its words' shares add up to before they are divided by it.
+    of_class, whole_class = np.zeros((o.symbols, o.states)), np.ones((o.symbols, o.states))
+    spare = np.maximum(tokens - cut * kinds, 1e-9)  # of a class's tokens, those left by the discount
+    for r in found:
+        s = r["symbol"]
+        of_class[s] = np.array([r[g] for g in states]) + 1e-9
+        whole_class[s] = [r[f"w{g}"] for g in states] + r["rest"] / spare[s] * of_class[s]
+
+    known = with_symbol(spots.select("block", "at", "word").join(learned, "word", "left")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol", *(F.coalesce(g, F.lit(0.0)).cast("float").alias(g) for g in states))
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     names = [c.split()[0] for c in schema.split(", ")]
+    emit, move, first, later = model
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("at").to_numpy()
-        c, symbol = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64)
+        c, symbol, by_state = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros((len(at), o.states))
         c[at], symbol[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy()
-        mass = np.maximum(tokens[symbol], 1)
-        inside = np.where(c > 0, (c - cut) / mass, np.where(tokens[symbol] > 0, cut * kinds[symbol] / mass, 1.0))
-        inside[symbol < o.top] = 1.0
-        base, inside, seen = np.log10(c + 0.5) - unit, np.log10(inside), c > 0
+        for k, g in enumerate(states):
+            by_state[at, k] = right.column(g).to_numpy()
+        shares = word_shares(c, symbol, by_state, tokens, kinds, cut, of_class, whole_class, o)
+        chances = np.vstack([emit[symbol] * shares, emit[o.end]])
+        base, seen = np.log10(c + 0.5) - unit, c > 0
         out: list[list] = [[] for _ in names]
         for row in range(left.num_rows):
             seq = np.frombuffer(left.column("seq")[row].as_buffer(), dtype=np.int32)
             bounds = np.r_[0, np.cumsum(left.column("sizes")[row].values.to_numpy())].astype(np.int64)
             ids, train = left.column("doc_ids")[row].as_py(), left.column("trains")[row].as_py()
-            marks = symbol[seq].astype(np.uint16)
             total = lambda v: np.array([v[a:b].sum() for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
             out[0] += ids
             out[1] += [not t for t in train]
             out[2] += (np.diff(bounds) + 1).tolist()
             out[3] += (total(seen[seq].astype(np.int64)) + (trains > 0)).astype(np.int64).tolist()
-            out[4] += (total(base[seq]) + np.log10(trains + 0.5) - unit).tolist()
-            out[5] += total(inside[seq]).astype(float).tolist()
-            ending = np.array([o.end], dtype=np.uint16).tobytes()
-            out[6] += [marks[a:b].tobytes() + ending for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+            out[4] += [whole] * len(ids)
+            out[5] += (total(base[seq]) + np.log10(trains + 0.5) - unit).tolist()
+            out[6] += log_likelihoods([np.append(seq[a:b], len(at)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], (chances, move, first, later)).tolist()
+        kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(v, type=k) for v, k in zip(out, kinds_, strict=True)], names=names)
 
-    texts = kept(blocks.select(F.col("block").alias("of"), "doc_ids", "sizes", "trains", "seq").groupBy("of").cogroup(known.groupBy("block")).applyInArrow(meet, schema), "symbols")
-    drop_kept(blocks, counts)
-    learn = texts.where("not held_out").select("symbols")
-    model = _seed_model(learn, tokens, o)
-    for _ in range(o.rounds if trains else 0):
-        model = _maximise(_expect(learn, model, o), tokens, o)
-
-    def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = log_likelihoods([np.frombuffer(s.as_buffer(), dtype=np.uint16) for s in batch.column(6)], model)
-                total = found + batch.column(5).to_numpy()
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(np.full(batch.num_rows, whole)), batch.column(4), pa.array(total)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return texts.mapInArrow(forward, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return blocks.select(F.col("block").alias("of"), "doc_ids", "sizes", "trains", "seq").groupBy("of").cogroup(known.groupBy("block")).applyInArrow(meet, schema)

@@ -364,6 +364,33 @@ def test_baum_welch_raises_the_likelihood(spark):
     assert all(b > a - 1e-6 for a, b in zip(seen[1:], seen[2:], strict=False))
 
 
+def test_states_learn_of_every_word(spark):
+    """Two topics whose rare words share a class: a text of one topic with the other's rare words is less likely, though unigrams and classes are equal."""
+    rng = random.Random(2)
+    topics = [[f"{t}{i}" for i in range(6)] for t in "pq"]
+    rare = [[f"ab{k}{t}yz" for k in range(5)] for t in "pq"]
+    made = [" ".join(rng.choice(rare[k % 2] if rng.random() < 0.2 else topics[k % 2]) for _ in range(30)) for k in range(200)]
+    made += [" ".join(w for i in range(30) for w in (topics[0][i % 6], rare[t][i % 5])) for t in (0, 1)]
+    frame = spark.createDataFrame(list(enumerate(made)), DOC).repartition(3)
+    o = hmm.Hmm(states=2, top=12, classes=1, seeds=12, block=2000)
+    got = rows(hmm.score(frame, F.col("doc_id") >= 200, o))
+    assert got[200]["n_known"] == got[201]["n_known"] == 61
+    assert got[200]["score"] > got[201]["score"] + 10
+
+
+def test_shares_of_a_class_add_up(spark):
+    o = hmm.Hmm(states=2, top=1, classes=1)
+    c, by_state = np.array([1.0, 3.0, 9.0]), np.array([[0.9, 0.1], [0.5, 2.5], [6.0, 3.0]])
+    tokens, kinds, cut = np.array([5.0, 13.0, 1.0]), np.array([1.0, 3.0, 0.0]), 0.4
+    weight, of_class = (c / (c + o.prior))[:, None], np.zeros((3, 2))
+    of_class[1] = by_state.sum(axis=0)
+    whole = np.ones((3, 2))
+    whole[1] = (weight * by_state).sum(axis=0) + ((1 - weight[:, 0]) * (c - cut)).sum() / (13 - 3 * cut) * of_class[1]
+    shares = hmm.word_shares(np.append(c, 0.0), np.ones(4, np.int64), np.vstack([by_state, [0, 0]]), tokens, kinds, cut, of_class, whole, o)
+    assert shares.sum(axis=0) == pytest.approx([1.0, 1.0]) and (shares > 0).all()
+    assert shares[0, 0] > shares[0, 1] and shares[1, 1] > shares[1, 0]
+
+
 def test_language_is_told_by_compression(spark):
     rng = random.Random(2)
     parts = {"aa": ["tha", "ring", "oun", "esh", "wick"], "bb": ["zoe", "queñ", "illo", "ando", "cion"], "cc": ["schl", "ung", "keit", "über", "acht"]}
