@@ -9,6 +9,9 @@ Plan: one pass makes 64-bit window hashes (no text is shuffled for them); a
 pre-aggregated count by hash finds repeated ones and their first place; a join
 marks later occurrences, whose sides Spark may split where a hash is hot; only
 the marks are grouped by document and joined to the texts.
+
+``passages`` adds windows of one and two lines, where they hold more than
+LONG words or are a whole text.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Lines that one window spans.
 WINDOW = 3
+#: Words that a passage of fewer lines must exceed.
+LONG = 50
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -29,40 +34,50 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def _window_hashes(df: DataFrame, text: str) -> tuple[DataFrame, Column]:
-    """``df`` with line hashes, and a column of hashes for each run of WINDOW lines (null where no line holds a word)."""
+def _window_hashes(df: DataFrame, text: str, window: int) -> tuple[DataFrame, Column]:
+    """``df`` with line hashes, and a column of hashes for each run of ``window`` lines (null where no line holds a word, or a run of fewer lines than WINDOW is neither long nor the whole text)."""
     df = _once(df, "_lines", F.split(F.col(text), "\n", -1))
     solid = F.transform("_lines", lambda x: F.when(F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) != "", F.xxhash64(x)))
-    df = _once(df.where(F.size("_lines") >= WINDOW), "_hashes", solid).drop("_lines", text)
+    df = df.where(F.size("_lines") >= window)
+    if window < WINDOW:
+        df = _once(df, "_words", F.transform("_lines", lambda x: F.size(F.filter(F.split(x, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))))
+    df = _once(df, "_hashes", solid).drop("_lines", text)
     blank = F.lit(0).cast("long")
 
     def one(i: Column) -> Column:
-        own = [F.element_at("_hashes", i + k + 1) for k in range(WINDOW)]
-        return F.when(F.coalesce(*own).isNotNull(), F.xxhash64(*(F.coalesce(x, blank) for x in own)))
+        own = [F.element_at("_hashes", i + k + 1) for k in range(window)]
+        counted = F.coalesce(*own).isNotNull()
+        if window < WINDOW:
+            counted &= (F.size("_hashes") == window) | (sum((F.element_at("_words", i + k + 1) for k in range(window)), F.lit(0)) > LONG)
+        return F.when(counted, F.xxhash64(*(F.coalesce(x, blank) for x in own)))
 
-    return df, F.transform(F.sequence(F.lit(0), F.size("_hashes") - WINDOW), one)
+    return df, F.transform(F.sequence(F.lit(0), F.size("_hashes") - window), one)
 
 
-def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", passages: bool = False) -> DataFrame:
     """``docs`` with ``text`` cleaned and ``n_lines``, ``n_removed`` added (replacing columns of that name).
 
     Lines are the pieces between ``\\n``.  A text of fewer than three lines has
-    no window and stays, as do windows of blank lines only.  A null text stays
+    no window and stays (unless ``passages`` is set), as do windows of blank lines only.  A null text stays
     null with 0 lines.  Rows equal in key and text are one document: what goes
     from one goes from all, and their first occurrences stay in all.  A null
     key sorts first.
     """
     keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.col(text)))
-    hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text)
-    spots = hashed.select("_key", "_th", F.posexplode(runs).alias("_pos", "_hash")).where(F.col("_hash").isNotNull())
+    spots = None
+    for window in (1, 2, WINDOW) if passages else (WINDOW,):
+        hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text, window)
+        own = hashed.select("_key", "_th", F.posexplode(runs).alias("_pos", "_hash")).where(F.col("_hash").isNotNull())
+        own = own.withColumn("_hash", F.xxhash64("_hash", F.lit(window))).withColumn("_width", F.lit(window)) if passages else own.withColumn("_width", F.lit(window))
+        spots = own if spots is None else spots.unionByName(own)
     place = F.struct("_key", "_th", "_pos")
     # Rows of one document are counted once: several equal rows alone repeat nothing.
     repeated = spots.groupBy("_hash").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
     later = spots.join(repeated.select(F.col("_hash").alias("_h"), "_first"), F.col("_hash") == F.col("_h")).where(place != F.col("_first"))
-    marks = later.groupBy("_key", "_th").agg(F.collect_set("_pos").alias("_starts")).withColumnsRenamed({"_key": "_mk", "_th": "_mt"})
+    marks = later.groupBy("_key", "_th").agg(F.collect_set(F.struct("_pos", "_width")).alias("_starts")).withColumnsRenamed({"_key": "_mk", "_th": "_mt"})
     joined = keyed.join(marks, F.col(key).eqNullSafe(F.col("_mk")) & (F.col("_th") == F.col("_mt")), "left")
     joined = _once(joined, "_lines", F.split(F.col(text), "\n", -1))
-    covered = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (WINDOW - 1)))))
+    covered = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p["_pos"], p["_pos"] + p["_width"] - 1))))
     joined = _once(joined, "_covered", covered)
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_covered"))
     clean = F.when(F.col("_starts").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at("_lines", i + 1)), "\n"))

@@ -27,6 +27,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs)
 
 
+def op5_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With passages of one and two lines and short texts, which the SQL of op5_line_dedup leaves out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, passages=True)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -292,6 +292,31 @@ def test_line_dedup_equals_a_plain_scan(spark, docs, texts):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in same) == [(0, "x\na\nb\nc"), (1, ""), (1, "")]
 
 
+def test_line_dedup_finds_long_passages_of_one_and_two_lines(spark, docs, texts):
+    rng = random.Random(9)
+    long, half = prose(rng, 60), prose(rng, 30)
+    extra = [f"a\n{long}\nb", f"c\nd\n{long}\ne", f"{half}\n{half} x\nf", f"g\n{half}\n{half} x", "two\nlines", "two\nlines", f"h\n{half}\ni", prose(rng, 50) + "\nj\nk"]
+    whole = [*texts, *extra]
+    seen, want = set(), {}
+    for key, text in enumerate(whole):
+        lines, covered = text.split("\n") if text is not None else [], set()
+        for width in (1, 2, 3):
+            for i in range(len(lines) - width + 1):
+                run = lines[i : i + width]
+                window = tuple(x if WORD.search(x) else None for x in run)
+                if any(window) and (width == 3 or width == len(lines) or sum(len(WORD.findall(x)) for x in run) > 50):
+                    covered |= set(range(i, i + width)) if window in seen else set()
+                    seen.add(window)
+        want[key] = (None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in covered), len(lines), len(covered))
+    frame = clash(spark.createDataFrame(list(enumerate(whole)), DOC).repartition(3))
+    result = linededup.line_dedup(frame, passages=True)
+    got = {i: (r["text"], r["n_lines"], r["n_removed"]) for i, r in rows(result).items()}
+    assert got == want
+    n = len(texts)
+    assert [got[n + k][0] for k in (1, 3, 5, 6)] == ["c\nd\ne", "g", "", f"h\n{half}\ni"]
+    assert not re.search("Python|Arrow|Pandas", result._jdf.queryExecution().toString())
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     plan = linededup.line_dedup(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
