@@ -245,6 +245,12 @@ def short_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.short_value("text").alias("short"), X.sql_literal(F.left("text", F.lit(30))).alias("literal"))
 
 
+@query("SELECT conv_id, turn, coalesce('''' || replace(replace(text, chr(92), chr(92) || chr(92)), '''', '''''') || '''', 'NULL') AS literal FROM conversations")
+def sql_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, of which the SQL of short_values takes 30 characters."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.sql_literal("text").alias("literal"))
+
+
 @query("SELECT * FROM (VALUES (1, true), (2, false), (3, false), (4, false), (5, true), (6, false), (7, true), (8, false), (9, false), (10, false), (11, false)) t(id, safe)")
 def sql_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, "sql_texts").select("id", X.reads_only_catalog("sql", "lake").alias("safe"))

@@ -243,6 +243,13 @@ def test_every_benchmark_passage_is_searched(spark):
     assert {r["question_id"] for r in queries()["fulltext_topk_whole"](spark, SF).select("question_id").collect()} == passages
 
 
+def test_whole_texts_pass_through_the_literal_rule(spark):
+    texts = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()}
+    got = {(r["conv_id"], r["turn"]): r["literal"] for r in queries()["sql_literals"](spark, SF).collect()}
+    assert any(len(t or "") > 30 for t in texts.values())
+    assert got == {k: "NULL" if t is None else "'" + t.replace("\\", "\\\\").replace("'", "''") + "'" for k, t in texts.items()}
+
+
 def test_settings_are_checked():
     for wrong in ({"fk_threshold": 2}, {"sample_limit": 0}, {"catalogs": ()}, {"fk_max_columns": -1}):
         with pytest.raises(ValueError):
