@@ -1,4 +1,4 @@
-"""Retrieval of a schema subgraph for questions (GRF-01..17, VEC-01..06, FTX-01, RET-01..10, OP-SELSCHEMA, OP-RENDER, OP-METRICS).
+"""Retrieval of a schema subgraph for questions (GRF-01..16, VEC-01..06, FTX-01, RET-01..10 but for those that the README leaves out, OP-SELSCHEMA, OP-RENDER, OP-METRICS).
 
 All operators take many questions at once; each frame carries ``question_id``.
 """
