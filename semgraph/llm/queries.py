@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hmm, langid, toxicity
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_round_trip
 from .htmlcrf import extract
 from .knn import top_k
 from .linededup import line_dedup
@@ -48,8 +48,7 @@ def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe_decode(encoded, ranks).select(
+    return bpe_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.expr("cast(length(ids) / 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -25,20 +25,25 @@ class WordIds:
     """Numbers words, and encodes the new ones when ids are asked for.
 
     encode: from a list of new words to (flat ids, ids of each word).  Past
-    ``limit`` words the numbering starts afresh; results don't depend on it.
+    ``limit`` words or ``limit_bytes`` of their letters and ids the numbering
+    starts afresh; results don't depend on it.
     """
 
     class _Numbers(dict):
+        def __init__(self):
+            self.new: list = []
+
         def __missing__(self, word):
             n = self[word] = len(self)
+            self.new.append(word)
             return n
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 200_000, limit_bytes: int = 32 << 20):
+        self.encode, self.limit, self.limit_bytes = encode, limit, limit_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = self._Numbers()
+        self.numbers, self.letters = self._Numbers(), 0
         self.flat, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def number(self, words: Iterable) -> np.ndarray:
@@ -46,8 +51,10 @@ class WordIds:
 
     def settle(self) -> None:
         """Encodes the words numbered since the last call."""
-        new = list(self.numbers)[len(self.start) :] if len(self.numbers) > len(self.start) else []
+        new = self.numbers.new
         if new:
+            self.numbers.new = []
+            self.letters += sum(map(len, new))
             flat, length = self.encode(new)
             start = len(self.flat) + np.cumsum(length) - length
             self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
@@ -58,5 +65,5 @@ class WordIds:
 
     def rest(self) -> None:
         """To be called between batches, when no numbers are held."""
-        if len(self.numbers) > self.limit:
+        if len(self.numbers) > self.limit or self.letters + self.flat.nbytes > self.limit_bytes:
             self.clear()

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -26,6 +27,7 @@ import semgraph.llm.quality as quality
 import semgraph.llm.textops as X
 import semgraph.llm.toxicity as toxicity
 from semgraph.llm.components import components
+from semgraph.llm.wordids import WordIds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOC = "doc_id long, text string"
@@ -155,6 +157,16 @@ def test_packing_holds_each_id_once(spark, docs, texts):
     assert sorted(r["length"] for r in repeated) == [2, 3, 3] and len({(r["sequence_id"], r["offset"]) for r in repeated}) == 3
 
 
+def plain_merges(ranks, word):
+    parts = [bytes([b]) for b in word]
+    while len(parts) > 1:
+        rank, i = min((ranks.get(parts[i] + parts[i + 1], 2**31), i) for i in range(len(parts) - 1))
+        if rank == 2**31:
+            break
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[x] for x in parts]
+
+
 def test_merge_replay_equals_tiktoken(spark, docs, texts):
     import tiktoken
 
@@ -166,12 +178,15 @@ def test_merge_replay_equals_tiktoken(spark, docs, texts):
     for i, text in enumerate(texts):
         assert np.frombuffer(got[i]["ids"], "<u4").tolist() == encoding.encode_ordinary(text or ""), i
         assert bytes(got[i]["decoded"]).decode() == (text or "")
+    both = rows(bpe.bpe_round_trip(clash(docs).withColumn("decoded", F.lit("x")), path, public_tokenizers.PATTERN))
+    assert {i: (r["ids"], r["decoded"]) for i, r in both.items()} == {i: (r["ids"], r["decoded"]) for i, r in got.items()}
     assert bpe.bpe_encode(spark.createDataFrame([], DOC), path, public_tokenizers.PATTERN).count() == 0
+    assert bpe.bpe_decode(spark.createDataFrame([(1, None)], "doc_id long, ids binary"), path).first()["decoded"] is None
     rng = random.Random(9)
     words = ["".join(rng.choice("aaabcé ") for _ in range(rng.randrange(1, 24))).encode() for _ in range(3000)] + [b"a" * n for n in range(1, 70)]
     ids, count = bpe.merges(path).replay(words)
     for word, own in zip(words, np.split(ids, np.cumsum(count)[:-1]), strict=True):
-        assert own.tolist() == bpe.merges(path).alone(word)
+        assert own.tolist() == bpe.merges(path).alone(word) == plain_merges(bpe.merges(path).ranks, word)
 
 
 def test_a_merge_that_ranks_below_an_earlier_one(tmp_path):
@@ -182,7 +197,28 @@ def test_a_merge_that_ranks_below_an_earlier_one(tmp_path):
     words = [bytes(w) for w in __import__("itertools").product(b"abcd", repeat=5)]
     ids, count = table.replay(words)
     for word, own in zip(words, np.split(ids, np.cumsum(count)[:-1]), strict=True):
-        assert own.tolist() == table.alone(word), word
+        assert own.tolist() == table.alone(word) == plain_merges(ranks, word), word
+    long = ("".join(random.Random(5).choice("abcd") for _ in range(100_000))).encode()
+    began = time.monotonic()
+    ids, count = table.replay([long])
+    assert time.monotonic() - began < 5 and count[0] == len(ids) and table.decode(ids) == long
+    assert table.alone(long[:2000]) == plain_merges(ranks, long[:2000])
+
+
+def test_words_are_forgotten_without_effect(texts):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    want = bpe._word_ids(path)
+    some = [t.split() for t in texts if t]
+    for limits in ({"limit": 5}, {"limit_bytes": 40}):
+        got = WordIds(want.encode, **limits)
+        for words in some:
+            numbers = got.number(words)
+            got.settle()
+            other = want.number(words)
+            want.settle()
+            assert got.ids(numbers).tolist() == want.ids(other).tolist()
+            got.rest()
+        assert len(got.numbers) < len({w for words in some for w in words})
 
 
 def plain_components(ids, texts, percent=85):
