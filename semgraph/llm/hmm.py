@@ -1,22 +1,23 @@
 """Hidden Markov language model over whole corpora.
 
 1. One pass numbers the words of each *block* of texts and keeps the texts as
-   numbers beside the block's words and their training counts (a table in the
-   shared folder).
-2. Word counts are summed over blocks with partial aggregation and joined back
-   to the blocks' words, so each token meets its exact corpus count while only
-   distinct words of blocks are shuffled.
-3. The hidden states emit *symbols*: the most frequent words, and for all other
-   words one of a fixed number of classes made from their first and last two
-   characters.  Baum-Welch goes over symbols: every task sums expected counts
-   over its training texts (cut into segments for the sums), Spark adds them up
+   numbers beside the block's words, their training counts and their classes
+   (a table in the shared folder).
+2. The hidden states emit *symbols*: words that are frequent (by the sum of
+   their counts over the blocks where they are among the ``candidates`` most
+   frequent), and for all other words one of a fixed number of classes made from
+   their first and last two characters.  Baum-Welch goes over symbols: every
+   task sums expected counts over its whole training texts, Spark adds them up
    by cell, the driver divides.
-4. With the last model every task sums the expected counts of its own words by
-   state, and Spark adds them up by word: a table of all training words.  It is
-   joined back to the blocks' words as the counts are, so in each state a word
-   follows from its class by what that state has learned of it, drawn towards
-   the class's unigram shares where it was seen seldom; an unknown word follows
-   with what the discount leaves.
+3. With the last model every task sums the expected counts of its own words by
+   state, and Spark adds them up by word: a table of all training words with
+   their exact counts.  On the way a block's count of a word is exact, and its
+   states' shares are bytes (steps of 1/255).
+4. That table is joined back to the blocks' words, so only distinct words of
+   blocks are shuffled and each token meets its exact corpus count.  In each
+   state a word follows from its class by what that state has learned of it,
+   drawn towards the class's unigram shares where it was seen seldom; an unknown
+   word follows with what the discount leaves.
 5. A scaled forward recursion over each whole text gives its exact likelihood.
 """
 
@@ -37,13 +38,14 @@ from .tables import drop_kept, kept
 
 @dataclass(frozen=True)
 class Hmm:
-    """states; top: words with a symbol of their own; classes: of the others; rounds of Baum-Welch; block: tokens numbered together; prior: tokens that a word's unigram share weighs against its own counts by state."""
+    """states (at most eight); top: words with a symbol of their own; candidates: of each block, the words that may become such; classes: of the others; rounds of Baum-Welch; chunk: tokens whose chances are held at once; block: tokens numbered together; prior: tokens that a word's unigram share weighs against its own counts by state."""
 
     states: int = 8
     top: int = 4096
+    candidates: int = 16_384
     classes: int = 2048
     rounds: int = 5
-    segment: int = 128
+    chunk: int = 800_000
     seeds: int = 192
     block: int = 3_000_000
     seed: int = 3
@@ -107,7 +109,7 @@ def _symbol(word: Column, o: Hmm) -> Column:
     return (F.pmod(F.xxhash64(F.substring(text, 1, 2), F.substring(text, -2, 2)), F.lit(o.classes)) + o.top).cast("int")
 
 
-def _seed_model(symbols: DataFrame, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _seed_model(symbols: DataFrame, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A starting point from all training texts: symbols that meet in the same texts start in the same state."""
     common = np.sort(np.argsort(-counts[: o.end], kind="stable")[: o.seeds])
     place = np.full(o.symbols, -1)
@@ -143,72 +145,117 @@ def _seed_model(symbols: DataFrame, counts: np.ndarray, o: Hmm) -> tuple[np.ndar
     emit = (counts[:, None] + 0.5) * shift
     emit[common] *= np.where(own[:, None] == np.arange(o.states), 8.0, 0.25)
     move = np.full((o.states, o.states), 0.2 / o.states) + 0.8 * np.eye(o.states)
-    even = np.full(o.states, 1 / o.states)
-    return emit / emit.sum(axis=0), move, even, even
-
-
-def _posteriors(obs: np.ndarray, live: np.ndarray, start: np.ndarray, table: np.ndarray, move: np.ndarray, moved: np.ndarray | None = None) -> np.ndarray:
-    """Chances of the states (step, row, state) of rows of symbols; expected moves to each state are added to ``moved``."""
-    n, steps = obs.shape
-    states = len(move)
-    ahead, scale = np.empty((steps, n, states)), np.empty((steps, n))
-    now = start * table[obs[:, 0]]
-    for t in range(steps):
-        if t:
-            now = (ahead[t - 1] @ move) * table[obs[:, t]]
-        scale[t] = np.maximum(now.sum(axis=1), 1e-300)
-        ahead[t] = now / scale[t][:, None]
-    behind = np.ones((n, states))
-    for t in range(steps - 1, -1, -1):
-        gamma = ahead[t] * behind
-        gamma *= (live[:, t] / np.maximum(gamma.sum(axis=1), 1e-300))[:, None]
-        ahead[t] = gamma
-        if t:
-            back = behind * table[obs[:, t]] / scale[t][:, None]
-            if moved is not None:
-                moved += (move * ((ahead[t - 1] * live[:, t, None]).T @ back)).T
-            behind = np.where(live[:, t, None] > 0, back @ move.T, 1.0)
-    return ahead
-
-
-def _segments(parts: list[np.ndarray], opens: list[bool], padding: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, live, opens) of at most 1024 segments of like length, padded."""
-    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-    for lo in range(0, len(order), 1024):
-        some = order[lo : lo + 1024]
-        size = np.array([len(parts[i]) for i in some])
-        rows = np.full((len(some), size[-1]), padding, dtype=np.int64)
-        live = (np.arange(size[-1]) < size[:, None]).astype(float)
-        rows[live > 0] = np.concatenate([parts[i] for i in some])
-        yield rows, live, np.array([opens[i] for i in some])
+    return emit / emit.sum(axis=0), move, np.full(o.states, 1 / o.states)
+
+
+def _by_step(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens, those of step 0 first, and where each step begins (one more: the end); longer sequences come first in each step."""
+    size = np.array([len(s) for s in sequences])
+    order = np.argsort(-size, kind="stable")
+    flat, size = np.concatenate([sequences[i] for i in order]), size[order]
+    begins = np.r_[0, np.cumsum(np.searchsorted(-size, -np.arange(size[0]), side="left"))]
+    step = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    out = np.empty_like(flat)
+    out[begins[step] + np.repeat(np.arange(len(size)), size)] = flat
+    return out, begins
+
+
+def _cuts(begins: np.ndarray, chunk: int) -> list[int]:
+    """Steps at which stretches of about ``chunk`` tokens begin, and the end."""
+    cuts = [0]
+    for t in range(1, len(begins) - 1):
+        if begins[t + 1] - begins[cuts[-1]] > chunk:
+            cuts.append(t)
+    return [*cuts, len(begins) - 1]
+
+
+def _forward(given: np.ndarray, bounds: list[int], move: np.ndarray, first: np.ndarray, entry: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled chances of the states after each token of a stretch, and 1 / scale; entry: the chances at the step before, None at the beginning."""
+    ahead, inverse, one = np.empty_like(given), np.empty((len(given), 1), dtype=given.dtype), np.ones((len(move), 1), dtype=given.dtype)
+    now = entry
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        own, size = ahead[a:b], inverse[a:b]
+        if now is None:
+            np.multiply(given[a:b], first, out=own)
+        else:
+            np.matmul(now[: b - a], move, out=own)
+            own *= given[a:b]
+        np.matmul(own, one, out=size)
+        np.reciprocal(size, out=size)
+        own *= size
+        now = own
+    return ahead, inverse
+
+
+def _posteriors(symbols: np.ndarray, begins: np.ndarray, emit: np.ndarray, move: np.ndarray, first: np.ndarray, chunk: int, moved: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(from, to, chances of the states) of stretches of ``symbols`` (as by _by_step), given whole sequences; expected moves are added to ``moved``.
+
+    Steps go in stretches of about ``chunk`` tokens.  Where there are several,
+    one forward pass keeps the chances at their borders, and the pass back,
+    last stretch first, makes the others anew, so a sequence of any length
+    takes the same memory.  In the precision of ``emit``.
+    """
+    cuts, kind = _cuts(begins, chunk), emit.dtype
+    move, first = move.astype(kind), first.astype(kind)
+    back = np.ascontiguousarray(move.T)
+
+    def stretch(lo: int, hi: int, entry: np.ndarray | None) -> tuple:
+        bounds = (begins[lo : hi + 1] - begins[lo]).tolist()
+        given = emit.take(symbols[begins[lo] : begins[hi]], axis=0)
+        return given, bounds, *_forward(given, bounds, move, first, entry)
+
+    entries: list[np.ndarray | None] = [None]
+    for lo, hi in zip(cuts[:-2], cuts[1:-1], strict=True):
+        _, bounds, ahead, _ = stretch(lo, hi, entries[-1])
+        entries.append(ahead[bounds[-2] :].copy())
+    later = np.zeros((0, len(move)), dtype=kind)  # what follows the next step says, for those of its sequences that go on
+    total = np.zeros_like(move, dtype=np.float64)
+    for lo, hi, entry in zip(cuts[-2::-1], cuts[:0:-1], entries[::-1], strict=True):
+        given, bounds, ahead, inverse = stretch(lo, hi, entry)
+        given *= inverse
+        for t in range(hi - lo - 1, -1, -1):
+            a, b, k = bounds[t], bounds[t + 1], len(later)
+            own = given[a:b]
+            own[:k] *= later
+            if moved is not None and (t or entry is not None):
+                total += (ahead[bounds[t - 1] : bounds[t - 1] + b - a] if t else entry[: b - a]).T @ own
+            ahead[a : a + k] *= later
+            later = own @ back
+        yield begins[lo], begins[hi], ahead
+    if moved is not None:
+        moved += move * total
+
+
+def _groups(sequences: list[np.ndarray], chunk: int) -> Iterator[list[np.ndarray]]:
+    """The sequences by length, in groups of at most ``chunk`` tokens or of one."""
+    part, held = [], 0
+    for s in sorted(sequences, key=len):
+        if part and held + len(s) > chunk:
+            yield part
+            part, held = [], 0
+        part.append(s)
+        held += len(s)
+    if part:
+        yield part
 
 
 def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
-    """Expected counts over all training texts: a row for each symbol, then moves to each state, first states, and states of segments."""
-    emit, move, first, later = model
-    width = o.symbols + o.states + 2
+    """Expected counts over all training texts: a row for each symbol, then moves from each state, then first states."""
+    emit, move, first = model[0].astype(np.float32), *model[1:]
+    width = o.symbols + o.states + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, o.states))
-        table = np.vstack([emit, np.ones(o.states)])  # the last symbol stands for padding
-
-        def learn(obs: np.ndarray, live: np.ndarray, start: np.ndarray, opens: np.ndarray) -> None:
-            ahead = _posteriors(obs, live, start, table, move, total[o.symbols : o.symbols + o.states])
-            flat, gammas = obs.T.ravel(), ahead.reshape(-1, o.states)
-            for k in range(o.states):
-                total[: o.symbols, k] += np.bincount(flat, weights=gammas[:, k], minlength=o.symbols + 1)[: o.symbols]
-            total[-2] += ahead[0][opens].sum(axis=0)
-            total[-1] += ahead[0][~opens].sum(axis=0)
-
         for batch in batches:
-            parts, opens = [], []
-            for s in batch.column(0):
-                seq = np.frombuffer(s.as_buffer(), dtype=np.uint16)
-                for lo in range(0, len(seq), o.segment):
-                    parts.append(seq[lo : lo + o.segment])
-                    opens.append(lo == 0)
-            for obs, live, begin in _segments(parts, opens, o.symbols):
-                learn(obs, live, np.where(begin[:, None], first, later), begin)
+            for part in _groups([np.frombuffer(s.as_buffer(), dtype=np.uint16) for s in batch.column(0)], o.chunk):
+                tokens, begins = _by_step(part)
+                for lo, hi, chances in _posteriors(tokens, begins, emit, move, first, o.chunk, total[o.symbols : o.symbols + o.states]):
+                    order = np.argsort(tokens[lo:hi], kind="stable")
+                    ordered = tokens[lo:hi][order]
+                    cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+                    total[ordered[cut]] += np.add.reduceat(chances.take(order, axis=0), cut, axis=0, dtype=np.float64)
+                    if lo == 0:
+                        total[-1] += chances[: begins[1]].sum(axis=0)
         i, k = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[i, k])], names=["i", "k", "v"])
 
@@ -218,13 +265,30 @@ def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
     return sums
 
 
-def _maximise(sums: np.ndarray, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _maximise(sums: np.ndarray, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The next model; each state's emissions are drawn a little towards the corpus's."""
     share = (counts + 0.5) / (counts + 0.5).sum()
     emit = sums[: o.symbols] + 50 * share[:, None]
-    move = sums[o.symbols : o.symbols + o.states].T + 1.0
-    first, later = sums[-2] + 0.1, sums[-1] + 0.1
-    return emit / emit.sum(axis=0), move / move.sum(axis=1)[:, None], first / first.sum(), later / later.sum()
+    move = sums[o.symbols : o.symbols + o.states] + 1.0
+    first = sums[-1] + 0.1
+    return emit / emit.sum(axis=0), move / move.sum(axis=1)[:, None], first / first.sum()
+
+
+def _tops(blocks: DataFrame, o: Hmm) -> list[bytes]:
+    """The ``o.top`` most frequent training words, the largest sums of counts over the blocks' most frequent ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words, counts = batch.column(0)[row].values, batch.column(1)[row].values.to_numpy()
+                at = np.flatnonzero(counts)
+                if len(at) > o.candidates:
+                    least = np.partition(counts[at], len(at) - o.candidates)[len(at) - o.candidates]
+                    at = at[counts[at] >= least]  # with all ties
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))], names=["word", "n"])
+
+    sums = blocks.select("words", "counts").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return [bytes(r["word"]) for r in sums.orderBy(F.desc("c"), "word").limit(o.top).collect()]
 
 
 def _rows(batch: pa.RecordBatch, place: dict[bytes, int]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -245,57 +309,94 @@ def _training_symbols(blocks: DataFrame, place: dict[bytes, int], o: Hmm) -> Dat
         for batch in batches:
             for _, _, symbol, texts in _rows(batch, place):
                 marks = symbol.astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([pa.array([marks[t].tobytes() + ending for t in texts], type=pa.binary())], names=["symbols"])
+                for lo in range(0, len(texts), 1024):
+                    yield pa.RecordBatch.from_arrays([pa.array([marks[t].tobytes() + ending for t in texts[lo : lo + 1024]], type=pa.binary())], names=["symbols"])
 
-    return blocks.mapInArrow(run, "symbols binary")
+    return blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(run, "symbols binary")
 
 
-def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hmm) -> DataFrame:
-    """(word, c, g0, g1, ...): of each training word, its count and expected counts by state; 0 by state for words with symbols of their own, whose counts the model holds."""
-    emit, move, first, later = model
-    states = [f"g{k}" for k in range(o.states)]
+def _symbol_counts(symbols: DataFrame, o: Hmm) -> np.ndarray:
+    """How often each symbol stands in all training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.vstack([emit, np.ones(o.states)])
+        total = np.zeros(o.symbols, dtype=np.int64)
         for batch in batches:
-            for words, counts, symbol, texts in _rows(batch, place):
-                n = len(words)  # its number stands for the end, the next one for padding
-                symbols, total = np.r_[symbol, o.end, o.symbols], np.zeros((n, o.states))
-                parts, opens = [], []
-                for text in texts:
-                    seq = np.r_[text, n]
-                    parts += [seq[lo : lo + o.segment] for lo in range(0, len(seq), o.segment)]
-                    opens += [lo == 0 for lo in range(0, len(seq), o.segment)]
-                for rows, live, begin in _segments(parts, opens, n + 1):
-                    gammas = _posteriors(symbols[rows], live, np.where(begin[:, None], first, later), table, move).reshape(-1, o.states)
-                    seen, at = np.unique(rows.T.ravel(), return_inverse=True)
-                    inner = seen < n
-                    for k in range(o.states):
-                        total[seen[inner], k] += np.bincount(at, weights=gammas[:, k], minlength=len(seen))[inner]
-                total[symbol < o.top] = 0
-                at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64)), *(pa.array(total[at, k].astype(np.float32)) for k in range(o.states))], names=["word", "n", *states])
+            for s in batch.column(0):
+                total += np.bincount(np.frombuffer(s.as_buffer(), dtype=np.uint16), minlength=o.symbols)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
+
+    out = np.zeros(o.symbols)
+    for i, n in symbols.mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        out[i] = n
+    return out
+
+
+def _byte(packed: str, k: int) -> Column:
+    return F.shiftrightunsigned(F.col(packed), 8 * k).bitwiseAND(F.lit(255))
+
 
-    parts = blocks.mapInArrow(run, "word binary, n long, " + ", ".join(f"{g} float" for g in states))
-    return parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(g).cast("float").alias(g) for g in states))
+def _bytes_sum(packed: str, o: Hmm) -> Column:
+    return sum((_byte(packed, k) for k in range(1, o.states)), _byte(packed, 0))
 
 
-def log_likelihoods(sequences: list[np.ndarray], model: tuple) -> np.ndarray:
+def _by_state(c: np.ndarray, packed: np.ndarray, o: Hmm) -> np.ndarray:
+    """Expected counts by state of words with count c and packed shares."""
+    shares = np.ascontiguousarray(packed.astype("<i8")).view(np.uint8).reshape(-1, 8)[:, : o.states].astype(np.float64)
+    return c[:, None] * shares / np.maximum(shares.sum(axis=1), 1)[:, None]
+
+
+def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hmm) -> DataFrame:
+    """(word, c, q): of each training word, its count and its states' shares of the expected count, a byte each; q is 0 for words with symbols of their own, whose counts the model holds."""
+    emit, move, first = model[0].astype(np.float32), *model[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, counts, symbol, texts in _rows(batch, place):
+                n = len(words)  # its number stands for the end
+                symbols, total = np.r_[symbol, o.end].astype(np.uint16), np.zeros((n, o.states), dtype=np.float32)
+                for part in _groups([np.r_[text, np.int32(n)] for text in texts], o.chunk):
+                    tokens, begins = _by_step(part)
+                    marks = symbols[tokens]
+                    for lo, hi, chances in _posteriors(marks, begins, emit, move, first, o.chunk):
+                        at = np.flatnonzero((marks[lo:hi] >= o.top) & (marks[lo:hi] < o.end))
+                        own, chances = tokens[lo:hi][at], chances.take(at, axis=0)
+                        for k in range(o.states):
+                            total[:, k] += np.bincount(own, weights=chances[:, k], minlength=n)
+                at = np.flatnonzero(counts)
+                shares = np.zeros((len(at), 8), dtype=np.uint8)
+                shares[:, : o.states] = np.rint(255 * total[at] / np.maximum(total[at].sum(axis=1), 1e-300)[:, None])
+                shares[symbol[at] < o.top] = 0
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int32)), pa.array(shares.view("<i8").ravel())], names=["word", "n", "q"])
+
+    # A block has a word once, so summing before the shuffle would only widen its rows.
+    parts = blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(run, "word binary, n int, q long").repartition("word")
+    sums = parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(F.col("n") * _byte("q", k)).alias(f"g{k}") for k in range(o.states)))
+    whole = F.greatest(sum((F.col(f"g{k}") for k in range(1, o.states)), F.col("g0")), F.lit(1))
+    packed = F.lit(0).cast("long")
+    for k in range(o.states):
+        packed = packed.bitwiseOR(F.shiftleft(F.round(255 * F.col(f"g{k}") / whole).cast("long"), 8 * k))
+    return sums.select("word", "c", packed.alias("q"))
+
+
+def log_likelihoods(sequences: list[np.ndarray], model: tuple, chunk: int = 400_000) -> np.ndarray:
     """log10 of the probability of each whole sequence, by a scaled forward recursion; a sequence holds one symbol at least."""
-    emit, move, first, _ = model
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    size = np.array([len(sequences[i]) for i in order])
-    starts = np.cumsum(size) - size
-    flat = np.concatenate([sequences[i] for i in order]).astype(np.int64)
-    total, now = np.zeros(len(order)), None
-    for t in range(size[0]):
-        n = int(np.searchsorted(-size, -t, side="left"))  # those longer than t
-        now = emit[flat[starts[:n] + t]] * (first if t == 0 else now[:n] @ move)
-        scale = now.sum(axis=1)
-        now /= scale[:, None]
-        total[:n] += np.log10(scale)
-    out = np.empty(len(order))
-    out[order] = total
+    emit, move, first = model
+    out, place = np.empty(len(sequences)), sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+    done = 0
+    for part in _groups(sequences, chunk):
+        tokens, begins = _by_step(part)
+        rows = np.array(place[done : done + len(part)])[np.argsort([-len(s) for s in part], kind="stable")]
+        done += len(part)
+        total, entry, cuts = np.zeros(len(part)), None, _cuts(begins, chunk)
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            bounds = (begins[lo : hi + 1] - begins[lo]).tolist()
+            ahead, inverse = _forward(emit.take(tokens[begins[lo] : begins[hi]], axis=0), bounds, move, first, entry)
+            logs = np.log10(inverse[:, 0])
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                total[: b - a] -= logs[a:b]
+            entry = ahead[bounds[-2] :].copy()
+        out[rows] = total
     return out
 
 
@@ -321,78 +422,75 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
     """
     o = options or Hmm()
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), (~F.coalesce(held_out, F.lit(False))).alias("train"))
-    blocks = kept(_blocks(given, o), "blocks")
-    spots = blocks.select("block", "counts", F.posexplode("words").alias("at", "word")).select("block", "at", "word", F.col("counts")[F.col("at")].alias("n"))
-    counts = kept(spots.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    trains = blocks.agg(F.sum(F.size(F.filter("trains", lambda t: t))).alias("n")).first()["n"] or 0
-    tops = [bytes(r["word"]) for r in counts.orderBy(F.desc("c"), "word").limit(o.top).select("word").collect()]
-    if tops:
-        own = docs.sparkSession.createDataFrame([(bytearray(w), i) for i, w in enumerate(tops)], "word binary, own int")
-    else:
-        own = docs.sparkSession.createDataFrame([], "word binary, own int")
-
-    def with_symbol(df: DataFrame) -> DataFrame:
-        # At most o.top rows are broadcast.
-        return df.join(F.broadcast(own), "word", "left").withColumn("symbol", F.coalesce("own", _symbol(F.col("word"), o))).drop("own")
-
-    sums = with_symbol(counts).groupBy("symbol").agg(F.sum("c").alias("c"), F.count("*").alias("n"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect()
-    tokens, kinds = np.zeros(o.symbols), np.zeros(o.symbols)
-    for r in sums:
-        tokens[r["symbol"]], kinds[r["symbol"]] = r["c"], r["n"]
-    tokens[o.end] = trains
-    once, twice = sum(r["n1"] for r in sums), sum(r["n2"] for r in sums)
-    cut = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    whole, distinct = int(tokens.sum()), int(kinds.sum()) + (trains > 0)
-    unit = np.log10(whole + 0.5 * (distinct + 1))
-
-    place = {w: i for i, w in enumerate(tops)}
-    marked = blocks.select("seq", "sizes", "trains", "words", "counts", F.transform("words", lambda w: _symbol(w, o)).alias("symbols"))
-    learn = kept(_training_symbols(marked, place, o), "symbols")
+    blocks = kept(_blocks(given, o).withColumn("symbols", F.transform("words", lambda w: _symbol(w, o))), "blocks")
+    place = {w: i for i, w in enumerate(_tops(blocks, o))}
+    learn = kept(_training_symbols(blocks, place, o), "symbols")
+    tokens = _symbol_counts(learn, o)
     model = _seed_model(learn, tokens, o)
-    for _ in range(o.rounds if trains else 0):
+    for _ in range(o.rounds if tokens[o.end] else 0):
         model = _maximise(_expect(learn, model, o), tokens, o)
-    drop_kept(learn, counts)
+    drop_kept(learn)
+
+    learned = kept(_word_states(blocks, place, model, o), "words")
+    own = docs.sparkSession.createDataFrame([(bytearray(w), i) for w, i in place.items()], "word binary, own int")
+
+    def with_symbol(df: DataFrame, symbol: Column) -> DataFrame:
+        # At most o.top rows are broadcast.
+        return df.join(F.broadcast(own), "word", "left").withColumn("symbol", F.coalesce("own", symbol)).drop("own")
 
-    states = [f"g{k}" for k in range(o.states)]
-    learned = kept(_word_states(marked, place, model, o), "words")
     weight = F.col("c") / (F.col("c") + o.prior)
-    found = with_symbol(learned).where(F.col("symbol") >= o.top).groupBy("symbol").agg(*(F.sum(g).alias(g) for g in states), *(F.sum(weight * F.col(g)).alias(f"w{g}") for g in states), F.sum((1 - weight) * (F.col("c") - cut)).alias("rest")).collect()
+    of_state = [F.col("c") * _byte("q", k) / F.greatest(_bytes_sum("q", o), F.lit(1)) for k in range(o.states)]
+    plain = [F.count("*").alias("n"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"), F.sum((1 - weight) * F.col("c")).alias("rest"), F.sum(1 - weight).alias("lost")]
+    found = with_symbol(learned, _symbol(F.col("word"), o)).groupBy("symbol").agg(*plain, *(F.sum(g).alias(f"g{k}") for k, g in enumerate(of_state)), *(F.sum(weight * g).alias(f"w{k}") for k, g in enumerate(of_state))).collect()
+    once, twice = sum(r["n1"] for r in found), sum(r["n2"] for r in found)
+    cut = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    kinds = np.zeros(o.symbols)
+    for r in found:
+        kinds[r["symbol"]] = r["n"]
+    trains = int(tokens[o.end])
+    whole, distinct = int(tokens.sum()), int(kinds.sum()) + (trains > 0)
+    unit = np.log10(whole + 0.5 * (distinct + 1))
     # Of each class: expected counts by state, and what its words' shares add up to before they are divided by it.
     of_class, whole_class = np.zeros((o.symbols, o.states)), np.ones((o.symbols, o.states))
     spare = np.maximum(tokens - cut * kinds, 1e-9)  # of a class's tokens, those left by the discount
     for r in found:
-        s = r["symbol"]
-        of_class[s] = np.array([r[g] for g in states]) + 1e-9
-        whole_class[s] = [r[f"w{g}"] for g in states] + r["rest"] / spare[s] * of_class[s]
+        if (s := r["symbol"]) >= o.top:
+            of_class[s] = np.array([r[f"g{k}"] for k in range(o.states)]) + 1e-9
+            whole_class[s] = [r[f"w{k}"] for k in range(o.states)] + (r["rest"] - cut * r["lost"]) / spare[s] * of_class[s]
 
-    known = with_symbol(spots.select("block", "at", "word").join(learned, "word", "left")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol", *(F.coalesce(g, F.lit(0.0)).cast("float").alias(g) for g in states))
+    spots = blocks.select("block", "symbols", F.posexplode("words").alias("at", "word")).select("block", "at", "word", F.col("symbols")[F.col("at")].alias("class"))
+    known = with_symbol(spots.join(learned, "word", "left"), F.col("class")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol", F.coalesce("q", F.lit(0)).alias("q"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     names = [c.split()[0] for c in schema.split(", ")]
-    emit, move, first, later = model
+    emit, move, first = model
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("at").to_numpy()
-        c, symbol, by_state = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros((len(at), o.states))
-        c[at], symbol[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy()
-        for k, g in enumerate(states):
-            by_state[at, k] = right.column(g).to_numpy()
-        shares = word_shares(c, symbol, by_state, tokens, kinds, cut, of_class, whole_class, o)
-        chances = np.vstack([emit[symbol] * shares, emit[o.end]])
+        c, symbol, q = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+        c[at], symbol[at], q[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy(), right.column("q").to_numpy()
+        chances = np.empty((len(at) + 1, o.states))
+        chances[-1] = emit[o.end]
+        for lo in range(0, len(at), 1 << 16):
+            part = slice(lo, min(len(at), lo + (1 << 16)))
+            chances[part] = emit[symbol[part]] * word_shares(c[part], symbol[part], _by_state(c[part], q[part], o), tokens, kinds, cut, of_class, whole_class, o)
         base, seen = np.log10(c + 0.5) - unit, c > 0
         out: list[list] = [[] for _ in names]
         for row in range(left.num_rows):
             seq = np.frombuffer(left.column("seq")[row].as_buffer(), dtype=np.int32)
             bounds = np.r_[0, np.cumsum(left.column("sizes")[row].values.to_numpy())].astype(np.int64)
             ids, train = left.column("doc_ids")[row].as_py(), left.column("trains")[row].as_py()
-            total = lambda v: np.array([v[a:b].sum() for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+            total = lambda v: np.array([v[seq[a:b]].sum() for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
             out[0] += ids
             out[1] += [not t for t in train]
             out[2] += (np.diff(bounds) + 1).tolist()
-            out[3] += (total(seen[seq].astype(np.int64)) + (trains > 0)).astype(np.int64).tolist()
+            out[3] += (total(seen) + (trains > 0)).astype(np.int64).tolist()
             out[4] += [whole] * len(ids)
-            out[5] += (total(base[seq]) + np.log10(trains + 0.5) - unit).tolist()
-            out[6] += log_likelihoods([np.append(seq[a:b], len(at)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], (chances, move, first, later)).tolist()
+            out[5] += (total(base) + np.log10(trains + 0.5) - unit).tolist()
+            out[6] += log_likelihoods([np.append(seq[a:b], len(at)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], (chances, move, first)).tolist()
         kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(v, type=k) for v, k in zip(out, kinds_, strict=True)], names=names)
 
-    return blocks.select(F.col("block").alias("of"), "doc_ids", "sizes", "trains", "seq").groupBy("of").cogroup(known.groupBy("block")).applyInArrow(meet, schema)
+    # One block a task or so, however many there are.
+    parts = max(1, blocks.count())
+    left = blocks.select(F.col("block").alias("of"), "doc_ids", "sizes", "trains", "seq").repartition(parts, "of")
+    return left.groupBy("of").cogroup(known.repartition(parts, "block").groupBy("block")).applyInArrow(meet, schema)

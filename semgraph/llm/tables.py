@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a query's text that one task should take.
 TASK_BYTES = 16 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # shuffle files go once the table is written
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_kept(*frames: DataFrame) -> None:
