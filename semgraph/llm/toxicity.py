@@ -1,21 +1,29 @@
 """Counterfactually regularised toxicity classifier.
 
-Logistic regression on the words and word beginnings present in a text, fitted with proximal
-AdaGrad and an L1 penalty, on a bounded sample of labelled rows.  For each
-labelled text that names a group, the sentence is also read with the name
-swapped for each other one of its kind and with the name left out, and the
-squared change of the score is penalised.  As features are presences and the
-score is linear, those penalties sum to weighted squared differences of the
-terms' summed weights (word and beginnings), so a neutral mention of a group moves the score little.
+Logistic regression on the words and word beginnings present in a text, fitted
+with proximal AdaGrad and an L1 penalty, on a bounded sample of labelled rows.
+
+Counterfactuals are made from the labelled sentences on the executors.  A text
+that names a group is also read with the name swapped for others of its kind
+and with the name left out.  Of the texts that name none, every
+``mention_every``-th (by a hash) is read with a neutral sentence that mentions
+a group inserted between its sentences; that version is a training row with
+the text's label, and is itself swapped and compared with the text as it was.
+The squared change of the score between a version and its counterfactual is
+penalised, pair by pair, on the features that the two texts really have, so a
+neutral mention of a group moves the score little.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,31 +34,60 @@ from .tables import drop_kept, kept
 #: Lengths in bytes of the word beginnings that are features.
 PREFIXES = (4, 5, 6, 7, 8, 9, 10)
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SENTENCE = re.compile(r"[.!?]+(?=[\x20\x09-\x0D])")
+_MARKS = "".join(chr(b) for b in range(0x21, 0x7F) if not chr(b).isalnum())
+_ASCII_LOWER = {b: b + 32 for b in range(65, 91)}
+
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 
-#: Kinds of identity terms; terms of one kind may stand for each other.
-IDENTITY = {
-    "religion": ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist", "sikh", "catholic"),
-    "gender": ("woman", "man", "women", "men", "female", "male", "transgender", "nonbinary"),
-    "orientation": ("gay", "lesbian", "straight", "bisexual", "heterosexual", "homosexual", "queer"),
-    "origin": ("black", "white", "asian", "african", "latino", "arab", "european", "immigrant", "immigrants", "foreigner"),
-    "condition": ("blind", "deaf", "disabled", "autistic", "elderly", "young"),
+
+
+@dataclass(frozen=True)
+class Group:
+    """Terms that may stand for each other, and a neutral sentence that mentions one."""
+
+    terms: tuple[str, ...]
+    mention: str
+
+
+_SENTENCES = {
+    "en": "The {} neighbours came to visit.",
+    "de": "Die Nachbarn ({}) kamen zu Besuch.",
+    "es": "Los vecinos ({}) vinieron de visita.",
+    "fr": "Les voisins ({}) sont venus en visite.",
+}
+#: Identity terms by language and kind: religion, gender, orientation, origin, condition.
+_TERMS = {
+    "en": (
+        "christian muslim jewish hindu buddhist atheist sikh catholic",
+        "woman man women men female male transgender nonbinary",
+        "gay lesbian straight bisexual heterosexual homosexual queer",
+        "black white asian african latino arab european immigrant foreigner",
+        "blind deaf disabled autistic elderly young",
+    ),
+    "de": ("christen muslime juden hindus buddhisten atheisten katholiken", "frau mann frauen männer", "schwul lesbisch heterosexuell bisexuell", "schwarze weiße asiaten afrikaner araber europäer einwanderer ausländer", "blind taub behindert alt jung"),
+    "es": ("cristianos musulmanes judíos hindúes budistas ateos católicos", "mujer hombre mujeres hombres", "gais lesbianas heterosexuales bisexuales", "negros blancos asiáticos africanos árabes europeos inmigrantes extranjeros", "ciegos sordos discapacitados ancianos jóvenes"),
+    "fr": ("chrétiens musulmans juifs hindous bouddhistes athées catholiques", "femme homme femmes hommes", "gays lesbiennes hétérosexuels bisexuels", "noirs blancs asiatiques africains arabes européens immigrés étrangers", "aveugles sourds handicapés âgés jeunes"),
 }
+IDENTITY = tuple(Group(tuple(kind.split()), _SENTENCES[lang]) for lang, kinds in _TERMS.items() for kind in kinds)
 
 
 @dataclass(frozen=True)
 class ToxicityFit:
-    """sample: the most labelled rows that are fitted on; min_rows: texts a word must occur in to be a feature; features: those kept whose share differs most between the labels; change: weight of the counterfactual penalty."""
+    """sample: the most labelled rows that are fitted on; min_rows: texts a word must occur in to be a feature; features: those kept whose share differs most between the labels; change: weight of the counterfactual penalty; swaps: other terms that a named one is swapped for; mention_every: of texts that name no group, one in so many is given a mention."""
 
     sample: int = 6_000
     min_rows: int = 4
     features: int = 3_000
     l1: float = 2e-4
-    change: float = 1.0
+    change: float = 4.0
+    swaps: int = 2
+    mention_every: int = 2
     rounds: int = 400
     rate: float = 0.5
-    identity: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(IDENTITY))
+    identity: tuple[Group, ...] = IDENTITY
 
 
 @dataclass(frozen=True)
@@ -118,30 +155,146 @@ def _keys_of(term: str) -> np.ndarray:
     return np.concatenate([k for _, k in _features(pa.array([term], type=pa.large_string()))])
 
 
+class Counterfactuals:
+    """The versions of a text that are read: (rows of the loss, the one that is compared, the others), texts made one by one."""
+
+    def __init__(self, o: ToxicityFit):
+        self.o = o
+        self.group = {t: g for g in o.identity for t in g.terms}
+        self.any = re.compile("|".join(re.escape(t) for t in sorted(self.group, key=len, reverse=True)), re.I) if self.group else None
+
+    def named(self, text: str) -> dict[str, list[tuple[int, int]]]:
+        """The places of each term that stands as a word."""
+        found: dict[str, list[tuple[int, int]]] = {}
+        if self.any is not None and self.any.search(text):
+            for m in _WORD.finditer(text):
+                core = m[0].strip(_MARKS)
+                term = core.translate(_ASCII_LOWER)
+                if term in self.group:
+                    at = m.start() + m[0].index(core)
+                    found.setdefault(term, []).append((at, at + len(core)))
+        return found
+
+    def others(self, term: str, turn: int) -> list[str]:
+        terms = [t for t in self.group[term].terms if t != term]
+        return [terms[(turn + i) % len(terms)] for i in range(min(self.o.swaps, len(terms)))] if terms else []
+
+    def versions(self, text: str) -> tuple[int, int, Iterator[str]]:
+        """(rows of the loss, which of them the versions after them are compared with, all versions)."""
+        turn = xxhash.xxh3_64_intdigest(text)
+        found = self.named(text)
+        if found:
+            return 1, 0, itertools.chain([text], (self.put(text, found[t], b) for t in sorted(found) for b in [*self.others(t, turn), ""]))
+        if not self.group or turn % self.o.mention_every:
+            return 1, 0, iter([text])
+        group = self.o.identity[turn // 64 % len(self.o.identity)]
+        term = group.terms[turn // 8192 % len(group.terms)]
+        ends = [m.end() for m in _SENTENCE.finditer(text)] or [len(text)]
+        at = ends[turn // 2**20 % len(ends)]
+        own = [term, *self.others(term, turn // 2**40)]
+        return 2, 1, itertools.chain([text], (f"{text[:at]} {group.mention.format(t)} {text[at:]}" for t in own))
+
+    @staticmethod
+    def put(text: str, places: list[tuple[int, int]], term: str) -> str:
+        parts, last = [], 0
+        for lo, hi in places:
+            parts += (text[last:lo], term)
+            last = hi
+        return "".join([*parts, text[last:]])
+
+
+def _by_step(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], pa.Array]]:
+    """(owners, texts) in steps of STEP_BYTES characters or of one longer text."""
+    owners, some, held = [], [], 0
+    for owner, text in texts:
+        if some and held + len(text) > X.STEP_BYTES:
+            yield owners, pa.array(some, type=pa.large_string())
+            owners, some, held = [], [], 0
+        owners.append(owner)
+        some.append(text)
+        held += len(text)
+    if some:
+        yield owners, pa.array(some, type=pa.large_string())
+
+
 def _screened(some: DataFrame, o: ToxicityFit, share: float) -> np.ndarray:
     """The features whose share of toxic texts lies farthest from the whole's, in standard deviations, and those of identity terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Counterfactuals(o)
         for batch in batches:
-            column, label = X.texts(batch.column(0)), batch.column(1).to_numpy() > 0
-            for lo, hi in X.steps(column):
-                row, keys = presences(column.slice(lo, hi - lo))
+            label = batch.column(1).to_numpy() > 0
+
+            def read(column=X.texts(batch.column(0))) -> Iterator[tuple[int, str]]:
+                for i, text in enumerate(column):
+                    rows, _, texts = made.versions(text.as_py())
+                    yield from ((i, x) for x in itertools.islice(texts, rows))
+
+            for owners, column in _by_step(read()):
+                row, keys = presences(column)
                 names, place = np.unique(keys, return_inverse=True)
-                n, t = np.bincount(place, minlength=len(names)), np.bincount(place, weights=label[lo:hi][row], minlength=len(names))
+                n, t = np.bincount(place, minlength=len(names)), np.bincount(place, weights=label[np.array(owners)[row]], minlength=len(names))
                 yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n), pa.array(t.astype(np.int64))], names=["key", "n", "t"])
 
-    counts = some.mapInArrow(count, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where(F.col("n") >= o.min_rows)
+    counts = some.mapInArrow(count, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     apart = F.abs(F.col("t") - share * F.col("n")) / F.sqrt(share * (1 - share) * F.col("n"))
-    identity = np.concatenate([_keys_of(t) for terms in o.identity.values() for t in terms]).view(np.int64).tolist() if o.identity else []
-    best = counts.orderBy(apart.desc(), "key").limit(o.features).select("key").collect()
-    named = counts.where(F.col("key").isin(identity)).select("key").collect() if identity else []
-    return np.unique(np.array([r["key"] for r in [*best, *named]], dtype=np.int64).view(np.uint64))
+    identity = np.unique(np.concatenate([_keys_of(t) for g in o.identity for t in g.terms])).view(np.int64).tolist() if o.identity else []
+    best = counts.where(F.col("n") >= o.min_rows).orderBy(apart.desc(), "key").limit(o.features).select("key").collect()
+    return np.unique(np.array([*(r["key"] for r in best), *identity], dtype=np.int64).view(np.uint64))
+
+
+@dataclass(frozen=True)
+class Rows:
+    """What is fitted: (row, place) of the features present in n rows with labels y, and of the differences of pairs (sign: 1 or -1)."""
+
+    y: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+    pairs: int
+    pair: np.ndarray
+    spot: np.ndarray
+    sign: np.ndarray
+
+
+def gathered(found: list[tuple[int, int, int, list[np.ndarray]]]) -> Rows:
+    """From (label, rows of the loss, the compared one, places of each version's features) of each text."""
+    y, rows, pairs = [], [], []
+    for label, own, base, versions in found:
+        y += [float(label)] * own
+        rows += versions[:own]
+        for other in [*versions[:base], *versions[own:]]:
+            pairs.append((np.setdiff1d(versions[base], other), np.setdiff1d(other, versions[base])))
+    none = np.zeros(0, np.int64)
+    sizes = [(len(a), len(b)) for a, b in pairs]
+    return Rows(
+        np.array(y), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([none, *rows]),
+        len(pairs), np.repeat(np.arange(len(pairs)), [a + b for a, b in sizes]), np.concatenate([none, *(x for p in pairs for x in p)]), np.repeat(np.tile([1.0, -1.0], len(pairs)), [n for s in sizes for n in s]),
+    )
+
+
+def objective(w: np.ndarray, bias: float, r: Rows, change: float) -> tuple[float, np.ndarray, float]:
+    """The smooth part of what is minimised and its gradients: balanced log loss, and ``change`` times the mean squared change of the score over pairs."""
+    weight = np.where(r.y > 0, 0.5 / r.y.mean(), 0.5 / (1 - r.y.mean())) / len(r.y)
+    z = bias + np.bincount(r.row, weights=w[r.place], minlength=len(r.y))
+    loss = float((weight * (np.logaddexp(0, z) - r.y * z)).sum())
+    off = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - r.y)
+    grad = np.bincount(r.place, weights=off[r.row], minlength=len(w))
+    if r.pairs and change:
+        apart = np.bincount(r.pair, weights=r.sign * w[r.spot], minlength=r.pairs)
+        loss += change * float((apart**2).mean())
+        grad += np.bincount(r.spot, weights=2 * change / r.pairs * apart[r.pair] * r.sign, minlength=len(w))
+    return loss, grad, float(off.sum())
 
 
 def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Fits on the rows of ``labelled``, at most ``options.sample``; only the chosen features of each reach the driver."""
+    """Fits on the rows of ``labelled``, at most ``options.sample``; only the chosen features of each reach the driver.
+
+    A null label is left out, a null text counts as empty, repeated rows each
+    count.  With labels of one kind only, every text is scored by them alone.
+    """
     o = options or ToxicityFit()
-    some = kept(labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("label")).limit(o.sample), "labelled")
+    chosen = labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("label")).limit(o.sample)
+    some = kept(chosen.repartition(16), "labelled")
     total = some.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
     if not total["n"] or total["t"] in (0, total["n"]):
         drop_kept(some)
@@ -150,58 +303,39 @@ def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "te
     screen = ToxicityModel(words, np.ones(len(words)), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Counterfactuals(o)
         for batch in batches:
-            column = X.texts(batch.column(0))
-            for lo, hi in X.steps(column):
-                row, place = known(column.slice(lo, hi - lo), screen) if len(words) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                parts = np.split(place.astype(np.int32), np.searchsorted(row, np.arange(1, hi - lo)))
-                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in parts], type=pa.binary()), batch.column(1).slice(lo, hi - lo)], names=["places", "label"])
-
-    pairs = sorted((bytes(r["places"]), r["label"]) for r in some.mapInArrow(run, "places binary, label int").collect())
+            loss, base, found = [], [], []
+
+            def read(column=X.texts(batch.column(0))) -> Iterator[tuple[int, str]]:
+                for i, text in enumerate(column):
+                    rows, at, texts = made.versions(text.as_py())
+                    loss.append(rows)
+                    base.append(at)
+                    found.append([])
+                    yield from ((i, x) for x in texts)
+
+            for owners, column in _by_step(read()):
+                row, place = known(column, screen) if len(words) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                for owner, part in zip(owners, np.split(place.astype(np.int32), np.searchsorted(row, np.arange(1, len(owners)))), strict=True):
+                    found[owner].append(part.tobytes())
+            kinds = [pa.int32(), pa.int32(), pa.list_(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, type=k) for c, k in zip((loss, base, found), kinds, strict=True))], names=["label", "loss", "base", "found"])
+
+    texts = sorted((r["label"], r["loss"], r["base"], [bytes(v) for v in r["found"]]) for r in some.mapInArrow(run, "label int, loss int, base int, found array<binary>").collect())
     drop_kept(some)
-    y = np.array([float(b) for _, b in pairs])
-    rows = [np.frombuffer(k, dtype=np.int32) for k, _ in pairs]
-    row, place = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
-
-    # Swaps: a text that holds term a is read with each b of a's kind, and without a.
-    at = {int(w): i for i, w in enumerate(words)}
-    texts_with = np.bincount(place, minlength=len(words))
-    has: list[np.ndarray] = []
-    a, b, times = [], [], []
-    for terms in o.identity.values():
-        own = []
-        for term in terms:
-            keys_ = _keys_of(term).tolist()
-            if keys_[0] in at:
-                row_ = np.zeros(len(words))
-                row_[[at[k] for k in keys_ if k in at]] = 1
-                own.append((len(has), texts_with[at[keys_[0]]] / len(y)))
-                has.append(row_)
-        for i, n in own:
-            a += [i] * len(own)
-            b += [j for j, _ in own if j != i] + [-1]
-            times += [n] * len(own)
-    a, b, times = np.array(a, np.int64), np.array(b, np.int64), np.array(times)
-    term_rows = np.stack(has) if has else np.zeros((0, len(words)))
-
-    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w, bias = np.zeros(len(words)), float(np.log(y.mean() / (1 - y.mean())))
+    rows = gathered([(y, n, b, [np.frombuffer(v, dtype=np.int32).astype(np.int64) for v in found]) for y, n, b, found in texts])
+
+    w, bias = np.zeros(len(words)), float(np.log(rows.y.mean() / (1 - rows.y.mean())))
     seen, seen_bias = np.full(len(words), 1e-8), 1e-8
     for _ in range(o.rounds):
-        z = bias + np.bincount(row, weights=w[place], minlength=len(y))
-        off = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
-        grad = np.bincount(place, weights=off[row], minlength=len(words))
-        if len(a):
-            sums = np.append(term_rows @ w, 0.0)  # the last stands for the term left out
-            apart = 2 * o.change * times * (sums[a] - sums[b])
-            pull = np.bincount(a, weights=apart, minlength=len(has)) - np.bincount(b[b >= 0], weights=apart[b >= 0], minlength=len(has))
-            grad += pull @ term_rows
+        _, grad, off = objective(w, bias, rows, o.change)
         seen += grad**2
         step = o.rate / np.sqrt(seen)
         w -= step * grad
         w = np.sign(w) * np.maximum(np.abs(w) - step * o.l1, 0)
-        seen_bias += off.sum() ** 2
-        bias -= o.rate * off.sum() / np.sqrt(seen_bias)
+        seen_bias += off**2
+        bias -= o.rate * off / np.sqrt(seen_bias)
     used = w != 0
     return ToxicityModel(words[used], w[used], bias)
 
