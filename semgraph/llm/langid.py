@@ -1,7 +1,7 @@
 """Language identification by compression.
 
 For each language a zstandard raw-content dictionary is made of a bounded
-sample of its training texts.  A text's letters are cut into chunks that are
+sample of its training texts, each taken whole.  A text's letters are cut into chunks that are
 compressed with every dictionary; the language whose dictionary gives the fewest bytes in
 all is chosen, and the choice is rejected where the next one is nearly as small.
 """
@@ -32,25 +32,49 @@ def letters(text: str) -> str:
 
 @dataclass(frozen=True)
 class LangFit:
-    """texts, chars: of each language at most so many texts with so many characters each make its dictionary."""
+    """texts: of each language at most so many whole, different texts make its dictionary; usual: longer texts (in characters) are taken only where shorter ones are too few."""
 
-    texts: int = 400
-    chars: int = 500
+    texts: int = 200
+    usual: int = 20_000
     level: int = 5
     chunk: int = 4096
     margin: float = 0.01
 
 
+def sample(docs: DataFrame, o: LangFit, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, h, text): of each language the ``o.texts`` different texts with the smallest hashes, those of at most ``o.usual`` characters first.
+
+    Different texts are counted by language with partial aggregation; a row's
+    hash then tells at once whether it may be among the smallest, so about
+    twice the wanted rows are all that meets by language, and all that carries
+    a text, however many rows a language has.
+    """
+    session = docs.sparkSession
+    usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    usable = usable.select("*", F.explode(F.array(F.xxhash64("text"))).alias("h")).withColumn("short", F.length("text") <= o.usual)
+    counts = usable.groupBy("lang", "h").agg(F.max("short").alias("short")).groupBy("lang").agg(F.count("*").alias("n"), F.count_if("short").alias("s")).collect()
+    found = []
+    for r in counts:
+        only = r["s"] >= o.texts
+        n = r["s"] if only else r["n"]
+        # Twice the rows that are wanted: fewer than wanted fall below in less than one of 10**9 cases.
+        share = min(1.0, 2 * max(o.texts, 50) / n)
+        found.append((r["lang"], only, int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1))
+    # One row a language.
+    bounds = session.createDataFrame(found, "lang string, only boolean, most long")
+    near = usable.join(F.broadcast(bounds), "lang").where((F.col("h") <= F.col("most")) & (F.col("short") | ~F.col("only"))).dropDuplicates(["lang", "h"])
+    first = Window.partitionBy("lang").orderBy(F.desc("short"), "h")
+    return near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= o.texts).select("lang", "h", "text")
+
+
 def fit(docs: DataFrame, options: LangFit | None = None, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """A dictionary's content for each language of ``docs``; which texts is decided by a hash."""
+    """A dictionary's content for each language of ``docs``, from whole texts; which ones is decided by a hash.
+
+    Null languages and null or empty texts are left out; repeated texts count once.
+    """
     o = options or LangFit()
-    usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    middle = F.expr(f"substring(text, 1 + cast(greatest(length(text) - {o.chars}, 0) / 2 as int), {o.chars})")
-    # The hash goes first alone, so that whole texts are neither sorted nor sent.
-    some = usable.select("lang", "h", middle.alias("text")).withColumn("n", F.row_number().over(first)).where(F.col("n") <= o.texts)
     found: dict[str, list[bytes]] = {}
-    for row in sorted(some.select("lang", "n", "text").collect()):
+    for row in sorted(sample(docs, o, text, lang).collect()):
         found.setdefault(row["lang"], []).extend(filter(None, (letters(x).encode() for x in _SENTENCE.split(row["text"]))))
     # Passages that go from text to text would mark their copies in another language's texts.
     often = Counter(x for parts in found.values() for x in parts)
@@ -89,7 +113,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], options: LangFit |
     score: m / (m + 0.02) for the margin m = 1 - fewest / next fewest bytes; 1
     where only one language is known.  rejected: m is below ``options.margin``.
     A null text or one without letters is ``und`` with score 0, as is every
-    text where no language was learned.  Whole texts are read, in one pass.
+    text where no language was learned.  Where two dictionaries give the same
+    bytes the name that sorts first is taken.  Whole texts are read, in one
+    pass; repeated rows each give a row; an empty table gives an empty one.
     """
     o = options or LangFit()
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
