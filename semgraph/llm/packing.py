@@ -1,10 +1,11 @@
 """Packing of tokenized documents into sequences of one length.
 
 A document's ids are cut at multiples of the length.  Whole pieces fill a
-sequence each.  The last piece of each document goes to a random group of about
-``group`` documents; in a group, pieces are placed in falling order of length
-into the first sequence with room (first-fit decreasing), found by walking a
-tournament tree of the room left.  Groups are bounded and independent.
+sequence each.  The last piece of each document goes to one of a few open
+groups at random; a group that has ``group`` pieces is packed: pieces are placed
+in falling order of length into the first sequence with room (first-fit
+decreasing), found by walking a tournament tree of the room left.  Groups lie
+within a task, so ids are never shuffled, and are bounded and independent.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,41 +24,63 @@ from pyspark.sql import functions as F
 from . import textops as X
 from .wordids import WordIds
 
-#: Sequence ids of whole pieces begin here; those of packed ones are below.
-WHOLE = 1 << 62
-
-
 #: What may follow a word as a piece of its own, and words it may follow: letters that no rule joins to it.
 _MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b not in b"'")
 _LETTERS = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: Bytes of text that are taken at once; a longer text goes alone.
+STEP = 8 << 20
 
 
-@lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    """Ids of words, A-Z lower-cased; a word of letters and the marks after it are encoded apart, each once."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Ids(WordIds):
+    """Ids of texts by their words, A-Z lower-cased; a word of letters and the marks after it are encoded apart, each once.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    The tokenizer's special tokens are found in a text as it is, wherever they stand, and are one id each.
+    """
 
-    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # text() has found them; in a lower-cased word they are ordinary text
+        self.special: dict[str, int] = {}
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.normalized or token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"the added token {token.content!r} is not found as it is")
+            self.special[token.content] = number
+        names = sorted(self.special, key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(re.escape(n.encode()) for n in names) + b")").split if names else None
+        self.marks = {n.encode() for n in names}
+        self.pieces = WordIds(self._encode, limit=400_000)
+        super().__init__(self._split, limit=200_000)
+
+    def text(self, data: bytes) -> np.ndarray:
+        """The numbers of a text's words and special tokens; the latter are str among bytes."""
+        if self.cut is not None and any(m in data for m in self.marks):
+            parts = self.cut(data)
+            return self.number(w for i, part in enumerate(parts) for w in ((part.decode(),) if i % 2 else part.lower().split()))
+        return self.number(data.lower().split())
+
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         flat: list[int] = []
         length: list[int] = []
         for lo in range(0, len(pieces), 4096):
-            for one in tokenizer.encode_batch_fast([w.decode() for w in pieces[lo : lo + 4096]], add_special_tokens=False):
+            for one in self.tokenizer.encode_batch_fast([w.decode() for w in pieces[lo : lo + 4096]], add_special_tokens=False):
                 ids = one.ids
                 flat += ids
                 length.append(len(ids))
         return np.array(flat, dtype=np.uint32), np.array(length, dtype=np.int64)
 
-    pieces = WordIds(encode, limit=400_000)
-
-    def split(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        pieces.rest()
+    def _split(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
+        self.pieces.rest()
         parts: list[bytes] = []
         counts: list[int] = []
+        fixed: dict[int, int] = {}
         for word in words:
+            if isinstance(word, str):
+                fixed[len(counts)] = self.special[word]
+                counts.append(0)
+                continue
             core = word.rstrip(_MARKS)
             if core and len(core) < len(word) and _LETTERS.fullmatch(core.decode()):
                 parts += (core, word[len(core) :])
@@ -66,14 +88,22 @@ def _word_ids(path: str) -> WordIds:
             else:
                 parts.append(word)
                 counts.append(1)
-        numbers = pieces.number(parts)
-        pieces.settle()
+        numbers = self.pieces.number(parts)
+        self.pieces.settle()
         sizes = np.zeros(len(numbers) + 1, dtype=np.int64)
-        np.cumsum(pieces.length[numbers], out=sizes[1:])
-        ends = np.cumsum(np.array(counts))
-        return pieces.ids(numbers), sizes[ends] - sizes[ends - np.array(counts)]
+        np.cumsum(self.pieces.length[numbers], out=sizes[1:])
+        ends = np.cumsum(np.array(counts, dtype=np.int64))
+        flat, lengths = self.pieces.ids(numbers), sizes[ends] - sizes[ends - np.array(counts, dtype=np.int64)]
+        if fixed:
+            begins = np.cumsum(lengths) - lengths
+            at = np.array(list(fixed))
+            flat, lengths[at] = np.insert(flat, begins[at], list(fixed.values())), 1
+        return flat, lengths
+
 
-    return WordIds(split, limit=200_000)
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> _Ids:
+    return _Ids(path)
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,77 +127,71 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, places
 
 
-def _pieces(docs: DataFrame, key: str, text: str, path: str, end_id: int, capacity: int, groups: int) -> DataFrame:
-    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, whole boolean, grp long, sequence_id long"
+def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, group: int = 4096, key: str = "doc_id", text: str = "text", opened: int = 4) -> DataFrame:
+    """A row for each piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
+
+    path: a tokenizer file whose tokenizer lower-cases, and treats words between
+    white space, and letters and marks within them, on their own; special
+    tokens that stand in a text count as such.  Every document ends with
+    ``end_id``; a null or empty text is that id alone.  Each id lies in one
+    piece, and a sequence's pieces follow each other without a gap.  Repeated
+    rows are packed each by itself; a null id stays null; no documents give no
+    pieces; other columns are not looked at.
+
+    A task packs the documents of its own partition, of which ``opened`` groups
+    of at most ``group`` last pieces are held.  Partitions of fewer than some
+    hundred documents leave more padding, one part-filled sequence or so each.
+    """
+    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     names = [x.split()[0] for x in schema.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task, made = _word_ids(path), TaskContext.get().partitionId(), 0
+        words, task, made, seen = _word_ids(path), TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], dtype=np.uint32)
+        groups: list[list[tuple]] = [[] for _ in range(opened)]
 
-        def rows(doc, ids: np.ndarray) -> Iterator[tuple]:
+        def rows(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(found), 1024):
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*found[lo : lo + 1024], strict=True), kinds, strict=True)], names=names)
+
+        def packed(pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
             nonlocal made
-            for start in range(0, len(ids), capacity):
-                piece = ids[start : start + capacity]
-                whole, made = len(piece) == capacity, made + 1
-                yield doc, start, len(piece), piece.tobytes(), len(ids), whole, None, WHOLE + (task << 36) + made if whole else None
+            bins, places = first_fit_decreasing(np.array([p[2] for p in pieces]), capacity)
+            first = (task << 40) + made
+            made += int(bins.max()) + 1
+            yield from rows([(*p, first + b, o) for p, b, o in zip(pieces, bins.tolist(), places.tolist(), strict=True)])
 
         for batch in batches:
             column = X.texts(batch.column(1))
-            for lo, hi in X.steps(column, 32 << 20):
-                numbers = [words.number(x.as_buffer().to_pybytes().lower().split()) for x in column.slice(lo, hi - lo)]
+            for lo, hi in X.steps(column, STEP):
+                numbers = [words.text(x.as_buffer().to_pybytes()) for x in column.slice(lo, hi - lo)]
                 words.settle()
-                for first in range(0, len(numbers), 256):
-                    out = [row for doc, x in zip(batch.column(0).slice(lo + first, 256).to_pylist(), numbers[first : first + 256], strict=False) for row in rows(doc, np.concatenate([words.ids(x), end]))]
-                    columns = [list(c) for c in zip(*out, strict=True)]
-                    columns[6] = X.mix(np.arange(made - len(out), made, dtype=np.uint64) + (np.uint64(task) << np.uint64(36))) % np.uint64(groups)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                whole: list[tuple] = []
+                for doc, x in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), numbers, strict=True):
+                    ids = np.concatenate([words.ids(x), end])
+                    last = len(ids) // capacity * capacity
+                    for start in range(0, last, capacity):
+                        whole.append((doc, start, capacity, ids[start : start + capacity].tobytes(), len(ids), (task << 40) + made, 0))
+                        made += 1
+                    if len(whole) >= 1024:
+                        yield from rows(whole)
+                        whole = []
+                    if last < len(ids):
+                        own = groups[int(X.mix(np.array([seen + (task << 40)], dtype=np.uint64))[0] >> np.uint64(32)) % opened]
+                        seen += 1
+                        own.append((doc, last, len(ids) - last, ids[last:].tobytes(), len(ids)))
+                        if len(own) == group:
+                            yield from packed(own)
+                            own.clear()
+                yield from rows(whole)
                 del numbers
                 words.rest()
+        # What is left is dealt anew, so that a task ends with as few part-filled groups as it can.
+        left = [p for own in groups for p in own]
+        parts = max(1, -(-len(left) // group))
+        for i in range(parts):
+            if left[i::parts]:
+                yield from packed(left[i::parts])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
-
-
-def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, group: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
-
-    path: a tokenizer file whose tokenizer lower-cases, and treats words between
-    white space, and letters and marks within them, on their own.  Every document ends with ``end_id``; a null or empty text is
-    that id alone.  Each id lies in one piece, and a sequence's pieces follow
-    each other without a gap.  Repeated rows are packed each by itself; a null
-    id stays null; no documents give no pieces.
-    """
-    groups = max(1, -(-docs.count() // group))
-    pieces = _pieces(docs, key, text, path, end_id, capacity, groups)
-    dealt = pieces.repartition("grp").sortWithinPartitions("grp")
-    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    names = [x.split()[0] for x in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            table = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("doc_tokens", "ascending")])
-            bins, places = first_fit_decreasing(table.column("length").to_numpy(), capacity)
-            ids = (table.column("grp").to_numpy() << 32) + bins
-            done = table.select(names[:5]).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(places))
-            yield from done.to_batches(max_chunksize=1024)
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            whole = batch.column(5)
-            direct = batch.filter(whole)
-            if direct.num_rows:
-                yield pa.RecordBatch.from_arrays([*direct.columns[:5], direct.column(7), pa.array(np.zeros(direct.num_rows, np.int64))], names=names)
-            loose = batch.filter(pc.invert(whole))
-            grp = loose.column(6).to_numpy()
-            cuts = np.r_[0, np.flatnonzero(grp[1:] != grp[:-1]) + 1, len(grp)] if len(grp) else np.zeros(1, int)
-            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                part = loose.slice(lo, hi - lo)
-                if held and held[-1].column(6)[0] != part.column(6)[0]:
-                    yield from packed(pa.Table.from_batches(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield from packed(pa.Table.from_batches(held))
-
-    return dealt.mapInArrow(run, schema)
