@@ -1,13 +1,16 @@
 """Exact top-k search by inner product: a Voronoi join.
 
-Vectors are assigned to the nearest of a bounded number of pivots.  From each
-cell's radius and size alone follows, for the queries of a cell, a lower bound
-of their k-th best score, and for each vector an upper bound of its score with
-any query of the cell.  A vector is sent to the query cells where its bound
-reaches; each is solved locally in blocks, and the blocks' best merge.
-
-With q = p + d, |d| <= r and x = c + e, |e| <= s:
-    q.x >= p.c - r|c| - |p|s - rs,    q.x <= p.x + r|x|.
+Vectors are assigned to the nearest of a bounded number of pivots.  Summaries of
+each cell (its size, radius, norms, and the distances of its innermost ids) give
+for the queries of a cell a lower bound of their k-th best score, and for each
+vector an upper bound of its score with any of them.  Query cells that need
+much the same data are put into one group, by what sending and comparing would
+cost; a vector is sent to the groups where its bound reaches, each group is
+solved locally in blocks, and the blocks' best merge.
+
+For q near pivot p with |q - p| <= r, and x near c with |x - c| <= e:
+    |q - x| <= |p - c| + r + e,  |q - x| >= |x - p| - r,  q.x = (|q|^2 + |x|^2 - |q - x|^2) / 2,
+    p.c - r|c| - |p|e - re <= q.x <= p.x + r|x|.
 """
 
 from __future__ import annotations
@@ -26,20 +29,22 @@ from .tables import kept
 
 @dataclass(frozen=True)
 class Knn:
-    """cell: vectors a cell should hold; pivots: the most cells (their table is all that tasks and driver hold); block: rows of one side of a local product."""
+    """cell: vectors a cell should hold; pivots: the most cells (their table and summaries are all that tasks and driver hold); block: rows of one side of a local product; send, compare: what sending a row and comparing a pair cost, in any one unit."""
 
     k: int = 20
     scale: int = 64
-    cell: int = 4096
-    pivots: int = 256
+    cell: int = 512
+    pivots: int = 512
     block: int = 8192
+    send: float = 3e-6
+    compare: float = 1.5e-8
 
 
-def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """(vec_id, v): ids with a vector that holds no null and no non-finite component; of an id's several, the smallest."""
+def usable(vectors: DataFrame, key: str, column: str, scale: int) -> DataFrame:
+    """(vec_id, v): the rows with an id and a vector that holds no null and no component that isn't finite, before or after scaling."""
     x = F.col(column).cast("array<double>")
-    good = F.col(key).isNotNull() & x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return vectors.where(good).groupBy(F.col(key).cast("long").alias("vec_id")).agg(F.min(x).alias("v"))
+    good = F.col(key).isNotNull() & x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) < float("inf")))
+    return vectors.where(good).select(F.col(key).cast("long").alias("vec_id"), x.alias("v"))
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
@@ -68,72 +73,148 @@ def _quantised(found: DataFrame, width: int, scale: int) -> DataFrame:
     return found.mapInArrow(run, "vec_id long, v binary, query boolean")
 
 
-def top_k(vectors: DataFrame, is_query: Column, o: Knn | None = None, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the best ``o.k`` rows for each row where ``is_query`` (over ``vec_id``) holds.
-
-    A query's own id is no candidate.  Ties go to the smaller id; with fewer
-    candidates all are given.  Ids and vectors that are null, or that hold null
-    or non-finite components, take no part; repeated ids count once.
-    """
-    o = o or Knn()
-    session = vectors.sparkSession
-    found = kept(usable(vectors, key, column).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
+class _Cells:
+    """What driver and tasks know of the cells: pivots, and which rows each group of query cells needs."""
+
+    def __init__(self, centres: np.ndarray, sums: list, inner: list, o: Knn):
+        self.centres, self.size = centres, np.linalg.norm(centres, axis=1)
+        cells = np.array([r["cell"] for r in sums])
+        rows, radius, low, high = (np.array([r[c] for r in sums], dtype=np.float64) for c in ("n", "radius", "low", "high"))
+        asked = [r for r in sums if r["queries"]]
+        self.asked = np.array([r["cell"] for r in asked], dtype=np.int64)
+        self.queries = np.array([r["queries"] for r in asked], dtype=np.int64)
+        self.reach = np.array([r["reach"] for r in asked], dtype=np.float64)
+        self.top = np.array([r["top"] for r in asked], dtype=np.float64)
+        bottom = np.array([r["bottom"] for r in asked], dtype=np.float64)
+        if not asked:
+            return
+        p, spot = centres[self.asked], {int(c): i for i, c in enumerate(cells)}
+        at = np.array([spot[r["cell"]] for r in inner], dtype=np.int64)
+        near = np.array([r["far"] for r in inner], dtype=np.float64)
+        ids = np.array([r["vec_id"] for r in inner], dtype=np.int64)
+        c = centres[cells]
+        dot, apart = p @ c.T, np.sqrt(np.maximum((self.size[self.asked] ** 2)[:, None] + self.size[cells] ** 2 - 2 * p @ c.T, 0))
+        self.least = np.full(len(asked), -np.inf)  # of the k-th best score of any query of the cell
+        for g in range(len(asked)):
+            r = self.reach[g]
+            linear = dot[g][at] - r * self.size[cells][at] - self.size[self.asked[g]] * near - r * near
+            ball = (bottom[g] ** 2 + low[at] ** 2 - (apart[g][at] + r + near) ** 2) / 2
+            bound = np.maximum(linear, ball)
+            order = np.argsort(-bound, kind="stable")
+            _, first = np.unique(ids[order], return_index=True)  # of an id's rows, the best; one id may be the query's own
+            best = np.sort(bound[order][first])[::-1]
+            if len(best) > o.k:
+                self.least[g] = best[o.k]
+        self.least -= 1e-9 * (self.top**2 + high.max() ** 2 + 1)
+        gap = np.maximum(apart - self.reach[:, None] - radius, 0)
+        r = self.reach[:, None]
+        most = np.minimum((self.top[:, None] ** 2 + high**2 - gap**2) / 2, dot + r * self.size[cells] + self.size[self.asked][:, None] * radius + r * radius)
+        self._group(most >= self.least[:, None], rows, o)
+
+    def _group(self, needs: np.ndarray, rows: np.ndarray, o: Knn) -> None:
+        """Joins query cells while that spares more sending than it adds comparing; sets group (of each query cell), parts and slots."""
+        union, count, self.group = np.zeros((0, len(rows)), dtype=bool), np.zeros(0, np.int64), np.zeros(len(needs), np.int64)
+        for g in np.argsort(-self.queries, kind="stable"):
+            q, own = self.queries[g], needs[g] @ rows
+            both = (union | needs[g]) @ rows
+            alone = union @ rows
+            spared = o.send * (own + alone - both) - o.compare * (q * (both - own) + count * (both - alone))
+            spared[count + q > o.block] = -1
+            best = int(spared.argmax()) if len(spared) else -1
+            if best < 0 or spared[best] < 0:
+                best, union, count = len(count), np.vstack([union, needs[g]]), np.append(count, q)
+            else:
+                union[best] |= needs[g]
+                count[best] += q
+            self.group[g] = best
+        self.parts = -(-count // o.block)
+        self.slots = np.maximum(1, -(-(union @ rows).astype(np.int64) // o.block))
+
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each row and its distance from the pivot."""
+        cell = (self.size**2 - 2 * x @ self.centres.T).argmin(axis=1) if len(x) else np.zeros(0, np.int64)
+        return cell, np.linalg.norm(x - self.centres[cell], axis=1)
+
+    def wanted(self, x: np.ndarray) -> np.ndarray:
+        """(row, group): whether a row may be among the best k of a query of the group."""
+        p, norm = self.centres[self.asked], (x**2).sum(axis=1)[:, None]
+        dot = x @ p.T
+        gap = np.maximum(np.sqrt(np.maximum(norm + self.size[self.asked] ** 2 - 2 * dot, 0)) - self.reach, 0)
+        reached = np.minimum((self.top**2 + norm - gap**2) / 2, dot + np.sqrt(norm) * self.reach) >= self.least
+        out = np.zeros((len(x), len(self.parts)), dtype=bool)
+        for g in range(len(self.asked)):
+            out[:, self.group[g]] |= reached[:, g]
+        return out
+
+
+def _plan(vectors: DataFrame, is_query: Column, o: Knn, key: str, column: str) -> tuple[DataFrame, _Cells] | None:
+    """The assigned rows (vec_id, v, query, cell, far, norm) and the cells; None where there are no queries."""
+    found = usable(vectors, key, column, o.scale).withColumn("query", F.coalesce(is_query, F.lit(False)))
     about = found.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
-    schema = "query_id long, rank int, vec_id long, score long"
     if not about["n"] or not about["width"]:
-        return session.createDataFrame([], schema)
+        return None
     n, width = about["n"], about["width"]
     data = _quantised(found, width, o.scale)
-
-    count = min(o.pivots, -(-n // o.cell))
-    chosen = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(count).select("v").collect()
-    centres = np.unique(np.stack([np.frombuffer(r["v"], dtype=np.float64) for r in chosen]), axis=0)
-    size = np.linalg.norm(centres, axis=1)
+    chosen = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(min(o.pivots, -(-n // o.cell))).select("v").collect()
+    cells = _Cells(np.unique(np.stack([np.frombuffer(r["v"], dtype=np.float64) for r in chosen]), axis=0), [], [], o)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _rows(batch.column(1), width)
-            cell = (size**2 - 2 * x @ centres.T).argmin(axis=1) if len(x) else np.zeros(0, np.int64)
-            far = np.linalg.norm(x - centres[cell], axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)], names=["vec_id", "v", "query", "cell", "far"])
-
-    celled = kept(data.mapInArrow(assign, "vec_id long, v binary, query boolean, cell int, far double"), "cells")
-    sums = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.count_if("query").alias("queries"), F.max(F.when(F.col("query"), F.col("far"))).alias("reach")).collect()
-    cells = np.array([r["cell"] for r in sums])
-    radius, rows = np.array([r["radius"] for r in sums]), np.array([r["n"] for r in sums])
-    asked = [(r["cell"], r["reach"], r["queries"]) for r in sums if r["queries"]]
-    if not asked:
-        return session.createDataFrame([], schema)
-    groups = np.array([g for g, _, _ in asked])
-    reach = np.array([d for _, d, _ in asked])
-    low = centres[groups] @ centres[cells].T - reach[:, None] * size[cells] - size[groups][:, None] * radius - reach[:, None] * radius
-    least = np.full(len(groups), -np.inf)  # of the k-th best score of any query of the group, its own row left out
-    for g in range(len(groups)):
-        order = np.argsort(-low[g])
-        enough = np.flatnonzero(np.cumsum(rows[order]) >= o.k + 1)
-        if len(enough):
-            least[g] = low[g][order[enough[0]]]
-    least -= 1e-6 * (1 + np.abs(least))
-    parts = {int(g): -(-int(q) // o.block) for g, _, q in asked}
-    slots = max(1, -(-n // o.block))
+            cell, far = cells.assign(x)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far), pa.array(np.linalg.norm(x, axis=1))], names=["vec_id", "v", "query", "cell", "far", "norm"])
+
+    celled = kept(data.mapInArrow(assign, "vec_id long, v binary, query boolean, cell int, far double, norm double"), "cells")
+    of_query = lambda c: F.when(F.col("query"), F.col(c))
+    sums = celled.groupBy("cell").agg(
+        F.count("*").alias("n"), F.max("far").alias("radius"), F.min("norm").alias("low"), F.max("norm").alias("high"),
+        F.count_if("query").alias("queries"), F.max(of_query("far")).alias("reach"), F.min(of_query("norm")).alias("bottom"), F.max(of_query("norm")).alias("top"),
+    ).collect()
+    # The innermost ids of each cell; first by sixteenths, so that no task sees more of a cell than that.
+    salted = Window.partitionBy("cell", F.pmod(F.xxhash64("vec_id"), F.lit(16))).orderBy("far", "vec_id")
+    first = celled.select("cell", "vec_id", "far").withColumn("i", F.row_number().over(salted)).where(F.col("i") <= o.k + 1)
+    inner = first.groupBy("cell", "vec_id").agg(F.min("far").alias("far")).withColumn("i", F.row_number().over(Window.partitionBy("cell").orderBy("far", "vec_id"))).where(F.col("i") <= o.k + 1)
+    cells = _Cells(cells.centres, sums, inner.select("cell", "vec_id", "far").collect(), o)
+    return (celled, cells) if len(cells.asked) else None
+
+
+def top_k(vectors: DataFrame, is_query: Column, o: Knn | None = None, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): the best ``o.k`` rows for each id where ``is_query`` (over ``vec_id``) holds.
+
+    A query meets the rows of all other ids.  Ties go to the smaller id; with
+    fewer candidates all are given.  Ids and vectors that are null, or that hold
+    null or non-finite components (``o.scale`` times x included), take no part.
+    Of a repeated id each row is a candidate, and where it is a query all its
+    rows' results are ranked together.  Shorter vectors are filled with 0;
+    scores of more than 64 bits are not defined.  No rows or no queries give no
+    rows; other columns are not looked at.
+    """
+    o = o or Knn()
+    schema = "query_id long, rank int, vec_id long, score long"
+    planned = _plan(vectors, is_query, o, key, column)
+    if planned is None:
+        return vectors.sparkSession.createDataFrame([], schema)
+    celled, cells = planned
+    width = cells.centres.shape[1]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _rows(batch.column(1), width)
-            near = x @ centres[groups].T + np.linalg.norm(x, axis=1)[:, None] * reach >= least
-            slot = X.mix(batch.column(0).to_numpy().astype(np.uint64)) % np.uint64(slots)
-            for g in range(len(groups)):
-                at = np.flatnonzero(near[:, g])
-                for part in range(parts[int(groups[g])]):
-                    for lo in range(0, len(at), 2048):
-                        some = pa.array(at[lo : lo + 2048])
-                        keys = [pa.array(np.full(len(some), groups[g], np.int32)), pa.array(np.full(len(some), part, np.int32)), pa.array(slot[at[lo : lo + 2048]].astype(np.int32))]
-                        yield pa.RecordBatch.from_arrays([*keys, batch.column(0).take(some), batch.column(1).take(some)], names=["grp", "part", "slot", "vec_id", "v"])
+            for lo in range(0, batch.num_rows, 2048):
+                ids, v = batch.column(0).slice(lo, 2048), batch.column(1).slice(lo, 2048)
+                wanted = cells.wanted(_rows(v, width))
+                # By place too, so that the rows of one id are dealt out as others are.
+                h = X.mix(ids.to_numpy().astype(np.uint64) ^ X.mix(np.arange(lo, lo + len(ids), dtype=np.uint64))) >> np.uint64(16)
+                for g in range(len(cells.parts)):
+                    at = np.flatnonzero(wanted[:, g])
+                    for part in range(int(cells.parts[g]) if len(at) else 0):
+                        keys = [np.full(len(at), g), np.full(len(at), part), h[at] % np.uint64(cells.slots[g])]
+                        yield pa.RecordBatch.from_arrays([*(pa.array(k.astype(np.int32)) for k in keys), ids.take(pa.array(at)), v.take(pa.array(at))], names=["grp", "part", "slot", "vec_id", "v"])
 
     sent = celled.select("vec_id", "v").mapInArrow(send, "grp int, part int, slot int, vec_id long, v binary")
-    queries = celled.where("query").select(F.col("cell").alias("grp"), F.pmod(F.xxhash64("vec_id"), F.create_map(*[F.lit(int(z)) for pair in parts.items() for z in pair])[F.col("cell")]).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), "vec_id", "v")
+    places = vectors.sparkSession.createDataFrame([(int(c), int(g), int(cells.parts[g]), int(cells.slots[g])) for c, g in zip(cells.asked, cells.group, strict=True)], "cell int, grp int, parts int, slots int")
+    # One row for each of at most o.pivots cells.
+    queries = celled.where("query").join(F.broadcast(places), "cell")
+    queries = queries.select("grp", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), "vec_id", "v")
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         ask, ids = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
