@@ -1,7 +1,7 @@
 """Quality rules on repetition: how much of a text lies inside repeated n-grams and lines.
 
-Each text is a run of word hashes.  For several n the hashes of all n-word
-windows are compared within the text; a window found twice or more covers its
+Each text is a run of word hashes.  For several n the rolling hashes of all
+n-word windows are compared within the text; a window found twice or more covers its
 words, the first occurrence included.  The verdict compares the share of word
 characters so covered, and the share of characters in lines that repeat an
 earlier line, with a threshold for each n; symbols per word have a threshold
@@ -73,13 +73,15 @@ def measure(column: pa.Array, rules: QualityRules) -> dict[str, np.ndarray | lis
         return np.cumsum(step)[:-1] > 0
 
     # Windows of more words can only repeat where the shorter ones do.
-    keys, first = X.windows(keyed, words.bounds, 3)
-    first = first[X.repeated(keys)]
+    rolling = X.Rolling(keyed)
+    first = np.arange(len(hashes))
+    first = first[first + 3 <= words.bounds[1:][row]]
+    first = first[X.repeated(rolling.windows(first, 3))]
     out["n_repeat_words"] = X.per_row(covered(first, 3), words.bounds)
     spans = []
     for n in rules.ngram_chars:
         first = first[first + n <= words.bounds[1:][row[first]]]
-        first = first[X.repeated(X.run_hash(keyed, first, n))]
+        first = first[X.repeated(rolling.windows(first, n))]
         spans.append(X.per_row(np.where(covered(first, n), word_chars, 0), words.bounds))
     out["dup_ngram_chars"] = np.stack(spans, axis=1) if spans else np.zeros((rows, 0), np.int64)
 

@@ -146,6 +146,22 @@ def run_hash(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Rolling:
+    """Hashes of runs of any number of words, each in one step: differences of prefix sums of a polynomial modulo 2**64."""
+
+    def __init__(self, hashes: np.ndarray):
+        n = len(hashes) + 1
+        factors, inverse = np.full(n, _MUL2), np.full(n, np.uint64(pow(int(_MUL2), -1, 2**64)))
+        factors[0] = inverse[0] = 1
+        self.power = np.multiply.accumulate(factors)
+        self.sums = np.zeros(n, dtype=np.uint64)
+        np.cumsum(hashes * np.multiply.accumulate(inverse)[:-1], out=self.sums[1:])
+
+    def windows(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The hash of the n words from each position in ``at``."""
+        return mix((self.sums[at + n] - self.sums[at]) * self.power[at])
+
+
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Which keys occur twice or more."""
     if len(keys) < 2:
