@@ -2,8 +2,10 @@
 
 import base64
 import collections
+import dataclasses
 import hashlib
 import math
+import pathlib
 import random
 import re
 import time
@@ -136,7 +138,8 @@ def test_packing_holds_each_id_once(spark, docs, texts):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    texts = [*texts, "a <|endoftext|> b", "A<|endoftext|>B<|startoftext|><|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "<|endoftext|", "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOC).repartition(3)
     found = packing.pack(clash(docs), path, capacity=256, group=16).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in found:
@@ -152,6 +155,7 @@ def test_packing_holds_each_id_once(spark, docs, texts):
         pieces.sort(key=lambda r: r["offset"])
         assert [r["offset"] for r in pieces] == [sum(p["length"] for p in pieces[:k]) for k in range(len(pieces))]
         assert sum(r["length"] for r in pieces) <= 256
+    assert sum(r["length"] for r in found) > 0.9 * 256 * len(by_sequence)
     assert packing.pack(spark.createDataFrame([], DOC), path).count() == 0
     repeated = packing.pack(spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], DOC), path).collect()
     assert sorted(r["length"] for r in repeated) == [2, 3, 3] and len({(r["sequence_id"], r["offset"]) for r in repeated}) == 3
@@ -167,6 +171,29 @@ def plain_merges(ranks, word):
     return [ranks[x] for x in parts]
 
 
+def test_packing_of_the_registered_table(spark):
+    """Ids, cuts and places of all documents of sf0.01 by the plain tokenizer, and how full the sequences are."""
+    from tokenizers import Tokenizer
+
+    from semgraph.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in queries.op2_packing(spark, sf).collect():
+        found[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        pieces = sorted(found[r["doc_id"]], key=lambda p: p["start"])
+        assert [p["ids_crc32"] for p in pieces] == [zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) for p in pieces]
+        assert sum(p["length"] for p in pieces) == len(ids) == pieces[0]["doc_tokens"] and [p["start"] for p in pieces] == np.r_[0, np.cumsum([p["length"] for p in pieces])][:-1].tolist()
+    for own in by_sequence.values():
+        own.sort()
+        assert [o for o, _ in own] == np.r_[0, np.cumsum([n for _, n in own])][:-1].tolist() and sum(n for _, n in own) <= 2048
+    assert sum(n for own in by_sequence.values() for _, n in own) >= 0.99 * 2048 * len(by_sequence)
+
+
 def test_merge_replay_equals_tiktoken(spark, docs, texts):
     import tiktoken
 
@@ -358,23 +385,48 @@ def test_line_dedup_runs_no_python(spark, docs):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def plain_top_k(made, asks, k=20):
+    rows_ = [(i, np.floor(64 * np.array(v, dtype=np.float64))) for i, v in made]
+    want = {}
+    for q in {i for i, _ in rows_ if asks(i)}:
+        found = sorted(((-int(a @ x), i) for j, a in rows_ if j == q for i, x in rows_ if i != q))[:k]
+        want |= {(q, r + 1): (i, -s) for r, (s, i) in enumerate(found)}
+    return want
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(8)
     made = [(i, rng.normal(size=6).astype("float32").tolist()) for i in range(300)]
-    made += [(300 + i, made[7][1]) for i in range(40)] + [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, [1.0] * 6), (20, made[20][1])]
-    frame = spark.createDataFrame(made, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
-    vectors = {i: np.floor(64 * np.array(v, dtype=np.float64)) for i, v in made if i is not None and i < 400 and v}
-    want = {(q, r + 1): (i, s) for q in vectors if q % 20 == 0 for r, (s, i) in enumerate(sorted(((int(vectors[q] @ x), i) for i, x in vectors.items() if i != q), key=lambda p: (-p[0], p[1]))[:20])}
-    for o in (knn.Knn(), knn.Knn(cell=20, block=16), knn.Knn(cell=5, pivots=7)):
+    made += [(300 + i, made[7][1]) for i in range(40)] + [(20, made[20][1]), (40, made[41][1]), (33, made[1][1]), (33, made[2][1])]
+    odd = [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, [1.0] * 6)]
+    frame = spark.createDataFrame(made + odd, "vec_id long, embedding array<float>").withColumn("score", F.lit("x")).repartition(3)
+    want = plain_top_k(made, lambda i: i % 20 == 0)
+    for o in (knn.Knn(), knn.Knn(cell=20, block=16), knn.Knn(cell=5, pivots=7), knn.Knn(cell=10, compare=1.0)):
         got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in knn.top_k(frame, F.col("vec_id") % 20 == 0, o).collect()}
         assert got == want
-    assert knn.top_k(frame.limit(0), F.lit(True)).count() == 0
+    assert knn.top_k(frame.limit(0), F.lit(True)).count() == 0 and knn.top_k(frame, F.lit(False)).count() == 0
     assert knn.top_k(frame.where("vec_id in (1, 2)"), F.lit(True)).count() == 2
-    large = spark.createDataFrame([(i, [float(v), 1e9]) for i, v in enumerate((1, -3, 5))], "vec_id long, embedding array<double>")
+    large = spark.createDataFrame([(i, [float(v), 1e9]) for i, v in enumerate((1, -3, 5))] + [(9, [3e306, 1.0])], "vec_id long, embedding array<double>")
     best = {r["query_id"]: r["vec_id"] for r in knn.top_k(large, F.lit(True), knn.Knn(k=1)).collect()}
     assert best == {0: 2, 1: 0, 2: 0}
 
 
+def test_clustered_vectors_are_pruned(spark):
+    """Of vectors in clusters, fewer than half go to the average group, and the results are still those of all pairs."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(16, 12))
+    centres *= 8 / np.linalg.norm(centres, axis=1)[:, None]
+    made = [(i, (centres[i % 16] + 0.2 * rng.normal(size=12)).astype("float32").tolist()) for i in range(1600)]
+    frame = spark.createDataFrame(made, "vec_id long, embedding array<float>").repartition(3)
+    asks, o = F.col("vec_id") % 20 == 0, knn.Knn(cell=25, block=64)
+    celled, cells = knn._plan(frame, asks, o, "vec_id", "embedding")
+    sent = sum(cells.wanted(np.frombuffer(bytes(r["v"]), dtype=np.float64)[None]).sum() for r in celled.select("v").collect())
+    print("share of rows sent to a group", sent / len(made) / len(cells.parts))
+    assert len(cells.parts) > 1 and sent < 0.5 * len(made) * len(cells.parts)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in knn.top_k(frame, asks, o).collect()}
+    assert got == plain_top_k(made, lambda i: i % 20 == 0)
+
+
 def test_unigram_scores_and_a_better_model(spark, docs, texts):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1
     got = rows(hmm.score(clash(docs), held, hmm.Hmm(block=4000)))
@@ -397,15 +449,49 @@ def test_forward_recursion_equals_the_sum_over_paths():
     emit, move, first = rng.random((4, 3)), rng.random((3, 3)), rng.random(3)
     emit, move, first = emit / emit.sum(axis=0), move / move.sum(axis=1)[:, None], first / first.sum()
     sequences = [np.array(s, dtype=np.uint16) for s in ([0], [1, 2, 3, 0, 1], [3, 3], [2, 0, 1])]
-    for s, got in zip(sequences, hmm.log_likelihoods(sequences, (emit, move, first, first)), strict=True):
+    assert hmm.log_likelihoods(sequences, (emit, move, first), 2) == pytest.approx(hmm.log_likelihoods(sequences, (emit, move, first)))
+    for s, got in zip(sequences, hmm.log_likelihoods(sequences, (emit, move, first)), strict=True):
         paths = __import__("itertools").product(range(3), repeat=len(s))
         total = sum(first[p[0]] * np.prod([emit[o, k] for o, k in zip(s, p, strict=True)]) * np.prod([move[a, b] for a, b in zip(p, p[1:], strict=False)]) for p in paths)
         assert got == pytest.approx(math.log10(total))
 
 
+def plain_expected(sequences, emit, move, first):
+    """Expected symbols by state, moves and first states of each sequence by unscaled forward and backward chances."""
+    symbols, moves, firsts = np.zeros_like(emit), np.zeros_like(move), np.zeros_like(first)
+    for s in sequences:
+        ahead, behind = [first * emit[s[0]]], [np.ones(len(first))]
+        for x in s[1:]:
+            ahead.append((ahead[-1] @ move) * emit[x])
+        for x in s[:0:-1]:
+            behind.insert(0, move @ (emit[x] * behind[0]))
+        whole = ahead[-1].sum()
+        for t, x in enumerate(s):
+            symbols[x] += ahead[t] * behind[t] / whole
+            if t:
+                moves += move * np.outer(ahead[t - 1], emit[x] * behind[t]) / whole
+        firsts += ahead[0] * behind[0] / whole
+    return symbols, moves, firsts
+
+
+def test_expected_counts_equal_a_plain_forward_and_backward(spark):
+    rng = np.random.default_rng(6)
+    o = hmm.Hmm(states=3, top=4, classes=2, chunk=7)
+    emit, move, first = rng.random((o.symbols, 3)), rng.random((3, 3)), rng.random(3)
+    model = emit / emit.sum(axis=0), move / move.sum(axis=1)[:, None], first / first.sum()
+    sequences = [rng.integers(0, o.symbols, n).astype(np.uint16) for n in (1, 1, 2, 3, 5, 8, 8, 21, 40, 90)]
+    want = plain_expected(sequences, *model)
+    frame = spark.createDataFrame([(bytearray(s.tobytes()),) for s in sequences], "symbols binary").repartition(2)
+    for chunk in (1, 7, 30, 10_000):
+        sums = hmm._expect(frame, model, dataclasses.replace(o, chunk=chunk))
+        assert sums[: o.symbols] == pytest.approx(want[0], rel=1e-4) and sums[o.symbols : -1] == pytest.approx(want[1], rel=1e-4) and sums[-1] == pytest.approx(want[2], rel=1e-4)
+    tokens, begins = hmm._by_step(sequences)
+    assert begins[-1] == sum(map(len, sequences)) and sorted(tokens.tolist()) == sorted(np.concatenate(sequences).tolist())
+
+
 def test_baum_welch_raises_the_likelihood(spark):
     rng = np.random.default_rng(1)
-    o = hmm.Hmm(states=2, top=5, classes=2, segment=50, seeds=5)
+    o = hmm.Hmm(states=2, top=5, classes=2, seeds=5)
     sequences = []
     for _ in range(60):  # two regimes
         k, s = rng.integers(2), []
@@ -495,6 +581,120 @@ def test_toxic_words_are_learned_and_groups_are_not(spark):
     assert toxicity.score(spark.createDataFrame([], DOC), model).count() == 0
 
 
+def test_language_equals_plain_compression(spark):
+    """Every document of sf0.001 against the smallest of plain dictionary compressions; two equal dictionaries go to the smaller name."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    o = langid.LangFit()
+    found = langid.fit(docs.where(~toxicity.held_out(4, 2)), o)
+    press = {n: zstandard.ZstdCompressor(level=o.level, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False) for n, d in found.items()}
+    got = rows(langid.identify(docs.select("doc_id", "text"), found))
+    for r in docs.collect():
+        data = langid.letters(r["text"] or "").encode()
+        if not data:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        sizes = sorted((sum(len(c.compress(data[i : i + o.chunk])) for i in range(0, len(data), o.chunk)), n) for n, c in press.items())
+        m = 1 - sizes[0][0] / sizes[1][0]
+        assert got[r["doc_id"]]["lang_pred"] == sizes[0][1]
+        assert got[r["doc_id"]]["score"] == pytest.approx(m / (m + 0.02)) and got[r["doc_id"]]["rejected"] == (m < o.margin)
+    same = langid.identify(docs.select("doc_id", "text"), {"b": b"one two three", "a": b"one two three"})
+    assert same.where("lang_pred <> 'a' and lang_pred <> 'und' or score <> 0 or not rejected").count() == 0
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = toxicity.held_out(4, 2)
+    got = langid.identify(docs.where(held & F.col("lang").isNotNull()), langid.fit(docs.where(~held)))
+    right, n = got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    print("held-out accuracy", right, "of", n)
+    assert right >= 0.97
+
+
+def test_dictionaries_take_whole_texts_of_the_smallest_hashes(spark):
+    rng = random.Random(5)
+    made = [(prose(rng, rng.choice([3, 400])), rng.choice(["x", "x", "x", "y"])) for _ in range(700)] + [("same text", "x")] * 400 + [("z" * 3000, "z"), (None, "x"), ("", "y"), ("a", None)]
+    frame = spark.createDataFrame(made, "text string, lang string").repartition(5)
+    hashes = {r["text"]: r["h"] for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    for o in (langid.LangFit(texts=20, usual=200), langid.LangFit(texts=300, usual=200)):
+        want = set()
+        for name in "xyz":
+            own = sorted({t for t, k in made if k == name and t}, key=lambda t: (len(t) > o.usual, hashes[t]))
+            want |= {(name, t) for t in own[: o.texts]}
+        assert {(r["lang"], r["text"]) for r in langid.sample(frame, o).collect()} == want
+
+
+def test_counterfactual_sentences():
+    o = toxicity.ToxicityFit(swaps=2, mention_every=1, identity=(toxicity.Group(("red", "blue", "green"), "A {} one."), toxicity.Group(("él", "ella"), "Vino {}.")))
+    made = toxicity.Counterfactuals(o)
+    rows, base, texts = made.versions('"Red" cars, redder RED! said ella')
+    assert (rows, base) == (1, 0)
+    first, *others = texts
+    assert first == '"Red" cars, redder RED! said ella'
+    assert sorted(others) == sorted(['"blue" cars, redder blue! said ella', '"green" cars, redder green! said ella', '"" cars, redder ! said ella', '"Red" cars, redder RED! said él', '"Red" cars, redder RED! said '])
+    rows, base, texts = made.versions("One here. Two there. Three")
+    first, *others = texts
+    assert (rows, base) == (2, 1) and first == "One here. Two there. Three" and len(others) >= 2
+    assert all(set(t.split()) > {"One", "here.", "Two", "there.", "Three"} for t in others) and all(len(made.named(t)) == 1 for t in others)
+    assert [list(x[2]) for x in (toxicity.Counterfactuals(dataclasses.replace(o, identity=())).versions("red"),)] == [["red"]]
+    assert len(list(made.versions("")[2])) >= 3
+
+
+def test_the_objective_equals_a_plain_one():
+    rng = np.random.default_rng(3)
+    found = []
+    for i in range(12):
+        versions = [np.sort(rng.choice(9, rng.integers(0, 6), replace=False)) for _ in range(rng.integers(1, 5))]
+        own = min(len(versions), 1 + i % 2)
+        found.append((int(i % 3 == 0), own, own - 1, versions))
+    rows = toxicity.gathered(found)
+    w, bias, change = rng.normal(size=9), 0.3, 0.7
+
+    def plain(w, bias):
+        loss, ys = [], [y for y, own, _, _ in found for _ in range(own)]
+        share, pairs = sum(ys) / len(ys), []
+        for y, own, base, versions in found:
+            score = [bias + sum(w[k] for k in v) for v in versions]
+            loss += [(0.5 / share if y else 0.5 / (1 - share)) * -math.log(1 / (1 + math.exp(-z if y else z))) for z in score[:own]]
+            pairs += [(score[base] - z) ** 2 for i, z in enumerate(score) if i < base or i >= own]
+        return sum(loss) / len(ys) + change * sum(pairs) / len(pairs)
+
+    loss, grad, off = toxicity.objective(w, bias, rows, change)
+    assert loss == pytest.approx(plain(w, bias))
+    step = 1e-6
+    for k in range(9):
+        up = np.arange(9) == k
+        assert grad[k] == pytest.approx((plain(w + step * up, bias) - plain(w - step * up, bias)) / (2 * step), abs=1e-6)
+    assert off == pytest.approx((plain(w, bias + step) - plain(w, bias - step)) / (2 * step), abs=1e-6)
+
+
+def test_swaps_move_held_out_scores_less_with_the_penalty(spark):
+    """On the registered tables: the penalty has pairs to work on, and swapped and inserted mentions in held-out texts move the score less."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    learn = toxicity.labelled_rows(docs, labels)
+    held = [r["text"] for r in docs.join(labels, "doc_id").where(toxicity.held_out(5, 0)).select("text").collect()]
+    o = toxicity.ToxicityFit(mention_every=1)
+    made, pairs = toxicity.Counterfactuals(o), []
+    for text in held:
+        own, base, texts = made.versions(text)
+        texts = list(texts)
+        pairs += [(texts[base], x) for i, x in enumerate(texts) if i < base or i >= own]
+    assert len(pairs) > 100
+
+    def moved(model):
+        def logit(texts):
+            row, place = toxicity.known(pa.array(texts, type=pa.large_string()), model)
+            return np.bincount(row, weights=model.weights[place], minlength=len(texts))
+
+        return np.abs(logit([a for a, _ in pairs]) - logit([b for _, b in pairs])).mean()
+
+    with_it, without = moved(toxicity.fit(learn)), moved(toxicity.fit(learn, toxicity.ToxicityFit(change=0.0)))
+    print("mean change of the score's logit:", with_it, "without the penalty:", without)
+    assert with_it < 0.5 * without
+
+
 def test_labels_of_the_held_out_fold_are_not_used(spark):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(50)] + [(None, "n")], DOC)
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(3, 0), (None, 1), (7, None)], "doc_id long, toxic int")
@@ -541,3 +741,23 @@ def test_digests_of_the_query(spark):
     found = rows(queries.op6_byte_bpe(spark, sf))
     for r in spark.read.parquet(f"{sf}/documents.parquet").limit(30).collect():
         assert found[r["doc_id"]]["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+
+    con = duckdb.connect()
+    for p in pathlib.Path("/root/testdata/sf0.001").glob("*.parquet"):
+        con.execute(f"create view {p.stem} as select * from read_parquet('{p}')")
+    return con
+
+
+@pytest.mark.parametrize("name", ["op1_quality", "op4_near_dups", "op5_line_dedup", "op8_knn"])
+def test_query_equals_its_sql(spark, duck, name):
+    from semgraph.llm import queries
+
+    got, want = queries.queries()[name](spark, "/root/testdata/sf0.001").toPandas(), duck.execute(queries.oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    flat = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).itertuples(index=False, name=None)))
+    assert flat(got) == flat(want)
