@@ -290,7 +290,8 @@ def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "te
     """Fits on the rows of ``labelled``, at most ``options.sample``; only the chosen features of each reach the driver.
 
     A null label is left out, a null text counts as empty, repeated rows each
-    count.  With labels of one kind only, every text is scored by them alone.
+    count.  With labels of one kind only, every text is scored by them alone;
+    without labels none is toxic.
     """
     o = options or ToxicityFit()
     chosen = labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("label")).limit(o.sample)
@@ -298,7 +299,7 @@ def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "te
     total = some.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
     if not total["n"] or total["t"] in (0, total["n"]):
         drop_kept(some)
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.0 if not total["n"] else 4.0 if total["t"] else -4.0)
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 4.0 if total["t"] else -4.0)
     words = _screened(some, o, total["t"] / total["n"])
     screen = ToxicityModel(words, np.ones(len(words)), 0.0)
 
