@@ -32,7 +32,7 @@ def _is_stars(edges: DataFrame) -> bool:
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label) for every node that has a link: label is the smallest node of its component.
+    """(node, label) for every node that has a link, a table in the shared folder: label is the smallest node of its component.
 
     Links that are null at an end or join a node to itself count for nothing.
     """
@@ -41,4 +41,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         after = kept(_small_star(_large_star(edges)), "edges")
         drop_kept(edges)
         edges = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct())
+    labels = kept(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct()), "labels")
+    drop_kept(edges)
+    return labels

@@ -2,7 +2,7 @@
 
 1. One pass over the texts makes, for each document, its set size, a digest of
    its set, band keys of its MinHash signature, and one byte of each signature
-   place.  Documents of one digest are one *class*, named by its smallest id.
+   place.  Documents of one digest are one *class*, named by one of its rows.
 2. Classes that share a band key are candidates.  No bucket's pairs are listed.
    In each of a few rounds a class is compared with one leader of its bucket
    alone (the smallest, then random ones), and only where the two are not yet
@@ -32,6 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,15 +107,15 @@ def signature(members: np.ndarray, p: NearDup) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, sig); the last three are null for an empty set."""
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary"
-    names = ["doc_id", "n_shingles", "digest", "bands", "sig"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+    """(doc_id, text_hash, uid, n_shingles, digest, bands, sig); the last three are null for an empty set.  uid: a number of the row's own."""
+    schema = "doc_id long, text_hash long, uid long, n_shingles long, digest binary, bands array<long>, sig binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = _functions(p)[2]
+        salt, task, made = _functions(p)[2], TaskContext.get().partitionId(), 0
         for batch in batches:
-            column = X.texts(batch.column(1))
+            column = X.texts(batch.column(2))
             for lo, hi in X.steps(column):
                 rows: list[tuple] = []
                 for members in shingle_sets(column.slice(lo, hi - lo), p.shingle):
@@ -123,10 +124,16 @@ def sketch(docs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
                         continue
                     sig = signature(members, p)
                     bands = X.run_hash(X.mix(sig.astype(np.uint64)), np.arange(0, p.places, p.rows), p.rows) ^ salt
-                    rows.append((len(members), blake2b(members.tobytes(), digest_size=16).digest(), X.mix(bands).view(np.int64), X.mix(sig.astype(np.uint64)).astype(np.uint8).tobytes()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds[1:], strict=True))], names=names)
+                    rows.append((len(members), _digest(members), X.mix(bands).view(np.int64), X.mix(sig.astype(np.uint64)).astype(np.uint8).tobytes()))
+                uid = pa.array((task << 40) + np.arange(made, made + hi - lo))
+                made += hi - lo
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), uid, *(pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds[3:], strict=True))], names=names)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def _digest(members: np.ndarray) -> bytes:
+    return blake2b(members.tobytes(), digest_size=16).digest()
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -285,17 +292,18 @@ def _verified_clusters(clusters: DataFrame, labels: DataFrame, sigs: DataFrame,
     return rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_streamed(links, 3), "a long, b long").distinct()
 
 
-def _sets(docs: DataFrame, ids: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
-    """(rep, members): the full set of each id, as sorted 64-bit hashes."""
+def _sets(docs: DataFrame, sigs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
+    """(rep, members): the full set of each class, as sorted 64-bit hashes, from the row of its id that has its digest."""
     # Texts are shuffled once at every size; a small side that happens to fit a broadcast would only make growth uneven.
-    texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(ids.hint("merge"), "rep", "left_semi")
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).join(sigs.select("doc_id", "rep", "digest").hint("merge"), "doc_id").select("rep", "digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = X.texts(batch.column(1))
+            column = X.texts(batch.column(2))
             for lo, hi in X.steps(column):
-                found = [x.tobytes() for x in shingle_sets(column.slice(lo, hi - lo), p.shingle)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(found, type=pa.binary())], names=["rep", "members"])
+                found = list(shingle_sets(column.slice(lo, hi - lo), p.shingle))
+                own = pa.array([_digest(x) == d.as_py() for x, d in zip(found, batch.column(1).slice(lo, hi - lo), strict=True)], type=pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in found], type=pa.binary())], names=["rep", "members"]).filter(own)
 
     return texts.mapInArrow(run, "rep long, members binary")
 
@@ -312,41 +320,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
     return both.mapInArrow(exact, "a long, b long").distinct()
 
 
-def near_dups(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+def near_dup_rows(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, first) for every row of ``docs``.
 
-    A null or wordless text has an empty set and is linked with nothing, as is
-    a row with a null id (its component is null and it is kept).  Rows that
-    share an id are one node; repeated rows each give a row.  Other columns are
-    not looked at.
+    text_hash: xxhash64 of the text.  component_id: the smallest id that links
+    lead to.  first: no row of the component has a smaller (doc_id, text_hash).
+    Rows of one id and different texts are documents of their own; repeated
+    rows each give a row.  A null or wordless text has an empty set and is
+    linked with nothing, as is a row with a null id (its component is null).
     """
     p = p or NearDup()
     sketches = kept(sketch(docs, p, key, text), "sketches")
-    classes = kept(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    named = sketches.join(classes, "digest").where("doc_id = rep")
+    classes = kept(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "uid")).alias("lead")), "classes")
+    named = sketches.join(classes.select(F.col("lead.uid").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "rep")
     spots = named.select("rep", F.explode("bands").alias("band"))
     shared = spots.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select(F.col("band").alias("k"))
     members = kept(spots.join(shared, F.col("band") == F.col("k")).select("band", "rep").distinct(), "members")
     ids = members.select("rep").distinct()
-    sigs = kept(named.select("rep", "n_shingles", "sig").join(ids.hint("merge"), "rep", "left_semi").dropDuplicates(["rep"]), "sigs")
-    sets = kept(_sets(docs, ids, p, key, text).dropDuplicates(["rep"]), "sets")
+    sigs = kept(named.select("rep", "doc_id", "digest", "n_shingles", "sig").join(ids.hint("merge"), "rep", "left_semi"), "sigs")
+    sets = kept(_sets(docs, sigs, p, key, text).dropDuplicates(["rep"]), "sets")
 
-    links = labels = None
+    labels = None
     for turn in range(p.turns):
         now = members.withColumn("label", F.col("rep")) if labels is None else members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         order = F.col("rep") if not turn else F.xxhash64("rep", F.lit(turn))
         leaders = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("rep", "label"), order).alias("leader")).where("lo <> hi").select(F.col("band").alias("k"), "leader")
         pairs = now.join(leaders, F.col("band") == F.col("k")).where("label <> leader.label").select(F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
-        found = kept(_verified(_pass_signatures(pairs, sigs, p), sets, p), "links")
-        links = found if links is None else links.union(found)
-        labels = kept(components(links), "labels")
+        labels = _joined(labels, kept(_verified(_pass_signatures(pairs, sigs, p), sets, p), "links"))
 
     now = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    clusters = kept(_clusters(now, sigs, p), "clusters")
-    links = links.union(kept(_verified_clusters(clusters, labels, sigs, sets, p), "links"))
-    whole = kept(components(links), "components").withColumnRenamed("node", "rep")
+    clusters = _clusters(now, sigs, p)
+    whole = _joined(labels, kept(_verified_clusters(clusters, labels, sigs, sets, p), "links")).withColumnRenamed("node", "rep")
     drop_kept(members, sigs, sets, clusters)
 
-    named = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").join(whole, "rep", "left")
-    component = F.when(F.col("digest").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "rep")).otherwise(F.col("doc_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    leads = classes.withColumn("rep", F.col("lead.uid")).join(whole, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    linked = whole.join(classes.select(F.col("lead.uid").alias("rep"), "lead"), "rep").groupBy("label").agg(F.min("lead").alias("best"))
+    leads = leads.join(linked, "label", "left").select("digest", F.coalesce("best", "lead").alias("lead"))
+    rows = sketches.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(leads, "digest", "left")
+    first = F.struct("doc_id", "text_hash") == F.struct(F.col("lead.doc_id").alias("doc_id"), F.col("lead.text_hash").alias("text_hash"))
+    return rows.select("doc_id", "text_hash", "n_shingles", F.coalesce("lead.doc_id", "doc_id").alias("component_id"), (F.col("lead").isNull() | first).alias("first"))
+
+
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, label) of the components that earlier labels and new links make together; what they came from is removed."""
+    edges = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+    found = components(edges)
+    drop_kept(links, *([] if labels is None else [labels]))
+    return found
+
+
+def near_dups(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; kept: doc_id is component_id, or null.  As near_dup_rows tells; other columns are not looked at."""
+    rows = near_dup_rows(docs, p, key, text)
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

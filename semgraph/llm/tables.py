@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bytes of a query's text that one task should take.
-TASK_BYTES = 16 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -16,12 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), one of the session's own."""
+    """The folder in spark.checkpoint.dir; where that is unset and all run on this machine (tests), one of the session's own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         held = context._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not context._jsc.sc().isLocal():
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             context.setCheckpointDir(f"/tmp/checkpoints/{uuid.uuid4().hex}")
             held = context._jsc.sc().getCheckpointDir()
         root = held.get()
@@ -29,7 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
+    """The frame written to the shared folder and read again: lineage ends there, and a lost executor loses nothing.
+
+    What drop_kept() has not removed by then goes when the session's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, None)
@@ -38,6 +41,8 @@ def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -302,6 +302,8 @@ def test_near_dups_in_small_blocks_and_chains(spark):
 
 def test_near_dups_edges(spark):
     assert neardup.near_dups(spark.createDataFrame([], DOC)).count() == 0
+    other = neardup.near_dups(spark.createDataFrame([(5, "a b c d e f"), (5, "p q r s t u"), (6, "p q r s t u"), (9, "a b c d e f"), (4, "x y")], DOC).repartition(3)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in other) == [(4, 4), (5, 5), (5, 5), (6, 5), (9, 5)]
     got = neardup.near_dups(spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (7, None), (3, "A B C D E F"), (8, "")], DOC)).collect()
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1, r["kept"]) for r in got) == [(-1, -1, True), (3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True), (8, 8, True)]
 

@@ -26,7 +26,7 @@ def test_stages_take_effect(spark):
             want = plain_lines([(i, r["text"]) for i, r in before.items()])
             assert {i: r["text"] for i, r in after.items()} == {i: t for i, (t, _, gone) in want.items() if t or not gone}
         if name == "near_dedup":
-            want = plain_components(list(before), [r["text"] for r in before.values()])
+            want = plain_components(list(before), [r["text"] for r in before.values()], percent=80)
             assert set(after) == {i for i, (_, c) in want.items() if i == c}
         if name == "packing":
             assert set(after) == set(before)
@@ -48,6 +48,51 @@ def test_near_dedup_takes_copies_from_four_fifths(spark):
         assert got == ({1, 2} if stays else {1})
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string, text_hash string, ids string"
+
+
+def odd_rows():
+    good = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(80))
+    made = [(1, good), (1, good), (1, other), (2, good), (None, good), (None, good), (3, None), (4, ""), (4, ""), (5, other), (6, None), (7, "\n".join(good.split()) + "\n" + other), (8, "few words")]
+    return [(i, t, "en", "s", 0, "x", "x", "x", "x") for i, t in made]
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty texts, repeated rows and ids, and clashing columns, stage by stage."""
+    docs = spark.createDataFrame(odd_rows(), ODD).repartition(3)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF)
+        if name != "packing":
+            assert got.columns == corpus_pipeline.COLUMNS
+        rows = sorted(((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()))
+        ids = [None if null else i for null, i in rows]
+        if name == "toxicity":
+            assert len(ids) == 13
+        if name == "quality":
+            assert ids == [1, 1, 1, 2, 5, 7, None, None]
+        if name == "line_dedup":
+            assert len(ids) == 13
+        if name == "near_dedup":
+            # 1: both texts; 2 and 5 are copies of them; 7 has both; rows equal in id and text are one.
+            assert ids == [1, 1, 3, 4, 6, 7, 8, None]
+        if name == "packing":
+            assert ids == [1, 1, 1, 2, 3, 4, 4, 5, 6, 7, 8, None, None]
+
+
+def test_stages_on_an_empty_table(spark):
+    empty = spark.createDataFrame([], ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, empty, SF)
+        assert got.count() == 0 and (name == "packing" or got.columns == corpus_pipeline.COLUMNS)
+
+
+def test_no_labels_no_loss(spark, tmp_path):
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 13
+
+
 def test_run_is_all_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
