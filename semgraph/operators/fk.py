@@ -56,8 +56,13 @@ def _keys(kind: Column, key: Column, when: Column | None = None) -> Column:
     return made if when is None else F.when(when, made)
 
 
-def candidates(frame: DataFrame) -> DataFrame:
-    """JOIN-01, WIN-01: the best name match of each ordered pair of columns within a schema."""
+def candidates(frame: DataFrame, gate: DataFrame | None = None) -> DataFrame:
+    """JOIN-01, WIN-01: the best name match of each ordered pair of columns of one canonical type within a schema.
+
+    gate: (col_id, pk_evidence) of the columns that may be referred to; others
+    are dropped before the join, so a name that every table has makes no pairs
+    unless it is a key.
+    """
     name, table = F.lower("column_name"), F.lower("table_name")
     exact, suffix = F.lit("exact"), F.lit("suffix")
     stems = [_keys(suffix, F.concat(F.lit("S|"), F.expr(f"substring(lower(column_name), 1, length(column_name) - {len(s)})")), name.endswith(s) & (F.length(name) > len(s))) for s in SUFFIXES]
@@ -65,13 +70,16 @@ def candidates(frame: DataFrame) -> DataFrame:
     is_id = name == "id"
     less = [_keys(suffix, F.concat(F.lit("S|"), F.expr(f"substring(lower(table_name), 1, length(table_name) - {len(e)})")), is_id & table.endswith(e) & (F.length(table) > len(e))) for e in ("s", "es")]
     target_keys = F.array_compact(F.array(_keys(exact, F.concat(F.lit("E|"), name)), _keys(suffix, F.concat(F.lit("S|"), table), is_id), *less))
+    evidence = () if gate is None else ("pk_evidence",)
 
-    def side(keys: Column, p: str) -> DataFrame:
-        renamed = frame.select(*(F.col(c).alias(f"{p}_{c}") for c in ("table_catalog", "table_schema", "column_name", "col_id", "canon", "tokens")), F.explode(keys).alias("k"))
+    def side(some: DataFrame, keys: Column, p: str, *more: str) -> DataFrame:
+        renamed = some.select(*(F.col(c).alias(f"{p}_{c}") for c in ("table_catalog", "table_schema", "column_name", "col_id", "canon", "tokens")), *more, F.explode(keys).alias("k"))
         return renamed.withColumns({f"{p}_kind": F.col("k.kind"), f"{p}_key": F.col("k.key")}).drop("k")
 
-    s, t = side(source_keys, "s"), side(target_keys, "t")
-    on = (F.col("s_table_catalog") == F.col("t_table_catalog")) & (F.col("s_table_schema") == F.col("t_table_schema")) & (F.col("s_key") == F.col("t_key")) & (F.col("s_kind") == F.col("t_kind"))
+    s, t = side(frame, source_keys, "s"), side(frame if gate is None else frame.join(gate, "col_id"), target_keys, "t", *evidence)
+    on = F.lit(True)
+    for c in ("table_catalog", "table_schema", "canon", "key", "kind"):
+        on &= F.col(f"s_{c}") == F.col(f"t_{c}")
     on &= (F.col("s_col_id") != F.col("t_col_id")) & ~((F.lower("s_column_name") == "id") & (F.lower("t_column_name") == "id"))
     best = Window.partitionBy("s_col_id", "t_col_id").orderBy(F.when(F.col("s_kind") == "exact", 0).otherwise(1))
     return s.join(t, on).withColumn("rn", F.row_number().over(best)).where("rn = 1").drop("rn")
@@ -84,7 +92,7 @@ def infer(frame: DataFrame, gate: DataFrame, declared: DataFrame | None = None,
     sqrt(n - 1), if that is over 1, and loses those that then fall below it.
     """
     spark = frame.sparkSession
-    typed = candidates(frame).where("s_canon = t_canon").join(gate.withColumnRenamed("col_id", "t_col_id"), "t_col_id")
+    typed = candidates(frame, gate)
     shared = F.coalesce(F.size(F.array_intersect("s_tokens", "t_tokens")) > 0, F.lit(False))
     table = spark.createDataFrame(SCORES, "s_kind string, pk_evidence string, comment_present boolean, score double")
     scored = typed.withColumn("comment_present", shared).join(F.broadcast(table), ["s_kind", "pk_evidence", "comment_present"]).where(F.col("score") >= threshold)
@@ -110,8 +118,9 @@ def accounting(constraints: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def unresolved(constraints: DataFrame, pairs: DataFrame) -> DataFrame:
-    """JOIN-08: declared constraints without a resolved pair."""
-    return constraints.join(pairs.select(F.col("fk_schema").alias("constraint_schema"), F.col("fk_name").alias("constraint_name")).distinct(), ["constraint_schema", "constraint_name"], "left_anti")
+    """JOIN-08: declared constraints without a resolved pair, by catalog, schema and name."""
+    found = pairs.select(F.col("src_catalog").alias("constraint_catalog"), F.col("fk_schema").alias("constraint_schema"), F.col("fk_name").alias("constraint_name")).distinct()
+    return constraints.join(found, found.columns, "left_anti")
 
 
 def discover(columns: DataFrame, constraints: DataFrame, pairs: DataFrame | None = None, threshold: float = 0.8, max_columns: int = 0) -> DataFrame:

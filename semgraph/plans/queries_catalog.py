@@ -171,9 +171,9 @@ def fk_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fk.accounting(fixture(spark, "referential"), _pairs(spark))
 
 
-@query(f"WITH {given('referential', 'key_usage')}, {PAIRS} SELECT constraint_schema, constraint_name FROM referential r WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.fk_schema = r.constraint_schema AND p.fk_name = r.constraint_name)")
+@query(f"WITH {given('referential', 'key_usage')}, {PAIRS} SELECT constraint_catalog, constraint_schema, constraint_name FROM referential r WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.sc = r.constraint_catalog AND p.fk_schema = r.constraint_schema AND p.fk_name = r.constraint_name)")
 def fk_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.unresolved(fixture(spark, "referential"), _pairs(spark)).select("constraint_schema", "constraint_name")
+    return fk.unresolved(fixture(spark, "referential"), _pairs(spark)).select("constraint_catalog", "constraint_schema", "constraint_name")
 
 
 @query(f"""WITH {given('constraints', 'type_names')}, k AS (SELECT table_catalog, table_schema, table_name, column_name, constraint_type, ordinal_position, constraint_name FROM constraints)

@@ -39,11 +39,12 @@ FIXTURES = {
       FROM (VALUES ('sales','customers','id','PRIMARY KEY',1,'pk_customers'),('sales','orders','id','PRIMARY KEY',1,'pk_orders'),('sales','codes','code','UNIQUE',1,'uq_codes'),('sales','items','order_ref','PRIMARY KEY',1,'pk_items'),('sales','items','box_fk','PRIMARY KEY',2,'pk_items')) AS t(s, t, c, k, o, n)""",
     "fan_columns": """SELECT 'cat' AS table_catalog, 's' AS table_schema, concat('t', CAST(i AS VARCHAR(9))) AS table_name, 'shared_key' AS column_name, 'INT' AS data_type, 'YES' AS is_nullable, 1 AS ordinal_position, CAST(NULL AS VARCHAR(9)) AS comment FROM (VALUES (1),(2),(3),(4)) AS t(i)""",
     "fan_keys": """SELECT 'cat' AS table_catalog, 's' AS table_schema, concat('t', CAST(i AS VARCHAR(9))) AS table_name, 'shared_key' AS column_name, 'PRIMARY KEY' AS constraint_type, 1 AS ordinal_position, concat('pk', CAST(i AS VARCHAR(9))) AS constraint_name FROM (VALUES (1),(2),(3)) AS t(i)""",
-    "referential": """SELECT 'cat' AS constraint_catalog, t.s AS constraint_schema, t.n AS constraint_name, 'cat' AS unique_constraint_catalog, t.us AS unique_constraint_schema, t.un AS unique_constraint_name
-      FROM (VALUES ('sales','fk_orders','sales','pk_customers'),('sales','fk_items','sales','pk_pair'),('sales','fk_lost','sales','pk_gone'),('hr','fk_boss','hr','pk_staff')) AS t(s, n, us, un)""",
-    "key_usage": """SELECT 'cat' AS constraint_catalog, t.s AS constraint_schema, t.n AS constraint_name, 'cat' AS table_catalog, t.s AS table_schema, t.t AS table_name, t.c AS column_name, t.o AS ordinal_position, t.p AS position_in_unique_constraint
-      FROM (VALUES ('sales','fk_orders','orders','customer_id',1,1),('sales','pk_customers','customers','id',1,CAST(NULL AS INT)),('sales','fk_items','items','b',1,2),('sales','fk_items','items','a',2,1),
-        ('sales','pk_pair','pairs','x',1,NULL),('sales','pk_pair','pairs','y',2,NULL),('sales','fk_lost','orders','gone',1,1),('hr','fk_boss','staff','Boss_ID',1,1),('hr','pk_staff','staff','id',1,NULL)) AS t(s, n, t, c, o, p)""",
+    "referential": """SELECT t.c AS constraint_catalog, t.s AS constraint_schema, t.n AS constraint_name, t.c AS unique_constraint_catalog, t.us AS unique_constraint_schema, t.un AS unique_constraint_name
+      FROM (VALUES ('cat','sales','fk_orders','sales','pk_customers'),('cat','sales','fk_items','sales','pk_pair'),('cat','sales','fk_lost','sales','pk_gone'),('cat','hr','fk_boss','hr','pk_staff'),('cat2','sales','fk_orders','sales','pk_gone'),('cat2','hr','fk_boss','hr','pk_staff')) AS t(c, s, n, us, un)""",
+    "key_usage": """SELECT t.k AS constraint_catalog, t.s AS constraint_schema, t.n AS constraint_name, t.k AS table_catalog, t.s AS table_schema, t.t AS table_name, t.c AS column_name, t.o AS ordinal_position, t.p AS position_in_unique_constraint
+      FROM (VALUES ('cat','sales','fk_orders','orders','customer_id',1,1),('cat','sales','pk_customers','customers','id',1,CAST(NULL AS INT)),('cat','sales','fk_items','items','b',1,2),('cat','sales','fk_items','items','a',2,1),
+        ('cat','sales','pk_pair','pairs','x',1,NULL),('cat','sales','pk_pair','pairs','y',2,NULL),('cat','sales','fk_lost','orders','gone',1,1),('cat','hr','fk_boss','staff','Boss_ID',1,1),('cat','hr','pk_staff','staff','id',1,NULL),
+        ('cat2','sales','fk_orders','orders','customer_id',1,1),('cat2','hr','fk_boss','staff','boss_id',1,1),('cat2','hr','pk_staff','staff','id',1,NULL)) AS t(k, s, n, t, c, o, p)""",
     "type_names": """SELECT t FROM (VALUES ('string'),(' VARCHAR(20) '),('char(3)'),('decimal(14,2)'),('NUMERIC(9)'),('DECIMAL(14, 2)'),('bigint'),('Int'),('SMALLINT'),('double'),('array<int>'),('timestamp_ntz')) AS x(t)""",
     "vendor_types": """SELECT t FROM (VALUES ('int'),('VARCHAR(255)'),('nvarchar ( 40 )'),('decimal(50,60)'),('NUMBER(0,5)'),('DoublePrecision'),('double precision'),('UnsignedBigInt'),('TIMESTAMP WITHOUT TIME ZONE'),('bit(1)'),('geometry'),('text;'),('money'),('Enum'),('numeric(10)')) AS x(t)""",
     "sql_texts": """SELECT id, sql FROM (VALUES (1,'SELECT a FROM `lake`.`main`.`orders`'),(2,'select * from lake.main.orders o join other.x.y z on o.a = z.a'),(3,'DELETE FROM lake.main.orders'),(4,'SELECT 1; SELECT 2'),(5,' SELECT a FROM lake.main.orders; '),

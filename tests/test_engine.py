@@ -111,6 +111,35 @@ def test_many_tables_give_few_candidates(spark):
     assert fk.infer(frame, fk.pk_gate(frame, spark.createDataFrame([], S.CONSTRAINTS)), threshold=0.7).count() == 80
 
 
+def test_names_that_all_tables_share_make_no_pairs(spark):
+    """2,000 tables with a created_at each: all its pairs would be four million."""
+    columns = spark.range(2000).select(
+        F.lit("c").alias("table_catalog"), F.lit("s").alias("table_schema"), F.concat(F.lit("t"), "id").alias("table_name"),
+        F.explode(F.array(F.lit("id"), F.concat(F.lit("t"), ((F.col("id") + 1) % 2000).cast("string"), F.lit("_id")), F.lit("created_at"))).alias("column_name"),
+    ).withColumns({"data_type": F.lit("BIGINT"), "is_nullable": F.lit("YES"), "ordinal_position": F.lit(1), "comment": F.lit(None).cast("string")})
+    frame = nodes.columns_frame(columns)
+    gate = fk.pk_gate(frame, spark.createDataFrame([], S.CONSTRAINTS))
+    assert fk.candidates(frame, gate).count() < 3 * 2000
+    assert fk.infer(frame, gate, threshold=0.7).count() == 2000
+
+
+def test_jobs_of_one_inference(spark):
+    """One inference over 80 tables with primary keys takes at most sixteen jobs."""
+    columns = spark.range(80).select(
+        F.lit("c").alias("table_catalog"), F.lit("s").alias("table_schema"), F.concat(F.lit("t"), "id").alias("table_name"),
+        F.explode(F.when(F.col("id") > 0, F.array(F.lit("id"), F.lit("name"), F.concat(F.lit("t"), (F.col("id") - 1).cast("string"), F.lit("_id")))).otherwise(F.array(F.lit("id"), F.lit("name")))).alias("column_name"),
+    ).withColumns({"data_type": F.lit("BIGINT"), "is_nullable": F.lit("YES"), "ordinal_position": F.lit(1), "comment": F.lit(None).cast("string")})
+    keys = columns.where("column_name = 'id'").select("table_catalog", "table_schema", "table_name", "column_name", F.lit("PRIMARY KEY").alias("constraint_type"), F.lit(1).alias("ordinal_position"), F.concat(F.lit("pk_"), "table_name").alias("constraint_name"))
+    sc = spark.sparkContext
+    sc.setJobGroup("inference", "one action")
+    try:
+        assert fk.discover(columns, keys).count() == 79
+        jobs = len(sc.statusTracker().getJobIdsForGroup("inference"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs <= 16
+
+
 def test_fk_limit_skips_inference(spark):
     assert fk.discover(fixture(spark, "shop_columns"), fixture(spark, "shop_keys"), max_columns=3).count() == 0
 
