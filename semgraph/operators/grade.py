@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cell_text
+from .running import running_total
 
 # Rows from which sampling replaces full comparison, the shortfall allowed then, and the share of the sample that must match.
 LARGE_ROWS, LARGE_SHORTFALL, LARGE_MATCH = 500, 0.10, 0.80
@@ -40,8 +41,7 @@ def _sampled(rows: DataFrame, n: int) -> DataFrame:
     """WIN-04: (place, row) of every stride-th of the sorted rows, 50 at most; rows are counted, not listed."""
     size = min(SAMPLE, n)
     stride = max(1, n // size) if size else 1
-    upto = F.sum("n").over(Window.orderBy("row").rowsBetween(Window.unboundedPreceding, 0))
-    spans = rows.withColumn("last", upto - 1).withColumn("first", F.col("last") - F.col("n") + 1)
+    spans = running_total(rows, "row", "n").withColumn("last", F.col("upto") - 1).withColumn("first", F.col("last") - F.col("n") + 1)
     first = F.ceil(F.col("first") / stride).cast("long")
     last = F.least(F.floor(F.col("last") / stride).cast("long"), F.lit(size - 1))
     return spans.where(first <= last).select(F.explode(F.sequence(first, last)).alias("place"), "row")
@@ -67,7 +67,7 @@ def compare(generated: DataFrame, reference: DataFrame) -> tuple[bool, str | Non
         if not n_gen:
             return True, None
         ours = _sampled(g, n_gen)
-        theirs = _sampled_by(r, n_gen).withColumnRenamed("row", "other")
+        theirs = _sampled(r, n_gen).withColumnRenamed("row", "other")  # with the stride that the generated side gives
         m = ours.join(theirs, "place", "left").agg(F.count("*").alias("n"), F.count_if(F.col("row") == F.col("other")).alias("same")).first()
         rate = m["same"] / m["n"] if m["n"] else 1.0
         return (True, None) if rate >= LARGE_MATCH else (False, f"sampled match rate {rate:.1%} < {LARGE_MATCH:.0%}")
@@ -83,11 +83,6 @@ def compare(generated: DataFrame, reference: DataFrame) -> tuple[bool, str | Non
     return False, "result set values differ"
 
 
-def _sampled_by(rows: DataFrame, n: int) -> DataFrame:
-    """The reference's sample, with the stride that the generated side gives."""
-    return _sampled(rows, n)
-
-
 def arm_summary(results: DataFrame) -> DataFrame:
     """AGG-16: counts and rates of each arm; rates are of attempted questions, correct_rate of gradable ones."""
     flags = ["parsed", "executed", "non_empty", "correct"]

@@ -12,28 +12,39 @@ from ..functions.ids import dotted_id, schema_of
 from ..functions.text import question_tokens, short_value
 
 
+def _doubles(v: Column | str) -> Column:
+    return (F.col(v) if isinstance(v, str) else v).cast("array<double>")
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+
+
 def cosine(a: Column | str, b: Column | str) -> Column:
     """Raw cosine of two vectors, in doubles."""
-    a, b = (F.col(x).cast("array<double>") if isinstance(x, str) else x.cast("array<double>") for x in (a, b))
+    a, b = _doubles(a), _doubles(b)
+    return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
-    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+def _norm(v: Column | str) -> Column:
+    return F.sqrt(_dot(_doubles(v), _doubles(v)))
 
 
-def cosine_topk(queries: DataFrame, items: DataFrame, k: int, within: list[str] | None = None) -> DataFrame:
+def cosine_topk(queries: DataFrame, items: DataFrame, k: int, within: list[str] | None = None, apart: bool = False) -> DataFrame:
     """VEC-01, VEC-06: (question_id, id, score, rank), the k nearest items of each query, ties to the smaller id.
 
-    queries: a stated set of (question_id, vector, ...); it is broadcast only
-    below the session's threshold.  within: columns that must agree, joined on
-    before scoring.
+    queries: a stated set of (question_id, vector, ...), which Spark broadcasts
+    only below the session's threshold.  A row's norm is computed once, and each
+    task keeps the k best of its own rows before any are shuffled.  within:
+    columns that must agree, joined on before scoring.  apart: an item whose id
+    is the query's is none of its own.
     """
-    i = items.select(F.col("id"), F.col("vector").alias("_v"), *(F.col(c).alias(f"_{c}") for c in within or []))
-    on = F.lit(True)
+    i = items.select(F.col("id"), F.explode(F.array(_doubles("vector"))).alias("_v"), *(F.col(c).alias(f"_{c}") for c in within or [])).select("*", F.explode(F.array(_norm("_v"))).alias("_n"))
+    q = queries.select("question_id", F.explode(F.array(_doubles("vector"))).alias("_q"), *(within or [])).select("*", F.explode(F.array(_norm("_q"))).alias("_m"))
+    on = F.col("question_id") != F.col("id") if apart else F.lit(True)
     for c in within or []:
         on &= F.col(c) == F.col(f"_{c}")
-    scored = queries.join(i, on).select("question_id", "id", F.round(cosine("vector", "_v"), 6).alias("score"))
+    scored = q.join(i, on).select("question_id", "id", F.round(F.try_divide(_dot(F.col("_q"), F.col("_v")), F.col("_m") * F.col("_n")), 6).alias("score"))
     best = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -84,9 +95,17 @@ def join_lines(seeds: DataFrame, refs: DataFrame, threshold: float = 0.8) -> Dat
 
 
 def lexical_tables(questions: DataFrame, tables: DataFrame) -> DataFrame:
-    """GRF-09, GRF-10, JOIN-14: items whose name contains a word of the question."""
-    tokens = questions.select("question_id", F.explode(question_tokens("question")).alias("token"))
-    return tokens.join(tables.select("id", F.lower("name").alias("_n")), F.contains(F.col("_n"), F.col("token"))).select("question_id", "id").distinct()
+    """GRF-09, GRF-10, JOIN-14: items whose name contains a word of the question.
+
+    A word has three letters or more, so a name that contains it has its first
+    three as one of its own triples: an equality join finds those, and only they
+    are searched for the word.
+    """
+    tokens = questions.select("question_id", F.explode(question_tokens("question")).alias("token")).withColumn("_t", F.substring("token", 1, 3))
+    n = F.col("_n")
+    names = tables.select("id", F.lower("name").alias("_n")).where(F.length(n) >= 3)
+    triples = names.select("id", "_n", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(n) - 2), lambda i: F.substr(n, i, F.lit(3))))).alias("_t"))
+    return tokens.join(triples, "_t").where(F.contains(n, F.col("token"))).select("question_id", "id").distinct()
 
 
 def ordered_union(parts: list[DataFrame]) -> DataFrame:

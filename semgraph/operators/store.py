@@ -41,9 +41,10 @@ def batches(tables: DataFrame, size: int = 200) -> int:
     return -(-tables.count() // size)
 
 
-def in_batch(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
-    """JOIN-09: the rows of a batch of tables; ``keys`` holds at most a batch's tables and so may be broadcast."""
-    return df.join(F.broadcast(keys), columns, "left_semi")
+def in_batch(df: DataFrame, keys: DataFrame, columns: list[str], size: int = 200) -> DataFrame:
+    """JOIN-09: the rows of a batch of tables; ``keys`` is broadcast if it holds at most ``size`` rows."""
+    small = keys.limit(size + 1).count() <= size
+    return df.join(F.broadcast(keys) if small else keys, columns, "left_semi")
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.ids import dotted_id, value_id
 from .nodes import balanced_union
+from .running import running_total
 
 
 def sampleable(columns: DataFrame, types: tuple[str, ...] = ("STRING", "BOOLEAN")) -> DataFrame:
@@ -34,20 +35,27 @@ def top_values(counts: DataFrame, limit: int = 10, by: str = "col_id") -> DataFr
     return counts.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= limit)
 
 
-def sample(tables: dict[tuple[str, str, str], tuple[DataFrame, list[str]]], limit: int = 10, threshold: int = 50, chunk: int = 50, exact: bool = False) -> DataFrame:
+def sample(tables: dict[tuple[str, str, str], tuple[DataFrame, list[str]]], limit: int = 10, threshold: int = 50, chunk: int = 50, exact: bool = False, batch: int = 64) -> DataFrame:
     """OP-VALUES: (col_id, col_name, val, cnt, tbl_catalog, tbl_schema, tbl_name) of columns with fewer than ``threshold`` values.
 
     A table's columns are read ``chunk`` at a time.  Cardinalities come first,
-    so that columns of many values are never grouped.
+    so that columns of many values are never grouped; those of ``batch`` chunks
+    are one job.
     """
+    scans = [(name, df, columns[lo : lo + chunk]) for name, (df, columns) in tables.items() for lo in range(0, len(columns), chunk)]
     parts = []
-    for (catalog, schema, name), (df, columns) in tables.items():
-        for lo in range(0, len(columns), chunk):
-            some = columns[lo : lo + chunk]
-            # A row for each column at most reaches the driver.
-            few = [r["col_name"] for r in cardinalities(df.select(*some), some, exact).where(F.col("card") < threshold).collect()]
-            if few:
-                parts.append(value_counts(df.select(*few), few).withColumns({"tbl_catalog": F.lit(catalog), "tbl_schema": F.lit(schema), "tbl_name": F.lit(name)}))
+    for first in range(0, len(scans), batch):
+        some = scans[first : first + batch]
+        counted = [cardinalities(df.select(*columns), columns, exact).where(F.col("card") < threshold).select(F.lit(i).alias("scan"), "col_name") for i, (_, df, columns) in enumerate(some)]
+        # A row for each column at most reaches the driver.
+        few: dict[int, list[str]] = {}
+        for r in balanced_union(counted).collect():
+            few.setdefault(r["scan"], []).append(r["col_name"])
+        for i, columns in sorted(few.items()):
+            (catalog, schema, name), df, _ = some[i]
+            parts.append(value_counts(df.select(*columns), columns).withColumns({"tbl_catalog": F.lit(catalog), "tbl_schema": F.lit(schema), "tbl_name": F.lit(name)}))
+    if not parts:
+        return next(iter(tables.values()))[0].sparkSession.createDataFrame([], S.SAMPLED)
     named = balanced_union(parts).withColumn("col_id", dotted_id("tbl_catalog", "tbl_schema", "tbl_name", "col_name"))
     return top_values(named, limit).select("col_id", "col_name", "val", "cnt", "tbl_catalog", "tbl_schema", "tbl_name")
 
@@ -63,9 +71,9 @@ def value_nodes(sampled: DataFrame, last_run) -> DataFrame:
 
 def nearest_ranks(df: DataFrame, column: str) -> DataFrame:
     """AGG-15: min, p25, p50, p75, p95, max by nearest rank round(p * (n - 1)), halves to even."""
-    # Values are counted first, so the window runs over distinct values, not rows.
+    # Values are counted first, so the running total is over distinct values, not rows.
     counts = df.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
-    ranked = counts.select("v", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), "c", F.sum("c").over(Window.partitionBy(F.lit(1))).alias("n"))
+    ranked = running_total(counts, "v", "c").join(F.broadcast(df.agg(F.count("*").alias("n"))))  # one row
     quantiles = [("min", 0.0), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p95", 0.95), ("max", 1.0)]
 
     def at(p: float):

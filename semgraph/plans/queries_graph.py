@@ -10,8 +10,6 @@ from ..operators import fk, nodes, retrieve
 from ..registry import fixture, given, query, table
 from .queries_catalog import STRIPPED, infer_sql, snapshot
 
-#: Vectors 0 to 4 ask; all others answer.
-ASK = 5
 COS = "round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6)"
 FK = f"{STRIPPED}, {given('constraints')}, {infer_sql('meta', 'constraints')}"
 #: Seed columns of two questions.
@@ -20,11 +18,6 @@ BOTH = "far AS (SELECT source_id AS a, target_id AS b, confidence FROM edges UNI
 TABLE_OF = "left({0}, length({0}) - length(split_part({0}, '.', 4)) - 1)"
 
 
-def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    return v.where(F.col("id") < ASK).select(F.col("id").alias("question_id"), "vector", "label"), v.where(F.col("id") >= ASK)
-
-
 def _seeds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("q1", "lake.main.orders.custkey"), ("q1", "lake.main.lineitem.partkey"), ("q2", "lake.main.nation.nationkey")], "question_id string, id string")
 
@@ -36,36 +29,6 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return fk.infer(frame, fk.pk_gate(frame, fixture(spark, "constraints"))), nodes.has_column(columns), nodes.column_nodes(columns)
 
 
-@query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE q.vec_id < {ASK} AND i.vec_id >= {ASK}) WHERE rank <= 5")
-def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, items = _vectors(spark, sf_dir)
-    return retrieve.cosine_topk(q, items, 5)
-
-
-@query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE q.vec_id < 100 AND i.vec_id >= 100 AND q.label = i.label) WHERE rank <= 3")
-def vector_prefilter_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    return retrieve.cosine_topk(v.where("id < 100").select(F.col("id").alias("question_id"), "vector", "label"), v.where("id >= 100"), 3, within=["label"])
-
-
-@query(f"SELECT q.vec_id AS question_id, c.id, CASE WHEN i.vec_id IS NULL THEN 0.0e0 ELSE {COS} END AS score FROM embeddings q, (VALUES (7), (9), (100000000)) c(id) LEFT JOIN embeddings i ON i.vec_id = c.id WHERE q.vec_id < {ASK}")
-def cosine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, items = _vectors(spark, sf_dir)
-    wanted = spark.createDataFrame([(n, i) for n in range(ASK) for i in (7, 9, 100000000)], "question_id long, id int")
-    return retrieve.cosine_candidates(q, wanted, items).select("question_id", "id", "score")
-
-
-@query(f"""WITH s AS (SELECT q.vec_id AS question_id, 's' || i.label AS "schema", {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS rn, i.vec_id % 2 AS side FROM embeddings q, embeddings i WHERE q.vec_id < {ASK} AND i.vec_id >= {ASK}),
-p AS (SELECT question_id, "schema", side, sum(score) AS s FROM s WHERE rn <= 12 GROUP BY ALL), n AS (SELECT question_id, "schema", s / sum(s) OVER (PARTITION BY question_id, side) AS s FROM p),
-t AS (SELECT question_id, "schema", sum(s) AS s FROM n GROUP BY ALL), h AS (SELECT question_id, "schema", round(s / sum(s) OVER (PARTITION BY question_id), 6) AS share FROM t),
-r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY share DESC, "schema")::INTEGER AS rank FROM h) SELECT * FROM r WHERE rank = 1 OR (rank = 2 AND share >= 0.2)""")
-def select_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, items = _vectors(spark, sf_dir)
-    top = retrieve.cosine_topk(q, items, 12).join(items.select("id", "label"), "id")
-    named = top.select("question_id", "score", (F.col("id") % 2).alias("side"), F.concat(F.lit("c.s"), F.col("label").cast("string"), F.lit(".t"), F.col("id").cast("string")).alias("id"))
-    return retrieve.select_schemas(named.where("side = 0"), named.where("side = 1"))
-
-
 QTOK = "list_distinct(list_filter(regexp_extract_all(lower(question), '[a-z]+'), lambda t: length(t) >= 3 AND NOT list_contains(['all','each','many','have','has','out','who','show','list','get','find','did','does','per','avg','sum','any','its','been','the','for','from','and','are','that','this','with','what','how','where','which'], t)))"
 
 
@@ -197,40 +160,12 @@ def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WORDS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda w: w <> '')"
-FULLTEXT = f"""a AS (SELECT item_id AS question_id, unnest(list_distinct({WORDS})) AS w FROM benchmark WHERE item_id < 10), p0 AS (SELECT doc_id AS id, unnest({WORDS}) AS w FROM documents),
+FULLTEXT = f"""a AS (SELECT item_id AS question_id, unnest(list_distinct({WORDS})) AS w FROM benchmark), p0 AS (SELECT doc_id AS id, unnest({WORDS}) AS w FROM documents),
 p AS (SELECT id, w, count(*) AS tf FROM p0 WHERE w IN (SELECT w FROM a) GROUP BY ALL), i AS (SELECT w, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 0.5)) AS idf FROM p GROUP BY w),
 ft AS (SELECT question_id, id, round(sum(tf * idf), 4) AS score FROM a JOIN i USING (w) JOIN p USING (w) GROUP BY ALL), ftr AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM ft)"""
 
 
-@query(f"WITH {FULLTEXT} SELECT * FROM ftr WHERE rank <= 5")
-def fulltext_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = table(spark, sf_dir, "benchmark").where("item_id < 10").select(F.col("item_id").alias("question_id"), "text")
-    return retrieve.fulltext_topk(asked, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), 5)
-
-
-RANKS = f"""WITH r AS (SELECT q.vec_id AS question_id, i.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS a, row_number() OVER (PARTITION BY q.vec_id ORDER BY i.label, i.vec_id) AS b FROM embeddings q, embeddings i WHERE q.vec_id < {ASK} AND i.vec_id >= {ASK})"""
-
-
-def _ranks(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
-    q, items = _vectors(spark, sf_dir)
-    asked = q.select("question_id").join(items.select("id", "label"))
-    by_label = asked.withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy("label", "id"))).where(F.col("rank") <= k)
-    return retrieve.cosine_topk(q, items, k), by_label
-
-
-@query(f"{RANKS}, u AS (SELECT question_id, id, a AS rank FROM r WHERE a <= 8 UNION ALL SELECT question_id, id, b FROM r WHERE b <= 8), f AS (SELECT question_id, id, round(sum(1.0e0 / (60 + rank)), 8) AS score FROM u GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM f QUALIFY rank <= 6")
-def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.hybrid(*_ranks(spark, sf_dir, 8), 6)
-
-
-@query(f"{RANKS}, v AS (SELECT id, min(a) AS a FROM r WHERE a <= 4 GROUP BY 1), l AS (SELECT id, min(b) AS b FROM r WHERE b <= 4 GROUP BY 1) SELECT id, coalesce(a, 0)::INTEGER AS vector, coalesce(b, 0)::INTEGER AS label, least(a, b)::INTEGER AS best_rank, (a IS NOT NULL)::BIGINT + (b IS NOT NULL)::BIGINT AS coverage FROM v FULL JOIN l USING (id)")
-def retriever_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vector, label = _ranks(spark, sf_dir, 4)
-    return retrieve.strategy_matrix({"vector": vector, "label": label}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "label": F.coalesce("label", F.lit(0))})
-
-
-# The whole job of the searches above, whose SQL binds them to the first few ids:
-# every vector whose id 100 divides asks all other vectors, every benchmark passage all documents.
+# Searches: every vector whose id 100 divides asks all other vectors; every benchmark passage asks all documents.
 
 ASKS = "q.vec_id % 100 = 0 AND i.vec_id <> q.vec_id"
 
@@ -240,66 +175,60 @@ def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return v.where(F.col("id") % 100 == 0).select(F.col("id").alias("question_id"), "vector", "label"), v
 
 
-def _others(spark: SparkSession, sf_dir: str, k: int, within: list[str] | None = None) -> DataFrame:
-    """The k nearest of all vectors but the asking one itself: those of the k + 1 nearest that are left, or the first k."""
-    q, items = _asked(spark, sf_dir)
-    near = retrieve.cosine_topk(q, items, k + 1, within).where(F.col("question_id") != F.col("id"))
-    best = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
-    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
 @query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE {ASKS}) WHERE rank <= 5")
-def cosine_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _others(spark, sf_dir, 5)
+def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.cosine_topk(*_asked(spark, sf_dir), 5, apart=True)
 
 
 @query(f"SELECT * FROM (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i WHERE {ASKS} AND q.label = i.label) WHERE rank <= 3")
-def vector_prefilter_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _others(spark, sf_dir, 3, within=["label"])
+def vector_prefilter_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.cosine_topk(*_asked(spark, sf_dir), 3, within=["label"], apart=True)
 
 
-@query(f"SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score FROM embeddings q, embeddings i WHERE {ASKS}")
-def cosine_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score FROM embeddings q JOIN embeddings i ON q.label = i.label WHERE {ASKS} UNION ALL SELECT vec_id, -1, 0.0e0 FROM embeddings WHERE vec_id % 100 = 0")
+def cosine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates: the vectors of the question's label, and one id that has none."""
     q, items = _asked(spark, sf_dir)
-    wanted = q.select("question_id").join(items.select("id"), F.col("question_id") != F.col("id"))
-    return retrieve.cosine_candidates(q, wanted, items)
+    wanted = q.select("question_id", "label").join(items.select("id", "label"), "label").where("question_id <> id").select("question_id", "id")
+    return retrieve.cosine_candidates(q, wanted.union(q.select("question_id", F.lit(-1).cast("long"))), items)
 
 
 @query(f"""WITH s AS (SELECT q.vec_id AS question_id, 's' || i.label AS "schema", {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS rn, i.vec_id % 2 AS side FROM embeddings q, embeddings i WHERE {ASKS}),
 p AS (SELECT question_id, "schema", side, sum(score) AS s FROM s WHERE rn <= 12 GROUP BY ALL), n AS (SELECT question_id, "schema", s / sum(s) OVER (PARTITION BY question_id, side) AS s FROM p),
 t AS (SELECT question_id, "schema", sum(s) AS s FROM n GROUP BY ALL), h AS (SELECT question_id, "schema", round(s / sum(s) OVER (PARTITION BY question_id), 6) AS share FROM t),
 r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY share DESC, "schema")::INTEGER AS rank FROM h) SELECT * FROM r WHERE rank = 1 OR (rank = 2 AND share >= 0.2)""")
-def select_schema_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _others(spark, sf_dir, 12).join(_asked(spark, sf_dir)[1].select("id", "label"), "id")
+def select_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, items = _asked(spark, sf_dir)
+    top = retrieve.cosine_topk(q, items, 12, apart=True).join(items.select("id", "label"), "id")
     named = top.select("question_id", "score", (F.col("id") % 2).alias("side"), F.concat(F.lit("c.s"), F.col("label").cast("string"), F.lit(".t"), F.col("id").cast("string")).alias("id"))
     return retrieve.select_schemas(named.where("side = 0"), named.where("side = 1"))
 
 
-WHOLE_RANKS = f"""WITH r AS (SELECT q.vec_id AS question_id, i.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS a, row_number() OVER (PARTITION BY q.vec_id ORDER BY i.label, i.vec_id) AS b FROM embeddings q, embeddings i WHERE {ASKS})"""
-
-
-def _whole_ranks(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
-    q, items = _asked(spark, sf_dir)
-    asked = q.select("question_id").join(items.select("id", "label"), F.col("question_id") != F.col("id"))
-    by_label = asked.withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy("label", "id"))).where(F.col("rank") <= k)
-    return _others(spark, sf_dir, k), by_label
+@query(f"WITH {FULLTEXT} SELECT * FROM ftr WHERE rank <= 5")
+def fulltext_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
+    return retrieve.fulltext_topk(asked, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), 5)
 
 
-@query(f"{WHOLE_RANKS}, u AS (SELECT question_id, id, a AS rank FROM r WHERE a <= 8 UNION ALL SELECT question_id, id, b FROM r WHERE b <= 8), f AS (SELECT question_id, id, round(sum(1.0e0 / (60 + rank)), 8) AS score FROM u GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM f QUALIFY rank <= 6")
-def hybrid_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.hybrid(*_whole_ranks(spark, sf_dir, 8), 6)
+#: Every passage asks with its words, and with the vector of its id; vectors of documents answer.
+RANKS = f"""WITH {FULLTEXT}, near AS (SELECT q.vec_id AS question_id, i.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS rank
+  FROM (SELECT e.vec_id, e.embedding FROM embeddings e JOIN benchmark b ON b.item_id = e.vec_id) q, (SELECT e.vec_id, e.embedding FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id) i)"""
 
 
-@query(f"{WHOLE_RANKS}, v AS (SELECT id, min(a) AS a FROM r WHERE a <= 4 GROUP BY 1), l AS (SELECT id, min(b) AS b FROM r WHERE b <= 4 GROUP BY 1) SELECT id, coalesce(a, 0)::INTEGER AS vector, coalesce(b, 0)::INTEGER AS label, least(a, b)::INTEGER AS best_rank, (a IS NOT NULL)::BIGINT + (b IS NOT NULL)::BIGINT AS coverage FROM v FULL JOIN l USING (id)")
-def retriever_matrix_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vector, label = _whole_ranks(spark, sf_dir, 4)
-    return retrieve.strategy_matrix({"vector": vector, "label": label}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "label": F.coalesce("label", F.lit(0))})
+def _ranks(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
+    passages = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    asking = passages.join(vectors.withColumnRenamed("id", "question_id"), "question_id").select("question_id", "vector")
+    return retrieve.cosine_topk(asking, vectors.join(docs.select("id"), "id"), k), retrieve.fulltext_topk(passages, docs, k)
 
 
-WHOLE_FULLTEXT = FULLTEXT.replace(" FROM benchmark WHERE item_id < 10)", " FROM benchmark)")
+@query(f"{RANKS}, u AS (SELECT question_id, id, rank FROM near WHERE rank <= 8 UNION ALL SELECT question_id, id, rank FROM ftr WHERE rank <= 8), f AS (SELECT question_id, id, round(sum(1.0e0 / (60 + rank)), 8) AS score FROM u GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM f QUALIFY rank <= 6")
+def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieve.hybrid(*_ranks(spark, sf_dir, 8), 6)
 
 
-@query(f"WITH {WHOLE_FULLTEXT} SELECT * FROM ftr WHERE rank <= 5")
-def fulltext_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
-    return retrieve.fulltext_topk(asked, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), 5)
+@query(f"{RANKS}, v AS (SELECT id, min(rank) AS a FROM near WHERE rank <= 4 GROUP BY 1), l AS (SELECT id, min(rank) AS b FROM ftr WHERE rank <= 4 GROUP BY 1) SELECT id, coalesce(a, 0)::INTEGER AS vector, coalesce(b, 0)::INTEGER AS words, least(a, b)::INTEGER AS best_rank, (a IS NOT NULL)::BIGINT + (b IS NOT NULL)::BIGINT AS coverage FROM v FULL JOIN l USING (id)")
+def retriever_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector, words = _ranks(spark, sf_dir, 4)
+    return retrieve.strategy_matrix({"vector": vector, "words": words}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "words": F.coalesce("words", F.lit(0))})

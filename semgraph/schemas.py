@@ -27,6 +27,7 @@ TABLES = "table_catalog string, table_schema string, table_name string, table_ty
 COLUMNS = "table_catalog string, table_schema string, table_name string, column_name string, data_type string, is_nullable string, ordinal_position int, comment string"
 CONSTRAINTS = "table_catalog string, table_schema string, table_name string, column_name string, constraint_type string, ordinal_position int, constraint_name string"
 FK_PAIRS = "fk_schema string, fk_name string, src_catalog string, src_schema string, src_table string, src_column string, tgt_catalog string, tgt_schema string, tgt_table string, tgt_column string, ord int"
+SAMPLED = "col_id string, col_name string, val string, cnt bigint, tbl_catalog string, tbl_schema string, tbl_name string"
 LEDGER = "id string, embedding_text_hash string, embedding array<double>, embedding_model string, embedded_at timestamp"
 
 REFERENCES = T.StructType(

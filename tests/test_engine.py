@@ -1,8 +1,10 @@
 """Operators on hand-made frames, plans where their shape matters, and every query against its SQL."""
 
 import glob
+import itertools
 import json
 import os
+import random
 
 import duckdb
 import pytest
@@ -15,6 +17,7 @@ from semgraph.functions import text as X
 from semgraph.functions.ids import catalog_of, dotted_id, in_catalogs, schema_of
 from semgraph.functions.types import LAKE_TYPES, canonical_type, coerce_type
 from semgraph.operators import blueprint, embed, fk, grade, nodes, questions, retrieve, store, values
+from semgraph.operators.running import running_total
 from semgraph.oracles import oracle_sql
 from semgraph.plans import answer, ingest, materialize
 from semgraph.queries import queries
@@ -256,20 +259,37 @@ def test_cosine_of_itself(spark):
 
 
 def test_vector_searches_ask_and_answer_over_all_ids(spark):
-    ids = {r["vec_id"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
-    asking = {i for i in ids if i % 100 == 0}
-    got = queries()["cosine_topk_whole"](spark, SF).collect()
-    assert {r["question_id"] for r in got} == asking and len(got) == 5 * len(asking)
-    pairs = {(r["question_id"], r["id"]) for r in queries()["cosine_candidates_whole"](spark, SF).collect()}
-    assert pairs == {(q, i) for q in asking for i in ids if q != i}
-    for name in ("vector_prefilter_topk_whole", "select_schema_whole", "hybrid_topk_whole"):
+    vectors = {r["vec_id"]: r["label"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "label").collect()}
+    asking = {i for i in vectors if i % 100 == 0}
+    got = queries()["cosine_topk"](spark, SF).collect()
+    assert {r["question_id"] for r in got} == asking and len(got) == 5 * len(asking) and all(r["question_id"] != r["id"] for r in got)
+    pairs = {(r["question_id"], r["id"]) for r in queries()["cosine_candidates"](spark, SF).collect()}
+    assert pairs == {(q, i) for q in asking for i in vectors if q != i and vectors[q] == vectors[i]} | {(q, -1) for q in asking}
+    for name in ("vector_prefilter_topk", "select_schema"):
         assert {r["question_id"] for r in queries()[name](spark, SF).select("question_id").collect()} == asking
 
 
 def test_every_benchmark_passage_is_searched(spark):
     passages = {r["item_id"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id").collect()}
     assert len(passages) > 10
-    assert {r["question_id"] for r in queries()["fulltext_topk_whole"](spark, SF).select("question_id").collect()} == passages
+    for name in ("fulltext_topk", "hybrid_topk"):
+        assert {r["question_id"] for r in queries()[name](spark, SF).select("question_id").collect()} == passages
+
+
+def test_running_totals_equal_a_plain_sum(spark):
+    rng = random.Random(3)
+    keys = sorted({rng.randrange(10**6) for _ in range(500)})
+    made = [(None, 7)] + [(k, rng.randrange(9)) for k in keys]
+    for name, frame in (("long", spark.createDataFrame(made, "k long, n long")), ("text", spark.createDataFrame([(None if k is None else f"{k:07d}", n) for k, n in made], "k string, n long")), ("list", spark.createDataFrame([(None if k is None else [f"{k:07d}", "x"], n) for k, n in made], "k array<string>, n long"))):
+        got = [r["upto"] for r in running_total(frame.repartition(5), "k", "n", buckets=8).orderBy(F.col("k").asc_nulls_first()).collect()]
+        assert got == list(itertools.accumulate(n for _, n in made)), name
+    assert running_total(spark.createDataFrame([], "k long, n long"), "k", "n").count() == 0
+
+
+def test_words_inside_names(spark):
+    asked = spark.createDataFrame([(1, "steel bolts and art"), (2, "of to"), (3, None)], "question_id int, question string")
+    names = spark.createDataFrame([("a", "BOLTS"), ("b", "cart"), ("c", "ar"), ("d", None), ("e", "steelworks"), ("f", "bolt")], "id string, name string")
+    assert {(r[0], r[1]) for r in retrieve.lexical_tables(asked, names).collect()} == {(1, "a"), (1, "b"), (1, "e")}
 
 
 def test_whole_texts_pass_through_the_literal_rule(spark):
