@@ -20,9 +20,11 @@ class IngestSettings:
     embedding_model: str = "hash-64"
     embedding_failure_max: int = 0
     exact_cardinality: bool = False
+    tables_per_batch: int = 200
+    scoped_verification: bool = True
 
     def __post_init__(self) -> None:
-        if self.sample_limit < 1 or self.cardinality_threshold < 1 or self.columns_per_scan < 1:
+        if min(self.sample_limit, self.cardinality_threshold, self.columns_per_scan, self.tables_per_batch) < 1:
             raise ValueError("sampling limits must be positive")
         if not 0 <= self.fk_threshold <= 1:
             raise ValueError("fk_threshold must lie between 0 and 1")

@@ -86,21 +86,19 @@ def parse_sql(text: Column | str) -> Column:
     return F.struct(F.when(inner != "", inner).alias("sql"), inner.rlike(r"(?i)^(SELECT|WITH|INSERT|UPDATE|DELETE|CREATE|EXPLAIN)\b").alias("valid"))
 
 
+def reads_only(sql: Column | str) -> Column:
+    """FLT-08 without the catalog: one SELECT (or WITH) that changes nothing."""
+    low = F.lower(F.regexp_replace(_col(sql), r"^\s+|\s+$", ""))
+    return low.rlike("^(select|with)\\b") & ~F.contains(F.regexp_replace(low, ";+$", ""), F.lit(";")) & ~low.rlike(r"\b(" + "|".join(FORBIDDEN_SQL) + r")\b")
+
+
 def reads_only_catalog(sql: Column | str, catalog: str) -> Column:
     """FLT-08: one SELECT whose every FROM and JOIN names a table of ``catalog``."""
-    s = F.regexp_replace(_col(sql), r"^\s+|\s+$", "")
-    low = F.lower(s)
+    low = F.lower(F.regexp_replace(_col(sql), r"^\s+|\s+$", ""))
     refs = F.regexp_extract_all(low, F.lit(r"\b(?:from|join)\s+([`a-z0-9_.-]+)"), F.lit(1))
     quoted, plain = f"`{catalog.lower()}`", f"{catalog.lower()}."
     good = F.forall(refs, lambda r: F.when(r.startswith("`"), r.startswith(quoted)).otherwise(r.startswith(plain)))
-    return (
-        low.startswith("select")
-        & ~F.contains(F.regexp_replace(s, ";+$", ""), F.lit(";"))
-        & ~low.rlike(r"\b(" + "|".join(FORBIDDEN_SQL) + r")\b")
-        & ~F.contains(low, F.lit("information_schema"))
-        & ~low.rlike(r"\bsystem\s*\.")
-        & good
-    )
+    return reads_only(sql) & low.startswith("select") & ~F.contains(low, F.lit("information_schema")) & ~low.rlike(r"\bsystem\s*\.") & good
 
 
 def first_table(sql: Column | str, place: int) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import constraint_name, sanitize_identifier, schema_name
+from ..functions.text import constraint_name, sanitize_identifier, schema_name, sql_literal
 from ..functions.types import coerce_type
 
 BLUEPRINT = (
@@ -71,11 +71,62 @@ def planned_foreign_keys(tables: DataFrame, planned: DataFrame) -> DataFrame:
     return valid.select("schema", "table", "columns", "parent", "referred", constraint_name("fk", F.col("schema"), F.col("table"), F.array_join("columns", "_"), F.col("parent")).alias("name"))
 
 
-def statements(planned: DataFrame, catalog: str) -> DataFrame:
-    """SNK-08: a CREATE TABLE for each planned table."""
-    line = F.concat(F.lit("`"), F.col("column"), F.lit("` "), F.col("lake_type"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))), lambda r: r["line"]), ", ")
-    return planned.groupBy("schema", "table").agg(body.alias("body")).select("schema", "table", F.concat(F.lit(f"CREATE TABLE `{catalog}`.`"), F.col("schema"), F.lit("`.`"), F.col("table"), F.lit("` ("), F.col("body"), F.lit(")")).alias("ddl"))
+def _quoted(name: Column) -> Column:
+    return F.concat(F.lit("`"), name, F.lit("`"))
+
+
+def _listed(names: Column) -> Column:
+    return F.array_join(F.transform(names, _quoted), ", ")
+
+
+def _full_name(catalog: str, table: str = "table") -> Column:
+    return F.concat(F.lit(f"`{catalog}`."), _quoted(F.col("schema")), F.lit("."), _quoted(F.col(table)))
+
+
+def statements(planned: DataFrame, catalog: str, keys: DataFrame | None = None) -> DataFrame:
+    """SNK-08: a CREATE TABLE for each planned table; keys: primary keys (as by planned_primary_keys), declared inline, their columns NOT NULL."""
+    if keys is None:
+        keyed = planned.withColumns({"key": F.lit(None).cast("array<string>"), "name": F.lit(None).cast("string")})
+    else:
+        keyed = planned.join(keys.select("schema", "table", "key", "name"), ["schema", "table"], "left")
+    in_key = F.coalesce(F.array_contains("key", F.col("column")), F.lit(False))
+    line = F.concat(_quoted(F.col("column")), F.lit(" "), F.col("lake_type"), F.when(in_key, " NOT NULL").otherwise(""))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))), lambda r: r["line"])
+    made = keyed.groupBy("schema", "table", "key", "name").agg(lines.alias("lines"))
+    clause = F.when(F.col("key").isNotNull(), F.concat(F.lit(", CONSTRAINT "), _quoted(F.col("name")), F.lit(" PRIMARY KEY ("), _listed(F.col("key")), F.lit(")"))).otherwise("")
+    return made.select("schema", "table", F.concat(F.lit("CREATE TABLE "), _full_name(catalog), F.lit(" ("), F.array_join("lines", ", "), clause, F.lit(")")).alias("ddl"))
+
+
+def foreign_key_statements(keys: DataFrame, catalog: str) -> DataFrame:
+    """SNK-08: an ALTER TABLE for each foreign key (as by planned_foreign_keys)."""
+    add = F.concat(
+        F.lit("ALTER TABLE "), _full_name(catalog), F.lit(" ADD CONSTRAINT "), _quoted(F.col("name")),
+        F.lit(" FOREIGN KEY ("), _listed(F.col("columns")), F.lit(") REFERENCES "), _full_name(catalog, "parent"), F.lit(" ("), _listed(F.col("referred")), F.lit(")"),
+    )
+    return keys.select("schema", "table", "name", add.alias("ddl"))
+
+
+def insert_statements(tables: DataFrame, planned: DataFrame, catalog: str) -> DataFrame:
+    """SNK-08: an INSERT OVERWRITE of each table's sample rows, if it has any; cells are cast to their column's type."""
+    columns = planned.groupBy("schema", "table").agg(F.array_sort(F.collect_list(F.struct("place", "column", "lake_type"))).alias("cs"))
+    rows = tables.select("schema", sanitize_identifier("table", "t").alias("table"), F.posexplode("rows").alias("n", "r")).join(columns, ["schema", "table"])
+
+    def cell(c: Column) -> Column:
+        literal = sql_literal(F.get("r", c["place"]))
+        return F.when((c["lake_type"] == "STRING") | (literal == "NULL"), literal).otherwise(F.concat(F.lit("CAST("), literal, F.lit(" AS "), c["lake_type"], F.lit(")")))
+
+    tuples = rows.select("schema", "table", "n", F.transform("cs", lambda c: c["column"]).alias("names"), F.concat(F.lit("("), F.array_join(F.transform("cs", cell), ", "), F.lit(")")).alias("t"))
+    made = tuples.groupBy("schema", "table", "names").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda x: x["t"]), ", ").alias("v"))
+    return made.select("schema", "table", F.concat(F.lit("INSERT OVERWRITE "), _full_name(catalog), F.lit(" ("), _listed(F.col("names")), F.lit(") VALUES "), F.col("v")).alias("ddl"))
+
+
+def table_properties(tables: DataFrame, prefix: str) -> DataFrame:
+    """JSN-01: (schema, table, properties): where a table comes from and its keys as they were given, as JSON."""
+    keys = F.to_json(F.coalesce("foreign_keys", F.array().cast(tables.schema["foreign_keys"].dataType)))
+    primary = F.to_json(F.coalesce("primary_key", F.array().cast("array<string>")))
+    named = {"source_id": F.col("source_id"), "original_name": F.col("table"), "primary_keys": primary, "foreign_keys": keys}
+    properties = F.create_map(*(x for k, v in named.items() for x in (F.lit(f"{prefix}.{k}"), v)))
+    return tables.select("schema", sanitize_identifier("table", "t").alias("table"), properties.alias("properties"))
 
 
 def ranked_candidates(tables: DataFrame, least: int, most: int, least_fks: int, limit: int) -> DataFrame:

@@ -107,7 +107,8 @@ def embedded_batch(df: DataFrame, label: str, folder: str, embedder: Embedder, d
     """OP-EMB: embeds what the ledger in ``folder`` lacks, freezes the result, and writes the ledger's next snapshot.
 
     Gives the frozen rows and the statistics.  Vectors are computed once: all
-    later reads are of the frozen files (SNK-03).
+    later reads are of the frozen files below ``folder``/staged (SNK-03), which
+    the caller deletes when it has written them.
     """
     spark = df.sparkSession
     root = f"{folder}/ledger/{label.lower()}"

@@ -137,6 +137,12 @@ def select_schemas(column_seeds: DataFrame, table_seeds: DataFrame, runner_up: f
     return ranked.where((F.col("rank") == 1) | ((F.col("rank") == 2) & (F.col("share") >= runner_up))).select("question_id", "schema", "share", "rank")
 
 
+def true_schema_names(chosen: DataFrame, schemas: DataFrame) -> DataFrame:
+    """JOIN-13: ``chosen`` with the schemas' own names in place of the parts of ids, which are lower case; a part that no Schema node has stays."""
+    names = schemas.select(F.lower("name").alias("schema"), F.col("name").alias("_true")).groupBy("schema").agg(F.min("_true").alias("_true"))
+    return chosen.join(names, "schema", "left").withColumn("schema", F.coalesce("_true", "schema")).select(*chosen.columns)
+
+
 def fetch_columns(tables: DataFrame, columns: DataFrame) -> DataFrame:
     """GRF-07, SRT-03: columns of the tables, with quoted names."""
     c = columns.withColumn("table_id", dotted_id("catalog", "schema", "table")).withColumn("table_fqn", F.concat_ws(".", *(F.concat(F.lit("`"), F.col(p), F.lit("`")) for p in ("catalog", "schema", "table"))))

@@ -31,6 +31,17 @@ def without_stale(values: DataFrame, started_at, catalogs: list[str], schemas: l
     return values.where(~F.coalesce(mine & (F.col("last_run") < F.lit(started_at).cast(values.schema["last_run"].dataType)), F.lit(False)))
 
 
+def duplicate_ids(nodes: DataFrame) -> DataFrame:
+    """SNK-11: (id, n) of ids that several nodes of a label bear, or none at all (null)."""
+    return nodes.groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("id").isNull())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """SNK-03: removes transient files; a path that isn't there is left at that."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def counts(frames: dict[str, DataFrame]) -> DataFrame:
     """AGG-11: (name, n) of each label or relation."""
     return balanced_union([df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in frames.items()])

@@ -1,11 +1,11 @@
-"""Checks of a stored graph; each gives (code, n) with the number of violations (VER-01..13, GRF-16)."""
+"""Checks of a stored graph; each gives (code, n) with the number of violations (VER-01..14, GRF-16)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import value_id
+from ..functions.ids import in_catalogs, value_id
 from .nodes import balanced_union
 
 
@@ -24,8 +24,14 @@ def many_parents(edges: DataFrame) -> DataFrame:
     return edges.select("source_id", "target_id").distinct().groupBy("target_id").count().where("count > 1")
 
 
-def verify(nodes: dict[str, DataFrame], edges: dict[str, DataFrame], version: str, sample_limit: int = 10) -> DataFrame:
-    """OP-VERIFY: one report of all structural checks; a run is good if every n is 0."""
+def verify(nodes: dict[str, DataFrame], edges: dict[str, DataFrame], version: str, sample_limit: int = 10, catalogs: list[str] | None = None) -> DataFrame:
+    """OP-VERIFY: one report of all structural checks; a run is good if every n is 0.
+
+    catalogs: only nodes of these, and edges that end in these, are looked at (FLT-06); None: the whole store.
+    """
+    if catalogs is not None:
+        nodes = {label: df.where(in_catalogs("id", catalogs)) for label, df in nodes.items()}
+        edges = {rel: df.where(in_catalogs("target_id", catalogs)) for rel, df in edges.items()}
     values, has_value, columns = nodes["Value"], edges["HAS_VALUE"], nodes["Column"]
     parents = has_value.join(columns.select(F.col("id").alias("source_id"), "data_type"), "source_id", "left")
     degree = has_value.select("source_id", "target_id").distinct()
@@ -54,12 +60,46 @@ def count_mismatches(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return both.where(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
+def _violations(summary: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """(code, n): of how many summary rows each condition holds; null counts for false."""
+    wide = summary.agg(*(F.count_if(F.coalesce(bad, F.lit(False))).alias(code) for code, bad in checks.items()))
+    return wide.select(F.explode(F.array(*(F.struct(F.lit(code).alias("code"), F.col(f"`{code}`").alias("n")) for code in checks))).alias("v")).select("v.*")
+
+
+def summary_shape(summary: DataFrame) -> DataFrame:
+    """VER-01: runs (status, run_id, row_counts) that did not succeed, have no id, or counted nothing."""
+    return _violations(
+        summary,
+        {
+            "status_not_success": ~F.col("status").eqNullSafe("success"),
+            "missing_run_id": F.coalesce("run_id", F.lit("")) == "",
+            "missing_row_counts": F.coalesce(F.size("row_counts"), F.lit(0)) < 1,
+        },
+    )
+
+
 def fk_accounting(summary: DataFrame) -> DataFrame:
-    """VER-06, VER-08: rows of a summary whose counts contradict each other."""
+    """VER-06: rows of (fk_declared, fk_resolved, fk_skipped) whose counts contradict each other."""
     skipped, found, total = F.col("fk_skipped"), F.col("fk_resolved"), F.col("fk_declared")
     return summary.where((skipped != total - found) | (found > total) | (skipped < 0))
 
 
+def sampling_accounting(summary: DataFrame) -> DataFrame:
+    """VER-08: of row_counts, more sampled columns than candidates, or sampled and skipped ones that are not all candidates; a count that is missing is 0."""
+    sampled, skipped, candidates = (F.coalesce(F.element_at("row_counts", F.lit(f"{k}_columns")), F.lit(0)) for k in ("sampled", "skipped", "candidate"))
+    return _violations(summary, {"sampled_exceeds_candidates": sampled > candidates, "sampled_and_skipped_are_not_candidates": sampled + skipped != candidates})
+
+
+# The least counts of a run over the fixture catalog.
+LEAST = {"schemas": 4, "tables": 19, "fk_declared": 16, "fk_edges": 16}
+
+
+def thresholds(summary: DataFrame, least: dict[str, int] | None = None) -> DataFrame:
+    """VER-14: runs with a status other than success, an error, fewer rows of a kind than they should have, or no counts of the graph."""
+    few = {f"few:{k}": F.coalesce(F.element_at("row_counts", F.lit(k)), F.lit(-1)) < n for k, n in (least or LEAST).items()}
+    return _violations(summary, {"status": ~F.col("status").eqNullSafe("success"), "error": F.col("error").isNotNull(), **few, "no_graph_counts": F.coalesce(F.size("graph_counts"), F.lit(0)) < 1})
+
+
 def id_mismatches(catalog_ids: DataFrame, graph_ids: DataFrame) -> DataFrame:
     """VER-12: ids of sampled columns that the catalog doesn't have."""
     return graph_ids.select("id").join(catalog_ids.select("id"), "id", "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -26,10 +27,17 @@ class Graph:
     edges: dict[str, DataFrame]
 
 
-def preflight(snapshot: metadata.Snapshot) -> None:
-    """OP-PREFLIGHT: a table at least must be in scope."""
-    if not snapshot.tables.limit(1).count():
+def preflight(spark: SparkSession, snapshot: metadata.Snapshot, folder: str, settings: IngestSettings, embedder: embed.Embedder | None = None) -> None:
+    """OP-PREFLIGHT, SNK-09: a table at least must be in scope, the folder is made if it isn't there, and the embedder gives vectors of the right size."""
+    if not metadata.scoped(snapshot, list(settings.schemas) or None).tables.limit(1).count():
         raise ValueError("no table is in scope")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path):
+        raise ValueError(f"{folder} can't be made")
+    if settings.embed_labels and embedder is not None:
+        error = spark.range(1).select(embed.validated(embedder(F.lit("probe")), settings.embedding_dimension)[1].alias("e")).first()["e"]
+        if error is not None:
+            raise ValueError(f"the embedder gives no vector of {settings.embedding_dimension}: {error}")
 
 
 def extract(snapshot: metadata.Snapshot, settings: IngestSettings) -> Graph:
@@ -41,15 +49,20 @@ def extract(snapshot: metadata.Snapshot, settings: IngestSettings) -> Graph:
     )
 
 
-def sample(snapshot: metadata.Snapshot, read: Reader, settings: IngestSettings) -> DataFrame | None:
-    """OP-VALUES over every table with columns to sample; None if there are none."""
+def sample(snapshot: metadata.Snapshot, read: Reader, settings: IngestSettings, folder: str) -> DataFrame | None:
+    """OP-VALUES, OP-BATCH over every table with columns to sample; None if there are none.
+
+    ``settings.tables_per_batch`` tables are one plan, whose values are written
+    to ``folder`` before the next; what is given reads them there.
+    """
     wanted = values.sampleable(metadata.scoped(snapshot, list(settings.schemas) or None).columns)
     # Names only: a row for each table.
-    tables = {(r["table_catalog"], r["table_schema"], r["table_name"]): r["columns"] for r in wanted.orderBy("table_catalog", "table_schema", "table_name").collect()}
-    if not tables:
-        return None
-    frames = {k: (read(*k), c) for k, c in tables.items()}
-    return values.sample(frames, settings.sample_limit, settings.cardinality_threshold, settings.columns_per_scan, settings.exact_cardinality)
+    tables = [((r["table_catalog"], r["table_schema"], r["table_name"]), r["columns"]) for r in wanted.orderBy("table_catalog", "table_schema", "table_name").collect()]
+    spark = wanted.sparkSession
+    for lo in range(0, len(tables), settings.tables_per_batch):
+        frames = {k: (read(*k), c) for k, c in tables[lo : lo + settings.tables_per_batch]}
+        values.sample(frames, settings.sample_limit, settings.cardinality_threshold, settings.columns_per_scan, settings.exact_cardinality).write.mode("append").parquet(folder)
+    return spark.read.schema(S.SAMPLED).parquet(folder) if tables else None
 
 
 def ingest(spark: SparkSession, snapshot: metadata.Snapshot, read: Reader, constraints: DataFrame, folder: str, settings: IngestSettings | None = None, declared: DataFrame | None = None, embedder: embed.Embedder | None = None) -> DataFrame:
@@ -60,10 +73,11 @@ def ingest(spark: SparkSession, snapshot: metadata.Snapshot, read: Reader, const
     failure to read).
     """
     settings = settings or IngestSettings()
-    preflight(snapshot)
+    preflight(spark, snapshot, folder, settings, embedder)
     graph, target = extract(snapshot, settings), store.GraphStore(spark, folder)
     started = spark.range(1).select(F.current_timestamp().cast("string").alias("t")).first()["t"]
-    found = sample(snapshot, read, settings)
+    transient = f"{folder}/sampled-{uuid.uuid4().hex}"
+    found = sample(snapshot, read, settings, transient)
     labels = dict(graph.nodes)
     if found is not None:
         found = found.withColumn("id", value_id("col_id", "val"))
@@ -82,10 +96,12 @@ def ingest(spark: SparkSession, snapshot: metadata.Snapshot, read: Reader, const
         target.write_edges(rel, graph.edges[rel], a, b)
     scope = metadata.scoped(snapshot, list(settings.schemas) or None)
     target.write_edges("REFERENCES", fk.discover(scope.columns, constraints, declared, settings.fk_threshold, settings.fk_max_columns), "Column", "Column")
+    store.delete(spark, transient)
+    store.delete(spark, f"{folder}/staged")
     empty_values = spark.createDataFrame([], "id string, value string, contract_version string")
     stored = {label: target.read(label) for label in labels} | ({} if found is not None else {"Value": empty_values})
     edges = {rel: target.read(rel) for rel in S.REL_TYPES if found is not None or rel != "HAS_VALUE"} | ({} if found is not None else {"HAS_VALUE": spark.createDataFrame([], "source_id string, target_id string")})
-    return verify.verify(stored, edges, S.CONTRACT_VERSION, settings.sample_limit)
+    return verify.verify(stored, edges, S.CONTRACT_VERSION, settings.sample_limit, list(settings.catalogs) if settings.scoped_verification else None)
 
 
 def summary(spark: SparkSession, run_id: str, job: str, report: DataFrame, counts: DataFrame, status: str = "success") -> DataFrame:

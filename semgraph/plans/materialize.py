@@ -2,41 +2,62 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize_identifier
-from ..operators import blueprint
+from ..operators import blueprint, store
 
 
 def materialize(spark: SparkSession, tables: DataFrame, folder: str) -> DataFrame:
     """Writes each table of a blueprint as parquet below ``folder`` and gives (schema, table, n_rows, n_columns, fallbacks, error).
 
-    A table that can't be written is reported and doesn't stop the others.  A
-    blueprint's tables and sample rows are few; its names and types are what
-    the driver sees.
+    A table that can't be written is reported and doesn't stop the others.  The
+    sample rows of all tables are dealt to a folder each in one pass, so a table
+    reads its own only.  Keys that hold (as planned_primary_keys and
+    planned_foreign_keys tell, of tables that were written) are the engine's own
+    table ``_keys`` beside them.  A blueprint's tables and sample rows are few;
+    its names and types are what the driver sees.
     """
-    planned = blueprint.planned_columns(tables).persist()
+    planned, staged = blueprint.planned_columns(tables).persist(), f"{folder}/_staged-{uuid.uuid4().hex}"
     try:
         shape = planned.groupBy("schema", "table").agg(F.array_sort(F.collect_list(F.struct("place", "column", "lake_type", "fallback"))).alias("cs"))
-        source = tables.withColumn("clean", sanitize_identifier("table", "t"))
+        rows = tables.select(F.col("schema").alias("s"), sanitize_identifier("table", "t").alias("t"), F.explode("rows").alias("r")).where("s <> '' and t <> ''")
+        rows.repartition("s", "t").write.partitionBy("s", "t").parquet(staged)
+        has_rows = {(r["s"], r["t"]) for r in rows.select("s", "t").distinct().collect()}
         done = []
         for r in shape.orderBy("schema", "table").collect():
-            rows = source.where((F.col("schema") == r["schema"]) & (F.col("clean") == r["table"])).select(F.explode("rows").alias("r"))
+            own = spark.read.schema("r array<string>").parquet(f"{staged}/s={r['schema']}/t={r['table']}") if (r["schema"], r["table"]) in has_rows else spark.createDataFrame([], "r array<string>")
             cells = [F.get("r", F.lit(c["place"])).try_cast("string" if c["lake_type"] == "STRING" else c["lake_type"].lower()).alias(c["column"]) for c in r["cs"]]
             out, error, n = f"{folder}/{r['schema']}/{r['table']}", None, 0
             try:
-                rows.select(*cells).write.mode("overwrite").parquet(out)
+                own.select(*cells).write.mode("overwrite").parquet(out)
                 n = spark.read.parquet(out).count()
             except PySparkException as e:
                 error = str(e).splitlines()[0]
             done.append((r["schema"], r["table"], n, len(r["cs"]), sum(c["fallback"] for c in r["cs"]), error))
-        return spark.createDataFrame(done, "schema string, table string, n_rows long, n_columns int, fallbacks int, error string")
+        result = spark.createDataFrame(done, "schema string, table string, n_rows long, n_columns int, fallbacks int, error string")
+        keys(tables, planned, result).write.mode("overwrite").parquet(f"{folder}/_keys")
+        return result
     finally:
+        store.delete(spark, staged)
         planned.unpersist()
 
 
+def keys(tables: DataFrame, planned: DataFrame, results: DataFrame) -> DataFrame:
+    """(schema, table, kind, name, columns, parent, referred) of the keys between tables that were written."""
+    written = results.where("error is null").select("schema", "table")
+    primary = blueprint.planned_primary_keys(tables, planned).join(written, ["schema", "table"], "left_semi")
+    foreign = blueprint.planned_foreign_keys(tables, planned).join(written, ["schema", "table"], "left_semi").join(written.withColumnRenamed("table", "parent"), ["schema", "parent"], "left_semi")
+    none = F.lit(None)
+    return primary.select("schema", "table", F.lit("PRIMARY KEY").alias("kind"), "name", F.col("key").alias("columns"), none.cast("string").alias("parent"), none.cast("array<string>").alias("referred")).unionByName(
+        foreign.select("schema", "table", F.lit("FOREIGN KEY").alias("kind"), "name", "columns", "parent", "referred")
+    )
+
+
 def totals(results: DataFrame) -> DataFrame:
     """AGG-19: the sums of several results."""
     return results.agg(F.count_if(F.col("error").isNull()).alias("tables_created"), F.count_if(F.col("error").isNotNull()).alias("tables_skipped"), F.sum("n_rows").alias("rows_inserted"), F.sum("fallbacks").alias("type_fallbacks"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import in_catalogs, in_schemas
 from ..functions.text import comment_tokens
 from ..functions.types import canonical_type, coerce_type
-from ..operators import fk, nodes
+from ..operators import fk, nodes, retrieve, values
 from ..registry import fixture, given, query
 from ..sources import metadata
 
@@ -202,3 +203,25 @@ def fk_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
 def comment_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", comment_tokens("text").alias("t"))
     return docs.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.get("t", F.lit(0)).alias("first_token"))
+
+
+@query(f"WITH {META} SELECT table_name, string_agg(column_name, ',' ORDER BY column_name) AS columns FROM meta WHERE data_type IN ('STRING', 'BOOLEAN') GROUP BY table_name")
+def sampleable_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-02, AGG-03."""
+    return values.sampleable(snapshot(spark, sf_dir).columns).select("table_name", F.array_join("columns", ",").alias("columns"))
+
+
+@query(f"WITH {META} SELECT lower(table_catalog || '.' || table_schema || '.' || table_name || '.' || column_name) AS id, table_name IN ('orders', 'lineitem') AS chosen FROM meta")
+def scoped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-06, FLT-07: ids below a catalog, of which one has a name that another's begins with, and those of chosen schemas."""
+    ids = nodes.column_nodes(snapshot(spark, sf_dir).columns).select("id", "table")
+    far = ids.select(F.concat(F.lit("lake_two"), F.substr("id", F.lit(5))).alias("id"), "table")
+    moved = ids.unionByName(far).where(in_catalogs("id", ["Lake"])).withColumn("as_schema", F.concat_ws(".", F.lit("lake"), "table", F.lit("x")))
+    return moved.select("id", in_schemas("as_schema", ["Orders", "LINEITEM"]).alias("chosen")).where(in_schemas("id", []))
+
+
+@query("SELECT * FROM (VALUES ('q1', 'Sales-EU'), ('q1', 'hr'), ('q2', 'gone')) t(question_id, \"schema\")")
+def true_schema_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-13."""
+    chosen = spark.createDataFrame([("q1", "sales-eu"), ("q1", "hr"), ("q2", "gone")], "question_id string, schema string")
+    return retrieve.true_schema_names(chosen, spark.createDataFrame([("Sales-EU",), ("hr",), ("Other",), (None,)], "name string"))

@@ -329,6 +329,75 @@ def ddl_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.statements(blueprint.planned_columns(_blueprint(spark)), "lake")
 
 
+@query("""SELECT 'sp' AS "schema", 'users' AS "table", 'CREATE TABLE `lake`.`sp`.`users` (`id` INT NOT NULL, `full_name` STRING, CONSTRAINT `pk_sp__users` PRIMARY KEY (`id`))' AS ddl
+UNION ALL SELECT 'sp', 't_2_orders', 'CREATE TABLE `lake`.`sp`.`t_2_orders` (`id` BIGINT, `user_id` INT, `c_9lives` STRING)' UNION ALL SELECT 'sp', 't_2_orders', 'ALTER TABLE `lake`.`sp`.`t_2_orders` ADD CONSTRAINT `fk_sp__t_2_orders__user_id__users` FOREIGN KEY (`user_id`) REFERENCES `lake`.`sp`.`users` (`id`)'
+UNION ALL SELECT 'sp', 'users', 'INSERT OVERWRITE `lake`.`sp`.`users` (`id`, `full_name`) VALUES (CAST(''1'' AS INT), ''a'')' UNION ALL SELECT 'sp', 't_2_orders', 'INSERT OVERWRITE `lake`.`sp`.`t_2_orders` (`id`, `user_id`, `c_9lives`) VALUES (NULL, CAST(''1'' AS INT), ''x'')'""")
+def ddl_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _blueprint(spark)
+    planned = blueprint.planned_columns(b)
+    created = blueprint.statements(planned, "lake", blueprint.planned_primary_keys(b, planned))
+    return created.unionByName(blueprint.foreign_key_statements(blueprint.planned_foreign_keys(b, planned), "lake").drop("name")).unionByName(blueprint.insert_statements(b, planned, "lake"))
+
+
+@query("SELECT p_brand AS brand, p_size AS size, count(*) AS n_rows FROM part GROUP BY 1, 2")
+def zipped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ARR-05: the parts of each brand and size as lists of columns, zipped to rows again and counted."""
+    lists = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).agg(F.array(F.collect_list(F.col("p_partkey").cast("string")), F.collect_list("p_name")).alias("lists"))
+    return lists.select("brand", "size", F.size(blueprint.zipped_rows("lists", 1_000_000_000)).cast("long").alias("n_rows"))
+
+
+RUNS = """SELECT run_id, status, error, row_counts, graph_counts, fk_declared, fk_resolved, fk_skipped FROM (VALUES
+  ('r1','success',CAST(NULL AS VARCHAR(9)),4,19,16,16,9,1,10,1,16,16,0), ('','failed','lost',3,19,16,15,9,1,9,0,16,18,-2), (CAST(NULL AS VARCHAR(9)),'success',NULL,5,20,17,17,5,5,10,2,17,16,2), ('r4',CAST(NULL AS VARCHAR(9)),NULL,9,9,9,9,2,0,1,0,9,9,0)) AS x(run_id, status, error, s, t, d, e, sampled, skipped, candidates, g, fk_declared, fk_resolved, fk_skipped)"""
+
+
+def _runs(spark: SparkSession) -> DataFrame:
+    """Runs with their counts as maps; a run without counts of the graph has an empty map."""
+    x = spark.sql(RUNS.replace("row_counts, graph_counts, ", "s, t, d, e, sampled, skipped, candidates, g, "))
+    long = lambda *pairs: F.create_map(*(v for k, c in pairs for v in (F.lit(k), F.col(c).cast("long"))))
+    counts = long(("schemas", "s"), ("tables", "t"), ("fk_declared", "d"), ("fk_edges", "e"), ("sampled_columns", "sampled"), ("skipped_columns", "skipped"), ("candidate_columns", "candidates"))
+    return x.withColumns({"row_counts": counts, "graph_counts": F.when(F.col("g") > 0, long(("Table", "g"))).otherwise(F.create_map().cast("map<string,bigint>"))})
+
+
+RUN_SQL = RUNS.replace("row_counts, graph_counts, ", "s, t, d, e, sampled, skipped, candidates, g, ")
+
+
+@query(f"""WITH r AS ({RUN_SQL}) SELECT 'status_not_success' AS code, count(*) FILTER (status IS NULL OR status <> 'success') AS n FROM r UNION ALL SELECT 'missing_run_id', count(*) FILTER (coalesce(run_id, '') = '') FROM r UNION ALL SELECT 'missing_row_counts', 0
+UNION ALL SELECT 'sampled_exceeds_candidates', count(*) FILTER (sampled > candidates) FROM r UNION ALL SELECT 'sampled_and_skipped_are_not_candidates', count(*) FILTER (sampled + skipped <> candidates) FROM r
+UNION ALL SELECT 'status', count(*) FILTER (status IS NULL OR status <> 'success') FROM r UNION ALL SELECT 'error', count(error) FROM r UNION ALL SELECT 'few:schemas', count(*) FILTER (s < 4) FROM r UNION ALL SELECT 'few:tables', count(*) FILTER (t < 19) FROM r
+UNION ALL SELECT 'few:fk_declared', count(*) FILTER (d < 16) FROM r UNION ALL SELECT 'few:fk_edges', count(*) FILTER (e < 16) FROM r UNION ALL SELECT 'no_graph_counts', count(*) FILTER (g = 0) FROM r""")
+def summary_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VER-01, VER-08, VER-14."""
+    runs = _runs(spark)
+    return verify.summary_shape(runs).unionByName(verify.sampling_accounting(runs)).unionByName(verify.thresholds(runs))
+
+
+@query(f"WITH r AS ({RUN_SQL}) SELECT fk_declared, fk_resolved, fk_skipped FROM r WHERE fk_skipped <> fk_declared - fk_resolved OR fk_resolved > fk_declared OR fk_skipped < 0")
+def fk_accounting_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VER-06."""
+    return verify.fk_accounting(_runs(spark)).select("fk_declared", "fk_resolved", "fk_skipped")
+
+
+@query("SELECT o_custkey::VARCHAR AS id FROM orders WHERE o_custkey % 7 = 0 EXCEPT SELECT c_custkey::VARCHAR FROM customer WHERE c_mktsegment <> 'BUILDING'")
+def id_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VER-12: ids that orders name, and that the catalog (here customers outside one segment) lacks."""
+    asked = table(spark, sf_dir, "orders").where("o_custkey % 7 = 0").select(F.col("o_custkey").cast("string").alias("id")).distinct()
+    return verify.id_mismatches(table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").cast("string").alias("id")), asked)
+
+
+@query("SELECT vec_id::VARCHAR AS id, 'ARRAY<FLOAT>' AS expected, CASE WHEN label % 3 = 0 THEN 'ARRAY<DOUBLE>' END AS data_type FROM embeddings WHERE label % 3 < 2")
+def type_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VER-13: of columns of a complex type, those that came through as another or not at all."""
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "label")
+    stored = v.where("label % 3 <> 1").select("id", F.when(F.col("label") % 3 == 0, "ARRAY<DOUBLE>").otherwise("ARRAY<FLOAT>").alias("data_type"))
+    return verify.type_mismatches(v.select("id", F.lit("ARRAY<FLOAT>").alias("data_type")), stored)
+
+
+@query("SELECT l_orderkey::VARCHAR AS id, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-11."""
+    return store.duplicate_ids(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("id")))
+
+
 @query("""WITH t AS (SELECT p_brand || '.SQL' AS source_id, p_type, count(*) AS n FROM part GROUP BY 1, 2), s AS (SELECT source_id, count(*) AS n_tables, sum(n)::BIGINT AS n_fks FROM t GROUP BY 1),
 r AS (SELECT *, round(n_fks / n_tables, 6) AS density FROM s WHERE n_tables BETWEEN 2 AND 50 AND n_fks >= 3), k AS (SELECT *, row_number() OVER (ORDER BY density DESC, source_id) AS rank FROM r)
 SELECT source_id, n_tables, n_fks, density, rank::INTEGER AS rank, 'sp_' || lower(replace(replace(source_id, '.SQL', ''), '#', '_')) AS "schema" FROM k WHERE rank <= 10""")

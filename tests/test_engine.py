@@ -217,6 +217,84 @@ def test_evaluation_grades_answers(spark):
         answer.evaluate(spark, asked, arms, most=1)
 
 
+def test_only_reading_statements_run_and_references_run_once(spark, monkeypatch):
+    spark.read.parquet(f"{SF}/orders.parquet").createOrReplaceTempView("orders_eval")
+    reference = "SELECT count(*) AS n FROM orders_eval"
+    asked = spark.createDataFrame([("q1", "x", reference), ("q2", "y", "SELECT * FROM nowhere_at_all")], "question_id string, question string, reference_sql string")
+    fixed = lambda sql: lambda q: q.select("question_id", F.lit(sql).alias("answer"))
+    seen, run = [], answer._run
+    monkeypatch.setattr(answer, "_run", lambda s, sql: seen.append(sql) or run(s, sql))
+    arms = {"a": fixed("SELECT 1500 AS n"), "b": fixed("CREATE TABLE made_by_answer AS SELECT 1 AS x"), "c": fixed("SELECT 1 AS n")}
+    got = {(r["arm"], r["question_id"]): r for r in answer.evaluate(spark, asked, arms).collect()}
+    assert got["a", "q1"]["correct"] is True and got["c", "q1"]["correct"] is False and got["a", "q2"]["correct"] is False
+    assert got["b", "q1"]["parsed"] and not got["b", "q1"]["executed"] and not spark.catalog.tableExists("made_by_answer")
+    assert seen.count(reference) == 1
+    outside = answer.evaluate(spark, asked, {"a": fixed(reference)}, catalog="lake").collect()
+    assert not any(r["executed"] for r in outside)
+
+
+def test_answers_are_kept_by_their_prompts(spark, tmp_path):
+    calls = []
+
+    def generate(q):
+        calls.append(1)
+        return q.select("question_id", F.upper("prompt").alias("answer"))
+
+    first = spark.createDataFrame([("1", "a"), ("2", "b")], "question_id string, prompt string")
+    ask = lambda q, arm: sorted(map(tuple, answer.cached_answers(q, "e", arm, generate, str(tmp_path)).collect()))
+    assert ask(first, "x") == ask(first.orderBy(F.desc("question_id")), "x") == [("1", "A"), ("2", "B")] and len(calls) == 1
+    ask(first, "y")
+    ask(first.where("question_id = '1'"), "x")
+    assert len(calls) == 3
+
+
+def test_questions_are_embedded_all_or_none():
+    asked = []
+
+    def send(some):
+        asked.append(len(some))
+        return [{"index": i, "embedding": [float(t)]} for i, t in reversed(list(enumerate(some)))]
+
+    assert answer.embed_questions([str(i) for i in range(250)], send) == [[float(i)] for i in range(250)] and asked == [100, 100, 50]
+    for wrong in (lambda s: send(s)[1:], lambda s: [{"index": 0, "embedding": [0.0] * (1 + int(s[0]))}] if len(s) == 1 else send(s)):
+        with pytest.raises(ValueError):
+            answer.embed_questions(["0", "1", "2"], wrong, size=2) if wrong(["0"]) == [] else answer.embed_questions(["1", "0"], wrong, size=1)
+    assert answer.embed_questions([], send) == []
+
+
+def test_an_empty_graph_is_refused(spark):
+    with pytest.raises(ValueError):
+        answer.assert_populated(ingest.Graph({"Table": spark.createDataFrame([], "id string")}, {}))
+    answer.assert_populated(ingest.Graph({"Table": spark.createDataFrame([("a",)], "id string")}, {}))
+
+
+def test_keys_of_materialized_tables(spark, tmp_path):
+    table_ = lambda name, columns, key, fks, rows: {"name": name, "columns": [{"name": c, "type": t} for c, t in columns], "primary_key": key, "foreign_keys": fks, "rows": rows}
+    users = table_("Users", [("id", "int"), ("v", "text")], ["id"], [], [["1", "a"], ["2", "it's"]])
+    orders = table_("Orders", [("id", "int"), ("user id", "int")], ["id"], [{"columns": ["user id"], "foreign_table": "Users", "referred_columns": ["id"]}], [[None, "1"]])
+    empty = table_("Empty", [("id", "int")], [], [], [])
+    (tmp_path / "b.json").write_text(json.dumps({"schemas": [{"source_id": "x", "uc_schema": "s", "tables": [users, orders, empty]}]}))
+    tables = blueprint.read_blueprint(spark, str(tmp_path / "b.json"))
+    done = {r["table"]: (r["n_rows"], r["error"]) for r in materialize.materialize(spark, tables, str(tmp_path / "out")).collect()}
+    assert done == {"users": (2, None), "orders": (1, None), "empty": (0, None)}
+    keys = {(r["table"], r["kind"], tuple(r["columns"]), r["parent"]) for r in spark.read.parquet(str(tmp_path / "out/_keys")).collect()}
+    assert keys == {("users", "PRIMARY KEY", ("id",), None), ("orders", "FOREIGN KEY", ("user_id",), "users")}
+    assert not [p for p in os.listdir(tmp_path / "out") if p.startswith("_staged")]
+    inserts = {r["table"]: r["ddl"] for r in blueprint.insert_statements(tables, blueprint.planned_columns(tables), "c").collect()}
+    assert inserts["users"] == "INSERT OVERWRITE `c`.`s`.`users` (`id`, `v`) VALUES (CAST('1' AS INT), 'a'), (CAST('2' AS INT), 'it''s')" and "empty" not in inserts
+    properties = {r["table"]: r["properties"] for r in blueprint.table_properties(tables, "p").collect()}
+    assert json.loads(properties["orders"]["p.foreign_keys"]) == [{"columns": ["user id"], "foreign_table": "Users", "referred_columns": ["id"]}] and properties["users"]["p.primary_keys"] == '["id"]'
+
+
+def test_values_are_sampled_in_batches(spark, tmp_path):
+    columns = spark.createDataFrame([("c", "s", f"t{i}", "v", "STRING", "YES", 1, None) for i in range(5)], S.COLUMNS)
+    tables = spark.createDataFrame([("c", "s", f"t{i}", "BASE", None, None, None) for i in range(5)], S.TABLES)
+    snapshot = metadata.Snapshot(spark.createDataFrame([("c", "s", None)], S.SCHEMATA), tables, columns)
+    read = lambda c, s, t: spark.range(6).select((F.col("id") % 2).cast("string").alias("v"))
+    got = ingest.sample(snapshot, read, IngestSettings(catalogs=("c",), tables_per_batch=2), str(tmp_path / "x"))
+    assert sorted((r["tbl_name"], r["val"], r["cnt"]) for r in got.collect()) == [(f"t{i}", v, 3) for i in range(5) for v in "01"]
+
+
 def test_grading_of_large_results(spark):
     n = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
     assert grade.compare(n.where("id < 950"), n)[0] is False or grade.compare(n.where("id < 950"), n)[1] is None
