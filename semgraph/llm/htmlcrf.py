@@ -162,48 +162,57 @@ class Crf:
         return path[::-1]
 
 
+class _Data:
+    """Labelled pages as arrays: (at, where) of features by place, labels and which places are there."""
+
+    def __init__(self, pages: list[tuple[list[Block], list[int]]]):
+        self.names: dict[str, int] = {}
+        at, where, truth, mask = [], [], [], []
+        longest = max(len(p) for p, _ in pages)
+        for n, (page, labels) in enumerate(pages):
+            for i, block in enumerate(page):
+                for f in sorted(features(block)):
+                    at.append(n * longest + i)
+                    where.append(self.names.setdefault(f, len(self.names)))
+            truth.append(labels + [0] * (longest - len(labels)))
+            mask.append([1.0] * len(labels) + [0.0] * (longest - len(labels)))
+        self.at, self.where, self.y, self.live = np.array(at), np.array(where), np.array(truth), np.array(mask)
+        self.both = self.live[:, 1:] * self.live[:, :-1]
+        self.pairs = np.array([[(self.both * (self.y[:, :-1] == a) * (self.y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+
+
+def objective(d: _Data, w: np.ndarray, bias: float, t: np.ndarray, l2: float) -> tuple[float, np.ndarray, float, np.ndarray]:
+    """The negative log-likelihood a block, with an L2 penalty on ``w``, and its gradients, by forward-backward."""
+    (n, longest), total, live = d.y.shape, d.live.sum(), d.live
+    gain = bias + np.bincount(d.at, weights=w[d.where], minlength=n * longest).reshape(n, longest)
+    emit = np.stack([np.zeros_like(gain), gain], axis=2)
+    ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    ahead[:, 0] = emit[:, 0]
+    for i in range(1, longest):
+        step = emit[:, i] + np.logaddexp(ahead[:, i - 1, 0, None] + t[0], ahead[:, i - 1, 1, None] + t[1])
+        ahead[:, i] = np.where(live[:, i, None] > 0, step, ahead[:, i - 1])
+    whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+    for i in range(longest - 2, -1, -1):
+        nxt = emit[:, i + 1] + behind[:, i + 1]
+        step = np.logaddexp(t[:, 0] + nxt[:, None, 0], t[:, 1] + nxt[:, None, 1])
+        behind[:, i] = np.where(live[:, i + 1, None] > 0, step, 0.0)
+    p = np.exp(ahead[:, :, 1] + behind[:, :, 1] - whole[:, None]) * live
+    off = (p - d.y * live) / total
+    joint = np.exp(ahead[:, :-1, :, None] + t + (emit + behind)[:, 1:, None, :] - whole[:, None, None, None]) * d.both[:, :, None, None]
+    loss = (whole.sum() - (gain * d.y * live).sum() - (d.pairs * t).sum()) / total + l2 / (2 * n) * (w**2).sum()
+    return float(loss), np.bincount(d.where, weights=off.ravel()[d.at], minlength=len(w)) + l2 * w / n, float(off.sum()), (joint.sum(axis=(0, 1)) - d.pairs) / total
+
+
 def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 200, l2: float = 1e-3, rate: float = 0.3) -> Crf:
-    """Fits the field by AdaGrad on the mean log-likelihood, with forward-backward for its gradient."""
-    names: dict[str, int] = {}
-    at, where, truth, mask = [], [], [], []
-    longest = max(len(p) for p, _ in pages)
-    for n, (page, labels) in enumerate(pages):
-        for i, block in enumerate(page):
-            for f in sorted(features(block)):
-                at.append(n * longest + i)
-                where.append(names.setdefault(f, len(names)))
-        truth.append(labels + [0] * (longest - len(labels)))
-        mask.append([1.0] * len(labels) + [0.0] * (longest - len(labels)))
-    at, where = np.array(at), np.array(where)
-    y, live = np.array(truth), np.array(mask)
-    n = len(pages)
-    both = live[:, 1:] * live[:, :-1]
-    seen_pairs = np.array([[(both * (y[:, :-1] == a) * (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)]) / live.sum()
-    w, bias, t = np.zeros(len(names)), 0.0, np.zeros((2, 2))
-    gw, gb, gt = np.full(len(names), 1e-6), 1e-6, np.full((2, 2), 1e-6)
+    """Fits the field by AdaGrad on the mean log-likelihood."""
+    d = _Data(pages)
+    w, bias, t = np.zeros(len(d.names)), 0.0, np.zeros((2, 2))
+    gw, gb, gt = np.full(len(w), 1e-6), 1e-6, np.full((2, 2), 1e-6)
     for _ in range(rounds):
-        gain = bias + np.bincount(at, weights=w[where], minlength=n * longest).reshape(n, longest)
-        emit = np.stack([np.zeros_like(gain), gain], axis=2)
-        ahead = np.zeros((n, longest, 2))
-        ahead[:, 0] = emit[:, 0]
-        for i in range(1, longest):
-            step = emit[:, i] + np.logaddexp(ahead[:, i - 1, 0, None] + t[0], ahead[:, i - 1, 1, None] + t[1])
-            ahead[:, i] = np.where(live[:, i, None] > 0, step, ahead[:, i - 1])
-        whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        behind = np.zeros((n, longest, 2))
-        for i in range(longest - 2, -1, -1):
-            nxt = emit[:, i + 1] + behind[:, i + 1]
-            step = np.logaddexp(t[:, 0] + nxt[:, None, 0], t[:, 1] + nxt[:, None, 1])
-            behind[:, i] = np.where(live[:, i + 1, None] > 0, step, 0.0)
-        p = np.exp(ahead[:, :, 1] + behind[:, :, 1] - whole[:, None]) * live
-        off = (p - y * live) / live.sum()
-        dw = np.bincount(where, weights=off.ravel()[at], minlength=len(names)) + l2 * w / n
-        joint = np.exp(ahead[:, :-1, :, None] + t + (emit + behind)[:, 1:, None, :] - whole[:, None, None, None]) * both[:, :, None, None]
-        dt = joint.sum(axis=(0, 1)) / live.sum() - seen_pairs
-        db = off.sum()
+        _, dw, db, dt = objective(d, w, bias, t, l2)
         gw, gb, gt = gw + dw**2, gb + db**2, gt + dt**2
         w, bias, t = w - rate * dw / np.sqrt(gw), bias - rate * db / np.sqrt(gb), t - rate * dt / np.sqrt(gt)
-    return Crf(dict(zip(names, w.tolist(), strict=True)), bias, tuple(map(tuple, t.tolist())))
+    return Crf(dict(zip(d.names, w.tolist(), strict=True)), bias, tuple(map(tuple, t.tolist())))
 
 
 def labelled_pages(count: int = 240, seed: int = 5) -> list[tuple[list[Block], list[int]]]:
@@ -287,6 +296,7 @@ def extract(pages: DataFrame, model: Crf | None = None, column: str = "html") ->
 
     A null or empty page has an empty text, as has one without main text.  Whole
     pages are read, in one pass without a shuffle; repeated rows each give a row.
+    Of equally likely labellings a block's label is 0, and so is that before it.
     """
     model = model or default_model()
     carried = [f for f in pages.schema.fields if f.name not in (column, "text", "n_chars")]
@@ -300,4 +310,4 @@ def extract(pages: DataFrame, model: Crf | None = None, column: str = "html") ->
                 own = [batch.column(batch.schema.get_field_index(f.name)).slice(lo, hi - lo) for f in carried]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(found, type=pa.string()), pa.array(list(map(len, found)), type=pa.int64())], names=[f.name for f in schema.fields])
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(X.tidied(run), schema)
