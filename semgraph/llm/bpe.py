@@ -210,8 +210,9 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, text: str, decoded: bool
                     yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, type=pa.binary()) for c in made)], names=[f.name for f in schema.fields])
                 del numbers
                 words.rest()
+        words.clear()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(X.tidied(run), schema)
 
 
 def bpe_encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
@@ -244,4 +245,4 @@ def bpe_decode(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
                 own = [batch.column(batch.schema.get_field_index(f.name)).slice(lo, 256) for f in carried]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(decoded, type=pa.binary())], names=[f.name for f in schema.fields])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(X.tidied(run), schema)

@@ -100,7 +100,7 @@ def _blocks(docs: DataFrame, o: Hmm) -> DataFrame:
         if seqs:
             yield flush()
 
-    return docs.mapInArrow(run, BLOCKS)
+    return docs.mapInArrow(X.tidied(run), BLOCKS)
 
 
 def _symbol(word: Column, o: Hmm) -> Column:
@@ -127,7 +127,7 @@ def _seed_model(symbols: DataFrame, counts: np.ndarray, o: Hmm) -> tuple[np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], names=["i", "j", "v"])
 
     met = np.zeros((len(common), len(common)))
-    for i, j, v in symbols.mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+    for i, j, v in symbols.mapInArrow(X.tidied(run), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
         met[i, j] = v
     alone = np.maximum(np.diag(met), 1)
     near = np.log((met + 0.5) * alone.max() / np.outer(alone, alone) + 1e-9)
@@ -260,7 +260,7 @@ def _expect(symbols: DataFrame, model: tuple, o: Hmm) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[i, k])], names=["i", "k", "v"])
 
     sums = np.zeros((width, o.states))
-    for i, k, v in symbols.mapInArrow(run, "i int, k int, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).collect():
+    for i, k, v in symbols.mapInArrow(X.tidied(run), "i int, k int, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).collect():
         sums[i, k] = v
     return sums
 
@@ -287,7 +287,7 @@ def _tops(blocks: DataFrame, o: Hmm) -> list[bytes]:
                     at = at[counts[at] >= least]  # with all ties
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))], names=["word", "n"])
 
-    sums = blocks.select("words", "counts").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    sums = blocks.select("words", "counts").mapInArrow(X.tidied(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     return [bytes(r["word"]) for r in sums.orderBy(F.desc("c"), "word").limit(o.top).collect()]
 
 
@@ -312,7 +312,7 @@ def _training_symbols(blocks: DataFrame, place: dict[bytes, int], o: Hmm) -> Dat
                 for lo in range(0, len(texts), 1024):
                     yield pa.RecordBatch.from_arrays([pa.array([marks[t].tobytes() + ending for t in texts[lo : lo + 1024]], type=pa.binary())], names=["symbols"])
 
-    return blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(run, "symbols binary")
+    return blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(X.tidied(run), "symbols binary")
 
 
 def _symbol_counts(symbols: DataFrame, o: Hmm) -> np.ndarray:
@@ -327,7 +327,7 @@ def _symbol_counts(symbols: DataFrame, o: Hmm) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
 
     out = np.zeros(o.symbols)
-    for i, n in symbols.mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+    for i, n in symbols.mapInArrow(X.tidied(run), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
         out[i] = n
     return out
 
@@ -370,7 +370,7 @@ def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hm
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int32)), pa.array(shares.view("<i8").ravel())], names=["word", "n", "q"])
 
     # A block has a word once, so summing before the shuffle would only widen its rows.
-    parts = blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(run, "word binary, n int, q long").repartition("word")
+    parts = blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(X.tidied(run), "word binary, n int, q long").repartition("word")
     sums = parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(F.col("n") * _byte("q", k)).alias(f"g{k}") for k in range(o.states)))
     whole = F.greatest(sum((F.col(f"g{k}") for k in range(1, o.states)), F.col("g0")), F.lit(1))
     packed = F.lit(0).cast("long")

@@ -70,7 +70,7 @@ def _quantised(found: DataFrame, width: int, scale: int) -> DataFrame:
                 out.append(whole.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, type=pa.binary()), batch.column(2)], names=["vec_id", "v", "query"])
 
-    return found.mapInArrow(run, "vec_id long, v binary, query boolean")
+    return found.mapInArrow(X.tidied(run), "vec_id long, v binary, query boolean")
 
 
 class _Cells:
@@ -164,7 +164,7 @@ def _plan(vectors: DataFrame, is_query: Column, o: Knn, key: str, column: str) -
             cell, far = cells.assign(x)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far), pa.array(np.linalg.norm(x, axis=1))], names=["vec_id", "v", "query", "cell", "far", "norm"])
 
-    celled = kept(data.mapInArrow(assign, "vec_id long, v binary, query boolean, cell int, far double, norm double"), "cells")
+    celled = kept(data.mapInArrow(X.tidied(assign), "vec_id long, v binary, query boolean, cell int, far double, norm double"), "cells")
     of_query = lambda c: F.when(F.col("query"), F.col(c))
     sums = celled.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("far").alias("radius"), F.min("norm").alias("low"), F.max("norm").alias("high"),
@@ -210,7 +210,7 @@ def top_k(vectors: DataFrame, is_query: Column, o: Knn | None = None, key: str =
                         keys = [np.full(len(at), g), np.full(len(at), part), h[at] % np.uint64(cells.slots[g])]
                         yield pa.RecordBatch.from_arrays([*(pa.array(k.astype(np.int32)) for k in keys), ids.take(pa.array(at)), v.take(pa.array(at))], names=["grp", "part", "slot", "vec_id", "v"])
 
-    sent = celled.select("vec_id", "v").mapInArrow(send, "grp int, part int, slot int, vec_id long, v binary")
+    sent = celled.select("vec_id", "v").mapInArrow(X.tidied(send), "grp int, part int, slot int, vec_id long, v binary")
     places = vectors.sparkSession.createDataFrame([(int(c), int(g), int(cells.parts[g]), int(cells.slots[g])) for c, g in zip(cells.asked, cells.group, strict=True)], "cell int, grp int, parts int, slots int")
     # One row for each of at most o.pivots cells.
     queries = celled.where("query").join(F.broadcast(places), "cell")

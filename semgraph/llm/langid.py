@@ -145,4 +145,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], options: LangFit |
                 made = [pa.array(c, type=k) for c, k in zip(zip(*found, strict=True), (pa.string(), pa.float64(), pa.bool_()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*own, *made], names=[f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(X.tidied(run), schema)

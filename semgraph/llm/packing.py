@@ -187,6 +187,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, grou
                 yield from rows(whole)
                 del numbers
                 words.rest()
+        words.clear()
+        words.pieces.clear()
         # What is left is dealt anew, so that a task ends with as few part-filled groups as it can.
         left = [p for own in groups for p in own]
         parts = max(1, -(-len(left) // group))
@@ -194,4 +196,4 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, grou
             if left[i::parts]:
                 yield from packed(left[i::parts])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(X.tidied(run), schema)

@@ -132,4 +132,4 @@ def quality(docs: DataFrame, rules: QualityRules | None = None, text: str = "tex
                 made = [pa.array(got[name], type=kind) for name, kind, _ in FIELDS]
                 yield pa.RecordBatch.from_arrays(own + made, names=[f.name for f in schema.fields])
 
-    return docs.select(*dict.fromkeys([*(f.name for f in carried), text])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*(f.name for f in carried), text])).mapInArrow(X.tidied(run), schema)

@@ -7,7 +7,8 @@ is made per word.  A *word* is a maximal run of bytes outside 0x20 and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,21 @@ _MASKS = np.array([(1 << (8 * k)) - 1 if k < 8 else 2**64 - 1 for k in range(9)]
 STEP_BYTES = 2 << 20
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function that gives free memory back at the end of a task: Spark keeps the worker for later ones, of whatever kind."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x * _MUL

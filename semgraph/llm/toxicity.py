@@ -236,7 +236,7 @@ def _screened(some: DataFrame, o: ToxicityFit, share: float) -> np.ndarray:
                 n, t = np.bincount(place, minlength=len(names)), np.bincount(place, weights=label[np.array(owners)[row]], minlength=len(names))
                 yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n), pa.array(t.astype(np.int64))], names=["key", "n", "t"])
 
-    counts = some.mapInArrow(count, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    counts = some.mapInArrow(X.tidied(count), "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     apart = F.abs(F.col("t") - share * F.col("n")) / F.sqrt(share * (1 - share) * F.col("n"))
     identity = np.unique(np.concatenate([_keys_of(t) for g in o.identity for t in g.terms])).view(np.int64).tolist() if o.identity else []
     best = counts.where(F.col("n") >= o.min_rows).orderBy(apart.desc(), "key").limit(o.features).select("key").collect()
@@ -323,7 +323,7 @@ def fit(labelled: DataFrame, options: ToxicityFit | None = None, text: str = "te
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, type=k) for c, k in zip((loss, base, found), kinds, strict=True))], names=["label", "loss", "base", "found"])
 
-    texts = sorted((r["label"], r["loss"], r["base"], [bytes(v) for v in r["found"]]) for r in some.mapInArrow(run, "label int, loss int, base int, found array<binary>").collect())
+    texts = sorted((r["label"], r["loss"], r["base"], [bytes(v) for v in r["found"]]) for r in some.mapInArrow(X.tidied(run), "label int, loss int, base int, found array<binary>").collect())
     drop_kept(some)
     rows = gathered([(y, n, b, [np.frombuffer(v, dtype=np.int32).astype(np.int64) for v in found]) for y, n, b, found in texts])
 
@@ -362,7 +362,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
                 own = [batch.column(batch.schema.get_field_index(f.name)).slice(lo, hi - lo) for f in carried]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(X.tidied(run), schema)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, options: ToxicityFit | None = None, folds: int = 5) -> DataFrame:
