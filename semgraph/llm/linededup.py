@@ -7,7 +7,8 @@ occurrences merge, and covered lines go.
 
 Plan: one pass makes 64-bit window hashes (no text is shuffled for them); a
 pre-aggregated count by hash finds repeated ones and their first place; a join
-marks later occurrences, whose sides Spark may split where a hash is hot; only
+marks later occurrences, whose sides Spark splits where a hash is hot
+(spark.sql.adaptive.skewJoin must be on for that, as it is by default); only
 the marks are grouped by document and joined to the texts.
 
 ``passages`` adds windows of one and two lines, where they hold more than

@@ -4,6 +4,7 @@ import base64
 import collections
 import dataclasses
 import hashlib
+import html.parser
 import math
 import pathlib
 import random
@@ -278,6 +279,50 @@ def test_near_dups_equal_all_pairs(spark, docs, texts):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_pairs_at_the_threshold_share_a_band_and_pass():
+    """Random pairs of sets at similarity 0.85 and 0.80: all share a band key and outlive the sequential comparison."""
+    rng = np.random.default_rng(12)
+    for percent in (85, 80):
+        p = neardup.NearDup(percent=percent)
+        for _ in range(300):
+            n = int(rng.integers(40, 900))
+            common = round(percent / 100 * n)
+            members = X.mix(rng.integers(0, 2**63, n).astype(np.uint64))
+            a, b = np.sort(members[: common + (n - common) // 2]), np.sort(np.r_[members[:common], members[common + (n - common) // 2 :]])
+            if 100 * common < percent * n:
+                continue
+            sa, sb = neardup.signature(a, p), neardup.signature(b, p)
+            assert (sa.reshape(p.bands, p.rows) == sb.reshape(p.bands, p.rows)).all(axis=1).any()
+            small = [X.mix(s.astype(np.uint64)).astype(np.uint8)[None] for s in (sa, sb)]
+            assert len(neardup.survivors(*small, p)) == 1
+
+
+def test_a_text_of_many_megabytes(spark):
+    """One text of two million words among short ones, through every operator on documents."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    long = "\n".join(" ".join(rng.choices(vocabulary, k=40)) for _ in range(50_000))
+    assert len(long) > 10_000_000
+    made = [(1, long), (2, "a short text"), (3, long + " end")]
+    docs = spark.createDataFrame(made, DOC)
+    got = rows(quality.quality(docs))
+    assert got[1]["n_words"] == 2_000_000 and got[1]["word_chars"] == sum(map(len, long.split())) and got[3]["n_words"] == 2_000_001
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_dups(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(docs, path).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("whole")).collect()
+    assert len(packed) == 3 and all(r["n"] == r["whole"] for r in packed)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    for r in bpe.bpe_round_trip(docs, ranks, public_tokenizers.PATTERN).select("doc_id", F.sha2("decoded", 256).alias("h")).collect():
+        assert r["h"] == hashlib.sha256(dict(made)[r["doc_id"]].encode()).hexdigest()
+    scores = rows(hmm.score(docs, F.col("doc_id") == 3, hmm.Hmm(chunk=100_000)))
+    assert scores[1]["n_tokens"] == 2_000_001 and all(math.isfinite(r["score"]) for r in scores.values())
+    lines = rows(linededup.line_dedup(docs))
+    assert lines[1]["n_removed"] == 0 and lines[3]["n_removed"] == 49_999
+    model = toxicity.fit(spark.createDataFrame([("vile thing", 1), ("good thing", 0)] * 20, "text string, toxic int"), toxicity.ToxicityFit(min_rows=1))
+    assert toxicity.score(docs, model).count() == 3
+    assert langid.identify(docs, {"a": b"w1 w2 w3", "b": b"zzz yyy"}).count() == 3
+
+
 def test_near_dups_in_small_blocks_and_chains(spark):
     """Chains of links, a base whose copies are far from each other, and one large group, in blocks of four."""
     rng = random.Random(6)
@@ -726,6 +771,89 @@ def test_held_out_layouts():
     assert wrong <= 0.02 * sum(len(labels) for _, labels in pages)
 
 
+def test_the_gradient_of_the_field():
+    data = htmlcrf._Data(htmlcrf.labelled_pages(6, seed=3))
+    rng = np.random.default_rng(2)
+    w, bias, t = rng.normal(size=len(data.names)), 0.2, rng.normal(size=(2, 2))
+    _, dw, db, dt = htmlcrf.objective(data, w, bias, t, 0.1)
+    value = lambda w=w, bias=bias, t=t: htmlcrf.objective(data, w, bias, t, 0.1)[0]
+    step = 1e-5
+    for k in rng.choice(len(w), 25, replace=False):
+        up = step * (np.arange(len(w)) == k)
+        assert dw[k] == pytest.approx((value(w=w + up) - value(w=w - up)) / (2 * step), abs=1e-7)
+    assert db == pytest.approx((value(bias=bias + step) - value(bias=bias - step)) / (2 * step), abs=1e-7)
+    for a in (0, 1):
+        for b in (0, 1):
+            up = np.zeros((2, 2))
+            up[a, b] = step
+            assert dt[a, b] == pytest.approx((value(t=t + up) - value(t=t - up)) / (2 * step), abs=1e-7)
+
+
+class Article(html.parser.HTMLParser):
+    """The blocks inside <article>, but for asides, notices, forms and comments in it, by a plain parser."""
+
+    OFF = re.compile(r"\b(ad|ads|comments?|sidebar|share|related|promo|newsletter|cookie|notice|menu)\b")
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.off, self.part, self.blocks = 0, [], [], []
+
+    def flush(self):
+        text = re.sub(r"\s+", " ", "".join(self.part)).strip()
+        self.part = []
+        if text:
+            self.blocks.append(text)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.inside += 1
+        elif self.inside:
+            if tag == "br":
+                self.part.append(" ")
+            elif tag not in ("b", "i", "a", "em", "strong", "span"):
+                self.flush()
+            if tag in ("div", "section", "aside", "nav", "form", "ul", "footer", "script", "style") and (self.off or tag in ("aside", "nav", "form", "footer", "script", "style") or self.OFF.search(" ".join(v or "" for _, v in attrs))):
+                self.off.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag == "article":
+            self.flush()
+            self.inside -= 1
+        elif self.inside:
+            if tag not in ("b", "i", "a", "em", "strong", "span"):
+                self.flush()
+            if self.off and self.off[-1] == tag:
+                self.off.pop()
+
+    def handle_data(self, data):
+        if self.inside and not self.off:
+            self.part.append(data)
+
+
+def test_articles_of_the_registered_pages(spark):
+    """Every page of sf0.01 has an <article>; a plain parser and the field take the same text from nearly all."""
+    from semgraph.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r["text"] for r in queries.op3_html_extract(spark, sf).collect()}
+    same = n = 0
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        if "<article" in (r["html"] or ""):
+            parser = Article()
+            parser.feed(r["html"])
+            parser.close()
+            parser.flush()
+            n, same = n + 1, same + (got[r["page_id"]] == "\n\n".join(parser.blocks))
+    print("pages with the same text", same, "of", n)
+    assert n > 100 and same >= 0.98 * n
+
+
+def test_a_very_long_page():
+    page = "<body><nav><a href=x>Home</a></nav><article>" + "".join(f"<p>Sentence number {i}, as long as others are.</p>" for i in range(60_000)) + "</article><footer>&copy; x</footer></body>"
+    text = htmlcrf.main_text(page, htmlcrf.default_model())
+    assert text.count("\n\n") == 59_999 and text.startswith("Sentence number 0,") and text.endswith("are.")
+
+
 def test_viterbi_equals_all_paths():
     model = htmlcrf.Crf({"leaf:p": 0.4, "leaf:div": -0.7, "words:2": 0.3}, -0.1, ((0.5, -0.4), (-0.2, 0.6)))
     rng = random.Random(3)
