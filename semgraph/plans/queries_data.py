@@ -15,6 +15,18 @@ SAMPLED = {"orders": ["o_orderstatus", "o_orderpriority"], "customer": ["c_mktse
 RUN = "2024-01-01 00:00:00"
 
 
+TRIM = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+#: The statement in an answer, and the rules that it must keep, in SQL; each takes the name of a column.
+FENCE = r"'^```(?:sql)?\s*\n?(.*?)\n?```\s*$'"
+INNER = "CASE WHEN regexp_matches({0}, " + FENCE + ", 'is') THEN " + TRIM.format("regexp_extract({0}, " + FENCE + ", 1, 'is')") + " ELSE {0} END"
+VALID = r"regexp_matches({0}, '^(SELECT|WITH|INSERT|UPDATE|DELETE|CREATE|EXPLAIN)\b', 'i')"
+SAFE = (
+    r"(starts_with({0}, 'select') AND NOT contains(regexp_replace({0}, ';+$', ''), ';') AND NOT contains({0}, 'information_schema') AND NOT regexp_matches({0}, '\bsystem\s*\.') AND NOT regexp_matches({0}, '\b("
+    + "|".join(X.FORBIDDEN_SQL)
+    + r")\b') AND len(list_filter(regexp_extract_all({0}, '\b(?:from|join)\s+([`a-z0-9_.-]+)', 1), lambda r: NOT (starts_with(r, '`lake`') OR starts_with(r, 'lake.')))) = 0)"
+)
+
+
 def counts_sql(tables: dict[str, list[str]] = SAMPLED) -> str:
     return " UNION ALL ".join(f"SELECT '{t}' AS tbl_name, '{c}' AS col_name, {c}::VARCHAR AS val, count(*) AS cnt FROM {t} WHERE {c} IS NOT NULL AND {c}::VARCHAR <> '' GROUP BY {c}" for t, cs in tables.items() for c in cs)
 
@@ -251,12 +263,12 @@ def sql_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.sql_literal("text").alias("literal"))
 
 
-@query("SELECT * FROM (VALUES (1, true), (2, false), (3, false), (4, false), (5, true), (6, false), (7, true), (8, false), (9, false), (10, false), (11, false)) t(id, safe)")
+@query(f"WITH {given('sql_texts')}, s AS (SELECT id, lower({TRIM.format('sql')}) AS s FROM sql_texts) SELECT id, {SAFE.format('s')} AS safe FROM s")
 def sql_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, "sql_texts").select("id", X.reads_only_catalog("sql", "lake").alias("safe"))
 
 
-@query("SELECT * FROM (VALUES (1, 'SELECT 1', true), (2, 'select a from b', true), (3, 'I cannot answer', false), (4, NULL, false), (5, NULL, false), (6, 'WITH x AS (SELECT 1) SELECT * FROM x', true), (7, 'Selective', false)) t(id, sql, valid)")
+@query(f"WITH {given('answers')}, c AS (SELECT id, {TRIM.format("coalesce(answer, '')")} AS c FROM answers), i AS (SELECT id, {INNER.format('c')} AS i FROM c) SELECT id, nullif(i, '') AS sql, {VALID.format('i')} AS valid FROM i")
 def parse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, "answers").select("id", X.parse_sql("answer").alias("p")).select("id", "p.sql", "p.valid")
 
@@ -266,7 +278,9 @@ def question_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.first_of_sql(table(spark, sf_dir, "conversations"), "text", ["conv_id", "turn"])
 
 
-@query("SELECT * FROM (VALUES ('a1', 's1', 'SELECT x FROM `lake`.`s1`.`t1`'), ('a4', 's2', 'SELECT z FROM `lake`.`s2`.`t3`')) t(question_id, \"schema\", sql)")
+@query(f"""WITH {given('batch_questions')}, c AS (SELECT question_id, {TRIM.format('sql')} AS s FROM batch_questions WHERE shape IS NULL OR shape <> 'window'),
+g AS (SELECT question_id, s, row_number() OVER (PARTITION BY s ORDER BY question_id) AS n FROM (SELECT * FROM c WHERE {VALID.format('s')}) WHERE {SAFE.format('lower(s)')})
+SELECT question_id, split_part(regexp_extract(s, '`[^`]+`.`[^`]+`.`[^`]+`'), '`', 4) AS "schema", s AS sql FROM g WHERE n = 1""")
 def filter_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.filtered(fixture(spark, "batch_questions"), ["window"], "lake").select("question_id", "schema", "sql")
 
@@ -281,7 +295,10 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.prompts(fixture(spark, "questions"), "lake", ["a", "b"])
 
 
-@query("SELECT * FROM (VALUES ('c.s.items.order_id', 'c.s.orders.id', 'missing'), ('c.s.x.y', 'c.s.z.id', 'extra')) t(source_id, target_id, kind)")
+@query(rf"""WITH {given('ddl_scripts')}, t AS (SELECT replace(lower(ddl), '`', '') AS d FROM ddl_scripts), e AS (
+  SELECT regexp_extract(d, 'alter table ([a-z._]+)', 1) || '.' || regexp_extract(d, 'foreign key \(([a-z_]+)\)', 1) AS source_id, regexp_extract(d, 'references ([a-z._]+)', 1) || '.' || regexp_extract(d, 'references [a-z._]+ \(([a-z_]+)\)', 1) AS target_id FROM t WHERE contains(d, 'foreign key')),
+a AS (SELECT * FROM (VALUES ('c.s.orders.customer_id', 'c.s.customers.id'), ('c.s.x.y', 'c.s.z.id')) v(source_id, target_id))
+(SELECT *, 'missing' AS kind FROM (SELECT * FROM e EXCEPT SELECT * FROM a)) UNION ALL (SELECT *, 'extra' FROM (SELECT * FROM a EXCEPT SELECT * FROM e))""")
 def reference_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     actual = spark.createDataFrame([("c.s.orders.customer_id", "c.s.customers.id"), ("c.s.x.y", "c.s.z.id")], "source_id string, target_id string")
     return questions.edge_diff(questions.declared_in_ddl(fixture(spark, "ddl_scripts")), actual)
@@ -292,11 +309,18 @@ def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.resolve_catalogs(spark, "main", "gold:g, silver, gold:x, bronze:b")
 
 
-@query("SELECT * FROM (VALUES (1, 'SELECT 1'), (2, 'SELECT 2'), (3, 'SELECT 3'), (4, 'SELECT 4'), (5, NULL), (6, 'SELECT 6')) t(id, sql)")
+@query(f"WITH {given('responses')} SELECT id, coalesce({', '.join(f"json_extract_string(r, '{path}')" for path in ('$.choices[0].message.content', '$.content[0].text', '$.result', '$.predictions[0]', '$.text'))}) AS sql FROM responses")
 def generated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, "responses").select("id", X.generated_text("r").alias("sql"))
 
 
+#: Clean names and lake types of the fixture's columns; of several with one name the first.
+PLANNED = f"""{given('plan_columns')}, raw AS (SELECT s, lower(trim(regexp_replace(t, '[^a-zA-Z0-9_]+', '_', 'g'), '_')) AS t, p, lower(trim(regexp_replace(c, '[^a-zA-Z0-9_]+', '_', 'g'), '_')) AS c, upper(d) AS d FROM plan_columns),
+clean AS (SELECT s, CASE WHEN regexp_matches(t, '^[0-9]') THEN 't_' || t ELSE t END AS t, p, CASE WHEN regexp_matches(c, '^[0-9]') THEN 'c_' || c ELSE c END AS c, d FROM raw WHERE t <> '' AND c <> ''),
+first_of AS (SELECT *, row_number() OVER (PARTITION BY s, t, c ORDER BY p) AS n FROM clean),
+planned AS (SELECT s AS "schema", t AS "table", p AS place, c AS "column", CASE WHEN d = 'BIGINT' THEN 'BIGINT' WHEN d = 'INT' THEN 'INT' ELSE 'STRING' END AS lake_type, d NOT IN ('INT', 'BIGINT', 'TEXT') AND NOT starts_with(d, 'VARCHAR(') AS fallback FROM first_of WHERE n = 1)"""
+
+
 def _blueprint(spark: SparkSession) -> DataFrame:
     c = fixture(spark, "plan_columns").groupBy(F.col("s").alias("schema"), F.col("t").alias("table")).agg(F.array_sort(F.collect_list(F.struct("p", F.col("c").alias("name"), F.col("d").alias("type")))).alias("cs"))
     columns = F.transform("cs", lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"), F.lit(None).cast("string").alias("comment")))
@@ -307,7 +331,7 @@ def _blueprint(spark: SparkSession) -> DataFrame:
     return c.select("schema", "table", columns.alias("columns"), F.array(F.when(user, "ID").otherwise("id")).alias("primary_key"), keys.alias("foreign_keys"), rows.alias("rows"))
 
 
-@query("SELECT * FROM (VALUES ('sp','users',0,'id','INT',false),('sp','users',1,'full_name','STRING',false),('sp','t_2_orders',0,'id','BIGINT',false),('sp','t_2_orders',1,'user_id','INT',false),('sp','t_2_orders',2,'c_9lives','STRING',true)) t(\"schema\", \"table\", place, \"column\", lake_type, fallback)")
+@query(f"WITH {PLANNED} SELECT * FROM planned")
 def blueprint_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.planned_columns(_blueprint(spark)).drop("comment")
 
@@ -324,7 +348,7 @@ def blueprint_pk_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.planned_primary_keys(b, blueprint.planned_columns(b)).select("schema", "table", "name")
 
 
-@query("SELECT * FROM (VALUES ('sp','users','CREATE TABLE `lake`.`sp`.`users` (`id` INT, `full_name` STRING)'),('sp','t_2_orders','CREATE TABLE `lake`.`sp`.`t_2_orders` (`id` BIGINT, `user_id` INT, `c_9lives` STRING)')) t(\"schema\", \"table\", ddl)")
+@query(f"WITH {PLANNED} SELECT \"schema\", \"table\", 'CREATE TABLE `lake`.`' || \"schema\" || '`.`' || \"table\" || '` (' || string_agg('`' || \"column\" || '` ' || lake_type, ', ' ORDER BY place) || ')' AS ddl FROM planned GROUP BY 1, 2")
 def ddl_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blueprint.statements(blueprint.planned_columns(_blueprint(spark)), "lake")
 

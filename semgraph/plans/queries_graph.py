@@ -153,7 +153,9 @@ def context_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.render(shown, lines, vals, spark.createDataFrame([("q1", "main", 1)], "question_id string, schema string, rank int"))
 
 
-@query("SELECT * FROM (VALUES ('q1', true, true, 0.666667e0), ('q2', false, false, 0.0e0), ('q3', NULL, NULL, NULL), ('q4', NULL, false, NULL)) t(question_id, top1_schema_match, schema_in_context, context_purity)")
+@query(f"""WITH {given('traces')}, c AS (SELECT *, list_filter([c1, c2, c3], lambda c: c IS NOT NULL) AS ids FROM traces), n AS (SELECT *, list_transform(ids, lambda c: split_part(c, '.', 2)) AS of FROM c)
+SELECT question_id, CASE WHEN target_schema IS NOT NULL THEN top_schema = target_schema END AS top1_schema_match, CASE WHEN target_schema IS NOT NULL THEN list_contains(of, target_schema) END AS schema_in_context,
+  CASE WHEN target_schema IS NOT NULL AND len(ids) > 0 THEN round(len(list_filter(of, lambda x: x = target_schema)) / len(ids)::DOUBLE, 6) END AS context_purity FROM n""")
 def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixture(spark, "traces").withColumn("column_ids", F.array_compact(F.array("c1", "c2", "c3")))
     return retrieve.metrics(t.withColumn("chosen", F.array_distinct(F.transform("column_ids", lambda c: F.split_part(c, F.lit("."), F.lit(2))))))
