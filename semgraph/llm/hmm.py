@@ -365,7 +365,7 @@ def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hm
                             total[:, k] += np.bincount(own, weights=chances[:, k], minlength=n)
                 at = np.flatnonzero(counts)
                 shares = np.zeros((len(at), 8), dtype=np.uint8)
-                shares[:, : o.states] = np.rint(255 * total[at] / np.maximum(total[at].sum(axis=1), 1e-300)[:, None])
+                shares[:, : o.states] = np.rint(255 * total[at] / np.maximum(total[at].sum(axis=1), 1e-30)[:, None])
                 shares[symbol[at] < o.top] = 0
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int32)), pa.array(shares.view("<i8").ravel())], names=["word", "n", "q"])
 
