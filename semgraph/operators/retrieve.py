@@ -1,4 +1,4 @@
-"""Retrieval of a schema subgraph for questions (GRF-01..16, VEC-01..06, FTX-01, RET-01..10 but for those that the README leaves out, OP-SELSCHEMA, OP-RENDER, OP-METRICS).
+"""Retrieval of a schema subgraph for questions (GRF-01..16, VEC-01..06, FTX-01, RET-01..10 but for business terms, OP-SELSCHEMA, OP-RENDER, OP-METRICS).
 
 All operators take many questions at once; each frame carries ``question_id``.
 """
@@ -218,6 +218,23 @@ def hybrid(vector: DataFrame, text: DataFrame, k: int, constant: int = 60) -> Da
     return fused.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def two_stage_topk(queries: DataFrame, schemas: DataFrame, tables: DataFrame, n_schemas: int, k: int) -> DataFrame:
+    """RET, schema then table: the k nearest tables of each query within its ``n_schemas`` nearest schemas.
+
+    schemas: (id, vector); tables: (id, vector, schema), schema being a schema's id.
+    """
+    chosen = cosine_topk(queries, schemas, n_schemas).select("question_id", F.col("id").alias("schema"))
+    asked = queries.select("question_id", "vector").join(chosen, "question_id")
+    return cosine_topk(asked, tables, k, within=["schema"])
+
+
+def by_table(ranked: DataFrame, has_column: DataFrame, k: int) -> DataFrame:
+    """RET, column level: from ranked columns (question_id, id, score) the k tables with the best column, ties to the smaller id."""
+    best = ranked.join(has_column.select("source_id", F.col("target_id").alias("id")), "id").groupBy("question_id", F.col("source_id").alias("id")).agg(F.max("score").alias("score"))
+    order = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def strategy_matrix(ranked: dict[str, DataFrame]) -> DataFrame:
     """RET-10: a row for each item with its rank by each strategy, its best rank and in how many it occurs."""
     parts = [df.groupBy("id").agg(F.min("rank").alias("rank")).withColumn("strategy", F.lit(name)) for name, df in ranked.items()]

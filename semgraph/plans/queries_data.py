@@ -416,6 +416,13 @@ def type_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.type_mismatches(v.select("id", F.lit("ARRAY<FLOAT>").alias("data_type")), stored)
 
 
+@query("SELECT o_orderkey AS id, o_orderdate AS created, o_totalprice AS amount FROM orders")
+def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-12: columns and a struct's field under new names."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.struct(F.col("o_orderdate").alias("at"), F.col("o_totalprice").alias("price")).alias("deal"), "o_custkey")
+    return nodes.rename(rows, {"id": "o_orderkey", "created": "deal.at", "amount": "deal.price"})
+
+
 @query("SELECT l_orderkey::VARCHAR AS id, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-11."""

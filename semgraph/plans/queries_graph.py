@@ -234,3 +234,23 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retriever_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector, words = _ranks(spark, sf_dir, 4)
     return retrieve.strategy_matrix({"vector": vector, "words": words}).withColumns({"vector": F.coalesce("vector", F.lit(0)), "words": F.coalesce("words", F.lit(0))})
+
+
+@query(f"""WITH c AS (SELECT label, min(vec_id) AS vec_id FROM embeddings GROUP BY label), s AS (SELECT c.label, e.embedding FROM c JOIN embeddings e ON e.vec_id = c.vec_id),
+p AS (SELECT q.vec_id AS question_id, i.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.label) AS n FROM embeddings q, s i WHERE q.vec_id % 100 = 0),
+t AS (SELECT q.vec_id AS question_id, i.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id)::INTEGER AS rank FROM embeddings q, embeddings i JOIN p ON p.label = i.label AND p.n <= 2 WHERE q.vec_id % 100 = 0 AND p.question_id = q.vec_id)
+SELECT * FROM t WHERE rank <= 5""")
+def two_stage_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as schemas, each with the vector of its first id; the question itself is among the tables."""
+    q, items = _asked(spark, sf_dir)
+    schemas = items.groupBy(F.col("label").alias("schema")).agg(F.min_by("vector", "id").alias("vector"))
+    return retrieve.two_stage_topk(q.select("question_id", "vector"), schemas.withColumnRenamed("schema", "id"), items.withColumnRenamed("label", "schema"), 2, 5)
+
+
+@query(f"""WITH s AS (SELECT q.vec_id AS question_id, i.vec_id % 50 AS id, {COS} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, i.vec_id) AS n FROM embeddings q, embeddings i WHERE {ASKS}),
+b AS (SELECT question_id, id, max(score) AS score FROM s WHERE n <= 20 GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id)::INTEGER AS rank FROM b QUALIFY rank <= 5""")
+def column_level_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as columns of fifty tables."""
+    q, items = _asked(spark, sf_dir)
+    owners = items.select((F.col("id") % 50).alias("source_id"), F.col("id").alias("target_id"))
+    return retrieve.by_table(retrieve.cosine_topk(q, items, 20, apart=True), owners, 5)

@@ -330,6 +330,19 @@ def test_readable_schemas(spark):
     assert metadata.readable_schemas({"a": [bad, good], "b": [bad, bad, bad, good], "c": []}) == ["a", "c"]
 
 
+def test_tables_of_the_session(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop_of_tests")
+    try:
+        spark.sql("CREATE TABLE shop_of_tests.bolts (id BIGINT, name STRING COMMENT 'what it is') USING parquet")
+        found = metadata.from_session(spark, ["shop_of_tests"])
+        assert [(r["table_schema"], r["table_name"]) for r in found.tables.collect()] == [("shop_of_tests", "bolts")]
+        assert [(r["column_name"], r["data_type"], r["comment"]) for r in found.columns.orderBy("ordinal_position").collect()] == [("id", "BIGINT", None), ("name", "STRING", "what it is")]
+        assert [r["schema_name"] for r in found.schemata.collect()] == ["shop_of_tests"]
+        assert not {"information_schema"} & {r["schema_name"] for r in metadata.from_session(spark).schemata.collect()}
+    finally:
+        spark.sql("DROP DATABASE shop_of_tests CASCADE")
+
+
 def test_cosine_of_itself(spark):
     v = spark.read.parquet(f"{SF}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")).where("id < 20")
     got = retrieve.cosine_topk(v.select(F.col("id").alias("question_id"), "vector"), v, 1).collect()
