@@ -223,7 +223,7 @@ def test_only_reading_statements_run_and_references_run_once(spark, monkeypatch)
     asked = spark.createDataFrame([("q1", "x", reference), ("q2", "y", "SELECT * FROM nowhere_at_all")], "question_id string, question string, reference_sql string")
     fixed = lambda sql: lambda q: q.select("question_id", F.lit(sql).alias("answer"))
     seen, run = [], answer._run
-    monkeypatch.setattr(answer, "_run", lambda s, sql: seen.append(sql) or run(s, sql))
+    monkeypatch.setattr(answer, "_run", lambda s, sql, seconds: seen.append(sql) or run(s, sql, seconds))
     arms = {"a": fixed("SELECT 1500 AS n"), "b": fixed("CREATE TABLE made_by_answer AS SELECT 1 AS x"), "c": fixed("SELECT 1 AS n")}
     got = {(r["arm"], r["question_id"]): r for r in answer.evaluate(spark, asked, arms).collect()}
     assert got["a", "q1"]["correct"] is True and got["c", "q1"]["correct"] is False and got["a", "q2"]["correct"] is False
@@ -233,6 +233,14 @@ def test_only_reading_statements_run_and_references_run_once(spark, monkeypatch)
     assert not any(r["executed"] for r in outside)
 
 
+def test_a_statement_that_takes_too_long_fails(spark):
+    long = "SELECT sum(a.id * b.id % 7) AS n FROM range(10000000) a CROSS JOIN range(10000000) b"
+    asked = spark.createDataFrame([("q1", "x", "SELECT 1 AS n")], "question_id string, question string, reference_sql string")
+    fixed = lambda sql: lambda q: q.select("question_id", F.lit(sql).alias("answer"))
+    got = {r["arm"]: r for r in answer.evaluate(spark, asked, {"long": fixed(long), "short": fixed("SELECT 1 AS n")}, seconds=3).collect()}
+    assert not got["long"]["executed"] and got["short"]["correct"]
+
+
 def test_answers_are_kept_by_their_prompts(spark, tmp_path):
     calls = []
 
