@@ -31,16 +31,17 @@ def _is_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("into").alias("into")).where("out > 1 or (out > 0 and into > 0)").isEmpty()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", files: int | None = None) -> DataFrame:
     """(node, label) for every node that has a link, a table in the shared folder: label is the smallest node of its component.
 
     Links that are null at an end or join a node to itself count for nothing.
+    files: the most files that a step's table is written as.
     """
-    edges = kept(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    edges = kept(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges", files)
     while not _is_stars(edges):
-        after = kept(_small_star(_large_star(edges)), "edges")
+        after = kept(_small_star(_large_star(edges)), "edges", files)
         drop_kept(edges)
         edges = after
-    labels = kept(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct()), "labels")
+    labels = kept(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct()), "labels", files)
     drop_kept(edges)
     return labels

@@ -43,7 +43,7 @@ from .tables import drop_kept, kept
 
 @dataclass(frozen=True)
 class NearDup:
-    """shingle: words; a link needs 100 * intersection >= percent * union; turns: rounds with one leader a bucket; block, block_shingles: most members and about the most set members compared in one slot."""
+    """shingle: words; a link needs 100 * intersection >= percent * union; turns: rounds with one leader a bucket; block, block_shingles: most members and about the most set members compared in one slot; file_rows: documents to a file of what is kept about them."""
 
     shingle: int = 5
     percent: int = 85
@@ -54,6 +54,7 @@ class NearDup:
     turns: int = 2
     block: int = 256
     block_shingles: int = 1_000_000
+    file_rows: int = 10_000
     seed: int = 11
 
     @property
@@ -129,7 +130,7 @@ def sketch(docs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
                 made += hi - lo
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), uid, *(pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds[3:], strict=True))], names=names)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).mapInArrow(X.tidied(run), schema)
 
 
 def _digest(members: np.ndarray) -> bytes:
@@ -161,7 +162,7 @@ def _pass_signatures(pairs: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame
                 go = survivors(matrix(batch.column(2), p.places), matrix(batch.column(3), p.places), p)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(go)), batch.column(1).take(pa.array(go))], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(X.tidied(run), "a long, b long")
 
 
 def _streamed(found, keys: int):
@@ -248,7 +249,7 @@ def _dealt(rows: DataFrame, weight: Column, p: NearDup) -> DataFrame:
     return rows.withColumns({"i": F.least("slot", "other"), "j": F.greatest("slot", "other")})
 
 
-def _clusters(members: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame:
+def _clusters(members: DataFrame, sigs: DataFrame, p: NearDup, files: int) -> DataFrame:
     """(node, label): what classes of different components and one bucket may be linked to, by signatures alone."""
     rows = _dealt(members.withColumnRenamed("band", "grp"), F.lit(0), p).select("grp", "i", "j", "slot", "rep", "label")
     rows = rows.join(sigs.select("rep", "sig"), "rep").select("grp", "i", "j", "slot", "rep", "label", "sig")
@@ -258,8 +259,8 @@ def _clusters(members: DataFrame, sigs: DataFrame, p: NearDup) -> DataFrame:
         a, b = _close(table, p)
         yield _pairs([(x, y) for x, y in zip(rep[a].tolist(), rep[b].tolist(), strict=True) if seen.join(x, y)])
 
-    edges = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_streamed(forest, 3), "a long, b long")
-    return components(edges)
+    edges = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(X.tidied(_streamed(forest, 3)), "a long, b long")
+    return components(edges, files=files)
 
 
 def _shared(ma: pa.Scalar, mb: pa.Scalar, p: NearDup) -> bool:
@@ -289,7 +290,7 @@ def _verified_clusters(clusters: DataFrame, labels: DataFrame, sigs: DataFrame,
                 good.append((int(rep[x]), int(rep[y])))
         yield _pairs(good)
 
-    return rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_streamed(links, 3), "a long, b long").distinct()
+    return rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(X.tidied(_streamed(links, 3)), "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, sigs: DataFrame, p: NearDup, key: str, text: str) -> DataFrame:
@@ -305,7 +306,7 @@ def _sets(docs: DataFrame, sigs: DataFrame, p: NearDup, key: str, text: str) ->
                 own = pa.array([_digest(x) == d.as_py() for x, d in zip(found, batch.column(1).slice(lo, hi - lo), strict=True)], type=pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in found], type=pa.binary())], names=["rep", "members"]).filter(own)
 
-    return texts.mapInArrow(run, "rep long, members binary")
+    return texts.mapInArrow(X.tidied(run), "rep long, members binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
@@ -317,7 +318,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
             good = pa.array([_shared(x, y, p) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
-    return both.mapInArrow(exact, "a long, b long").distinct()
+    return both.mapInArrow(X.tidied(exact), "a long, b long").distinct()
 
 
 def near_dup_rows(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -331,13 +332,15 @@ def near_dup_rows(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id"
     """
     p = p or NearDup()
     sketches = kept(sketch(docs, p, key, text), "sketches")
-    classes = kept(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "uid")).alias("lead")), "classes")
+    # Tables of a few numbers a document are written as few files, in proportion to the documents.
+    few = max(8, -(-sketches.count() // p.file_rows))
+    classes = kept(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "uid")).alias("lead")), "classes", few)
     named = sketches.join(classes.select(F.col("lead.uid").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "rep")
     spots = named.select("rep", F.explode("bands").alias("band"))
     shared = spots.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select(F.col("band").alias("k"))
-    members = kept(spots.join(shared, F.col("band") == F.col("k")).select("band", "rep").distinct(), "members")
+    members = kept(spots.join(shared, F.col("band") == F.col("k")).select("band", "rep").distinct(), "members", few)
     ids = members.select("rep").distinct()
-    sigs = kept(named.select("rep", "doc_id", "digest", "n_shingles", "sig").join(ids.hint("merge"), "rep", "left_semi"), "sigs")
+    sigs = kept(named.select("rep", "doc_id", "digest", "n_shingles", "sig").join(ids.hint("merge"), "rep", "left_semi"), "sigs", few)
     sets = kept(_sets(docs, sigs, p, key, text).dropDuplicates(["rep"]), "sets")
 
     labels = None
@@ -346,11 +349,11 @@ def near_dup_rows(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id"
         order = F.col("rep") if not turn else F.xxhash64("rep", F.lit(turn))
         leaders = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("rep", "label"), order).alias("leader")).where("lo <> hi").select(F.col("band").alias("k"), "leader")
         pairs = now.join(leaders, F.col("band") == F.col("k")).where("label <> leader.label").select(F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")).distinct()
-        labels = _joined(labels, kept(_verified(_pass_signatures(pairs, sigs, p), sets, p), "links"))
+        labels = _joined(labels, kept(_verified(_pass_signatures(pairs, sigs, p), sets, p), "links", few), few)
 
     now = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    clusters = _clusters(now, sigs, p)
-    whole = _joined(labels, kept(_verified_clusters(clusters, labels, sigs, sets, p), "links")).withColumnRenamed("node", "rep")
+    clusters = _clusters(now, sigs, p, few)
+    whole = _joined(labels, kept(_verified_clusters(clusters, labels, sigs, sets, p), "links", few), few).withColumnRenamed("node", "rep")
     drop_kept(members, sigs, sets, clusters)
 
     leads = classes.withColumn("rep", F.col("lead.uid")).join(whole, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
@@ -361,10 +364,10 @@ def near_dup_rows(docs: DataFrame, p: NearDup | None = None, key: str = "doc_id"
     return rows.select("doc_id", "text_hash", "n_shingles", F.coalesce("lead.doc_id", "doc_id").alias("component_id"), (F.col("lead").isNull() | first).alias("first"))
 
 
-def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame | None, links: DataFrame, files: int) -> DataFrame:
     """(node, label) of the components that earlier labels and new links make together; what they came from is removed."""
     edges = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-    found = components(edges)
+    found = components(edges, files=files)
     drop_kept(links, *([] if labels is None else [labels]))
     return found
 

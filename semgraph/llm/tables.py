@@ -28,9 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """The frame written to the shared folder and read again: lineage ends there, and a lost executor loses nothing.
 
+    files: the most files that it is written as; the last stage has no more tasks than that.
     What drop_kept() has not removed by then goes when the session's JVM ends.
     """
     spark = df.sparkSession
@@ -38,7 +39,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")  # shuffle files go once the table is written
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        (df if files is None else df.coalesce(files)).write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
