@@ -10,6 +10,7 @@ within a task, so ids are never shuffled, and are bounded and independent.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .wordids import WordIds
+from .wordids import WordIds, gather
 
 #: What may follow a word as a piece of its own, and words it may follow: letters that no rule joins to it.
 _MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b not in b"'")
@@ -51,8 +52,13 @@ class _Ids(WordIds):
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile(b"(" + b"|".join(re.escape(n.encode()) for n in names) + b")").split if names else None
         self.marks = {n.encode() for n in names}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.ends[[number for token, number in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.pieces = WordIds(self._encode, limit=400_000)
-        super().__init__(self._split, limit=200_000)
+        super().__init__(self._split, limit=400_000)
 
     def text(self, data: bytes) -> np.ndarray:
         """The numbers of a text's words and special tokens; the latter are str among bytes."""
@@ -61,15 +67,32 @@ class _Ids(WordIds):
             return self.number(w for i, part in enumerate(parts) for w in ((part.decode(),) if i % 2 else part.lower().split()))
         return self.number(data.lower().split())
 
+    def _each(self, pieces: list[str]) -> tuple[list[int], list[int]]:
+        found = [one.ids for one in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return list(itertools.chain.from_iterable(found)), list(map(len, found))
+
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat: list[int] = []
-        length: list[int] = []
+        """Ids of pieces.  Where the tokenizer marks the ends of words, words of letters are encoded as one text and told apart by those."""
+        flat, lengths, waiting = [], np.zeros(len(pieces), dtype=np.int64), []
+        at: list[np.ndarray] = []
         for lo in range(0, len(pieces), 4096):
-            for one in self.tokenizer.encode_batch_fast([w.decode() for w in pieces[lo : lo + 4096]], add_special_tokens=False):
-                ids = one.ids
-                flat += ids
-                length.append(len(ids))
-        return np.array(flat, dtype=np.uint32), np.array(length, dtype=np.int64)
+            texts = [p.decode() for p in pieces[lo : lo + 4096]]
+            plain = [i for i, (p, t) in enumerate(zip(pieces[lo : lo + 4096], texts, strict=True)) if self.ends is not None and (p.isalpha() or _LETTERS.fullmatch(t))]
+            lines = [" ".join(texts[i] for i in plain[k : k + 64]) for k in range(0, len(plain), 64)]
+            ids = np.array(self._each(lines)[0] if lines else [], dtype=np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) if lines else np.zeros(0, np.int64)
+            if len(ends) != len(plain):  # a letter whose lower case is more than one word
+                plain, ids, ends = [], ids[:0], ends[:0]
+            alone = sorted(set(range(len(texts))) - set(plain))
+            more, sizes = self._each([texts[i] for i in alone]) if alone else ([], [])
+            flat += (ids, np.array(more, dtype=np.uint32))
+            at += (np.array(plain, dtype=np.int64) + lo, np.array(alone, dtype=np.int64) + lo)
+            waiting += (np.diff(ends, prepend=-1), np.array(sizes, dtype=np.int64))
+        order, sizes = np.concatenate(at), np.concatenate(waiting)
+        lengths[order] = sizes
+        starts = np.empty(len(pieces), dtype=np.int64)
+        starts[order] = np.cumsum(sizes) - sizes
+        return gather(np.concatenate(flat), starts, lengths), lengths
 
     def _split(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
         self.pieces.rest()
@@ -82,7 +105,7 @@ class _Ids(WordIds):
                 counts.append(0)
                 continue
             core = word.rstrip(_MARKS)
-            if core and len(core) < len(word) and _LETTERS.fullmatch(core.decode()):
+            if core and len(core) < len(word) and (core.isalpha() or _LETTERS.fullmatch(core.decode())):
                 parts += (core, word[len(core) :])
                 counts.append(2)
             else:

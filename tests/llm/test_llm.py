@@ -153,7 +153,7 @@ def test_packing_holds_each_id_once(spark, docs, texts):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    texts = [*texts, "a <|endoftext|> b", "A<|endoftext|>B<|startoftext|><|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "<|endoftext|", "<|endoftext|>"]
+    texts = [*texts, "a <|endoftext|> b", "A<|endoftext|>B<|startoftext|><|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "<|endoftext|", "<|endoftext|>", "İstanbul İ ok", "straße ǅ ŉ it's I'll", "e\u0301te\u0301 Å ſ"]
     docs = spark.createDataFrame(list(enumerate(texts)), DOC).repartition(3)
     found = packing.pack(clash(docs), path, capacity=256, group=16).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
