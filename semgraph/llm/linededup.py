@@ -35,24 +35,33 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def _window_hashes(df: DataFrame, text: str, window: int) -> tuple[DataFrame, Column]:
-    """``df`` with line hashes, and a column of hashes for each run of ``window`` lines (null where no line holds a word, or a run of fewer lines than WINDOW is neither long nor the whole text)."""
+def _window_hashes(df: DataFrame, text: str, widths: tuple[int, ...]) -> tuple[DataFrame, Column]:
+    """``df`` with line hashes, and a column of (_pos, _hash, _width) for each run of lines of the given widths.
+
+    Left out are runs where no line holds a word, and runs of fewer lines than
+    WINDOW that are neither long nor the whole text.
+    """
     df = _once(df, "_lines", F.split(F.col(text), "\n", -1))
-    solid = F.transform("_lines", lambda x: F.when(F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) != "", F.xxhash64(x)))
-    df = df.where(F.size("_lines") >= window)
-    if window < WINDOW:
-        df = _once(df, "_words", F.transform("_lines", lambda x: F.size(F.filter(F.split(x, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))))
+    spaced = lambda x: F.translate(x, "\t\r\x0b\x0c", "    ")
+    solid = F.transform("_lines", lambda x: F.when(F.trim(spaced(x)) != "", F.xxhash64(x)))
+    df = df.where(F.size("_lines") >= min(widths))
+    if min(widths) < WINDOW:
+        df = _once(df, "_words", F.transform("_lines", lambda x: F.size(F.filter(F.split(spaced(x), " "), lambda w: w != ""))))
     df = _once(df, "_hashes", solid).drop("_lines", text)
     blank = F.lit(0).cast("long")
 
-    def one(i: Column) -> Column:
-        own = [F.element_at("_hashes", i + k + 1) for k in range(window)]
-        counted = F.coalesce(*own).isNotNull()
-        if window < WINDOW:
-            counted &= (F.size("_hashes") == window) | (sum((F.element_at("_words", i + k + 1) for k in range(window)), F.lit(0)) > LONG)
-        return F.when(counted, F.xxhash64(*(F.coalesce(x, blank) for x in own)))
+    def runs(width: int) -> Column:
+        def one(i: Column) -> Column:
+            own = [F.element_at("_hashes", i + k + 1) for k in range(width)]
+            counted = F.coalesce(*own).isNotNull()
+            if width < WINDOW:
+                counted &= (F.size("_hashes") == width) | (sum((F.element_at("_words", i + k + 1) for k in range(width)), F.lit(0)) > LONG)
+            key = F.xxhash64(*(F.coalesce(x, blank) for x in own), *(F.lit(width),) * (len(widths) > 1))
+            return F.when(counted, F.struct(i.cast("int").alias("_pos"), key.alias("_hash"), F.lit(width).alias("_width")))
+
+        return F.transform(F.when(F.size("_hashes") >= width, F.sequence(F.lit(0), F.size("_hashes") - width)).otherwise(F.array().cast("array<int>")), one)
 
-    return df, F.transform(F.sequence(F.lit(0), F.size("_hashes") - window), one)
+    return df, F.array_compact(F.concat(*(runs(w) for w in widths)))
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", passages: bool = False) -> DataFrame:
@@ -65,12 +74,8 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", passage
     key sorts first.
     """
     keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.col(text)))
-    spots = None
-    for window in (1, 2, WINDOW) if passages else (WINDOW,):
-        hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text, window)
-        own = hashed.select("_key", "_th", F.posexplode(runs).alias("_pos", "_hash")).where(F.col("_hash").isNotNull())
-        own = own.withColumn("_hash", F.xxhash64("_hash", F.lit(window))).withColumn("_width", F.lit(window)) if passages else own.withColumn("_width", F.lit(window))
-        spots = own if spots is None else spots.unionByName(own)
+    hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text, (1, 2, WINDOW) if passages else (WINDOW,))
+    spots = hashed.select("_key", "_th", F.explode(runs).alias("_run")).select("_key", "_th", "_run.*")
     place = F.struct("_key", "_th", "_pos")
     # Rows of one document are counted once: several equal rows alone repeat nothing.
     repeated = spots.groupBy("_hash").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
