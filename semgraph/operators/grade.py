@@ -56,7 +56,16 @@ def compare(generated: DataFrame, reference: DataFrame) -> tuple[bool, str | Non
     after dropping up to four extra columns.
     """
     generated = project_to(generated, reference)
-    g, r = normal_rows(generated), normal_rows(reference)
+    # Both are counted once and then read several times.
+    g, r = normal_rows(generated).persist(), normal_rows(reference).persist()
+    try:
+        return _compared(generated, reference, g, r)
+    finally:
+        g.unpersist()
+        r.unpersist()
+
+
+def _compared(generated: DataFrame, reference: DataFrame, g: DataFrame, r: DataFrame) -> tuple[bool, str | None]:
     d = differences(g, r).first()
     n_gen, n_ref = d["n_gen"], d["n_ref"]
     if max(n_gen, n_ref) >= LARGE_ROWS:
