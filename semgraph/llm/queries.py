@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hmm, langid, toxicity
+from .ann import nearest
 from .bpe import bpe_round_trip
 from .htmlcrf import extract
 from .knn import top_k
@@ -14,7 +15,9 @@ from .linededup import line_dedup
 from .neardup import near_dups
 from .packing import pack
 from .quality import QualityRules, quality
+from .spelling import Spelling, spelling_groups
 from .tables import table
+from .whiten import whiten
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +81,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", toxicity.held_out(5, 0)), model).drop("text")
 
 
+def op11_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), Spelling(spoil=97))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
