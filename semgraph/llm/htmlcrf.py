@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,9 +28,9 @@ _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-#: Tags that are part of the text around them.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Tags whose content is no text.
+#: Tags that are part of the text around them, as is any with a hyphen in its name.
+INLINE = frozenset("a abbr acronym area audio b base bdi bdo big br cite code data del dfn em embed font i img ins kbd label link map mark meta meter output param picture progress q rb rp rt rtc ruby s samp slot small source span strike strong sub sup time track tt u var video wbr".split())
+#: Tags whose content is no text; what stands before and after one is one text.
 RAW = frozenset("script style noscript template textarea svg iframe object canvas".split())
 #: Tags without an end.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,18 +49,56 @@ class Block:
     linked: int
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; unclosed tags last to the end of their parent."""
+def inline(name: str) -> bool:
+    return name in INLINE or "-" in name
+
+
+class _Open:
+    """The open tags of a page: (name, features of it and all around it, place of the nearest block-level tag, -1 without one)."""
+
+    def __init__(self, known: frozenset[str] | None):
+        self.known, self.tags, self.count = known, [], Counter()
+
+    def push(self, name: str, own: set[str]) -> None:
+        around = self.tags[-1][1] if self.tags else frozenset()
+        new = (own if self.known is None else own & self.known) - around
+        self.tags.append((name, around | new if new else around, self.block() if inline(name) else len(self.tags)))
+        self.count[name] += 1
+
+    def cut(self, place: int) -> None:
+        """Closes the tags from ``place`` on."""
+        for name, _, _ in self.tags[place:]:
+            self.count[name] -= 1
+        del self.tags[place:]
+
+    def block(self) -> int:
+        return self.tags[-1][2] if self.tags else -1
+
+    def last(self, name: str) -> int:
+        """The place of the innermost tag of that name, which is open."""
+        place = len(self.tags) - 1
+        while self.tags[place][0] != name:
+            place -= 1
+        return place
+
+
+def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
+    """The leaf blocks of a page in order; unclosed tags last to the end of their parent.
+
+    Only block-level tags part blocks.  An end tag of nothing open is skipped
+    (``</p>`` stands for an empty paragraph).  known: the features of ancestors that
+    are wanted; with it the work grows with the page however deep its tags nest.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    tags = _Open(known)
     part: list[str] = []
-    linked = links = at = 0
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", "".join(part)).strip()
         if text:
-            tag, ancestors = next(((t, a) for t, a in reversed(stack) if t not in INLINE), ("", frozenset()))
+            tag, ancestors, _ = tags.tags[tags.block()] if tags.block() >= 0 else ("", frozenset(), -1)
             found.append(Block(text, ancestors, tag, linked))
         part.clear()
         linked = 0
@@ -68,7 +107,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = html.unescape(raw)
         part.append(text)
-        if links:
+        if tags.count["a"]:
             linked += len(text)
 
     while True:
@@ -84,36 +123,28 @@ def blocks(page: str) -> list[Block]:
             continue
         name = _NAME.match(token)[1].lower()
         if token[1] == "/":
-            if name not in INLINE:
+            if not inline(name) and (tags.count[name] or name == "p"):
                 flush()
-            if any(t == name for t, _ in stack):
-                while stack:
-                    t, _ = stack.pop()
-                    links -= t == "a"
-                    if t == name:
-                        break
+            if tags.count[name]:
+                tags.cut(tags.last(name))
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>|\Z", re.I).search(page, at)
-            at = end.end()
-            flush()
+            at = re.compile(rf"</{name}\b[^>]*>|\Z", re.I).search(page, at).end()
             continue
-        if name not in INLINE:
+        if not inline(name):
             flush()
             while name in _CLOSE_P or name in ENDS:
-                block = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
-                if block is None or stack[block][0] not in (ENDS.get(name) or {"p"}):
+                block = tags.block()
+                if block < 0 or tags.tags[block][0] not in (ENDS.get(name) or {"p"}):
                     break
-                links -= sum(t == "a" for t, _ in stack[block:])
-                del stack[block:]
+                tags.cut(block)
         elif name == "br":
             part.append(" ")
         if name not in VOID and not token.endswith("/>"):
             own = {f"tag:{name}"}
             for a in _ATTRIBUTE.finditer(token):
                 own.update(f"word:{w}" for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower()))
-            stack.append((name, (stack[-1][1] if stack else frozenset()) | own))
-            links += name == "a"
+            tags.push(name, own)
     flush()
     return found
 
@@ -267,6 +298,8 @@ def labelled_pages(count: int = 240, seed: int = 5) -> list[tuple[list[Block], l
         if rng.random() < 0.2:
             inside.append(off("comment"))
         wrap = pick("<article>{}</article>", "<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>", '<div class="content">{}</div>', '<div id="main"><div class="post article">{}</div></div>', '<div class="entry content">{}</div>')
+        for _ in range(rng.integers(0, 4) * (rng.random() < 0.5)):
+            wrap = pick("<div>{}</div>", "<section>{}</section>", f'<div class="{pick("page", "wrapper", "container", "layout", "row", "col", word())}">{{}}</div>').replace("{}", wrap)
         before = [f"<nav>{links(rng.integers(3, 8))}</nav>", pick("", f"<header><h2>{words(1, 3)}</h2>{links(3)}</header>", f'<header class="site header"><p>{sentence()}</p></header>', f'<div class="header">{links(4)}</div>')]
         before += [off(pick("ad", "notice", "bar")) for _ in range(rng.integers(0, 3))]
         after = [off(pick("side", "ad", "comment", "bar", "notice")) for _ in range(rng.integers(0, 4))]
@@ -287,7 +320,7 @@ def default_model() -> Crf:
 
 def main_text(page: str | None, model: Crf) -> str:
     """The main text of one page: its blocks of label 1, two line breaks between them."""
-    found = blocks(page or "")
+    found = blocks(page or "", frozenset(model.weights))
     return "\n\n".join(b.text for b, label in zip(found, model.labels(found), strict=True) if label)
 
 
@@ -295,7 +328,8 @@ def extract(pages: DataFrame, model: Crf | None = None, column: str = "html") ->
     """``pages`` without ``html`` and with ``text`` and ``n_chars`` (its code points) added, replacing columns of those names.
 
     A null or empty page has an empty text, as has one without main text.  Whole
-    pages are read, in one pass without a shuffle; repeated rows each give a row.
+    pages are read, in one pass without a shuffle; repeated rows each give a row,
+    an empty table gives an empty one, and tags may nest to any depth.
     Of equally likely labellings a block's label is 0, and so is that before it.
     """
     model = model or default_model()

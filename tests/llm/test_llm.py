@@ -870,6 +870,30 @@ def test_a_very_long_page():
     assert text.count("\n\n") == 59_999 and text.startswith("Sentence number 0,") and text.endswith("are.")
 
 
+def test_only_block_level_tags_part_blocks():
+    text = lambda page: [b.text for b in htmlcrf.blocks(page)]
+    for raw in ("<script>x</p></script>", "<style>p{}</style>", "<noscript><p>n</p></noscript>", "<svg><g></g></svg>", "<object></object>", "<link rel=x>", "<meta a=b>", "</div>", "</svg>", "<x-y>", "<!-- c -->"):
+        assert text(f"<p>A{raw} tail</p>") == ["A tail"], raw
+    assert text("<p>A<hr>B</p>C<div>D</div>") == ["A", "B", "C", "D"] and text("A</p>B") == ["A", "B"]
+
+
+@pytest.mark.parametrize("page", ["<div>" + "<b>" * 100_000 + "<p>x</p>" * 100_000, "<div>" * 100_000 + "</p>" * 100_000 + "x", "".join(f'<div class="w{i} {"ab"[i % 2]}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}">x' for i in range(100_000)), "<ul><li><p>" * 50_000 + "x", "<a href=x>" * 100_000 + "x" + "</a>" * 100_000])
+def test_pages_of_deep_tags(page):
+    model = htmlcrf.default_model()
+    began = time.process_time()
+    htmlcrf.main_text(page, model)
+    assert time.process_time() - began < 5
+
+
+def test_layouts_that_the_generator_does_not_write():
+    """Tables, sections, definition lists and custom tags around the text, with words in other places."""
+    model = htmlcrf.default_model()
+    say = "This is a sentence of the text, as long as others. And this is another one."
+    for start, end in (("<table><tr><td>", "</td></tr></table>"), ("<section><div><div>", "</div></div></section>"), ("<my-app><my-text>", "</my-text></my-app>"), ("<main><section class=body>", "</section></main>")):
+        page = f"<html><body><nav><a href=/>Home</a> <a href=/b>News</a></nav>{start}<article><h1>The title here</h1>" + f"<p>{say}</p>" * 4 + f"</article>{end}<aside class=related><a href=/c>Other</a></aside><footer>&copy; x</footer></body></html>"
+        assert htmlcrf.main_text(page, model) == "\n\n".join(["The title here", *[say] * 4])
+
+
 def test_viterbi_equals_all_paths():
     model = htmlcrf.Crf({"leaf:p": 0.4, "leaf:div": -0.7, "words:2": 0.3}, -0.1, ((0.5, -0.4), (-0.2, 0.6)))
     rng = random.Random(3)
