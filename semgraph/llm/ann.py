@@ -6,8 +6,10 @@ length.  A table has some functions floor((a.x + b) / w) with normal a; a row
 lies in the bucket of their values.  For a query, the chance that a neighbour at
 a given distance lies in a bucket is a product of one normal integral a function;
 the buckets are visited in falling order of that chance until their chances add
-up to what the wanted recall asks of one table.  All tables' candidates meet
-their queries in blocks, are scored exactly, and merge.
+up to what the wanted recall asks of one table.  A first look at the likeliest
+buckets of one table gives each query a score that its k-th best can't be below;
+then all tables' candidates meet their queries in blocks, are scored exactly, and
+those that reach that bound merge.
 
 The distance that neighbours have, and how many functions make buckets of the
 wanted size, come from a bounded sample (``pilots`` queries against all rows,
@@ -32,13 +34,14 @@ from .tables import kept
 
 @dataclass(frozen=True)
 class Ann:
-    """k: neighbours; tables; width: of a slot, in neighbours' distances; cell: rows of a usual bucket; recall: what the visited buckets should hold; functions: the most a table has; probes: the most buckets of a table that a query visits; pilots, sample: queries and rows that the fit looks at; block: rows of one side of a local product; listed: how many large groups of buckets are told to all tasks."""
+    """k: neighbours; tables; width: of a slot, in neighbours' distances; cell: rows of a usual bucket; recall: what the visited buckets should hold; first: what those of the first look should hold; functions: the most a table has; probes: the most buckets of a table that a query visits; pilots, sample: queries and rows that the fit looks at; block: rows of one side of a local product; listed: how many large groups of buckets are told to all tasks."""
 
     k: int = 20
     tables: int = 4
     width: float = 2.0
     cell: int = 1024
     recall: float = 0.96
+    first: float = 0.3
     functions: int = 24
     probes: int = 4096
     pilots: int = 64
@@ -143,8 +146,8 @@ class Hashes:
             out = X.mix(out + slots[..., j].astype(np.uint64))
         return out.view(np.int64)
 
-    def probes(self, table: int, q: np.ndarray, norm: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(queries, buckets) that the queries visit, some queries at a time."""
+    def probes(self, table: int, q: np.ndarray, norm: np.ndarray, enough: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, buckets) that the queries visit until their chances add up to ``enough``, some queries at a time."""
         x = np.column_stack([q * (self.top / norm)[:, None], np.zeros(len(q))])
         at = self._at(table, x)
         home = np.floor(at)
@@ -152,7 +155,7 @@ class Hashes:
         edge = (offsets[None, None, :] - (at - home)[:, :, None]) * self.o.width
         chance = _normal(edge + self.o.width) - _normal(edge)
         for lo in range(0, len(q), 64):
-            codes, _, count = likeliest(chance[lo : lo + 64], self.enough, self.o.probes)
+            codes, _, count = likeliest(chance[lo : lo + 64], enough, self.o.probes)
             wanted = np.arange(codes.shape[1]) < count[:, None]
             buckets = self.bucket(home[lo : lo + 64, None, :].astype(np.int64) + offsets[codes])
             yield lo + np.nonzero(wanted)[0], buckets[wanted]
@@ -254,13 +257,13 @@ def nearest(vectors: DataFrame, is_query: Column, o: Ann | None = None, key: str
     asked = rows.where("query").orderBy(*by_hash).limit(o.pilots).collect()
     some = rows.orderBy(*by_hash).limit(o.sample).select("vec_id", "v").collect()
     pilots, sample = (np.stack([np.frombuffer(r["v"], dtype=kind) for r in part]).astype(np.float64) for part in (asked, some))
-    sample_ids = np.array([r["vec_id"] for r in some])
     near = _pilot_distance(rows, pilots, np.array([r["vec_id"] for r in asked]), np.array([r["norm"] for r in asked]), about["top"], width, kind, o)
     hashes = Hashes(near, about["top"], sample, about["n"], o)
     small = about["n"] <= 2 * o.cell
+    every_table = 1 if small else o.tables
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
-        """Each batch's rows that can be results, with their buckets, for each table."""
+    def index(batches: Iterator[pa.RecordBatch], tables: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
+        """Each batch's rows that can be results, with their buckets, for each of the first tables."""
         for batch in batches:
             ids, raw = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), dtype=object)
             _, own = np.unique(raw, return_inverse=True)
@@ -272,24 +275,24 @@ def nearest(vectors: DataFrame, is_query: Column, o: Ann | None = None, key: str
             batch = batch.take(pa.array(np.sort(order[nth <= o.k])))
             x = _rows(batch.column(1), width, kind)
             grown = hashes.grown(x, batch.column(2).to_numpy())
-            for t in range(1 if small else o.tables):
+            for t in range(tables):
                 yield batch, t, np.zeros(len(x), np.int64) if small else hashes.bucket(hashes.slots(t, grown))
 
-    def visits(q: np.ndarray, norm: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for t in range(1 if small else o.tables):
+    def visits(q: np.ndarray, norm: np.ndarray, tables: int, enough: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for t in range(tables):
             if small:
                 yield t, np.arange(len(q)), np.zeros(len(q), np.int64)
             else:
-                for at, buckets in hashes.probes(t, q, norm):
+                for at, buckets in hashes.probes(t, q, norm, enough):
                     yield t, at, buckets
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t, bucket in index(batches):
+        for batch, t, bucket in index(batches, every_table):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), t, np.int32)), pa.array(bucket), pa.array(np.full(len(bucket), 1, np.int64)), pa.array(np.zeros(len(bucket), np.int64))], names=["tab", "bucket", "n", "asked"])
 
     def asked_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t, at, bucket in visits(_rows(batch.column(1), width, kind), batch.column(2).to_numpy()):
+            for t, at, bucket in visits(_rows(batch.column(1), width, kind), batch.column(2).to_numpy(), every_table, hashes.enough):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(bucket), pa.array(np.zeros(len(at), np.int64)), pa.array(np.full(len(at), 1, np.int64))], names=["tab", "bucket", "n", "asked"])
 
     # Buckets of a table are dealt to groups of about half a block; one with more rows than a block is a group of its own.
@@ -323,54 +326,57 @@ def nearest(vectors: DataFrame, is_query: Column, o: Ann | None = None, key: str
         at = np.repeat(np.arange(len(n)), n)
         return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t, bucket in index(batches):
-            group, n_parts, slots = dealt(t, bucket)
-            slot = spread(batch.column(0).to_numpy(), slots)
-            at, part = every(n_parts)
-            columns = [pa.array(np.full(len(at), t, np.int32)), pa.array(group[at]), pa.array(part.astype(np.int32)), pa.array(slot[at].astype(np.int32)), *(c.take(pa.array(at)) for c in batch.columns[:2]), pa.array(bucket[at])]
-            yield pa.RecordBatch.from_arrays(columns, names=["tab", "grp", "part", "slot", "vec_id", "v", "bucket"])
-
-    def lower_bounds(own_ids: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """The k-th best of the sampled rows of other ids, which a query's k-th best can't be below."""
-        out = np.full(len(q), -np.inf)
-        _, single = np.unique(sample_ids, return_index=True)
-        if len(single) <= o.k:
-            return out
-        score = q @ sample[single].T
-        score[own_ids[:, None] == sample_ids[single]] = -np.inf
-        least = np.partition(score, len(single) - o.k, axis=1)[:, len(single) - o.k]
-        return np.where(np.isfinite(least), least, out)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
-                ids, q = some.column(0).to_numpy(), _rows(some.column(1), width, kind)
-                least = lower_bounds(ids, q)
-                for t, at, bucket in visits(q, some.column(2).to_numpy()):
-                    group, n_parts, slots = dealt(t, bucket)
-                    order = np.lexsort((bucket, group, at))  # a query goes to a group once, with all its buckets there
-                    at, bucket, group, n_parts, slots = (a[order] for a in (at, bucket, group, n_parts, slots))
-                    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (group[1:] != group[:-1])]) if len(at) else np.zeros(0, np.int64)
-                    ends = np.r_[first[1:], len(at)]
-                    lists = [bucket[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
-                    at, group, n_parts, slots = (a[first] for a in (at, group, n_parts, slots))
-                    more, slot = every(slots)
-                    part = spread(ids[at], n_parts)
-                    rows_at = pa.array(at[more])
-                    columns = [pa.array(np.full(len(more), t, np.int32)), pa.array(group[more]), pa.array(part[more].astype(np.int32)), pa.array(slot.astype(np.int32)), *(c.take(rows_at) for c in some.columns[:2]), pa.array(least[at[more]]), pa.array(lists, type=pa.binary()).take(pa.array(more))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["tab", "grp", "part", "slot", "vec_id", "v", "least", "buckets"])
+    def sent(tables: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, t, bucket in index(batches, tables):
+                group, n_parts, slots = dealt(t, bucket)
+                slot = spread(batch.column(0).to_numpy(), slots)
+                at, part = every(n_parts)
+                columns = [pa.array(np.full(len(at), t, np.int32)), pa.array(group[at]), pa.array(part.astype(np.int32)), pa.array(slot[at].astype(np.int32)), *(c.take(pa.array(at)) for c in batch.columns[:2]), pa.array(bucket[at])]
+                yield pa.RecordBatch.from_arrays(columns, names=["tab", "grp", "part", "slot", "vec_id", "v", "bucket"])
+
+        return rows.select("vec_id", "v", "norm").mapInArrow(X.tidied(run), f"{where}, bucket long")
+
+    def asking(queries: DataFrame, tables: int, enough: float) -> DataFrame:
+        """queries: (vec_id, v, norm, least)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 512):
+                    some = batch.slice(lo, 512)
+                    ids, q, least = some.column(0).to_numpy(), _rows(some.column(1), width, kind), some.column(3)
+                    for t, at, bucket in visits(q, some.column(2).to_numpy(), tables, enough):
+                        group, n_parts, slots = dealt(t, bucket)
+                        order = np.lexsort((bucket, group, at))  # a query goes to a group once, with all its buckets there
+                        at, bucket, group, n_parts, slots = (a[order] for a in (at, bucket, group, n_parts, slots))
+                        first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (group[1:] != group[:-1])]) if len(at) else np.zeros(0, np.int64)
+                        lists = [bucket[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(at)], strict=True)]
+                        at, group, n_parts, slots = (a[first] for a in (at, group, n_parts, slots))
+                        more, slot = every(slots)
+                        part = spread(ids[at], n_parts)
+                        rows_at = pa.array(at[more])
+                        columns = [pa.array(np.full(len(more), t, np.int32)), pa.array(group[more]), pa.array(part[more].astype(np.int32)), pa.array(slot.astype(np.int32)), *(c.take(rows_at) for c in [*some.columns[:2], least]), pa.array(lists, type=pa.binary()).take(pa.array(more))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["tab", "grp", "part", "slot", "vec_id", "v", "least", "buckets"])
+
+        return queries.mapInArrow(X.tidied(run), f"{where}, least double, buckets binary")
 
     where = "tab int, grp long, part int, slot int, vec_id long, v binary"
-    sent = rows.select("vec_id", "v", "norm").mapInArrow(X.tidied(send), f"{where}, bucket long")
-    queries = rows.where("query").select("vec_id", "v", "norm").mapInArrow(X.tidied(ask), f"{where}, least double, buckets binary")
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         return _solve(left, right, width, kind, o.k)
 
     dealt_by = ["tab", "grp", "part", "slot"]
-    best = queries.groupBy(*dealt_by).cogroup(sent.groupBy(*dealt_by)).applyInArrow(solve, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= o.k).select("query_id", "rank", "vec_id", "score")
+
+    def best(queries: DataFrame, tables: int, enough: float) -> DataFrame:
+        met = asking(queries, tables, enough).groupBy(*dealt_by).cogroup(sent(tables).groupBy(*dealt_by)).applyInArrow(solve, "query_id long, vec_id long, score double")
+        once = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= o.k)
+
+    asked_rows = rows.where("query").select("vec_id", "v", "norm")
+    none = F.lit(float("-inf"))
+    queries = asked_rows.withColumn("least", none)
+    if not small:
+        bounds = kept(best(queries, 1, o.first).where(F.col("rank") == o.k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least")), "bounds")
+        queries = asked_rows.join(bounds, "vec_id", "left").withColumn("least", F.coalesce("least", none))
+    return best(queries, every_table, hashes.enough).select("query_id", "rank", "vec_id", "score")
