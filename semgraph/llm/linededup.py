@@ -5,7 +5,7 @@ occurs more than once in all texts is kept where it occurs first, by (doc_id,
 text hash, position); each later occurrence covers its three lines, overlapping
 occurrences merge, and covered lines go.
 
-Plan: one pass makes 64-bit window hashes (no text is shuffled for them); a
+Plan: one pass makes 128-bit window hashes (no text is shuffled for them); a
 pre-aggregated count by hash finds repeated ones and their first place; a join
 marks later occurrences, whose sides Spark splits where a hash is hot
 (spark.sql.adaptive.skewJoin must be on for that, as it is by default); only
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Lines that one window spans.
 WINDOW = 3
+#: In front of what is hashed a second time.
+SEED = 1
 #: Words that a passage of fewer lines must exceed.
 LONG = 50
 
@@ -36,14 +38,15 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def _window_hashes(df: DataFrame, text: str, widths: tuple[int, ...]) -> tuple[DataFrame, Column]:
-    """``df`` with line hashes, and a column of (_pos, _hash, _width) for each run of lines of the given widths.
+    """``df`` with line hashes, and a column of (_pos, _hash, _more, _width) for each run of lines of the given widths.
 
     Left out are runs where no line holds a word, and runs of fewer lines than
     WINDOW that are neither long nor the whole text.
     """
     df = _once(df, "_lines", F.split(F.col(text), "\n", -1))
     spaced = lambda x: F.translate(x, "\t\r\x0b\x0c", "    ")
-    solid = F.transform("_lines", lambda x: F.when(F.trim(spaced(x)) != "", F.xxhash64(x)))
+    # Two hashes of 64 bits with different seeds, of lines and of windows.
+    solid = F.transform("_lines", lambda x: F.when(F.trim(spaced(x)) != "", F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(SEED), x).alias("b"))))
     df = df.where(F.size("_lines") >= min(widths))
     if min(widths) < WINDOW:
         df = _once(df, "_words", F.transform("_lines", lambda x: F.size(F.filter(F.split(spaced(x), " "), lambda w: w != ""))))
@@ -56,8 +59,8 @@ def _window_hashes(df: DataFrame, text: str, widths: tuple[int, ...]) -> tuple[D
             counted = F.coalesce(*own).isNotNull()
             if width < WINDOW:
                 counted &= (F.size("_hashes") == width) | (sum((F.element_at("_words", i + k + 1) for k in range(width)), F.lit(0)) > LONG)
-            key = F.xxhash64(*(F.coalesce(x, blank) for x in own), *(F.lit(width),) * (len(widths) > 1))
-            return F.when(counted, F.struct(i.cast("int").alias("_pos"), key.alias("_hash"), F.lit(width).alias("_width")))
+            key = [F.xxhash64(*(F.coalesce(x[half], blank) for x in own), F.lit(width)) for half in ("a", "b")]
+            return F.when(counted, F.struct(i.cast("int").alias("_pos"), key[0].alias("_hash"), key[1].alias("_more"), F.lit(width).alias("_width")))
 
         return F.transform(F.when(F.size("_hashes") >= width, F.sequence(F.lit(0), F.size("_hashes") - width)).otherwise(F.array().cast("array<int>")), one)
 
@@ -71,15 +74,16 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", passage
     no window and stays (unless ``passages`` is set), as do windows of blank lines only.  A null text stays
     null with 0 lines.  Rows equal in key and text are one document: what goes
     from one goes from all, and their first occurrences stay in all.  A null
-    key sorts first.
+    key sorts first, and an empty table gives an empty one.
     """
     keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.col(text)))
     hashed, runs = _window_hashes(keyed.select(F.col(key).alias("_key"), "_th", text), text, (1, 2, WINDOW) if passages else (WINDOW,))
     spots = hashed.select("_key", "_th", F.explode(runs).alias("_run")).select("_key", "_th", "_run.*")
     place = F.struct("_key", "_th", "_pos")
     # Rows of one document are counted once: several equal rows alone repeat nothing.
-    repeated = spots.groupBy("_hash").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
-    later = spots.join(repeated.select(F.col("_hash").alias("_h"), "_first"), F.col("_hash") == F.col("_h")).where(place != F.col("_first"))
+    repeated = spots.groupBy("_hash", "_more").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(F.col("_first") != F.col("_last"))
+    same = (F.col("_hash") == F.col("_h")) & (F.col("_more") == F.col("_m"))
+    later = spots.join(repeated.select(F.col("_hash").alias("_h"), F.col("_more").alias("_m"), "_first"), same).where(place != F.col("_first"))
     marks = later.groupBy("_key", "_th").agg(F.collect_set(F.struct("_pos", "_width")).alias("_starts")).withColumnsRenamed({"_key": "_mk", "_th": "_mt"})
     joined = keyed.join(marks, F.col(key).eqNullSafe(F.col("_mk")) & (F.col("_th") == F.col("_mt")), "left")
     joined = _once(joined, "_lines", F.split(F.col(text), "\n", -1))
