@@ -38,11 +38,10 @@ from .tables import drop_kept, kept
 
 @dataclass(frozen=True)
 class Hmm:
-    """states (at most eight); top: words with a symbol of their own; candidates: of each block, the words that may become such; classes: of the others; rounds of Baum-Welch; chunk: tokens whose chances are held at once; block: tokens numbered together; prior: tokens that a word's unigram share weighs against its own counts by state."""
+    """states (at most eight); top: words with a symbol of their own; classes: of the others; rounds of Baum-Welch; chunk: tokens whose chances are held at once; block: tokens numbered together; prior: tokens that a word's unigram share weighs against its own counts by state; tasks: the most that blocks are dealt to, each of which takes its blocks one after another."""
 
     states: int = 8
     top: int = 4096
-    candidates: int = 16_384
     classes: int = 2048
     rounds: int = 5
     chunk: int = 800_000
@@ -50,6 +49,7 @@ class Hmm:
     block: int = 3_000_000
     seed: int = 3
     prior: float = 4.0
+    tasks: int = 8192
 
     @property
     def end(self) -> int:
@@ -275,16 +275,13 @@ def _maximise(sums: np.ndarray, counts: np.ndarray, o: Hmm) -> tuple[np.ndarray,
 
 
 def _tops(blocks: DataFrame, o: Hmm) -> list[bytes]:
-    """The ``o.top`` most frequent training words, the largest sums of counts over the blocks' most frequent ones."""
+    """The ``o.top`` most frequent training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 words, counts = batch.column(0)[row].values, batch.column(1)[row].values.to_numpy()
                 at = np.flatnonzero(counts)
-                if len(at) > o.candidates:
-                    least = np.partition(counts[at], len(at) - o.candidates)[len(at) - o.candidates]
-                    at = at[counts[at] >= least]  # with all ties
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))], names=["word", "n"])
 
     sums = blocks.select("words", "counts").mapInArrow(X.tidied(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
@@ -332,22 +329,24 @@ def _symbol_counts(symbols: DataFrame, o: Hmm) -> np.ndarray:
     return out
 
 
-def _byte(packed: str, k: int) -> Column:
-    return F.shiftrightunsigned(F.col(packed), 8 * k).bitwiseAND(F.lit(255))
+def _by_state(packed: list[bytes | None], o: Hmm) -> np.ndarray:
+    """Expected counts by state; none for a word that isn't known."""
+    return np.frombuffer(b"".join(p or bytes(4 * o.states) for p in packed), dtype=np.float32).reshape(len(packed), o.states).astype(np.float64)
 
 
-def _bytes_sum(packed: str, o: Hmm) -> Column:
-    return sum((_byte(packed, k) for k in range(1, o.states)), _byte(packed, 0))
+def _packed(learned: DataFrame, o: Hmm) -> DataFrame:
+    """(word, c, q): the expected counts by state as bytes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = np.column_stack([batch.column(f"g{k}").to_numpy() for k in range(o.states)]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array([row.tobytes() for row in g], type=pa.binary())], names=["word", "c", "q"])
 
-def _by_state(c: np.ndarray, packed: np.ndarray, o: Hmm) -> np.ndarray:
-    """Expected counts by state of words with count c and packed shares."""
-    shares = np.ascontiguousarray(packed.astype("<i8")).view(np.uint8).reshape(-1, 8)[:, : o.states].astype(np.float64)
-    return c[:, None] * shares / np.maximum(shares.sum(axis=1), 1)[:, None]
+    return learned.mapInArrow(X.tidied(run), "word binary, c long, q binary")
 
 
 def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hmm) -> DataFrame:
-    """(word, c, q): of each training word, its count and its states' shares of the expected count, a byte each; q is 0 for words with symbols of their own, whose counts the model holds."""
+    """(word, c, g0, ...): of each training word, its count and its expected counts by state; these are 0 for words with symbols of their own, whose counts the model holds."""
     emit, move, first = model[0].astype(np.float32), *model[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,19 +363,11 @@ def _word_states(blocks: DataFrame, place: dict[bytes, int], model: tuple, o: Hm
                         for k in range(o.states):
                             total[:, k] += np.bincount(own, weights=chances[:, k], minlength=n)
                 at = np.flatnonzero(counts)
-                shares = np.zeros((len(at), 8), dtype=np.uint8)
-                shares[:, : o.states] = np.rint(255 * total[at] / np.maximum(total[at].sum(axis=1), 1e-30)[:, None])
-                shares[symbol[at] < o.top] = 0
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int32)), pa.array(shares.view("<i8").ravel())], names=["word", "n", "q"])
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int32)), *(pa.array(total[at, k]) for k in range(o.states))], names=["word", "n", *states])
 
-    # A block has a word once, so summing before the shuffle would only widen its rows.
-    parts = blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(X.tidied(run), "word binary, n int, q long").repartition("word")
-    sums = parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(F.col("n") * _byte("q", k)).alias(f"g{k}") for k in range(o.states)))
-    whole = F.greatest(sum((F.col(f"g{k}") for k in range(1, o.states)), F.col("g0")), F.lit(1))
-    packed = F.lit(0).cast("long")
-    for k in range(o.states):
-        packed = packed.bitwiseOR(F.shiftleft(F.round(255 * F.col(f"g{k}") / whole).cast("long"), 8 * k))
-    return sums.select("word", "c", packed.alias("q"))
+    states = [f"g{k}" for k in range(o.states)]
+    parts = blocks.select("seq", "sizes", "trains", "words", "counts", "symbols").mapInArrow(X.tidied(run), ", ".join(["word binary, n int", *(f"{g} float" for g in states)]))
+    return parts.groupBy("word").agg(F.sum("n").alias("c"), *(F.sum(g).cast("float").alias(g) for g in states))
 
 
 def log_likelihoods(sequences: list[np.ndarray], model: tuple, chunk: int = 400_000) -> np.ndarray:
@@ -418,7 +409,8 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
     The model learns from all rows where ``held_out`` is false or null.  Tokens
     are words, A-Z lower-cased, and one end.  base_score: add-half unigram
     log10 probability.  A null or empty text is its end alone; repeated rows
-    each count and each give a row.  Without training rows every word is unknown.
+    each count and each give a row.  Without training rows every word is unknown;
+    an empty table gives no rows.
     """
     o = options or Hmm()
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), (~F.coalesce(held_out, F.lit(False))).alias("train"))
@@ -439,7 +431,7 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
         return df.join(F.broadcast(own), "word", "left").withColumn("symbol", F.coalesce("own", symbol)).drop("own")
 
     weight = F.col("c") / (F.col("c") + o.prior)
-    of_state = [F.col("c") * _byte("q", k) / F.greatest(_bytes_sum("q", o), F.lit(1)) for k in range(o.states)]
+    of_state = [F.col(f"g{k}") for k in range(o.states)]
     plain = [F.count("*").alias("n"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"), F.sum((1 - weight) * F.col("c")).alias("rest"), F.sum(1 - weight).alias("lost")]
     found = with_symbol(learned, _symbol(F.col("word"), o)).groupBy("symbol").agg(*plain, *(F.sum(g).alias(f"g{k}") for k, g in enumerate(of_state)), *(F.sum(weight * g).alias(f"w{k}") for k, g in enumerate(of_state))).collect()
     once, twice = sum(r["n1"] for r in found), sum(r["n2"] for r in found)
@@ -459,20 +451,20 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
             whole_class[s] = [r[f"w{k}"] for k in range(o.states)] + (r["rest"] - cut * r["lost"]) / spare[s] * of_class[s]
 
     spots = blocks.select("block", "symbols", F.posexplode("words").alias("at", "word")).select("block", "at", "word", F.col("symbols")[F.col("at")].alias("class"))
-    known = with_symbol(spots.join(learned, "word", "left"), F.col("class")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol", F.coalesce("q", F.lit(0)).alias("q"))
+    known = with_symbol(spots.join(_packed(learned, o), "word", "left"), F.col("class")).select("block", "at", F.coalesce("c", F.lit(0)).alias("c"), "symbol", "q")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     names = [c.split()[0] for c in schema.split(", ")]
     emit, move, first = model
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("at").to_numpy()
-        c, symbol, q = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-        c[at], symbol[at], q[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy(), right.column("q").to_numpy()
+        c, symbol, states = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros((len(at), o.states), dtype=np.float32)
+        c[at], symbol[at], states[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy(), _by_state(right.column("q").to_pylist(), o)
         chances = np.empty((len(at) + 1, o.states))
         chances[-1] = emit[o.end]
         for lo in range(0, len(at), 1 << 16):
             part = slice(lo, min(len(at), lo + (1 << 16)))
-            chances[part] = emit[symbol[part]] * word_shares(c[part], symbol[part], _by_state(c[part], q[part], o), tokens, kinds, cut, of_class, whole_class, o)
+            chances[part] = emit[symbol[part]] * word_shares(c[part], symbol[part], states[part].astype(np.float64), tokens, kinds, cut, of_class, whole_class, o)
         base, seen = np.log10(c + 0.5) - unit, c > 0
         out: list[list] = [[] for _ in names]
         for row in range(left.num_rows):
@@ -490,7 +482,6 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
         kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(v, type=k) for v, k in zip(out, kinds_, strict=True)], names=names)
 
-    # One block a task or so, however many there are.
-    parts = max(1, blocks.count())
+    parts = max(1, min(o.tasks, blocks.count()))
     left = blocks.select(F.col("block").alias("of"), "doc_ids", "sizes", "trains", "seq").repartition(parts, "of")
     return left.groupBy("of").cogroup(known.repartition(parts, "block").groupBy("block")).applyInArrow(meet, schema)
