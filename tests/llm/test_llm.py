@@ -492,7 +492,7 @@ def test_clustered_vectors_are_pruned(spark):
 
 def test_unigram_scores_and_a_better_model(spark, docs, texts):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1
-    got = rows(hmm.score(clash(docs), held, hmm.Hmm(block=4000)))
+    got = rows(hmm.score(clash(docs), held, hmm.Hmm(block=4000, tasks=2)))
     tokens = {i: [*WORD.findall(lower(t)), None] for i, t in enumerate(texts)}
     count = collections.Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1 for w in ws)
     n, v = sum(count.values()), len(count)
@@ -680,10 +680,10 @@ def test_dictionaries_take_whole_texts_of_the_smallest_hashes(spark):
     made = [(prose(rng, rng.choice([3, 400])), rng.choice(["x", "x", "x", "y"])) for _ in range(700)] + [("same text", "x")] * 400 + [("z" * 3000, "z"), (None, "x"), ("", "y"), ("a", None)]
     frame = spark.createDataFrame(made, "text string, lang string").repartition(5)
     hashes = {r["text"]: r["h"] for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
-    for o in (langid.LangFit(texts=20, usual=200), langid.LangFit(texts=300, usual=200)):
+    for o in (langid.LangFit(texts=20), langid.LangFit(texts=300)):
         want = set()
         for name in "xyz":
-            own = sorted({t for t, k in made if k == name and t}, key=lambda t: (len(t) > o.usual, hashes[t]))
+            own = sorted({t for t, k in made if k == name and t}, key=hashes.get)
             want |= {(name, t) for t in own[: o.texts]}
         assert {(r["lang"], r["text"]) for r in langid.sample(frame, o).collect()} == want
 
