@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import first_table, parse_sql, reads_only_catalog
+from ..functions.text import first_table, parse_sql
+from .guard import judged
 
 QUESTION = "question_id string, question string, notes string, reference_sql string, schema string"
 
@@ -39,7 +40,8 @@ def first_of_sql(questions: DataFrame, sql: str = "sql", order: list[str] | None
 def filtered(questions: DataFrame, shapes_out: list[str], catalog: str) -> DataFrame:
     """OP-FILTERQ, FLT-08, FLT-10: unwanted shapes and unsafe SQL go, then copies; the schema is read off the SQL."""
     good = questions.where(~F.coalesce(F.col("shape").isin(shapes_out), F.lit(False))).withColumn("p", parse_sql("sql")).where("p.valid")
-    safe = good.where(reads_only_catalog("p.sql", catalog)).withColumn("sql", F.col("p.sql")).drop("p")
+    good = good.withColumn("sql", F.col("p.sql")).drop("p")
+    safe = good.join(judged(good, "sql", catalog).where("safe").select("sql"), "sql", "left_semi")
     return first_of_sql(safe.withColumn("schema", first_table("sql", 2)))
 
 

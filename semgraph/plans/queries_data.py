@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.ids import dotted_id, value_id
-from ..operators import blueprint, dense, embed, grade, nodes, questions, store, values, verify
+from ..operators import blueprint, dense, embed, grade, guard, nodes, questions, store, values, verify
 from ..registry import fixture, given, query, table
 from ..sources import metadata
 
@@ -252,20 +252,21 @@ def constraint_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.constraint_name("fk", *parts).alias("short"), X.constraint_name("fk", *parts, limit=19).alias("cut"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN length(text) > 80 THEN left(text, 80) || '...' ELSE text END AS short, '''' || replace(replace(left(text, 30), chr(92), chr(92) || chr(92)), '''', '''''') || '''' AS literal FROM conversations")
+@query("SELECT conv_id, turn, CASE WHEN length(text) > 80 THEN left(text, 80) || '...' ELSE text END AS short, '''' || replace(replace(text, chr(92), chr(92) || chr(92)), '''', '''''') || '''' AS literal FROM conversations")
 def short_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.short_value("text").alias("short"), X.sql_literal(F.left("text", F.lit(30))).alias("literal"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.short_value("text").alias("short"), F.when(F.col("text").isNotNull(), X.sql_literal("text")).alias("literal"))
 
 
 @query("SELECT conv_id, turn, coalesce('''' || replace(replace(text, chr(92), chr(92) || chr(92)), '''', '''''') || '''', 'NULL') AS literal FROM conversations")
 def sql_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts, of which the SQL of short_values takes 30 characters."""
+    """With NULL for null, which short_values leaves null."""
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.sql_literal("text").alias("literal"))
 
 
 @query(f"WITH {given('sql_texts')}, s AS (SELECT id, lower({TRIM.format('sql')}) AS s FROM sql_texts) SELECT id, {SAFE.format('s')} AS safe FROM s")
 def sql_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "sql_texts").select("id", X.reads_only_catalog("sql", "lake").alias("safe"))
+    texts = fixture(spark, "sql_texts")
+    return texts.join(guard.judged(texts, "sql", "lake"), "sql").select("id", "safe")
 
 
 @query(f"WITH {given('answers')}, c AS (SELECT id, {TRIM.format("coalesce(answer, '')")} AS c FROM answers), i AS (SELECT id, {INNER.format('c')} AS i FROM c) SELECT id, nullif(i, '') AS sql, {VALID.format('i')} AS valid FROM i")
