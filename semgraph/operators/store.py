@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .clustered import Clustered, Report
 from .nodes import balanced_union
 
 
@@ -23,12 +23,17 @@ def matched_edges(edges: DataFrame, sources: DataFrame, targets: DataFrame) -> D
     return known.dropDuplicates(["source_id", "target_id"])
 
 
-def without_stale(values: DataFrame, started_at, catalogs: list[str], schemas: list[str] | None = None) -> DataFrame:
-    """SNK-10, OP-STALE: Values but those of the run's catalogs and schemas that an earlier run wrote last."""
+def stale(started_at, catalogs: list[str], kind, schemas: list[str] | None = None) -> Column:
+    """Whether a Value is of the run's catalogs and schemas and was last written by an earlier run; kind: the type of last_run."""
     mine = F.col("catalog").isin(catalogs)
     if schemas:
         mine &= F.col("schema").isin(schemas)
-    return values.where(~F.coalesce(mine & (F.col("last_run") < F.lit(started_at).cast(values.schema["last_run"].dataType)), F.lit(False)))
+    return F.coalesce(mine & (F.col("last_run") < F.lit(started_at).cast(kind)), F.lit(False))
+
+
+def without_stale(values: DataFrame, started_at, catalogs: list[str], schemas: list[str] | None = None) -> DataFrame:
+    """SNK-10, OP-STALE: Values but those of the run's catalogs and schemas that an earlier run wrote last."""
+    return values.where(~stale(started_at, catalogs, values.schema["last_run"].dataType, schemas))
 
 
 def duplicate_ids(nodes: DataFrame) -> DataFrame:
@@ -60,31 +65,30 @@ def in_batch(df: DataFrame, keys: DataFrame, columns: list[str], size: int = 200
 
 @dataclass(frozen=True)
 class GraphStore:
-    """A folder of snapshots; a new one is written beside the old and then named the current one."""
+    """A folder of clustered tables, one a label or relation: a write makes anew only the files whose range of ids it touches, and of two writers at once one gets an error."""
 
     spark: SparkSession
     folder: str
+    rows: int = 1_000_000
+
+    def table(self, name: str, keys: tuple[str, ...] = ("id",)) -> Clustered:
+        return Clustered(self.spark, f"{self.folder}/{name}", keys, self.rows)
 
     def read(self, name: str) -> DataFrame | None:
-        current = f"{self.folder}/{name}/current"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(current)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        snapshot = self.spark.read.parquet(current).agg(F.max_by("snapshot", "turn").alias("s")).first()["s"]
-        return self.spark.read.parquet(f"{self.folder}/{name}/{snapshot}")
-
-    def write(self, name: str, df: DataFrame) -> None:
-        snapshot = uuid.uuid4().hex
-        df.write.parquet(f"{self.folder}/{name}/{snapshot}")
-        stamp = self.spark.range(1).select(F.lit(snapshot).alias("snapshot"), F.unix_micros(F.current_timestamp()).alias("turn"))
-        stamp.write.mode("append").parquet(f"{self.folder}/{name}/current")
-
-    def write_nodes(self, label: str, df: DataFrame) -> None:
-        self.write(label, upsert(self.read(label), df, ["id"]))
-
-    def write_edges(self, rel: str, df: DataFrame, source: str, target: str) -> None:
-        matched = matched_edges(df, self.read(source), self.read(target))
-        self.write(rel, upsert(self.read(rel), matched, ["source_id", "target_id"]))
+        return self.table(name).read()
+
+    def write(self, name: str, df: DataFrame) -> Report:
+        return self.table(name, ("id",) if "id" in df.columns else ("source_id", "target_id")).write(df)
+
+    def write_nodes(self, label: str, df: DataFrame) -> Report:
+        return self.table(label).upsert(df)
+
+    def write_edges(self, rel: str, df: DataFrame, source: str, target: str) -> Report:
+        return self.table(rel, ("source_id", "target_id")).upsert(matched_edges(df, self.read(source), self.read(target)))
+
+    def delete(self, name: str, where: Column) -> Report:
+        """SNK-10: rows for which ``where`` holds go."""
+        return self.table(name).delete(where)
 
 
 def append_summary(summary: DataFrame, path: str) -> None:

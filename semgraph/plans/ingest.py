@@ -89,7 +89,7 @@ def ingest(spark: SparkSession, snapshot: metadata.Snapshot, read: Reader, const
             stats.append(counted)
         target.write_nodes(label, nodes.project(df, label))
     if found is not None and target.read("Value").where(F.col("last_run") == started).limit(1).count():
-        target.write("Value", store.without_stale(target.read("Value"), started, list(settings.catalogs), list(settings.schemas)))
+        target.delete("Value", store.stale(started, list(settings.catalogs), target.read("Value").schema["last_run"].dataType, list(settings.schemas)))
     if found is not None:
         target.write_edges("HAS_VALUE", nodes.has_value(found), "Column", "Value")
     for rel, (a, b) in {"HAS_SCHEMA": ("Database", "Schema"), "HAS_TABLE": ("Schema", "Table"), "HAS_COLUMN": ("Table", "Column")}.items():
