@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import dotted_id, schema_of
 from ..functions.text import question_tokens, short_value
+from . import fulltext, vectorindex
 
 
 def _doubles(v: Column | str) -> Column:
@@ -26,27 +27,17 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
-def _norm(v: Column | str) -> Column:
-    return F.sqrt(_dot(_doubles(v), _doubles(v)))
-
-
 def cosine_topk(queries: DataFrame, items: DataFrame, k: int, within: list[str] | None = None, apart: bool = False) -> DataFrame:
     """VEC-01, VEC-06: (question_id, id, score, rank), the k nearest items of each query, ties to the smaller id.
 
-    queries: a stated set of (question_id, vector, ...), which Spark broadcasts
-    only below the session's threshold.  A row's norm is computed once, and each
-    task keeps the k best of its own rows before any are shuffled.  within:
-    columns that must agree, joined on before scoring.  apart: an item whose id
-    is the query's is none of its own.
+    queries: (question_id, vector, ...); an index by cells is built for the
+    search (see vectorindex, where one can be stored).  within: columns that must
+    agree, joined on before scoring.  apart: an item whose id is the query's is
+    none of its own.  Rows without a usable vector take no part.
     """
-    i = items.select(F.col("id"), F.explode(F.array(_doubles("vector"))).alias("_v"), *(F.col(c).alias(f"_{c}") for c in within or [])).select("*", F.explode(F.array(_norm("_v"))).alias("_n"))
-    q = queries.select("question_id", F.explode(F.array(_doubles("vector"))).alias("_q"), *(within or [])).select("*", F.explode(F.array(_norm("_q"))).alias("_m"))
-    on = F.col("question_id") != F.col("id") if apart else F.lit(True)
-    for c in within or []:
-        on &= F.col(c) == F.col(f"_{c}")
-    scored = q.join(i, on).select("question_id", "id", F.round(F.try_divide(_dot(F.col("_q"), F.col("_v")), F.col("_m") * F.col("_n")), 6).alias("score"))
-    best = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if within:
+        return vectorindex.within(queries, items, within, k, apart)
+    return vectorindex.topk(queries, vectorindex.build(items.select("id", "vector")), k, apart)
 
 
 def cosine_candidates(queries: DataFrame, candidates: DataFrame, items: DataFrame) -> DataFrame:
@@ -197,17 +188,8 @@ def metrics(traces: DataFrame) -> DataFrame:
 
 
 def fulltext_topk(queries: DataFrame, documents: DataFrame, k: int) -> DataFrame:
-    """FTX-01: documents by the summed tf * idf of the query's words, through an inverted index; ties to the smaller id."""
-    words = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
-    postings = documents.select("id", F.explode(words(F.col("text"))).alias("w")).groupBy("id", "w").agg(F.count("*").alias("tf"))
-    asked = queries.select("question_id", F.explode(F.array_distinct(words(F.col("text")))).alias("w"))
-    # Only words that are asked for go on.
-    postings = postings.join(asked.select("w").distinct(), "w", "left_semi")
-    n = documents.agg(F.count("*").alias("n"))
-    idf = postings.groupBy("w").agg(F.count("*").alias("df")).crossJoin(n).select("w", F.log((F.col("n") + 1) / (F.col("df") + F.lit(0.5))).alias("idf"))
-    scored = asked.join(idf, "w").join(postings, "w").groupBy("question_id", "id").agg(F.round(F.sum(F.col("tf") * F.col("idf")), 4).alias("score"))
-    best = Window.partitionBy("question_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    """FTX-01: documents by the summed tf * idf of the query's words, through an impact-ordered index; ties to the smaller id."""
+    return fulltext.topk(queries, documents, k)
 
 
 def hybrid(vector: DataFrame, text: DataFrame, k: int, constant: int = 60) -> DataFrame:
