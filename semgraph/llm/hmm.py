@@ -285,7 +285,10 @@ def _tops(blocks: DataFrame, o: Hmm) -> list[bytes]:
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))], names=["word", "n"])
 
     sums = blocks.select("words", "counts").mapInArrow(X.tidied(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
-    return [bytes(r["word"]) for r in sums.orderBy(F.desc("c"), "word").limit(o.top).collect()]
+    best = kept(sums.orderBy(F.desc("c"), "word").limit(o.top), "tops")  # its shuffle files go with that
+    found = [bytes(r["word"]) for r in best.orderBy(F.desc("c"), "word").collect()]
+    drop_kept(best)
+    return found
 
 
 def _rows(batch: pa.RecordBatch, place: dict[bytes, int]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -329,18 +332,20 @@ def _symbol_counts(symbols: DataFrame, o: Hmm) -> np.ndarray:
     return out
 
 
-def _by_state(packed: list[bytes | None], o: Hmm) -> np.ndarray:
-    """Expected counts by state; none for a word that isn't known."""
-    return np.frombuffer(b"".join(p or bytes(4 * o.states) for p in packed), dtype=np.float32).reshape(len(packed), o.states).astype(np.float64)
+def _by_state(c: np.ndarray, packed: list[bytes | None], o: Hmm) -> np.ndarray:
+    """Expected counts by state of words with count c and packed shares; none for a word that isn't known."""
+    shares = np.frombuffer(b"".join(p or bytes(2 * o.states) for p in packed), dtype=np.float16).reshape(len(packed), o.states).astype(np.float32)
+    return (c[:, None] * shares / np.maximum(shares.sum(axis=1), 1e-9)[:, None]).astype(np.float32)
 
 
 def _packed(learned: DataFrame, o: Hmm) -> DataFrame:
-    """(word, c, q): the expected counts by state as bytes."""
+    """(word, c, q): the states' shares of the expected counts, in half precision (three digits, down to 6e-8)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g = np.column_stack([batch.column(f"g{k}").to_numpy() for k in range(o.states)]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array([row.tobytes() for row in g], type=pa.binary())], names=["word", "c", "q"])
+            g = np.column_stack([batch.column(f"g{k}").to_numpy() for k in range(o.states)])
+            shares = (g / np.maximum(g.sum(axis=1), 1e-30)[:, None]).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array([row.tobytes() for row in shares], type=pa.binary())], names=["word", "c", "q"])
 
     return learned.mapInArrow(X.tidied(run), "word binary, c long, q binary")
 
@@ -459,7 +464,8 @@ def score(docs: DataFrame, held_out: Column, options: Hmm | None = None, key: st
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("at").to_numpy()
         c, symbol, states = np.zeros(len(at)), np.zeros(len(at), dtype=np.int64), np.zeros((len(at), o.states), dtype=np.float32)
-        c[at], symbol[at], states[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy(), _by_state(right.column("q").to_pylist(), o)
+        c[at], symbol[at] = right.column("c").to_numpy(), right.column("symbol").to_numpy()
+        states[at] = _by_state(c[at], right.column("q").to_pylist(), o)
         chances = np.empty((len(at) + 1, o.states))
         chances[-1] = emit[o.end]
         for lo in range(0, len(at), 1 << 16):
