@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .endpoint import write_dead
 
 Embedder = Callable[[Column], Column]
 
@@ -96,24 +97,37 @@ def failure_rates(stats: DataFrame) -> DataFrame:
     return stats.unionByName(whole).select("label", "attempts", "successes", rate)
 
 
-def gate(stats: DataFrame, most: int) -> None:
+def failures(stats: DataFrame) -> int:
+    """How many embeddings failed."""
+    return stats.agg(F.sum(F.col("attempts") - F.col("successes")).alias("n")).first()["n"] or 0
+
+
+def gate(failed: int, most: int) -> None:
     """Raises if more than ``most`` embeddings failed (0: any number may)."""
-    failed = stats.agg(F.sum(F.col("attempts") - F.col("successes")).alias("n")).first()["n"] or 0
     if most and failed > most:
         raise RuntimeError(f"{failed} embeddings failed; {most} may")
 
 
+def current_ledger(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame | None, int]:
+    """The last snapshot of a label's ledger and its turn; None and 0 where there is none yet."""
+    root = f"{folder}/ledger/{label.lower()}"
+    if not read_pointer(spark, root):
+        return None, 0
+    last = spark.read.parquet(f"{root}/current").agg(F.max_by("snapshot", "turn").alias("name"), F.max("turn").alias("turn")).first()
+    return read_ledger(spark, f"{root}/{last['name']}"), last["turn"]
+
+
 def embedded_batch(df: DataFrame, label: str, folder: str, embedder: Embedder, dimension: int, model: str, most_failures: int = 0) -> tuple[DataFrame, DataFrame]:
     """OP-EMB: embeds what the ledger in ``folder`` lacks, freezes the result, and writes the ledger's next snapshot.
 
-    Gives the frozen rows and the statistics.  Vectors are computed once: all
+    Gives the frozen rows and the statistics.  Failed rows also go to the label's
+    dead letters, before too many of them raise.  Vectors are computed once: all
     later reads are of the frozen files below ``folder``/staged (SNK-03), which
     the caller deletes when it has written them.
     """
     spark = df.sparkSession
     root = f"{folder}/ledger/{label.lower()}"
-    last = spark.read.parquet(f"{root}/current").agg(F.max_by("snapshot", "turn")).first()[0] if read_pointer(spark, root) else None
-    ledger = read_ledger(spark, f"{root}/{last}") if last else None
+    ledger, turn = current_ledger(spark, folder, label)
     hits, misses = split_by_ledger(hashed(df), ledger, model)
     fresh = embed(misses, embedder, dimension, model)
     staged = hits.withColumn("embedding_error", F.lit(None).cast("string")).unionByName(fresh)
@@ -121,11 +135,13 @@ def embedded_batch(df: DataFrame, label: str, folder: str, embedder: Embedder, d
     staged.write.parquet(path)
     frozen = spark.read.parquet(path)
     stats = failure_stats(frozen, label)
-    gate(stats, most_failures)
+    failed = failures(stats)
+    if failed:
+        write_dead(frozen, folder, label)
+    gate(failed, most_failures)
     name = uuid.uuid4().hex
     upserted_ledger(frozen, ledger).write.parquet(f"{root}/{name}")
-    turn = 1 + (spark.read.parquet(f"{root}/current").agg(F.max("turn")).first()[0] if last else 0)
-    spark.createDataFrame([(name, turn)], "snapshot string, turn long").write.mode("append").parquet(f"{root}/current")
+    spark.createDataFrame([(name, turn + 1)], "snapshot string, turn long").write.mode("append").parquet(f"{root}/current")
     return frozen, stats
 
 
