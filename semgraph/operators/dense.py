@@ -55,8 +55,8 @@ def dense_rows(spark: SparkSession, columns: DataFrame, count: int = 10, seed: i
     return columns.join(rows).select("table", "row", "column", value.alias("value"))
 
 
-def ddl_prompt(columns: DataFrame) -> DataFrame:
-    """OP-DDLPROMPT: (table, line): ``- table(cols) PK(id) FKs: a->b``."""
+def ddl_prompt(columns: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """OP-DDLPROMPT: (table, line): ``- table(cols) PK(id) FKs: a->b``, and `` Samples: [rows]`` where ``samples`` (table, place, row) has some."""
     ordered = lambda c, when=None: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("place", c.alias("x"))) if when is not None else F.struct("place", c.alias("x")))), lambda r: r["x"]), ", ")
     shape = columns.groupBy("table").agg(
         ordered(F.concat_ws(" ", "column", "type")).alias("cols"),
@@ -65,4 +65,8 @@ def ddl_prompt(columns: DataFrame) -> DataFrame:
     )
     key = F.when(F.col("pk") != "", F.concat(F.lit(" PK("), F.col("pk"), F.lit(")"))).otherwise("")
     fks = F.when(F.col("fks") != "", F.concat(F.lit(" FKs: "), F.col("fks"))).otherwise("")
-    return shape.select("table", F.concat(F.lit("- "), F.col("table"), F.lit("("), F.col("cols"), F.lit(")"), key, fks).alias("line"))
+    line = F.concat(F.lit("- "), F.col("table"), F.lit("("), F.col("cols"), F.lit(")"), key, fks)
+    if samples is None:
+        return shape.select("table", line.alias("line"))
+    rows = samples.groupBy("table").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "row"))), lambda r: r["row"]), ", ").alias("rows"))
+    return shape.join(rows, "table", "left").select("table", F.concat(line, F.coalesce(F.concat(F.lit(" Samples: ["), F.col("rows"), F.lit("]")), F.lit(""))).alias("line"))

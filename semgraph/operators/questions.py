@@ -63,6 +63,20 @@ def prompts(questions: DataFrame, catalog: str, schemas: list[str], context: Col
     return questions.select("question_id", F.concat(F.lit(opening), middle, F.lit(rules), F.col("question")).alias("prompt"))
 
 
+def batch_prompts(groups: DataFrame, lines: DataFrame, catalog: str, schema: str, wanted: int, over: int = 4) -> DataFrame:
+    """OP-QGEN-DENSE: (seed, n_tables, prompt): for each group of connected tables (seed, table, depth) a prompt for ``over`` times the questions wanted.
+
+    lines: (table, line) as ``dense.ddl_prompt`` gives them, nearest tables
+    first.  Groups are a few tables each (``retrieve.subgraphs`` bounds them);
+    a table without a line is left out, a group without any gives no prompt.
+    """
+    count = wanted * over
+    body = groups.join(lines, "table").groupBy("seed").agg(F.count("*").alias("n_tables"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "table", "line"))), lambda r: r["line"]), "\n").alias("body"))
+    opening = f"Tables of schema '{schema}' in catalog '{catalog}':\n"
+    rules = f"\n\nWrite {count} questions with the SQL that answers each, as a JSON array of objects with question, shape and sql.\nShapes: join, aggregate, window; at least {max(1, count // 3)} of each.\nUse fully qualified names, join along the foreign keys, and filter by values that the samples show."
+    return body.select("seed", "n_tables", F.concat(F.lit(opening), F.col("body"), F.lit(rules)).alias("prompt"))
+
+
 def declared_in_ddl(ddl: DataFrame, text: str = "ddl") -> DataFrame:
     """OP-REFDIFF: (source_id, target_id) of single-column foreign keys written in ALTER TABLE statements."""
     pattern = r"(?is)alter\s+table\s+[`\w.-]+\s+add\s+constraint\s+[`\w-]+\s+foreign\s+key\s*\(\s*[`\w-]+\s*\)\s*references\s+[`\w.-]+\s*\(\s*[`\w-]+\s*\)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fulltext, vectorindex
+from ..operators import fulltext, samples, vectorindex
 from ..operators.clustered import Clustered
 from ..registry import query, table
 from ..sources.shared import own_folder
@@ -75,3 +75,24 @@ def vector_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = own_folder(spark, "vectors")
     vectorindex.build(vectors).write(folder)
     return vectorindex.topk(vectors.where("id % 100 = 50").withColumnRenamed("id", "question_id"), vectorindex.VectorIndex.read(spark, folder), 3)
+
+
+#: The tables to sample: the columns shown, of which the first ones, as many as stated, tell rows apart.
+SAMPLED = {
+    "region": (1, ["r_regionkey", "r_name"]), "nation": (1, ["n_nationkey", "n_name", "n_regionkey"]), "customer": (1, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]), "supplier": (1, ["s_suppkey", "s_name", "s_nationkey"]),
+    "part": (1, ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]), "orders": (1, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]), "lineitem": (2, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]), "events": (1, ["event_id", "user_id", "event_type"]),
+    "documents": (1, ["doc_id", "lang", "source", "n_chars"]), "labels": (1, ["doc_id", "quality", "toxic"]), "pages": (1, ["page_id", "url"]), "benchmark": (1, ["item_id"]), "embeddings": (1, ["vec_id", "label"]), "conversations": (2, ["conv_id", "turn", "role"]),
+}
+
+
+def _sample_sql(name: str, keys: int, columns: list[str], k: int = 5) -> str:
+    texts = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns[:keys])
+    row = "{" + ", ".join(f"'{c}': {c}" for c in columns) + "}"
+    return f"(SELECT '{name}' AS \"table\", (row_number() OVER (ORDER BY hash, \"row\"))::INTEGER AS place, hash, \"row\" FROM (SELECT md5(concat_ws('|', '0', {texts})) AS hash, to_json({row})::VARCHAR AS \"row\" FROM {name}) ORDER BY hash, \"row\" LIMIT {k})"
+
+
+@query(" UNION ALL ".join(_sample_sql(n, k, cs) for n, (k, cs) in SAMPLED.items()))
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-QGEN-DENSE, SRT-08: five rows of every table, those of the smallest hashes."""
+    tables = {n: table(spark, sf_dir, n).select(*cs) for n, (_, cs) in SAMPLED.items()}
+    return samples.sample_rows(tables, 5, {n: cs[:k] for n, (k, cs) in SAMPLED.items()})
