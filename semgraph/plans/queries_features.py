@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import fulltext, samples, vectorindex
 from ..operators.clustered import Clustered
+from ..operators.nodes import balanced_union
+from ..operators.pages import Pages
 from ..registry import query, table
 from ..sources.shared import own_folder
 
@@ -96,3 +98,13 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-QGEN-DENSE, SRT-08: five rows of every table, those of the smallest hashes."""
     tables = {n: table(spark, sf_dir, n).select(*cs) for n, (_, cs) in SAMPLED.items()}
     return samples.sample_rows(tables, 5, {n: cs[:k] for n, (k, cs) in SAMPLED.items()})
+
+
+@query("""WITH p AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount) - 1 AS place FROM lineitem), n AS (SELECT count(*) // 7 + 1 AS size FROM lineitem)
+SELECT (place // size)::BIGINT AS page, count(*) AS n_rows, min(place)::BIGINT AS first, max(place)::BIGINT AS last, min(l_orderkey) AS low, max(l_orderkey) AS high, sum(l_partkey * (place % 1000))::BIGINT AS mixed FROM p, n GROUP BY 1""")
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-15: an ordered result written once and read in seven pages."""
+    ordered = table(spark, sf_dir, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount")
+    kept = Pages.write(ordered, own_folder(spark, "pages"), rows_a_file=20_000)
+    sums = [F.count("*").alias("n_rows"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"), F.sum(F.col("l_partkey") * (F.col("place") % 1000)).alias("mixed")]
+    return balanced_union([page.agg(*sums).select(F.lit(i).cast("long").alias("page"), "*") for i, page in enumerate(kept.pages(kept.rows // 7 + 1))])
