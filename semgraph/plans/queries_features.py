@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fulltext, samples, vectorindex
+from ..operators import fulltext, samples, sketches, vectorindex
 from ..operators.clustered import Clustered
 from ..operators.nodes import balanced_union
 from ..operators.pages import Pages
@@ -108,3 +108,26 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = Pages.write(ordered, own_folder(spark, "pages"), rows_a_file=20_000)
     sums = [F.count("*").alias("n_rows"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"), F.sum(F.col("l_partkey") * (F.col("place") % 1000)).alias("mixed")]
     return balanced_union([page.agg(*sums).select(F.lit(i).cast("long").alias("page"), "*") for i, page in enumerate(kept.pages(kept.rows // 7 + 1))])
+
+
+SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS col_name, count(*) AS n_rows, count({c}) AS n_values, true AS card_near, {'NULL::BOOLEAN' if c == 'l_returnflag' else 'true'} AS median_near, true AS new_files_only FROM lineitem" for c in SKETCHED))
+def card_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-01, AGG-15: the line items come in two halves; the second run reads the second half alone, and the merged sketches are held to the exact figures of the whole."""
+    items, data, kept = table(spark, sf_dir, "lineitem").select(*SKETCHED), own_folder(spark, "halves"), own_folder(spark, "sketches")
+    read = []
+    for half in (0, 1):
+        items.where(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(data)
+        read.append(sketches.refresh(spark, data, kept, SKETCHED))
+    apart = not set(read[0]) & set(read[1]) and not sketches.refresh(spark, data, kept, SKETCHED)
+    found = sketches.merged(spark, data, kept, [0.5]).withColumn("median", F.col("quantiles")[0])
+    # One row: the exact counts, and each median's share of rows below and up to it.
+    medians = found.groupBy().agg(*(F.max(F.when(F.col("col_name") == c, F.col("median"))).alias(f"m_{c}") for c in SKETCHED))
+    numbers = SKETCHED[:-1]
+    exact = items.join(F.broadcast(medians)).agg(*(F.count_distinct(c).alias(f"d_{c}") for c in SKETCHED), *(F.avg((F.col(c) < F.col(f"m_{c}")).cast("int")).alias(f"l_{c}") for c in numbers), *(F.avg((F.col(c) <= F.col(f"m_{c}")).cast("int")).alias(f"u_{c}") for c in numbers))
+    whole = exact.select(F.explode(F.array(*(F.struct(F.lit(c).alias("col_name"), F.col(f"d_{c}").alias("d"), *(F.col(f"{x}_{c}").alias(x) if c in numbers else F.lit(None).cast("double").alias(x) for x in "lu")) for c in SKETCHED))).alias("e")).select("e.*")
+    near = F.abs(F.col("card") - F.col("d")) <= 3 * sketches.HLL_ERROR * F.col("d") + 1
+    e = 2 * sketches.KLL_ERROR
+    return found.join(whole, "col_name").select("col_name", "n_rows", "n_values", near.alias("card_near"), ((F.col("l") <= 0.5 + e) & (F.col("u") >= 0.5 - e)).alias("median_near"), F.lit(apart).alias("new_files_only"))
