@@ -40,7 +40,7 @@ def dense_tables(spark: SparkSession, terms: DataFrame, templates: list[tuple[st
 
 def dense_rows(spark: SparkSession, columns: DataFrame, count: int = 10, seed: int = 7) -> DataFrame:
     """OP-DENSEGEN: (table, row, column, value): seeded values by type; keys run from 1."""
-    rows = spark.range(1, count + 1).withColumnRenamed("id", "row")
+    rows = columns.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(count).cast("long"))))
     h = F.pmod(F.xxhash64("table", "column", "row", F.lit(seed)), F.lit(1000)).cast("long")
     base = F.upper("type")
     value = (
@@ -52,7 +52,7 @@ def dense_rows(spark: SparkSession, columns: DataFrame, count: int = 10, seed: i
         .when(base == "TIMESTAMP", F.concat(F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(h, F.lit(365)).cast("int")).cast("string"), F.lit(" 00:00:00")))
         .otherwise(F.concat_ws("_", "column", h.cast("string")))
     )
-    return columns.join(rows).select("table", "row", "column", value.alias("value"))
+    return rows.select("table", "row", "column", value.alias("value"))
 
 
 def ddl_prompt(columns: DataFrame, samples: DataFrame | None = None) -> DataFrame:

@@ -9,8 +9,8 @@ from ..functions.ids import in_catalogs, in_schemas
 from ..functions.text import comment_tokens
 from ..functions.types import canonical_type, coerce_type
 from ..operators import fk, nodes, retrieve, values
-from ..registry import fixture, given, query
-from ..sources import metadata
+from ..registry import fixture, given, query, table
+from ..sources import found, metadata
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 META = f"""meta AS (
@@ -76,7 +76,7 @@ def has_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {given('type_names')} SELECT t, {CANON.format('t')} AS canon FROM type_names")
 def canonical_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "type_names").select("t", canonical_type("t").alias("canon"))
+    return fixture(spark, "type_names", sf_dir).select("t", canonical_type("t").alias("canon"))
 
 
 @query(f"""WITH {given('vendor_types')}, n AS (SELECT t, trim(trim(trim(upper(t)), ';')) AS u FROM vendor_types),
@@ -87,7 +87,7 @@ k AS (SELECT *, CASE WHEN p <> '' THEN 'DECIMAL(' || greatest(1, least(p::INT, 3
     WHEN 'TEXT' THEN 'STRING' WHEN 'MONEY' THEN 'DECIMAL(18,4)' WHEN 'ENUM' THEN 'STRING' WHEN 'NUMERIC' THEN 'DECIMAL(18,4)' END END AS f FROM m)
 SELECT t, coalesce(f, 'STRING') AS lake_type, f IS NULL AS fallback FROM k""")
 def type_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "vendor_types").select("t", coerce_type("t").alias("k")).select("t", "k.lake_type", "k.fallback")
+    return fixture(spark, "vendor_types", sf_dir).select("t", coerce_type("t").alias("k")).select("t", "k.lake_type", "k.fallback")
 
 
 def gate_sql(meta: str, keys: str) -> str:
@@ -125,12 +125,60 @@ def _infer(columns: DataFrame, keys: DataFrame) -> DataFrame:
 
 @query(f"WITH {given('shop_columns', 'shop_keys')}, {gate_sql('shop_columns', 'shop_keys')} SELECT col_id, pk_evidence FROM gate")
 def pk_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.pk_gate(nodes.columns_frame(fixture(spark, "shop_columns")), fixture(spark, "shop_keys"))
+    return fk.pk_gate(nodes.columns_frame(fixture(spark, "shop_columns", sf_dir)), fixture(spark, "shop_keys", sf_dir))
 
 
-@query(f"WITH {given('shop_keys')} SELECT count(*) AS composite_pks FROM (SELECT 1 FROM shop_keys WHERE constraint_type = 'PRIMARY KEY' GROUP BY table_catalog, table_schema, table_name, constraint_name HAVING count(*) > 1)")
+#: Columns that may be keys of the given tables, best first, and those that may refer to them.
+KEYS = {
+    "region": [["r_regionkey"], ["r_name"]], "nation": [["n_nationkey"], ["n_name"], ["n_regionkey"]], "customer": [["c_custkey"], ["c_name"]], "supplier": [["s_suppkey"], ["s_name"]], "part": [["p_partkey"], ["p_name", "p_brand"]],
+    "orders": [["o_orderkey"], ["o_custkey", "o_orderdate"]], "lineitem": [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"]], "events": [["event_id"], ["user_id", "ts"]],
+    "documents": [["doc_id"], ["text"]], "labels": [["doc_id"]], "pages": [["page_id"], ["url"]], "conversations": [["conv_id"], ["conv_id", "turn"]],
+}
+REFERENCES = [
+    ("nation", ["n_regionkey"], "region", ["r_regionkey"]), ("customer", ["c_nationkey"], "nation", ["n_nationkey"]), ("supplier", ["s_nationkey"], "nation", ["n_nationkey"]), ("orders", ["o_custkey"], "customer", ["c_custkey"]),
+    ("lineitem", ["l_orderkey"], "orders", ["o_orderkey"]), ("lineitem", ["l_partkey"], "part", ["p_partkey"]), ("lineitem", ["l_suppkey"], "supplier", ["s_suppkey"]), ("lineitem", ["l_orderkey", "l_linenumber"], "lineitem", ["l_orderkey", "l_linenumber"]),
+    ("events", ["user_id"], "supplier", ["s_suppkey"]), ("labels", ["doc_id"], "documents", ["doc_id"]), ("documents", ["doc_id"], "labels", ["doc_id"]), ("part", ["p_size"], "nation", ["n_nationkey"]), ("conversations", ["turn"], "conversations", ["turn"]),
+]
+
+
+def _key_sql(name: str, place: int, columns: list[str]) -> str:
+    null = " OR ".join(f"{c} IS NULL" for c in columns)
+    return f"SELECT '{name}' AS table_name, {place} AS place, {columns} AS cs, (SELECT count(*) = count(DISTINCT ({', '.join(columns)})) AND count(*) FILTER ({null}) = 0 FROM {name}) AS ok"
+
+
+FOUND_KEYS = f"""tried AS ({" UNION ALL ".join(_key_sql(n, i, cs) for n, keys in KEYS.items() for i, cs in enumerate(keys))}),
+keys AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY place) AS nth FROM tried WHERE ok)"""
+
+
+def _reference_sql(child: str, columns: list[str], parent: str, referred: list[str]) -> str:
+    outside = f"SELECT 1 FROM {child} c WHERE {' AND '.join(f'c.{x} IS NOT NULL' for x in columns)} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {' AND '.join(f'c.{x} = p.{y}' for x, y in zip(columns, referred, strict=True))})"
+    return f"SELECT '{child}' AS child, {columns} AS cs, '{parent}' AS parent, {referred} AS rs WHERE NOT EXISTS ({outside})"
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {n: table(spark, sf_dir, n) for n in KEYS}
+
+
+@query(f"WITH {FOUND_KEYS} SELECT table_name, unnest(cs) AS column_name, CASE nth WHEN 1 THEN 'PRIMARY KEY' ELSE 'UNIQUE' END AS constraint_type, unnest(range(1, len(cs) + 1))::INTEGER AS ordinal_position FROM keys")
+def key_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-04, JOIN-06: of keys that the tables' rows bear out."""
+    return metadata.key_constraints(*found.keys(_tables(spark, sf_dir), KEYS)).select("table_name", "column_name", "constraint_type", "ordinal_position")
+
+
+@query(f"WITH {FOUND_KEYS} SELECT count(*) AS composite_pks FROM keys WHERE nth = 1 AND len(cs) > 1")
 def composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.composite_keys(fixture(spark, "shop_keys"))
+    """AGG-04."""
+    return fk.composite_keys(metadata.key_constraints(*found.keys(_tables(spark, sf_dir), KEYS)))
+
+
+@query(f"""WITH {FOUND_KEYS}, refs AS ({" UNION ALL ".join(_reference_sql(*r) for r in REFERENCES)}), pairs AS (SELECT child, parent, unnest(r.cs) AS c, unnest(r.rs) AS p FROM refs r JOIN keys k ON k.table_name = r.parent AND k.cs = r.rs)
+SELECT 'lake.main.' || child || '.' || c AS source_id, 'lake.main.' || parent || '.' || p AS target_id, 1.0e0 AS confidence, 'declared' AS source FROM pairs""")
+def fk_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05, JOIN-07, OP-FKDECL: references that the tables' rows bear out; one to columns that are no key stays unresolved."""
+    tables = _tables(spark, sf_dir)
+    _, usage = found.keys(tables, KEYS)
+    referential, more = found.references(tables, REFERENCES)
+    return fk.declared(metadata.declared_pairs(referential, usage.unionByName(more))).drop("criteria")
 
 
 @query(f"WITH {STRIPPED}, {given('constraints')}, {infer_sql('meta', 'constraints')} SELECT * FROM edges")
@@ -145,12 +193,12 @@ def fk_infer_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {given('shop_columns', 'shop_keys')}, {infer_sql('shop_columns', 'shop_keys')} SELECT * FROM edges")
 def fk_infer_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _infer(fixture(spark, "shop_columns"), fixture(spark, "shop_keys"))
+    return _infer(fixture(spark, "shop_columns", sf_dir), fixture(spark, "shop_keys", sf_dir))
 
 
 @query(f"WITH {given('fan_columns', 'fan_keys')}, {infer_sql('fan_columns', 'fan_keys')} SELECT * FROM edges")
 def fk_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _infer(fixture(spark, "fan_columns"), fixture(spark, "fan_keys"))
+    return _infer(fixture(spark, "fan_columns", sf_dir), fixture(spark, "fan_keys", sf_dir))
 
 
 PAIRS = """pairs AS (SELECT rc.constraint_schema AS fk_schema, rc.constraint_name AS fk_name, s.table_catalog AS sc, s.table_schema AS ss, s.table_name AS st, s.column_name AS s_c, t.table_catalog AS tc, t.table_schema AS ts, t.table_name AS tt, t.column_name AS t_c
@@ -158,31 +206,23 @@ PAIRS = """pairs AS (SELECT rc.constraint_schema AS fk_schema, rc.constraint_nam
   JOIN key_usage t ON rc.unique_constraint_catalog = t.constraint_catalog AND rc.unique_constraint_schema = t.constraint_schema AND rc.unique_constraint_name = t.constraint_name AND t.ordinal_position = s.position_in_unique_constraint)"""
 
 
-def _pairs(spark: SparkSession) -> DataFrame:
-    return metadata.declared_pairs(fixture(spark, "referential"), fixture(spark, "key_usage"))
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.declared_pairs(fixture(spark, "referential", sf_dir), fixture(spark, "key_usage", sf_dir))
 
 
 @query(f"WITH {given('referential', 'key_usage')}, {PAIRS} SELECT lower(concat_ws('.', sc, ss, st, s_c)) AS source_id, lower(concat_ws('.', tc, ts, tt, t_c)) AS target_id, 1.0e0 AS confidence, 'declared' AS source FROM pairs WHERE fk_schema IN ('sales') AND ts IN ('sales')")
 def fk_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.declared(_pairs(spark), ["sales"]).drop("criteria")
+    return fk.declared(_pairs(spark, sf_dir), ["sales"]).drop("criteria")
 
 
 @query(f"WITH {given('referential', 'key_usage')}, {PAIRS} SELECT (SELECT count(*) FROM referential) AS fk_declared, count(DISTINCT (sc, fk_schema, fk_name)) AS fk_resolved, (SELECT count(*) FROM referential) - count(DISTINCT (sc, fk_schema, fk_name)) AS fk_skipped, count(*) AS fk_edges FROM pairs")
 def fk_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.accounting(fixture(spark, "referential"), _pairs(spark))
+    return fk.accounting(fixture(spark, "referential", sf_dir), _pairs(spark, sf_dir))
 
 
 @query(f"WITH {given('referential', 'key_usage')}, {PAIRS} SELECT constraint_catalog, constraint_schema, constraint_name FROM referential r WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.sc = r.constraint_catalog AND p.fk_schema = r.constraint_schema AND p.fk_name = r.constraint_name)")
 def fk_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.unresolved(fixture(spark, "referential"), _pairs(spark)).select("constraint_catalog", "constraint_schema", "constraint_name")
-
-
-@query(f"""WITH {given('constraints', 'type_names')}, k AS (SELECT table_catalog, table_schema, table_name, column_name, constraint_type, ordinal_position, constraint_name FROM constraints)
-SELECT table_name, column_name, constraint_type FROM k WHERE table_name <> 'region'""")
-def key_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = fixture(spark, "constraints").withColumns({"constraint_catalog": F.col("table_catalog"), "constraint_schema": F.col("table_schema")})
-    named = c.select("constraint_catalog", "constraint_schema", "constraint_name", F.when(F.col("table_name") == "region", "CHECK").otherwise(F.col("constraint_type")).alias("constraint_type"))
-    return metadata.key_constraints(named, c.drop("constraint_type")).select("table_name", "column_name", "constraint_type")
+    return fk.unresolved(fixture(spark, "referential", sf_dir), _pairs(spark, sf_dir)).select("constraint_catalog", "constraint_schema", "constraint_name")
 
 
 @query(f"WITH {STRIPPED}, {given('constraints')}, {infer_sql('meta', 'constraints')} SELECT * FROM edges e WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('lake.main.orders.custkey', 'lake.main.customer.custkey')) d(s, t) WHERE d.s = e.source_id AND d.t = e.target_id)")
@@ -196,7 +236,7 @@ def fk_prior_suppress(spark: SparkSession, sf_dir: str) -> DataFrame:
 d AS (SELECT lower(concat_ws('.', sc, ss, st, s_c)) AS source_id, lower(concat_ws('.', tc, ts, tt, t_c)) AS target_id, 1.0e0 AS confidence, 'declared' AS source FROM pairs)
 SELECT * FROM d UNION ALL SELECT * FROM edges e WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.source_id = e.source_id AND d.target_id = e.target_id)""")
 def fk_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fk.discover(fixture(spark, "shop_columns"), fixture(spark, "shop_keys"), _pairs(spark)).drop("criteria")
+    return fk.discover(fixture(spark, "shop_columns", sf_dir), fixture(spark, "shop_keys", sf_dir), _pairs(spark, sf_dir)).drop("criteria")
 
 
 @query(f"SELECT doc_id, len({TOKENS.format('text')}) AS n_tokens, {TOKENS.format('text')}[1] AS first_token FROM documents")
@@ -220,8 +260,7 @@ def scoped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("id", in_schemas("as_schema", ["Orders", "LINEITEM"]).alias("chosen")).where(in_schemas("id", []))
 
 
-@query("SELECT * FROM (VALUES ('q1', 'Sales-EU'), ('q1', 'hr'), ('q2', 'gone')) t(question_id, \"schema\")")
+@query(f"WITH {given('schema_names', 'schemas_chosen')} SELECT question_id, coalesce(name, chosen) AS \"schema\" FROM schemas_chosen LEFT JOIN schema_names ON lower(name) = lower(chosen)")
 def true_schema_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-13."""
-    chosen = spark.createDataFrame([("q1", "sales-eu"), ("q1", "hr"), ("q2", "gone")], "question_id string, schema string")
-    return retrieve.true_schema_names(chosen, spark.createDataFrame([("Sales-EU",), ("hr",), ("Other",), (None,)], "name string"))
+    return retrieve.true_schema_names(fixture(spark, "schemas_chosen", sf_dir).withColumnRenamed("chosen", "schema"), fixture(spark, "schema_names", sf_dir))

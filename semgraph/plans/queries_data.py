@@ -262,7 +262,7 @@ def multiset_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {given('arm_results')}, s AS (SELECT arm, count(*) AS attempted, count(*) FILTER (WHERE parsed) AS parsed, count(*) FILTER (WHERE executed) AS executed, count(*) FILTER (WHERE non_empty) AS non_empty, count(*) FILTER (WHERE correct) AS correct, count(correct) AS gradable FROM arm_results GROUP BY arm)
 SELECT *, round(parsed / greatest(attempted, 1), 3) AS parse_rate, round(executed / greatest(attempted, 1), 3) AS execution_rate, round(non_empty / greatest(executed, 1), 3) AS non_empty_rate, round(correct / greatest(gradable, 1), 3) AS correct_rate FROM s""")
 def arm_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grade.arm_summary(fixture(spark, "arm_results"))
+    return grade.arm_summary(fixture(spark, "arm_results", sf_dir))
 
 
 SANE = "lower(regexp_replace(regexp_replace({0}, '[^a-zA-Z0-9_]+', '_', 'g'), '^_+|_+$', '', 'g'))"
@@ -293,13 +293,13 @@ def sql_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {given('sql_texts')}, s AS (SELECT id, lower({TRIM.format('sql')}) AS s FROM sql_texts) SELECT id, {SAFE.format('s')} AS safe FROM s")
 def sql_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = fixture(spark, "sql_texts")
+    texts = fixture(spark, "sql_texts", sf_dir)
     return texts.join(guard.judged(texts, "sql", "lake"), "sql").select("id", "safe")
 
 
 @query(f"WITH {given('answers')}, c AS (SELECT id, {TRIM.format("coalesce(answer, '')")} AS c FROM answers), i AS (SELECT id, {INNER.format('c')} AS i FROM c) SELECT id, nullif(i, '') AS sql, {VALID.format('i')} AS valid FROM i")
 def parse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "answers").select("id", X.parse_sql("answer").alias("p")).select("id", "p.sql", "p.valid")
+    return fixture(spark, "answers", sf_dir).select("id", X.parse_sql("answer").alias("p")).select("id", "p.sql", "p.valid")
 
 
 @query("SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER (PARTITION BY trim(text) ORDER BY conv_id, turn) AS rn FROM conversations) WHERE rn = 1")
@@ -311,36 +311,41 @@ def question_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 g AS (SELECT question_id, s, row_number() OVER (PARTITION BY s ORDER BY question_id) AS n FROM (SELECT * FROM c WHERE {VALID.format('s')}) WHERE {SAFE.format('lower(s)')})
 SELECT question_id, split_part(regexp_extract(s, '`[^`]+`.`[^`]+`.`[^`]+`'), '`', 4) AS "schema", s AS sql FROM g WHERE n = 1""")
 def filter_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.filtered(fixture(spark, "batch_questions"), ["window"], "lake").select("question_id", "schema", "sql")
+    return questions.filtered(fixture(spark, "batch_questions", sf_dir), ["window"], "lake").select("question_id", "schema", "sql")
 
 
 @query(f"WITH {given('result_cells')} SELECT id, n_rows = 0 OR (n_rows = 1 AND n_columns = 1 AND (cell IS NULL OR cell IN ('', '0'))) AS trivial FROM result_cells")
 def trivial_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "result_cells").select("id", questions.trivial("n_rows", "n_columns", "cell").alias("trivial"))
+    return fixture(spark, "result_cells", sf_dir).select("id", questions.trivial("n_rows", "n_columns", "cell").alias("trivial"))
 
 
-@query(f"""WITH {given('questions')} SELECT question_id, 'Write one SQL SELECT that answers the question.' || chr(10) || 'The data is in catalog ''lake'', schemas ''a'', ''b''.' || chr(10) || 'Give only the SQL, with fully qualified names. Order rows only if asked to.' || chr(10) || chr(10) || 'Question: ' || question AS prompt FROM questions""")
+@query(f"""WITH {given('asked')} SELECT question_id, 'Write one SQL SELECT that answers the question.' || chr(10) || 'The data is in catalog ''lake'', schemas ''a'', ''b''.' || chr(10) || 'Give only the SQL, with fully qualified names. Order rows only if asked to.' || chr(10) || chr(10) || 'Question: ' || question AS prompt FROM asked""")
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.prompts(fixture(spark, "questions"), "lake", ["a", "b"])
+    return questions.prompts(fixture(spark, "asked", sf_dir), "lake", ["a", "b"])
 
 
-@query(rf"""WITH {given('ddl_scripts')}, t AS (SELECT replace(lower(ddl), '`', '') AS d FROM ddl_scripts), e AS (
-  SELECT regexp_extract(d, 'alter table ([a-z._]+)', 1) || '.' || regexp_extract(d, 'foreign key \(([a-z_]+)\)', 1) AS source_id, regexp_extract(d, 'references ([a-z._]+)', 1) || '.' || regexp_extract(d, 'references [a-z._]+ \(([a-z_]+)\)', 1) AS target_id FROM t WHERE contains(d, 'foreign key')),
-a AS (SELECT * FROM (VALUES ('c.s.orders.customer_id', 'c.s.customers.id'), ('c.s.x.y', 'c.s.z.id')) v(source_id, target_id))
-(SELECT *, 'missing' AS kind FROM (SELECT * FROM e EXCEPT SELECT * FROM a)) UNION ALL (SELECT *, 'extra' FROM (SELECT * FROM a EXCEPT SELECT * FROM e))""")
+@query(rf"""WITH {given('ddl_scripts', 'edges_there')}, t AS (SELECT replace(lower(ddl), '`', '') AS d FROM ddl_scripts), e AS (
+  SELECT regexp_extract(d, 'alter table ([a-z0-9._]+)', 1) || '.' || regexp_extract(d, 'foreign key \(([a-z0-9_]+)\)', 1) AS source_id, regexp_extract(d, 'references ([a-z0-9._]+)', 1) || '.' || regexp_extract(d, 'references [a-z0-9._]+ \(([a-z0-9_]+)\)', 1) AS target_id FROM t WHERE contains(d, 'foreign key'))
+(SELECT *, 'missing' AS kind FROM (SELECT * FROM e EXCEPT SELECT * FROM edges_there)) UNION ALL (SELECT *, 'extra' FROM (SELECT * FROM edges_there EXCEPT SELECT * FROM e))""")
 def reference_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actual = spark.createDataFrame([("c.s.orders.customer_id", "c.s.customers.id"), ("c.s.x.y", "c.s.z.id")], "source_id string, target_id string")
-    return questions.edge_diff(questions.declared_in_ddl(fixture(spark, "ddl_scripts")), actual)
+    return questions.edge_diff(questions.declared_in_ddl(fixture(spark, "ddl_scripts", sf_dir)), fixture(spark, "edges_there", sf_dir))
 
 
-@query("SELECT * FROM (VALUES (0, 'gold', 'g'), (1, 'silver', NULL), (3, 'bronze', 'b')) t(position, catalog, layer)")
+@query("""SELECT id, position, catalog, layer FROM (VALUES (-1, 0, 'gold', 'g'), (-1, 1, 'silver', NULL), (-1, 3, 'bronze', 'b')) t(id, position, catalog, layer)
+UNION ALL SELECT c_custkey, 0, c_mktsegment, c_nationkey::VARCHAR FROM customer UNION ALL SELECT c_custkey, 1, c_name, NULL FROM customer""")
 def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metadata.resolve_catalogs(spark, "main", "gold:g, silver, gold:x, bronze:b")
+    """SET-06."""
+    return metadata.listed_catalogs(fixture(spark, "catalog_lists", sf_dir), "listed", ["id"])
 
 
-@query(f"WITH {given('responses')} SELECT id, coalesce({', '.join(f"json_extract_string(r, '{path}')" for path in ('$.choices[0].message.content', '$.content[0].text', '$.result', '$.predictions[0]', '$.text'))}) AS sql FROM responses")
+@query(f"WITH {given('responses')} SELECT id, coalesce({', '.join(f"json_extract_string(r, '{path}')" for path in ('$.choices[0].message.content', '$.content[0].text', '$.result', '$.predictions[0]', '$.text'))}) AS sql FROM responses UNION ALL SELECT 1000000 + 1000 * conv_id + turn, text FROM conversations")
 def generated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "responses").select("id", X.generated_text("r").alias("sql"))
+    """JSN-02: each turn of a conversation comes in one of the shapes that answers have."""
+    text = F.col("text")
+    shapes = [F.struct(F.array(F.struct(F.struct(text.alias("content")).alias("message"))).alias("choices")), F.struct(F.array(F.struct(text)).alias("content")), F.struct(text.alias("result")), F.struct(F.array(text).alias("predictions")), F.struct(text)]
+    shape = F.coalesce(*(F.when(F.col("turn") % len(shapes) == i, F.to_json(x)) for i, x in enumerate(shapes)))
+    turns = table(spark, sf_dir, "conversations").select((1000000 + 1000 * F.col("conv_id") + F.col("turn")).alias("id"), shape.alias("r"))
+    return fixture(spark, "responses").unionByName(turns).select("id", X.generated_text("r").alias("sql"))
 
 
 #: Clean names and lake types of the fixture's columns; of several with one name the first.
@@ -350,43 +355,52 @@ first_of AS (SELECT *, row_number() OVER (PARTITION BY s, t, c ORDER BY p) AS n
 planned AS (SELECT s AS "schema", t AS "table", p AS place, c AS "column", CASE WHEN d = 'BIGINT' THEN 'BIGINT' WHEN d = 'INT' THEN 'INT' ELSE 'STRING' END AS lake_type, d NOT IN ('INT', 'BIGINT', 'TEXT') AND NOT starts_with(d, 'VARCHAR(') AS fallback FROM first_of WHERE n = 1)"""
 
 
-def _blueprint(spark: SparkSession) -> DataFrame:
-    c = fixture(spark, "plan_columns").groupBy(F.col("s").alias("schema"), F.col("t").alias("table")).agg(F.array_sort(F.collect_list(F.struct("p", F.col("c").alias("name"), F.col("d").alias("type")))).alias("cs"))
+def _blueprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hand-made tables, and one for each twenty parts of a brand, whose first column is its key and refers to its second."""
+    c = fixture(spark, "plan_columns", sf_dir).groupBy(F.col("s").alias("schema"), F.col("t").alias("table")).agg(F.array_sort(F.collect_list(F.struct("p", F.col("c").alias("name"), F.col("d").alias("type")))).alias("cs"))
     columns = F.transform("cs", lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"), F.lit(None).cast("string").alias("comment")))
-    user = F.col("table") == "Users"
-    rows = F.when(user, F.array(F.array(F.lit("1"), F.lit("a"), F.lit("b"), F.lit("c")))).otherwise(F.array(F.array(F.lit(None).cast("string"), F.lit("1"), F.lit("x"))))
-    key = lambda cols, parent, ref: F.struct(F.array(*map(F.lit, cols)).alias("columns"), F.lit(parent).alias("foreign_table"), F.array(*map(F.lit, ref)).alias("referred_columns"))
-    keys = F.when(F.col("table") == "2 Orders", F.array(key(["user id"], "Users", ["ID"]), key(["gone"], "Users", ["ID"]), key(["id", "user id"], "Users", ["ID"]), key(["user id"], "Nowhere", ["ID"])))
-    return c.select("schema", "table", columns.alias("columns"), F.array(F.when(user, "ID").otherwise("id")).alias("primary_key"), keys.alias("foreign_keys"), rows.alias("rows"))
+    user, part = F.col("table") == "Users", F.col("schema") == "parts"
+    rows = F.when(part, None).when(user, F.array(F.array(F.lit("1"), F.lit("a"), F.lit("b"), F.lit("c")))).otherwise(F.array(F.array(F.lit(None).cast("string"), F.lit("1"), F.lit("x"))))
+    struct = lambda cols, parent, ref: F.struct(F.array(*cols).alias("columns"), parent.alias("foreign_table"), F.array(*ref).alias("referred_columns"))
+    key = lambda cols, parent, ref: struct(map(F.lit, cols), F.lit(parent), map(F.lit, ref))
+    name = lambda i: F.get("cs", F.lit(i))["name"]
+    keys = F.when(part, F.array(struct([name(0)], F.col("table"), [F.coalesce(name(1), F.lit("gone"))]))).when(F.col("table") == "2 Orders", F.array(key(["user id"], "Users", ["ID"]), key(["gone"], "Users", ["ID"]), key(["id", "user id"], "Users", ["ID"]), key(["user id"], "Nowhere", ["ID"])))
+    return c.select("schema", "table", columns.alias("columns"), F.array(F.when(part, name(0)).when(user, "ID").otherwise("id")).alias("primary_key"), keys.alias("foreign_keys"), rows.alias("rows"))
 
 
 @query(f"WITH {PLANNED} SELECT * FROM planned")
 def blueprint_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blueprint.planned_columns(_blueprint(spark)).drop("comment")
+    return blueprint.planned_columns(_blueprint(spark, sf_dir)).drop("comment")
 
 
-@query("SELECT 'sp' AS \"schema\", 't_2_orders' AS \"table\", 'users' AS parent, 'fk_sp__t_2_orders__user_id__users' AS name")
+#: Of the tables from parts, the first column and the second one (null if there is none).
+PART_KEYS = """heads AS (SELECT "schema", "table", max(CASE place WHEN 0 THEN "column" END) AS a, max(CASE place WHEN 1 THEN "column" END) AS b FROM planned WHERE "schema" = 'parts' GROUP BY 1, 2)"""
+
+
+@query(f"WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS \"schema\", 't_2_orders' AS \"table\", 'users' AS parent, 'fk_sp__t_2_orders__user_id__users' AS name UNION ALL SELECT \"schema\", \"table\", \"table\", 'fk_parts__' || \"table\" || '__' || a || '__' || \"table\" FROM heads WHERE b IS NOT NULL")
 def blueprint_fk_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark)
+    b = _blueprint(spark, sf_dir)
     return blueprint.planned_foreign_keys(b, blueprint.planned_columns(b)).select("schema", "table", "parent", "name")
 
 
-@query("SELECT 'sp' AS \"schema\", 'users' AS \"table\", 'pk_sp__users' AS name")
+@query(f"WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS \"schema\", 'users' AS \"table\", 'pk_sp__users' AS name UNION ALL SELECT \"schema\", \"table\", 'pk_parts__' || \"table\" FROM heads")
 def blueprint_pk_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark)
+    b = _blueprint(spark, sf_dir)
     return blueprint.planned_primary_keys(b, blueprint.planned_columns(b)).select("schema", "table", "name")
 
 
 @query(f"WITH {PLANNED} SELECT \"schema\", \"table\", 'CREATE TABLE `lake`.`' || \"schema\" || '`.`' || \"table\" || '` (' || string_agg('`' || \"column\" || '` ' || lake_type, ', ' ORDER BY place) || ')' AS ddl FROM planned GROUP BY 1, 2")
 def ddl_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blueprint.statements(blueprint.planned_columns(_blueprint(spark)), "lake")
+    return blueprint.statements(blueprint.planned_columns(_blueprint(spark, sf_dir)), "lake")
 
 
-@query("""SELECT 'sp' AS "schema", 'users' AS "table", 'CREATE TABLE `lake`.`sp`.`users` (`id` INT NOT NULL, `full_name` STRING, CONSTRAINT `pk_sp__users` PRIMARY KEY (`id`))' AS ddl
+@query(f"""WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS "schema", 'users' AS "table", 'CREATE TABLE `lake`.`sp`.`users` (`id` INT NOT NULL, `full_name` STRING, CONSTRAINT `pk_sp__users` PRIMARY KEY (`id`))' AS ddl
 UNION ALL SELECT 'sp', 't_2_orders', 'CREATE TABLE `lake`.`sp`.`t_2_orders` (`id` BIGINT, `user_id` INT, `c_9lives` STRING)' UNION ALL SELECT 'sp', 't_2_orders', 'ALTER TABLE `lake`.`sp`.`t_2_orders` ADD CONSTRAINT `fk_sp__t_2_orders__user_id__users` FOREIGN KEY (`user_id`) REFERENCES `lake`.`sp`.`users` (`id`)'
-UNION ALL SELECT 'sp', 'users', 'INSERT OVERWRITE `lake`.`sp`.`users` (`id`, `full_name`) VALUES (CAST(''1'' AS INT), ''a'')' UNION ALL SELECT 'sp', 't_2_orders', 'INSERT OVERWRITE `lake`.`sp`.`t_2_orders` (`id`, `user_id`, `c_9lives`) VALUES (NULL, CAST(''1'' AS INT), ''x'')'""")
+UNION ALL SELECT 'sp', 'users', 'INSERT OVERWRITE `lake`.`sp`.`users` (`id`, `full_name`) VALUES (CAST(''1'' AS INT), ''a'')' UNION ALL SELECT 'sp', 't_2_orders', 'INSERT OVERWRITE `lake`.`sp`.`t_2_orders` (`id`, `user_id`, `c_9lives`) VALUES (NULL, CAST(''1'' AS INT), ''x'')'
+UNION ALL SELECT "schema", "table", 'CREATE TABLE `lake`.`parts`.`' || "table" || '` (' || string_agg('`' || "column" || '` ' || lake_type || CASE place WHEN 0 THEN ' NOT NULL' ELSE '' END, ', ' ORDER BY place) || ', CONSTRAINT `pk_parts__' || "table" || '` PRIMARY KEY (`' || first("column" ORDER BY place) || '`))' FROM planned WHERE "schema" = 'parts' GROUP BY 1, 2
+UNION ALL SELECT "schema", "table", 'ALTER TABLE `lake`.`parts`.`' || "table" || '` ADD CONSTRAINT `fk_parts__' || "table" || '__' || a || '__' || "table" || '` FOREIGN KEY (`' || a || '`) REFERENCES `lake`.`parts`.`' || "table" || '` (`' || b || '`)' FROM heads WHERE b IS NOT NULL""")
 def ddl_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark)
+    b = _blueprint(spark, sf_dir)
     planned = blueprint.planned_columns(b)
     created = blueprint.statements(planned, "lake", blueprint.planned_primary_keys(b, planned))
     return created.unionByName(blueprint.foreign_key_statements(blueprint.planned_foreign_keys(b, planned), "lake").drop("name")).unionByName(blueprint.insert_statements(b, planned, "lake"))
@@ -399,35 +413,28 @@ def zipped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("brand", "size", F.size(blueprint.zipped_rows("lists", 1_000_000_000)).cast("long").alias("n_rows"))
 
 
-RUNS = """SELECT run_id, status, error, row_counts, graph_counts, fk_declared, fk_resolved, fk_skipped FROM (VALUES
-  ('r1','success',CAST(NULL AS VARCHAR(9)),4,19,16,16,9,1,10,1,16,16,0), ('','failed','lost',3,19,16,15,9,1,9,0,16,18,-2), (CAST(NULL AS VARCHAR(9)),'success',NULL,5,20,17,17,5,5,10,2,17,16,2), ('r4',CAST(NULL AS VARCHAR(9)),NULL,9,9,9,9,2,0,1,0,9,9,0)) AS x(run_id, status, error, s, t, d, e, sampled, skipped, candidates, g, fk_declared, fk_resolved, fk_skipped)"""
-
-
-def _runs(spark: SparkSession) -> DataFrame:
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs with their counts as maps; a run without counts of the graph has an empty map."""
-    x = spark.sql(RUNS.replace("row_counts, graph_counts, ", "s, t, d, e, sampled, skipped, candidates, g, "))
+    x = fixture(spark, "runs", sf_dir)
     long = lambda *pairs: F.create_map(*(v for k, c in pairs for v in (F.lit(k), F.col(c).cast("long"))))
     counts = long(("schemas", "s"), ("tables", "t"), ("fk_declared", "d"), ("fk_edges", "e"), ("sampled_columns", "sampled"), ("skipped_columns", "skipped"), ("candidate_columns", "candidates"))
     return x.withColumns({"row_counts": counts, "graph_counts": F.when(F.col("g") > 0, long(("Table", "g"))).otherwise(F.create_map().cast("map<string,bigint>"))})
 
 
-RUN_SQL = RUNS.replace("row_counts, graph_counts, ", "s, t, d, e, sampled, skipped, candidates, g, ")
-
-
-@query(f"""WITH r AS ({RUN_SQL}) SELECT 'status_not_success' AS code, count(*) FILTER (status IS NULL OR status <> 'success') AS n FROM r UNION ALL SELECT 'missing_run_id', count(*) FILTER (coalesce(run_id, '') = '') FROM r UNION ALL SELECT 'missing_row_counts', 0
+@query(f"""WITH {given('runs')}, r AS (SELECT * FROM runs) SELECT 'status_not_success' AS code, count(*) FILTER (status IS NULL OR status <> 'success') AS n FROM r UNION ALL SELECT 'missing_run_id', count(*) FILTER (coalesce(run_id, '') = '') FROM r UNION ALL SELECT 'missing_row_counts', 0
 UNION ALL SELECT 'sampled_exceeds_candidates', count(*) FILTER (sampled > candidates) FROM r UNION ALL SELECT 'sampled_and_skipped_are_not_candidates', count(*) FILTER (sampled + skipped <> candidates) FROM r
 UNION ALL SELECT 'status', count(*) FILTER (status IS NULL OR status <> 'success') FROM r UNION ALL SELECT 'error', count(error) FROM r UNION ALL SELECT 'few:schemas', count(*) FILTER (s < 4) FROM r UNION ALL SELECT 'few:tables', count(*) FILTER (t < 19) FROM r
 UNION ALL SELECT 'few:fk_declared', count(*) FILTER (d < 16) FROM r UNION ALL SELECT 'few:fk_edges', count(*) FILTER (e < 16) FROM r UNION ALL SELECT 'no_graph_counts', count(*) FILTER (g = 0) FROM r""")
 def summary_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VER-01, VER-08, VER-14."""
-    runs = _runs(spark)
+    runs = _runs(spark, sf_dir)
     return verify.summary_shape(runs).unionByName(verify.sampling_accounting(runs)).unionByName(verify.thresholds(runs))
 
 
-@query(f"WITH r AS ({RUN_SQL}) SELECT fk_declared, fk_resolved, fk_skipped FROM r WHERE fk_skipped <> fk_declared - fk_resolved OR fk_resolved > fk_declared OR fk_skipped < 0")
+@query(f"WITH {given('runs')}, r AS (SELECT * FROM runs) SELECT fk_declared, fk_resolved, fk_skipped FROM r WHERE fk_skipped <> fk_declared - fk_resolved OR fk_resolved > fk_declared OR fk_skipped < 0")
 def fk_accounting_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VER-06."""
-    return verify.fk_accounting(_runs(spark)).select("fk_declared", "fk_resolved", "fk_skipped")
+    return verify.fk_accounting(_runs(spark, sf_dir)).select("fk_declared", "fk_resolved", "fk_skipped")
 
 
 @query("SELECT o_custkey::VARCHAR AS id FROM orders WHERE o_custkey % 7 = 0 EXCEPT SELECT c_custkey::VARCHAR FROM customer WHERE c_mktsegment <> 'BUILDING'")
@@ -469,23 +476,24 @@ def candidate_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {given('terms')}, r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY required DESC, md5('5|' || term), term) AS rn FROM terms), k(kind, n, fks) AS (VALUES ('entity', 5, 1), ('event', 5, 2), ('lines', 4, 1), ('config', 4, 1), ('analytics', 5, 1), ('approval', 4, 2), ('notification', 5, 2), ('integration', 4, 1), ('schedule', 4, 1), ('archive', 4, 2))
 SELECT domain || '_' || term || CASE kind WHEN 'entity' THEN '' ELSE '_' || kind END AS "table", n::BIGINT AS n_columns, fks::BIGINT AS n_fks FROM r, k WHERE rn <= 2""")
 def dense_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = dense.dense_tables(spark, dense.selected_terms(fixture(spark, "terms"), 5, 2))
+    columns = dense.dense_tables(spark, dense.selected_terms(fixture(spark, "terms", sf_dir), 5, 2))
     return columns.groupBy("table").agg(F.count("*").alias("n_columns"), F.count("parent").alias("n_fks"))
 
 
-@query("""SELECT * FROM (VALUES ('crm_leads', '- crm_leads(id BIGINT, name STRING, status STRING, owner_id BIGINT, created_at TIMESTAMP) PK(id) FKs: owner_id->hr_employees'),
-  ('crm_leads_event', '- crm_leads_event(id BIGINT, leads_id BIGINT, actor_id BIGINT, event_type STRING, occurred_at TIMESTAMP) PK(id) FKs: leads_id->crm_leads, actor_id->sys_users'),
-  ('crm_leads_lines', '- crm_leads_lines(id BIGINT, leads_id BIGINT, quantity INT, amount DECIMAL(14,2)) PK(id) FKs: leads_id->crm_leads')) t("table", line)""")
+@query(f"""WITH {given('terms')}, n AS (SELECT domain, term, domain || '_' || term AS t FROM terms WHERE domain NOT IN ('hr', 'crm') OR term = 'leads')
+SELECT t AS "table", '- ' || t || '(id BIGINT, name STRING, status STRING, owner_id BIGINT, created_at TIMESTAMP) PK(id) FKs: owner_id->hr_employees' AS line FROM n
+UNION ALL SELECT t || '_event', '- ' || t || '_event(id BIGINT, ' || term || '_id BIGINT, actor_id BIGINT, event_type STRING, occurred_at TIMESTAMP) PK(id) FKs: ' || term || '_id->' || t || ', actor_id->sys_users' FROM n
+UNION ALL SELECT t || '_lines', '- ' || t || '_lines(id BIGINT, ' || term || '_id BIGINT, quantity INT, amount DECIMAL(14,2)) PK(id) FKs: ' || term || '_id->' || t FROM n""")
 def ddl_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = fixture(spark, "terms").where("term = 'leads'")
+    terms = fixture(spark, "terms", sf_dir).where("domain NOT IN ('hr', 'crm') OR term = 'leads'")
     return dense.ddl_prompt(dense.dense_tables(spark, terms, dense.TEMPLATES[:3]))
 
 
-@query("SELECT 10 * 10 * 3 AS n_rows, 30 AS n_tables")
+@query(f"WITH {given('terms')} SELECT count(*) * 100 AS n_rows, count(*) * 10 AS n_tables FROM terms")
 def dense_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = dense.dense_tables(spark, fixture(spark, "terms").where("domain = 'hr'"))
-    rows = dense.dense_rows(spark, columns)
-    return rows.where("column = 'id' and value is not null").agg(F.count("*").cast("int").alias("n_rows"), F.count_distinct("table").cast("int").alias("n_tables"))
+    """OP-DENSEGEN: ten rows of each of the ten tables of every term."""
+    rows = dense.dense_rows(spark, dense.dense_tables(spark, fixture(spark, "terms", sf_dir)))
+    return rows.where("column = 'id' and value is not null").agg(F.count("*").alias("n_rows"), F.count_distinct("table").alias("n_tables"))
 
 
 @query("SELECT doc_id, lower('Lake.' || lang || '.' || source) AS id, lower('Lake.' || lang || '.' || source) || '.' || md5(n_chars::VARCHAR) AS value_id FROM documents")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import question_tokens
 from ..operators import fk, nodes, retrieve
-from ..registry import fixture, given, query, table
+from ..registry import ORACLES, QUERIES, fixture, given, query, table
+from . import queries_features  # noqa: F401  its searches are measured here
 from .queries_catalog import STRIPPED, infer_sql, snapshot
 
 COS = "round(list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6)"
@@ -75,11 +76,20 @@ def join_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.joined_columns(_seeds(spark), _graph(spark, sf_dir)[0])
 
 
-@query("SELECT * FROM (VALUES ('q', 'b', 1), ('q', 'a', 2), ('q', 'c', 3), ('q', 'd', 4), ('p', 'x', 1)) t(question_id, id, place)")
+@query("""WITH u AS (SELECT question_id, id, part, rank FROM (VALUES ('q', 'b', 0, 1), ('q', 'a', 0, 2), ('p', 'x', 0, 1), ('q', 'c', 1, 1), ('q', 'b', 1, 2), ('q', 'd', 1, 3), ('q', 'a', 1, 4)) t(question_id, id, part, rank)
+  UNION ALL SELECT o_custkey::VARCHAR, o_orderkey::VARCHAR, 0, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT o_custkey::VARCHAR, o_orderkey::VARCHAR, 1, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) FROM orders),
+f AS (SELECT *, row_number() OVER (PARTITION BY question_id, id ORDER BY part, rank) AS n FROM u) SELECT question_id, id, (row_number() OVER (PARTITION BY question_id ORDER BY part, rank))::INTEGER AS place FROM f WHERE n = 1""")
 def ordered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = "question_id string, id string, rank int"
-    first = spark.createDataFrame([("q", "b", 1), ("q", "a", 2), ("p", "x", 1)], shape)
-    return retrieve.ordered_union([first, spark.createDataFrame([("q", "c", 1), ("q", "b", 2), ("q", "d", 3), ("q", "a", 4)], shape)])
+    """SET-03: of each customer's orders first the filled ones by price, then the others by date."""
+    shape, orders = "question_id string, id string, rank int", table(spark, sf_dir, "orders")
+
+    def ranked(rows: DataFrame, *by: Column | str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("o_custkey").orderBy(*by, "o_orderkey"))
+        return rows.select(F.col("o_custkey").cast("string").alias("question_id"), F.col("o_orderkey").cast("string").alias("id"), place.alias("rank"))
+
+    first = spark.createDataFrame([("q", "b", 1), ("q", "a", 2), ("p", "x", 1)], shape).unionByName(ranked(orders.where("o_orderstatus = 'F'"), F.desc("o_totalprice")))
+    return retrieve.ordered_union([first, spark.createDataFrame([("q", "c", 1), ("q", "b", 2), ("q", "d", 3), ("q", "a", 4)], shape).unionByName(ranked(orders, "o_orderdate"))])
 
 
 @query(f"""WITH {FK}, p AS (SELECT {TABLE_OF.format('source_id')} AS a, {TABLE_OF.format('target_id')} AS b FROM edges), g AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
@@ -153,11 +163,21 @@ def context_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.render(shown, lines, vals, spark.createDataFrame([("q1", "main", 1)], "question_id string, schema string, rank int"))
 
 
-@query(f"""WITH {given('traces')}, c AS (SELECT *, list_filter([c1, c2, c3], lambda c: c IS NOT NULL) AS ids FROM traces), n AS (SELECT *, list_transform(ids, lambda c: split_part(c, '.', 2)) AS of FROM c)
+NEAR = ORACLES["vector_index_topk"]
+
+
+@query(f"""WITH {given('traces')}, near AS ({NEAR}), c AS (SELECT question_id, target_schema, top_schema, list_filter([c1, c2, c3], lambda c: c IS NOT NULL) AS ids FROM traces
+  UNION ALL SELECT question_id::VARCHAR, 'label_' || any_value(q.label), max(CASE rank WHEN 1 THEN 'label_' || e.label END), list('lake.label_' || e.label || '.t.' || id) FROM near JOIN embeddings e ON e.vec_id = id JOIN embeddings q ON q.vec_id = question_id GROUP BY question_id), n AS (SELECT *, list_transform(ids, lambda c: split_part(c, '.', 2)) AS of FROM c)
 SELECT question_id, CASE WHEN target_schema IS NOT NULL THEN top_schema = target_schema END AS top1_schema_match, CASE WHEN target_schema IS NOT NULL THEN list_contains(of, target_schema) END AS schema_in_context,
   CASE WHEN target_schema IS NOT NULL AND len(ids) > 0 THEN round(len(list_filter(of, lambda x: x = target_schema)) / len(ids)::DOUBLE, 6) END AS context_purity FROM n""")
 def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixture(spark, "traces").withColumn("column_ids", F.array_compact(F.array("c1", "c2", "c3")))
+    """OP-METRICS: of the nearest vectors that the stored index finds, those of the question's own label are the wanted ones."""
+    made = fixture(spark, "traces").select("question_id", "target_schema", "top_schema", F.array_compact(F.array("c1", "c2", "c3")).alias("column_ids"))
+    label = table(spark, sf_dir, "embeddings").select("vec_id", F.concat(F.lit("label_"), F.col("label").cast("string")).alias("label"))
+    found = QUERIES["vector_index_topk"](spark, sf_dir).join(label.select(F.col("vec_id").alias("id"), F.col("label").alias("schema")), "id").join(label.select(F.col("vec_id").alias("question_id"), F.col("label").alias("target")), "question_id")
+    ids = F.collect_list(F.concat(F.lit("lake."), F.col("schema"), F.lit(".t."), F.col("id").cast("string")))
+    searched = found.groupBy("question_id").agg(F.max("target").alias("target_schema"), F.max(F.when(F.col("rank") == 1, F.col("schema"))).alias("top_schema"), ids.alias("column_ids"))
+    t = made.unionByName(searched.withColumn("question_id", F.col("question_id").cast("string")))
     return retrieve.metrics(t.withColumn("chosen", F.array_distinct(F.transform("column_ids", lambda c: F.split_part(c, F.lit("."), F.lit(2))))))
 
 

@@ -1,8 +1,13 @@
-"""Queries with the SQL that they equal, and fixtures that both sides read."""
+"""Queries with the SQL that they equal, and the relations that both sides read.
+
+A relation is a few hand-made rows, which hold the odd cases, and under the
+same columns rows that are derived from the given tables and grow with them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Literal relations in SQL that Spark and the oracle both read.
+#: The hand-made rows, in SQL that Spark and the oracle both read.
 FIXTURES = {
     "constraints": """SELECT 'lake' AS table_catalog, 'main' AS table_schema, t.table_name, t.column_name, 'PRIMARY KEY' AS constraint_type, 1 AS ordinal_position, concat('pk_', t.table_name) AS constraint_name
       FROM (VALUES ('region','regionkey'),('nation','nationkey'),('customer','custkey'),('supplier','suppkey'),('part','partkey'),('orders','orderkey'),('events','event_id'),('documents','doc_id'),('embeddings','vec_id'),('pages','page_id'),('benchmark','item_id')) AS t(table_name, column_name)""",
@@ -57,16 +62,59 @@ FIXTURES = {
     "plan_columns": """SELECT s, t, p, c, d FROM (VALUES ('sp','Users',0,'ID','int'),('sp','Users',1,'Full Name','VARCHAR(40)'),('sp','Users',2,'full_name','text'),('sp','Users',3,'???','int'),('sp','2 Orders',0,'id','bigint'),('sp','2 Orders',1,'user id','int'),('sp','2 Orders',2,'9lives','geometry'),('sp','Empty',0,'!!','int')) AS x(s, t, p, c, d)""",
     "terms": """SELECT domain, term, required FROM (VALUES ('hr','employees',true),('hr','payroll',false),('hr','leave',false),('crm','leads',false),('crm','accounts',true),('crm','deals',false)) AS x(domain, term, required)""",
     "ddl_scripts": """SELECT ddl FROM (VALUES ('ALTER TABLE `c`.`s`.`orders` ADD CONSTRAINT fk_a FOREIGN KEY (customer_id) REFERENCES `c`.`s`.`customers` (id)'),('alter table c.s.items add constraint fk_b foreign key (order_id) references c.s.orders (ID)'),('SELECT 1')) AS x(ddl)""",
-    "catalog_lists": """SELECT 1 AS one""",
     "responses": """SELECT id, r FROM (VALUES (1,'{"choices":[{"message":{"content":"SELECT 1"}}]}'),(2,'{"result":"SELECT 2"}'),(3,'{"predictions":["SELECT 3"]}'),(4,'{"content":[{"text":"SELECT 4"}]}'),(5,'{"other":1}'),(6,'{"text":"SELECT 6"}')) AS x(id, r)""",
+    "runs": """SELECT run_id, status, error, s, t, d, e, sampled, skipped, candidates, g, fk_declared, fk_resolved, fk_skipped FROM (VALUES ('r1','success',CAST(NULL AS VARCHAR(9)),4,19,16,16,9,1,10,1,16,16,0), ('','failed','lost',3,19,16,15,9,1,9,0,16,18,-2),
+        (CAST(NULL AS VARCHAR(9)),'success',NULL,5,20,17,17,5,5,10,2,17,16,2), ('r4',CAST(NULL AS VARCHAR(9)),NULL,9,9,9,9,2,0,1,0,9,9,0)) AS x(run_id, status, error, s, t, d, e, sampled, skipped, candidates, g, fk_declared, fk_resolved, fk_skipped)""",
+    "edges_there": """SELECT source_id, target_id FROM (VALUES ('c.s.orders.customer_id', 'c.s.customers.id'), ('c.s.x.y', 'c.s.z.id')) AS x(source_id, target_id)""",
+    "schema_names": """SELECT name FROM (VALUES ('Sales-EU'),('hr'),('Other'),(CAST(NULL AS VARCHAR(9)))) AS x(name)""",
+    "schemas_chosen": """SELECT question_id, chosen FROM (VALUES ('q1','sales-eu'),('q1','hr'),('q2','gone')) AS x(question_id, chosen)""",
+    "catalog_lists": """SELECT id, listed FROM (VALUES (-1,'gold:g, silver, gold:x, bronze:b'),(-2,' ')) AS x(id, listed)""",
+    "asked": """SELECT question_id, question FROM (VALUES ('q1','How many steel bolts are listed?')) AS x(question_id, question)""",
     "batch_questions": """SELECT question_id, shape, sql FROM (VALUES ('a1','join','SELECT x FROM `lake`.`s1`.`t1`'),('a2','join',' SELECT x FROM `lake`.`s1`.`t1` '),('a3','window','SELECT y FROM `lake`.`s2`.`t2`'),('a4',CAST(NULL AS VARCHAR(9)),'SELECT z FROM `lake`.`s2`.`t3`'),('a5','agg','DROP TABLE `lake`.`s2`.`t3`'),('a6','agg','no sql')) AS x(question_id, shape, sql)""",
 }
 
 
-def fixture(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(FIXTURES[name])
+#: Rows from the given tables, named in braces: each customer and each order is a table of a shop's catalog, an
+#: order's column refers to its customer's; parts give types, terms and blueprints; conversations give answers.
+GROWN = {
+    "shop_columns": """SELECT 'shop' AS table_catalog, 'sales' AS table_schema, 'c' || c_custkey || 's' AS table_name, 'id' AS column_name, 'BIGINT' AS data_type, 'YES' AS is_nullable, 1 AS ordinal_position, c_name AS comment FROM {customer}
+      UNION ALL SELECT 'shop', 'sales', 'o' || o_orderkey, 'c' || o_custkey || '_id', CASE WHEN o_orderstatus = 'P' THEN 'STRING' ELSE 'INT' END, 'YES', 1, CASE WHEN o_orderkey % 2 = 0 THEN 'a customer' ELSE o_orderpriority END FROM {orders}""",
+    "shop_keys": """SELECT 'shop' AS table_catalog, 'sales' AS table_schema, 'c' || c_custkey || 's' AS table_name, 'id' AS column_name, CASE WHEN c_acctbal > 5000 THEN 'UNIQUE' ELSE 'PRIMARY KEY' END AS constraint_type, 1 AS ordinal_position, 'pk_c' || c_custkey AS constraint_name FROM {customer} WHERE c_acctbal > 0""",
+    "fan_columns": """SELECT DISTINCT 'shop' AS table_catalog, 'lines' AS table_schema, 'o' || l_orderkey AS table_name, 'part_' || l_partkey AS column_name, 'INT' AS data_type, 'YES' AS is_nullable, 1 AS ordinal_position, CAST(NULL AS VARCHAR(9)) AS comment FROM {lineitem}""",
+    "fan_keys": """SELECT DISTINCT 'shop' AS table_catalog, 'lines' AS table_schema, 'o' || l_orderkey AS table_name, 'part_' || l_partkey AS column_name, 'PRIMARY KEY' AS constraint_type, 1 AS ordinal_position, 'pk_' || l_orderkey || '_' || l_partkey AS constraint_name FROM {lineitem} WHERE l_orderkey % 12 = 0""",
+    "referential": """SELECT 'shop' AS constraint_catalog, CASE WHEN o_orderstatus = 'F' THEN 'sales' ELSE 'open' END AS constraint_schema, 'fk_o' || o_orderkey AS constraint_name, 'shop' AS unique_constraint_catalog, 'sales' AS unique_constraint_schema, 'pk_c' || o_custkey AS unique_constraint_name FROM {orders}""",
+    "key_usage": """SELECT 'shop' AS constraint_catalog, CASE WHEN o_orderstatus = 'F' THEN 'sales' ELSE 'open' END AS constraint_schema, 'fk_o' || o_orderkey AS constraint_name, 'shop' AS table_catalog, 'sales' AS table_schema, 'o' || o_orderkey AS table_name, 'c' || o_custkey || '_id' AS column_name, 1 AS ordinal_position, 1 AS position_in_unique_constraint FROM {orders}
+      UNION ALL SELECT 'shop', 'sales', 'pk_c' || c_custkey, 'shop', 'sales', 'c' || c_custkey || 's', 'id', 1, CAST(NULL AS INT) FROM {customer} WHERE c_acctbal > 0""",
+    "type_names": """SELECT CASE p_partkey % 3 WHEN 0 THEN 'decimal(' || (p_partkey % 38 + 1) || ',' || p_size || ')' WHEN 1 THEN ' char(' || p_size || ')' ELSE p_type END AS t FROM {part}""",
+    "vendor_types": """SELECT CASE p_partkey % 3 WHEN 0 THEN 'number(' || (p_partkey % 60) || ', ' || p_size || ');' WHEN 1 THEN ' nvarchar (' || p_size || ')' ELSE p_type END AS t FROM {part}""",
+    "sql_texts": """SELECT 100 + c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'SELECT c_name FROM lake.main.customer' WHEN 1 THEN 'DELETE FROM lake.main.customer' WHEN 2 THEN 'SELECT c_name FROM lake.main.customer JOIN other.main.nation ON true' ELSE 'SELECT 1; SELECT c_name FROM lake.main.customer' END || ' WHERE c_nationkey = ' || c_nationkey || ' AND c_mktsegment = ''' || c_mktsegment || '''' AS sql FROM {customer}""",
+    "answers": """SELECT 1000000 + 1000 * conv_id + turn AS id, CASE turn % 4 WHEN 0 THEN '```sql' || chr(10) || 'SELECT ' || text || chr(10) || '```' WHEN 1 THEN 'with ' || text WHEN 2 THEN text ELSE '  ```' || chr(10) || text || ' ```  ' END AS answer FROM {conversations}""",
+    "asked": """SELECT 'b' || item_id AS question_id, text AS question FROM {benchmark} UNION ALL SELECT 'd' || doc_id, text FROM {documents}""",
+    "arm_results": """SELECT o_orderpriority AS arm, o_orderstatus <> 'P' AS parsed, o_orderstatus = 'F' AS executed, o_orderstatus = 'F' AND o_orderkey % 5 <> 0 AS non_empty, CASE WHEN o_orderstatus = 'F' AND o_custkey % 3 <> 0 THEN o_custkey % 3 = 1 END AS correct FROM {orders}""",
+    "result_cells": """SELECT 1000 + o_custkey AS id, count(*) AS n_rows, 1 + o_custkey % 2 AS n_columns, CASE o_custkey % 5 WHEN 1 THEN '0' WHEN 2 THEN '' WHEN 3 THEN min(o_orderstatus) END AS cell FROM {orders} GROUP BY o_custkey""",
+    "plan_columns": """SELECT 'parts' AS s, p_brand || ' ' || (p_partkey - p_partkey % 20) AS t, CAST(row_number() OVER (PARTITION BY p_brand, p_partkey - p_partkey % 20 ORDER BY p_partkey) - 1 AS INT) AS p, p_name || ' ' || p_partkey AS c, CASE p_size % 4 WHEN 0 THEN 'int' WHEN 1 THEN 'bigint' WHEN 2 THEN 'text' ELSE 'geometry' END AS d FROM {part}""",
+    "terms": """SELECT lower(replace(p_brand, '#', '')) AS domain, replace(p_name, ' ', '_') || '_' || p_partkey AS term, p_size > 48 AS required FROM {part}""",
+    "ddl_scripts": """SELECT 'ALTER TABLE `c`.`s`.`sup_' || s_suppkey || '` ADD CONSTRAINT fk_' || s_suppkey || ' FOREIGN KEY (nation_' || s_nationkey || ') REFERENCES `c`.`s`.`nation` (ID)' AS ddl FROM {supplier}""",
+    "edges_there": """SELECT 'c.s.sup_' || s_suppkey || '.nation_' || s_nationkey AS source_id, CASE WHEN s_acctbal > 5000 THEN 'c.s.nation.key' ELSE 'c.s.nation.id' END AS target_id FROM {supplier} WHERE s_acctbal > 0""",
+    "batch_questions": """SELECT 'c' || c_custkey AS question_id, CASE c_nationkey % 3 WHEN 0 THEN 'join' WHEN 1 THEN 'window' END AS shape, CASE c_custkey % 3 WHEN 0 THEN 'DROP TABLE' WHEN 1 THEN ' SELECT c_name FROM' ELSE 'SELECT c_name FROM' END || ' `lake`.`s' || c_nationkey || '`.`customer` WHERE c_mktsegment = ''' || c_mktsegment || '''' AS sql FROM {customer}""",
+    "runs": """SELECT 'r' || o_orderkey AS run_id, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' END AS status, CASE WHEN o_orderstatus = 'P' THEN 'lost' END AS error, o_custkey % 8 AS s, o_orderkey % 40 AS t, o_custkey % 30 AS d, o_orderkey % 30 AS e, o_custkey % 10 AS sampled, o_orderkey % 3 AS skipped,
+      o_custkey % 10 + o_custkey % 3 AS candidates, o_orderkey % 5 AS g, o_custkey % 30 AS fk_declared, o_orderkey % 20 AS fk_resolved, o_custkey % 30 - o_orderkey % 20 - CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS fk_skipped FROM {orders}""",
+    "schema_names": """SELECT DISTINCT c_mktsegment AS name FROM {customer}""",
+    "schemas_chosen": """SELECT 'c' || c_custkey AS question_id, lower(c_mktsegment) AS chosen FROM {customer}""",
+    "catalog_lists": """SELECT c_custkey AS id, c_mktsegment || ':' || c_nationkey || ', ' || c_name || ',' || c_mktsegment || ':x' AS listed FROM {customer}""",
+}
+
+
+def fixture(spark: SparkSession, name: str, sf_dir: str | None = None) -> DataFrame:
+    """The named relation; without ``sf_dir`` its hand-made rows alone."""
+    made = spark.sql(FIXTURES[name])
+    if sf_dir is None or name not in GROWN:
+        return made
+    named = {n for _, n, _, _ in Formatter().parse(GROWN[name]) if n}
+    return made.unionByName(spark.sql(GROWN[name], **{n: table(spark, sf_dir, n) for n in named}))
 
 
 def given(*names: str) -> str:
-    """The named fixtures as common table expressions."""
-    return ", ".join(f"{n} AS ({FIXTURES[n]})" for n in names)
+    """The named relations as common table expressions."""
+    parts = {n: FIXTURES[n] + (" UNION ALL " + GROWN[n].replace("{", "").replace("}", "") if n in GROWN else "") for n in names}
+    return ", ".join(f"{n} AS ({sql})" for n, sql in parts.items())

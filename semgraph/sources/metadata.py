@@ -118,10 +118,17 @@ def readable_schemas(candidates: dict[str, list[Callable[[], DataFrame]]], probe
     return [schema for schema, reads in candidates.items() if not reads or any(works(r) for r in reads[:probes])]
 
 
+def listed_catalogs(lists: DataFrame, listed: str, by: list[str]) -> DataFrame:
+    """SET-06: (by.., position, catalog, layer) of each row's list ``a:layer,b``: first occurrences in order; null and blank lists have none."""
+    items = lists.select(*by, F.posexplode(F.split(listed, ",")).alias("position", "item"))
+    layer = F.when(F.contains("item", F.lit(":")), F.trim(F.substring_index("item", ":", -1)))
+    parts = items.select(*by, "position", F.trim(F.substring_index("item", ":", 1)).alias("catalog"), layer.alias("layer")).where("catalog <> ''")
+    first = parts.groupBy(*by, "catalog").agg(F.min(F.struct("position", "layer")).alias("first"))
+    return first.select(*by, "first.position", "catalog", "first.layer")
+
+
 def resolve_catalogs(spark: SparkSession, catalog: str, catalogs: str) -> DataFrame:
-    """SET-06: (position, catalog, layer) of a list ``a:layer,b``: first occurrences in order, or the one catalog."""
-    listed = spark.range(1).select(F.posexplode(F.split(F.lit(catalogs), ",")).alias("position", "item"))
-    parts = listed.select("position", F.trim(F.substring_index("item", ":", 1)).alias("catalog"), F.when(F.contains("item", F.lit(":")), F.trim(F.substring_index("item", ":", -1))).alias("layer")).where("catalog <> ''")
-    found = parts.groupBy("catalog").agg(F.min("position").alias("position"), F.min_by("layer", "position").alias("layer"))
-    only = spark.range(1).select(F.lit(0).alias("position"), F.lit(catalog).alias("catalog"), F.lit(None).cast("string").alias("layer"))
-    return found.select("position", "catalog", "layer") if catalogs.strip() else only
+    """SET-06: the catalogs of one list, or the one catalog if the list is blank."""
+    if not catalogs.strip():
+        return spark.range(1).select(F.lit(0).alias("position"), F.lit(catalog).alias("catalog"), F.lit(None).cast("string").alias("layer"))
+    return listed_catalogs(spark.range(1).select(F.lit(catalogs).alias("listed")), "listed", [])
