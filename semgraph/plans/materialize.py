@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize_identifier
 from ..operators import blueprint, store
 
 
-def materialize(spark: SparkSession, tables: DataFrame, folder: str) -> DataFrame:
+def materialize(spark: SparkSession, tables: DataFrame, folder: str, at_once: int = 8) -> DataFrame:
     """Writes each table of a blueprint as parquet below ``folder`` and gives (schema, table, n_rows, n_columns, fallbacks, error).
 
     A table that can't be written is reported and doesn't stop the others.  The
     sample rows of all tables are dealt to a folder each in one pass, so a table
-    reads its own only.  Keys that hold (as planned_primary_keys and
+    reads its own only, and counted by table in one more; ``at_once`` tables are
+    written at the same time.  Keys that hold (as planned_primary_keys and
     planned_foreign_keys tell, of tables that were written) are the engine's own
     table ``_keys`` beside them.  A blueprint's tables and sample rows are few;
     its names and types are what the driver sees.
@@ -27,18 +29,21 @@ def materialize(spark: SparkSession, tables: DataFrame, folder: str) -> DataFram
         shape = planned.groupBy("schema", "table").agg(F.array_sort(F.collect_list(F.struct("place", "column", "lake_type", "fallback"))).alias("cs"))
         rows = tables.select(F.col("schema").alias("s"), sanitize_identifier("table", "t").alias("t"), F.explode("rows").alias("r")).where("s <> '' and t <> ''")
         rows.repartition("s", "t").write.partitionBy("s", "t").parquet(staged)
-        has_rows = {(r["s"], r["t"]) for r in rows.select("s", "t").distinct().collect()}
-        done = []
-        for r in shape.orderBy("schema", "table").collect():
-            own = spark.read.schema("r array<string>").parquet(f"{staged}/s={r['schema']}/t={r['table']}") if (r["schema"], r["table"]) in has_rows else spark.createDataFrame([], "r array<string>")
+        n_rows = {(r["s"], r["t"]): r["count"] for r in spark.read.parquet(staged).groupBy("s", "t").count().collect()} if rows.limit(1).count() else {}
+
+        def made(r: Row) -> tuple:
+            n = n_rows.get((r["schema"], r["table"]), 0)
+            own = spark.read.schema("r array<string>").parquet(f"{staged}/s={r['schema']}/t={r['table']}") if n else spark.createDataFrame([], "r array<string>")
             cells = [F.get("r", F.lit(c["place"])).try_cast("string" if c["lake_type"] == "STRING" else c["lake_type"].lower()).alias(c["column"]) for c in r["cs"]]
-            out, error, n = f"{folder}/{r['schema']}/{r['table']}", None, 0
+            error = None
             try:
-                own.select(*cells).write.mode("overwrite").parquet(out)
-                n = spark.read.parquet(out).count()
+                own.select(*cells).write.mode("overwrite").parquet(f"{folder}/{r['schema']}/{r['table']}")
             except PySparkException as e:
                 error = str(e).splitlines()[0]
-            done.append((r["schema"], r["table"], n, len(r["cs"]), sum(c["fallback"] for c in r["cs"]), error))
+            return r["schema"], r["table"], 0 if error else n, len(r["cs"]), sum(c["fallback"] for c in r["cs"]), error
+
+        with ThreadPoolExecutor(at_once) as pool:
+            done = list(pool.map(made, shape.orderBy("schema", "table").collect()))
         result = spark.createDataFrame(done, "schema string, table string, n_rows long, n_columns int, fallbacks int, error string")
         keys(tables, planned, result).write.mode("overwrite").parquet(f"{folder}/_keys")
         return result

@@ -355,7 +355,7 @@ first_of AS (SELECT *, row_number() OVER (PARTITION BY s, t, c ORDER BY p) AS n
 planned AS (SELECT s AS "schema", t AS "table", p AS place, c AS "column", CASE WHEN d = 'BIGINT' THEN 'BIGINT' WHEN d = 'INT' THEN 'INT' ELSE 'STRING' END AS lake_type, d NOT IN ('INT', 'BIGINT', 'TEXT') AND NOT starts_with(d, 'VARCHAR(') AS fallback FROM first_of WHERE n = 1)"""
 
 
-def _blueprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+def blueprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hand-made tables, and one for each twenty parts of a brand, whose first column is its key and refers to its second."""
     c = fixture(spark, "plan_columns", sf_dir).groupBy(F.col("s").alias("schema"), F.col("t").alias("table")).agg(F.array_sort(F.collect_list(F.struct("p", F.col("c").alias("name"), F.col("d").alias("type")))).alias("cs"))
     columns = F.transform("cs", lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"), F.lit(None).cast("string").alias("comment")))
@@ -370,7 +370,7 @@ def _blueprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PLANNED} SELECT * FROM planned")
 def blueprint_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blueprint.planned_columns(_blueprint(spark, sf_dir)).drop("comment")
+    return blueprint.planned_columns(blueprints(spark, sf_dir)).drop("comment")
 
 
 #: Of the tables from parts, the first column and the second one (null if there is none).
@@ -379,19 +379,19 @@ PART_KEYS = """heads AS (SELECT "schema", "table", max(CASE place WHEN 0 THEN "c
 
 @query(f"WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS \"schema\", 't_2_orders' AS \"table\", 'users' AS parent, 'fk_sp__t_2_orders__user_id__users' AS name UNION ALL SELECT \"schema\", \"table\", \"table\", 'fk_parts__' || \"table\" || '__' || a || '__' || \"table\" FROM heads WHERE b IS NOT NULL")
 def blueprint_fk_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark, sf_dir)
+    b = blueprints(spark, sf_dir)
     return blueprint.planned_foreign_keys(b, blueprint.planned_columns(b)).select("schema", "table", "parent", "name")
 
 
 @query(f"WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS \"schema\", 'users' AS \"table\", 'pk_sp__users' AS name UNION ALL SELECT \"schema\", \"table\", 'pk_parts__' || \"table\" FROM heads")
 def blueprint_pk_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark, sf_dir)
+    b = blueprints(spark, sf_dir)
     return blueprint.planned_primary_keys(b, blueprint.planned_columns(b)).select("schema", "table", "name")
 
 
 @query(f"WITH {PLANNED} SELECT \"schema\", \"table\", 'CREATE TABLE `lake`.`' || \"schema\" || '`.`' || \"table\" || '` (' || string_agg('`' || \"column\" || '` ' || lake_type, ', ' ORDER BY place) || ')' AS ddl FROM planned GROUP BY 1, 2")
 def ddl_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blueprint.statements(blueprint.planned_columns(_blueprint(spark, sf_dir)), "lake")
+    return blueprint.statements(blueprint.planned_columns(blueprints(spark, sf_dir)), "lake")
 
 
 @query(f"""WITH {PLANNED}, {PART_KEYS} SELECT 'sp' AS "schema", 'users' AS "table", 'CREATE TABLE `lake`.`sp`.`users` (`id` INT NOT NULL, `full_name` STRING, CONSTRAINT `pk_sp__users` PRIMARY KEY (`id`))' AS ddl
@@ -400,7 +400,7 @@ UNION ALL SELECT 'sp', 'users', 'INSERT OVERWRITE `lake`.`sp`.`users` (`id`, `fu
 UNION ALL SELECT "schema", "table", 'CREATE TABLE `lake`.`parts`.`' || "table" || '` (' || string_agg('`' || "column" || '` ' || lake_type || CASE place WHEN 0 THEN ' NOT NULL' ELSE '' END, ', ' ORDER BY place) || ', CONSTRAINT `pk_parts__' || "table" || '` PRIMARY KEY (`' || first("column" ORDER BY place) || '`))' FROM planned WHERE "schema" = 'parts' GROUP BY 1, 2
 UNION ALL SELECT "schema", "table", 'ALTER TABLE `lake`.`parts`.`' || "table" || '` ADD CONSTRAINT `fk_parts__' || "table" || '__' || a || '__' || "table" || '` FOREIGN KEY (`' || a || '`) REFERENCES `lake`.`parts`.`' || "table" || '` (`' || b || '`)' FROM heads WHERE b IS NOT NULL""")
 def ddl_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _blueprint(spark, sf_dir)
+    b = blueprints(spark, sf_dir)
     planned = blueprint.planned_columns(b)
     created = blueprint.statements(planned, "lake", blueprint.planned_primary_keys(b, planned))
     return created.unionByName(blueprint.foreign_key_statements(blueprint.planned_foreign_keys(b, planned), "lake").drop("name")).unionByName(blueprint.insert_statements(b, planned, "lake"))
